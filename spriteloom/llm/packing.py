@@ -17,8 +17,8 @@ shorter; repeated rows are packed once each; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,32 +33,46 @@ _tools: dict = {}
 
 
 class ChunkEncoder:
-    """Ids by the tokenizers library, packed as little-endian 32-bit words and kept by chunk."""
+    """Ids by the tokenizers library, packed as little-endian 32-bit words.
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    They are kept by chunk and by match of the tokenizer's pattern, so the
+    library's merges run once for a match that comes again.
+    """
+
+    def __init__(self, path: str, pattern: str):
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.kept = chunks.Recent()
+        self.merge = Tokenizer.from_file(path).model.tokenize
+        self.split = regex.compile(pattern).findall
+        self.letters = _byte_letters()
+        self.by_piece = chunks.Memory(self._piece, chunks.KEEP_CHUNKS)
+        self.by_chunk = chunks.Memory(self._chunk, chunks.KEEP_CHUNKS)
+
+    def _piece(self, piece: str) -> bytes:
+        tokens = self.merge(piece.encode().decode("latin-1").translate(self.letters))
+        return array("I", [t.id for t in tokens]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join([self.by_piece[p] for p in chunks.pieces(chunk, self.split)])
+
+    def encode(self, text: str) -> bytes:
+        self.by_chunk.turn()
+        self.by_piece.turn()
+        return b"".join(map(self.by_chunk.__getitem__, chunks.find_chunks(text)))
+
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = [chunks.find_chunks(t) for t in texts]
-        self.kept.turn()
-        new = [c for c in {c for cs in found for c in cs if c not in self.kept} if self.kept.recall(c) is None]
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.kept[c] = np.array(e.ids, "<u4").tobytes()
-        get = self.kept.__getitem__
-        return [b"".join(map(get, cs)) for cs in found]
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself where it prints."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-def _encoder(path: str) -> ChunkEncoder:
-    if path not in _tools:
-        _tools[path] = ChunkEncoder(path)
-    return _tools[path]
+def _encoder(path: str, pattern: str) -> ChunkEncoder:
+    if (path, pattern) not in _tools:
+        _tools[path, pattern] = ChunkEncoder(path, pattern)
+    return _tools[path, pattern]
 
 
 def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -67,17 +81,17 @@ def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def tokenized_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, tokenizer: str, pattern: str, end_id: int, capacity: int) -> DataFrame:
     end = int(end_id).to_bytes(4, "little")
 
     def pieces(batches):
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, pattern)
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             for block in chunks.blocks(rows, lambda r: len(r[1])):
                 out = []
-                for (doc_id, _), ids in zip(block, encoder.encode([t for _, t in block])):
-                    ids += end
+                for doc_id, text in block:
+                    ids = encoder.encode(text) + end
                     for k, (start, n) in enumerate(cut_points(len(ids) // 4, capacity)):
                         out.append((doc_id, k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
@@ -170,11 +184,11 @@ def pack(pieces: DataFrame, capacity: int, bucket_rows: int = 10_000) -> DataFra
     return wanted.mapInArrow(look_up, f"{_PIECES}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, pattern: str, end_id: int = 2, capacity: int = 1024) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     The pieces (a few numbers each) are cut into the shared folder, so texts
     are tokenised once.  The driver sees the histogram only: at most
     ``capacity`` numbers at any size of input.
     """
-    return pack(cut(tokenized_pieces(docs, tokenizer, end_id, capacity)), capacity)
+    return pack(cut(tokenized_pieces(docs, tokenizer, pattern, end_id, capacity)), capacity)

@@ -27,7 +27,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,16 +12,17 @@ from spriteloom.llm.packing import ChunkEncoder, bin_patterns, cut_points, fulle
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
+ENCODER, LIBRARY = ChunkEncoder(PATH, public_tokenizers.PATTERN), Tokenizer.from_file(PATH)
+LIBRARY.encode_special_tokens = True
 
-@pytest.fixture(scope="module")
+
+@pytest.fixture
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return LIBRARY
 
 
 def check(df, tokenizer, capacity=1024):
-    got = pack_documents(df, PATH, capacity=capacity).collect()
+    got = pack_documents(df, PATH, public_tokenizers.PATTERN, capacity=capacity).collect()
     want = Counter()
     for r in df.collect():
         ids = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 2]
@@ -50,7 +51,7 @@ def test_documents(small, tokenizer):
 
 
 def test_empty(empty):
-    assert pack_documents(empty, PATH).collect() == []
+    assert pack_documents(empty, PATH, public_tokenizers.PATTERN).collect() == []
 
 
 @pytest.mark.parametrize(("n", "want"), [(1, [(0, 1)]), (8, [(0, 8)]), (9, [(0, 1), (1, 8)]), (16, [(0, 8), (8, 8)]), (20, [(0, 4), (4, 8), (12, 8)])])
@@ -83,5 +84,4 @@ def test_patterns_use_every_piece_once(histogram):
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("ab tH\n\t\u00a0'sll1\u00e92\u00b2!-\u3000\u0085\x1c\U0001f600"), max_size=40))
 def test_chunks_keep_the_tokenizers_ids(text):
-    encoder = test_chunks_keep_the_tokenizers_ids.__dict__.setdefault("encoder", ChunkEncoder(PATH))
-    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
