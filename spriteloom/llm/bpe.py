@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ from .common import text_or_empty
 
 _OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: States made by one transducer; beyond it they are forgotten and made anew.
-KEEP_STATES = 200_000
+#: A worker keeps some 200 MB of states, pairs, matches and chunks at most.
+KEEP_STATES = 220_000
 _tools: dict = {}
 
 
@@ -58,71 +60,63 @@ def merge_all(ranks: dict[bytes, int], data: bytes) -> list[bytes]:
 
 
 class State:
-    """``before``: the last token emitted.  ``pending``: bytes since.  ``ends``: boundary to the token that ends there."""
+    """``before``: the last token emitted.  ``pending``: bytes since.  ``live``: the boundaries from which a
+    longer token could still start, each as the tokens that lead to it."""
 
-    __slots__ = ("before", "pending", "ends", "live", "next", "rest")
+    __slots__ = ("before", "pending", "live", "next")
 
-    def __init__(self, before: bytes | None, pending: bytes, ends: dict[int, bytes], live: tuple[int, ...]):
-        self.before, self.pending, self.ends, self.live = before, pending, ends, live
+    def __init__(self, before: bytes | None, pending: bytes, live: tuple[tuple[bytes, ...], ...]):
+        self.before, self.pending, self.live = before, pending, live
         self.next: dict[int, tuple[tuple[int, ...], State]] = {}
-        self.rest: tuple[int, ...] | None = None
 
 
 class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.longer = {t[:i] for t in ranks for i in range(1, len(t))}
-        self.pairs: dict[tuple[bytes | None, bytes], bool] = {}
         self._restart()
 
     def _restart(self) -> None:
+        self.pairs: dict[tuple[bytes | None, bytes], bool] = {}
+        self.paths: dict[tuple[bytes, ...], tuple[bytes, ...]] = {}
         self.states: dict[tuple, State] = {}
-        self.start = self._state(None, b"", {}, (0,))
+        self.start = self._state(None, b"", ((),))
 
-    def _state(self, before, pending, ends, live) -> State:
-        key = (before, pending, tuple(sorted(ends.items())), live)
-        if key not in self.states:
-            self.states[key] = State(before, pending, ends, live)
-        return self.states[key]
+    def _state(self, *key) -> State:
+        state = self.states.get(key)
+        if state is None:
+            state = self.states[key] = State(*key)
+        return state
 
     def _agree(self, before: bytes | None, token: bytes) -> bool:
         """Do the merges leave the two tokens as they are when they meet?"""
         known = self.pairs.get((before, token))
         if known is None:
-            if len(self.pairs) > 4 * KEEP_STATES:
-                self.pairs.clear()
             want = [token] if before is None else [before, token]
             known = self.pairs[before, token] = merge_all(self.ranks, b"".join(want)) == want
         return known
 
-    @staticmethod
-    def _path(ends: dict[int, bytes], at: int) -> list[int]:
-        """Boundaries that lead to ``at``, from the state's origin on."""
-        path = [at]
-        while at:
-            at -= len(ends[at])
-            path.append(at)
-        return path[::-1]
-
     def _step(self, state: State, byte: int) -> tuple[tuple[int, ...], State]:
-        pending = state.pending + bytes((byte,))
-        at, ends = len(pending), dict(state.ends)
-        for start in state.live:
-            token = pending[start:]
-            if token in self.ranks and self._agree(ends[start] if start else state.before, token):
-                ends[at] = token
-                break
-        live = [i for i in state.live if pending[i:] in self.longer] + [at] * (at in ends)
-        paths = [self._path(ends, i) for i in live]
-        shared = 0
-        while all(len(p) > shared + 1 for p in paths) and len({p[shared + 1] for p in paths}) == 1:
-            shared += 1
-        common = paths[0][: shared + 1]
-        out, origin = tuple(self.ranks[ends[i]] for i in common[1:]), common[-1]
-        before = ends[origin] if origin else state.before
-        kept = {i - origin: ends[i] for p in paths for i in p if i > origin}
+        ranks, longer, pending = self.ranks, self.longer, state.pending + bytes((byte,))
+        live, ended = [], None
+        for path in state.live:
+            token = pending[len(b"".join(path)) :]
+            if ended is None and token in ranks and self._agree(path[-1] if path else state.before, token):
+                ended = (*path, token)
+            if token in longer:
+                live.append(path)
+        if ended:
+            live.append(ended)
+        first, rest, least, k = live[0], live[1:], min(map(len, live)), 0
+        while k < least and all([p[k] == first[k] for p in rest]):
+            k += 1
+        before = state.before
+        if k:  # all paths share these tokens, so they are final
+            before, pending = first[k - 1], pending[sum(map(len, first[:k])) :]
+            live = [p[k:] for p in live]
         # the token before the origin matters only while another can still start there
-        return out, self._state(before if origin in live else b"", pending[origin:], kept, tuple(i - origin for i in live))
+        same = self.paths.setdefault
+        return tuple([ranks[t] for t in first[:k]]), self._state(b"" if live[0] else before, pending, tuple([same(p, p) for p in live]))
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one match of the pattern."""
@@ -139,9 +133,7 @@ class Transducer:
             out, state = step
             if out:
                 ids += out
-        if state.rest is None:
-            state.rest = tuple(self.ranks[state.ends[i]] for i in self._path(state.ends, len(state.pending))[1:])
-        ids += state.rest
+        ids += [self.ranks[t] for t in state.live[-1]]
         return ids
 
 
@@ -157,26 +149,31 @@ class Codec:
         self.bytes_of = [b""] * (max(self.ranks.values(), default=-1) + 1)
         for token, i in self.ranks.items():
             self.bytes_of[i] = token
-        self.kept = chunks.Recent(chunks.KEEP_CHUNKS // 2)
+        self.digits = [str(i) for i in range(len(self.bytes_of))]
+        self.by_piece = chunks.Memory(self._piece, 150_000)
+        self.by_chunk = chunks.Memory(self._chunk, 100_000)
+
+    def _piece(self, piece: str) -> bytes:
+        return array("I", self.transducer.encode(piece.encode())).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join([self.by_piece[p] for p in chunks.pieces(chunk, self.split)])
 
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        ids = [i for piece in self.split(chunk) for i in self.transducer.encode(piece.encode())]
-        got = self.kept[chunk] = (np.array(ids, "<u4").tobytes(), ",".join(map(str, ids)))
-        return got
+    def encode(self, text: str) -> bytes:
+        """The ids, packed as 32-bit words."""
+        self.by_chunk.turn()
+        self.by_piece.turn()
+        return b"".join(map(self.by_chunk.__getitem__, chunks.find_chunks(text)))
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Packed ids, and the same as decimals joined by commas."""
-        self.kept.turn()
-        get, recall = self.kept.get, self.kept.recall
-        got = [get(c) or recall(c) or self._chunk(c) for c in chunks.find_chunks(text)]
-        return b"".join([g[0] for g in got]), ",".join([g[1] for g in got])
+    def decimals(self, packed: bytes) -> str:
+        return ",".join(map(self.digits.__getitem__, memoryview(packed).cast("I")))
 
     def decode(self, packed: bytes, slice_ids: int = 4096):
         """Yields the text of the ids; no slice ends within a character."""
         machine, bytes_of = codecs.getincrementaldecoder("utf-8")(errors="replace"), self.bytes_of
-        ids = np.frombuffer(packed, "<u4")
+        ids = memoryview(packed).cast("I")
         for at in range(0, len(ids), slice_ids):
-            yield machine.decode(b"".join([bytes_of[i] for i in ids[at : at + slice_ids].tolist()]))
+            yield machine.decode(b"".join(map(bytes_of.__getitem__, ids[at : at + slice_ids])))
         yield machine.decode(b"", final=True)
 
 
@@ -194,11 +191,11 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                packed, decimals = tool.encode(text)
+                packed = tool.encode(text)
                 sha = hashlib.sha256()
                 for part in tool.decode(packed):
                     sha.update(part.encode())
-                out.append((doc_id, len(packed) // 4, hashlib.sha256(decimals.encode()).hexdigest(), sha.hexdigest()))
+                out.append((doc_id, len(packed) // 4, hashlib.sha256(tool.decimals(packed).encode()).hexdigest(), sha.hexdigest()))
             if out:
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
@@ -213,7 +210,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     def rows(batches):
         tool = codec(ranks_path, pattern)
         for batch in batches:
-            ids = [np.frombuffer(tool.encode(t)[0], "<u4").astype(np.int32) for t in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(tool.encode(t), "<u4").astype(np.int32) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(rows, "doc_id long, ids array<int>")

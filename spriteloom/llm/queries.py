@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import bpe_round_trip
 from .common import table
 from .exact_dedup import OP1_SQL, exact_dedup
+from .licenses import OP2_SQL, license_scan
 from .packing import pack_documents
+from .pii import pii_spans
 from .quality import OP7_SQL, quality_rules
 from .simhash import simhash_dedup
 from .url_filter import OP3_SQL, url_filter
@@ -18,6 +20,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"))
 
@@ -34,17 +40,23 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
     "op4_simhash": op4_simhash,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_pii": op8_pii,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLES = {"op1_exact_dedup": OP1_SQL, "op3_url_filter": OP3_SQL, "op7_quality_rules": OP7_SQL}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op2_license_scan": OP2_SQL, "op3_url_filter": OP3_SQL, "op7_quality_rules": OP7_SQL}

@@ -17,6 +17,8 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import cut, text_or_empty
 from .components import components
 
-SEED, RADIUS, SHINGLE, TILE = 42, 4, 4, 4096
+SEED, RADIUS, SHINGLE, TILE, BLOCK = 42, 4, 4, 4096, 16
 
 
 def shingle_hashes(text: str, width: int = SHINGLE, seed: int = SEED) -> np.ndarray:
@@ -63,31 +65,20 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED) -> Dat
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(rows, "doc_id long, fp long")
 
 
-def _tiles(tile: int):
-    """Cuts the values of each population count in this partition into tiles."""
-
-    def cut_tiles(batches):
-        held: dict[int, list] = {}
-
-        def row(count, values):
-            values = np.sort(values)
-            return {"count": count, "tile": xxhash.xxh64_intdigest(values.tobytes()) - (1 << 63), "fps": values.tobytes()}
+def _tile(key, rows):
+    """The values of one (count, part) as one row."""
+    values = np.sort(np.asarray(rows.column("fp")).view(np.uint64))
+    schema = pa.schema([("count", pa.int32()), ("part", pa.int32()), ("fps", pa.binary())])
+    return pa.Table.from_pylist([{"count": key[0].as_py(), "part": key[1].as_py(), "fps": values.tobytes()}], schema=schema)
 
-        schema = pa.schema([("count", pa.int32()), ("tile", pa.int64()), ("fps", pa.binary())])
-        for batch in batches:
-            values = np.asarray(batch.column(0)).view(np.uint64)
-            counts = np.bitwise_count(values)
-            for c in np.unique(counts).tolist():
-                new = np.concatenate([*held.pop(c, []), values[counts == c]])
-                while len(new) >= tile:
-                    yield pa.RecordBatch.from_pylist([row(c, new[:tile])], schema=schema)
-                    new = new[tile:]
-                held[c] = [new]
-        rest = [row(c, x[0]) for c, x in held.items() if len(x[0])]
-        if rest:
-            yield pa.RecordBatch.from_pylist(rest, schema=schema)
 
-    return cut_tiles
+def make_tiles(values: DataFrame, tile: int) -> tuple[DataFrame, dict[int, int]]:
+    """(count, part, fps): tiles of about ``tile`` values of one population count; and each count's number of tiles."""
+    counted = values.select("fp", F.bit_count("fp").cast("int").alias("count"))
+    sizes = {r["count"]: math.ceil(r["n"] / tile) for r in counted.groupBy("count").agg(F.count("*").alias("n")).collect()}  # 65 rows at most
+    n_parts = F.element_at(F.create_map(*(F.lit(x) for item in sizes.items() for x in item)), F.col("count")) if sizes else F.lit(1)
+    parts = counted.select("fp", "count", F.pmod(F.xxhash64("fp"), n_parts).cast("int").alias("part"))
+    return parts.groupBy("count", "part").applyInArrow(_tile, "count int, part int, fps binary"), sizes
 
 
 def tile_links(left: np.ndarray, right: np.ndarray, radius: int, step: int = 64) -> list[tuple[int, int]]:
@@ -110,13 +101,22 @@ def tile_links(left: np.ndarray, right: np.ndarray, radius: int, step: int = 64)
     return links
 
 
-def near_links(values: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """(a, b): links that connect the distinct values ``fp`` as the radius does."""
-    tiles = cut(values.mapInArrow(_tiles(tile), "count int, tile long, fps binary"))
-    left = tiles.select(F.col("count").alias("at"), F.col("count").alias("lc"), F.col("tile").alias("lt"), F.col("fps").alias("lf"))
-    nearby = F.explode(F.sequence(F.col("count") - radius, F.col("count")))
-    right = tiles.select(nearby.alias("at"), F.col("count").alias("rc"), F.col("tile").alias("rt"), F.col("fps").alias("rf"))
-    pairs = left.join(right, "at").where((F.col("rc") > F.col("lc")) | (F.col("rt") >= F.col("lt"))).select("lf", "rf")
+def near_links(values: DataFrame, radius: int = RADIUS, tile: int = TILE, block: int = BLOCK) -> DataFrame:
+    """(a, b): links that connect the distinct values ``fp`` as the radius does.
+
+    A task holds up to ``block`` tiles of one population count and meets the
+    tiles of that count and of the ``radius`` counts below, which are copied
+    once for each such block: the copies are fewer than the tile pairs by that
+    factor, and the pairs themselves never move.
+    """
+    tiles, sizes = make_tiles(values, tile)
+    tiles = cut(tiles)
+    blocks = F.create_map(*(F.lit(x) for c, n in sizes.items() for x in (c, math.ceil(n / block)))) if sizes else F.create_map().cast("map<int,int>")
+    left = tiles.select(F.col("count").alias("at"), F.floor(F.col("part") / block).cast("int").alias("blk"), F.col("part").alias("lp"), F.col("fps").alias("lf"))
+    nearby = F.filter(F.sequence(F.col("count"), F.col("count") + radius), lambda c: F.map_contains_key(blocks, c))
+    right = tiles.select(F.explode(nearby).alias("at"), F.col("count").alias("rc"), F.col("part").alias("rp"), F.col("fps").alias("rf"))
+    right = right.select("*", F.explode(F.sequence(F.lit(0), F.element_at(blocks, F.col("at")) - 1)).alias("blk"))
+    pairs = left.join(right, ["at", "blk"]).where((F.col("rc") < F.col("at")) | (F.col("rp") >= F.col("lp"))).select("lf", "rf")
 
     def compare(batches):
         for batch in batches:
