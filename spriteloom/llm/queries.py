@@ -9,6 +9,7 @@ from .bpe import bpe_round_trip
 from .common import table
 from .exact_dedup import OP1_SQL, exact_dedup
 from .licenses import OP2_SQL, license_scan
+from .lm_score import lm_score
 from .packing import pack_documents
 from .pii import pii_spans
 from .quality import OP7_SQL, quality_rules
@@ -32,6 +33,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
@@ -53,6 +58,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
     "op4_simhash": op4_simhash,
+    "op5_lm_score": op5_lm_score,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_pii": op8_pii,
