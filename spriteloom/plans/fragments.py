@@ -50,9 +50,9 @@ CTES = {
       lead(b) OVER (PARTITION BY id, y ORDER BY x) AS bx, lead(a) OVER (PARTITION BY id, y ORDER BY x) AS ax,
       lead(r) OVER (PARTITION BY id, x ORDER BY y) AS ry, lead(g) OVER (PARTITION BY id, x ORDER BY y) AS gy,
       lead(b) OVER (PARTITION BY id, x ORDER BY y) AS bz, lead(a) OVER (PARTITION BY id, x ORDER BY y) AS ay FROM sprites s""",
-    "changes": """SELECT id, 'h' AS axis, y AS line, x AS at FROM ahead WHERE r <> rx OR g <> gx OR b <> bx OR a <> ax
-      UNION ALL SELECT id, 'v' AS axis, x AS line, y AS at FROM ahead WHERE r <> ry OR g <> gy OR b <> bz OR a <> ay""",
-    "runs": "SELECT id, axis, line, run FROM (SELECT id, axis, line, at - lag(at) OVER (PARTITION BY id, axis, line ORDER BY at) AS run FROM changes) q WHERE run IS NOT NULL",
+    "changes": """SELECT id, 'h' AS axis, y AS line, x AS spot FROM ahead WHERE r <> rx OR g <> gx OR b <> bx OR a <> ax
+      UNION ALL SELECT id, 'v' AS axis, x AS line, y AS spot FROM ahead WHERE r <> ry OR g <> gy OR b <> bz OR a <> ay""",
+    "runs": "SELECT id, axis, line, run FROM (SELECT id, axis, line, spot - lag(spot) OVER (PARTITION BY id, axis, line ORDER BY spot) AS run FROM changes) q WHERE run IS NOT NULL",
     "sizes": "SELECT id, max(kind) AS kind, max(w) AS w, max(h) AS h FROM sprites GROUP BY id",
     "run_set": "SELECT DISTINCT id, run FROM runs",
     "run_count": "SELECT id, count(*) AS n, min(run) AS least FROM run_set GROUP BY id",
@@ -147,7 +147,7 @@ SELECTS = {
     "source_limit": "SELECT d.doc_id AS idx, d.source FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NOT NULL ORDER BY d.doc_id LIMIT 50",
     "palette_size": "SELECT id, palette_size FROM palettes",
     "pixel_scale": "SELECT id, scale FROM scales",
-    "pixel_changes": "SELECT id, axis, line, at FROM changes",
+    "pixel_changes": "SELECT id, axis, line, spot FROM changes",
     "pixel_runs": "SELECT id, axis, run, count(*) AS n FROM runs GROUP BY id, axis, run",
     "bg_detect": "SELECT id, removed FROM corners",
     "bg_mask": "SELECT p.id, p.x, p.y, CASE WHEN hit THEN 0 ELSE p.r END AS r, CASE WHEN hit THEN 0 ELSE p.g END AS g, CASE WHEN hit THEN 0 ELSE p.b END AS b, CASE WHEN hit THEN 0 ELSE p.a END AS a FROM (SELECT d.*, (c.removed AND d.r = c.r AND d.g = c.g AND d.b = c.b AND d.a = c.a) AS hit FROM reduced d JOIN corners c ON d.id = c.id) p",
