@@ -14,6 +14,7 @@ from .packing import pack_documents
 from .pii import pii_spans
 from .quality import OP7_SQL, quality_rules
 from .simhash import simhash_dedup
+from .suffix_dedup import suffix_dedup
 from .url_filter import OP3_SQL, url_filter
 
 
@@ -53,6 +54,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_license_scan": op2_license_scan,
@@ -63,6 +68,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_pii": op8_pii,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op2_license_scan": OP2_SQL, "op3_url_filter": OP3_SQL, "op7_quality_rules": OP7_SQL}
