@@ -10,7 +10,8 @@ from spriteloom.operators.clean import clean_images
 
 def image_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Image files that arrive in ``folder``; the query's checkpoint remembers which were seen."""
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.png").load(folder)
+    shape = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.readStream.format("binaryFile").schema(shape).option("pathGlobFilter", "*.png").load(folder)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content", F.lit(None).cast("string").alias("license_type"), F.col("path").alias("source_url"))
 
 
