@@ -34,8 +34,8 @@ from .common import text_or_empty
 
 _OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: States made by one transducer; beyond it they are forgotten and made anew.
-#: A worker keeps some 200 MB of states, pairs, matches and chunks at most.
-KEEP_STATES = 220_000
+#: A worker keeps some 500 MB of states, pairs, matches and chunks at most.
+KEEP_STATES = 350_000
 _tools: dict = {}
 
 
@@ -151,7 +151,7 @@ class Codec:
             self.bytes_of[i] = token
         self.digits = [str(i) for i in range(len(self.bytes_of))]
         self.by_piece = chunks.Memory(self._piece, 150_000)
-        self.by_chunk = chunks.Memory(self._chunk, 100_000)
+        self.by_chunk = chunks.Memory(self._chunk, 150_000)
 
     def _piece(self, piece: str) -> bytes:
         return array("I", self.transducer.encode(piece.encode())).tobytes()
