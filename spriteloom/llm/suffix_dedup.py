@@ -3,10 +3,12 @@
 Every string of ``LENGTH`` bytes holds exactly one window of grams; the least
 gram of it, by a hash, is the string's anchor.  Equal strings have equal
 anchors at equal places, so only suffixes at anchors need to meet, one in some
-hundred and eighty.  Texts are dealt into chunks, and each step is a job over
-chunks that exchanges little:
+hundred and eighty.
 
-1. Chunks name their anchors' grams; grams that are found once are done with.
+1. Each partition packs its rows into chunks, with their anchors, once.  The
+   chunks become a table bucketed by chunk in the shared checkpoint folder, so
+   that later steps send the chunks messages and never move texts again.
+   Grams that are found once are done with.
 2. For each other anchor a chunk takes the suffix that starts where the first
    of the anchor's strings starts and ends with the last of them.  It sorts
    these into front-coded runs, one for each bucket of their first LENGTH
@@ -14,10 +16,13 @@ chunks that exchanges little:
    head's common prefix with the last output and so never compares a known
    prefix again.  The common prefix of neighbours says how many of a suffix's
    strings are repeated.
-3. Strings that this leaves open (at the edges of passages) are counted one by
-   one, by 128 bits of hashes, together with all strings of the same gram.
-   Counts are partial before the shuffle, so a passage in a third of all
-   documents is no hot spot.
+3. What this leaves open (after an edit inside a suffix) is counted by 128 bits
+   of hashes, together with all distinct suffixes of the same gram: first the
+   cores that some STEP neighbouring strings share.  A core found once settles
+   its strings as unique; one that always stands in the same surroundings
+   settles them as repeated.  The strings of the others, at the edges of
+   passages, are then counted one by one.  Counts are partial before the
+   shuffle, so a passage in a third of all documents is no hot spot.
 4. Chunks mark the repeated strings and cut the bytes that these cover.
 
 Equal suffixes, and more than two suffixes of a chunk that start with the same
@@ -26,7 +31,9 @@ step 3.
 
 Cases: a null text counts as empty; texts shorter than LENGTH keep all bytes;
 rows that repeat id and text repeat each other's strings like any two rows; a
-text of any length is handled in pieces; extra columns are ignored.
+text of any length is handled in pieces; extra columns are ignored.  The input
+must give a partition's rows in the same order when it is read again, as files
+do.
 """
 
 from __future__ import annotations
@@ -34,15 +41,23 @@ from __future__ import annotations
 import hashlib
 import math
 import struct
+import uuid
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty
+from .common import cut, shared_folder, text_or_empty
 
 LENGTH, GRAM = 400, 32
+#: Neighbouring strings of an anchor that are first counted together.
+STEP = 20
+#: Bytes of text in a bucket of chunks, about, and the most buckets.
+BUCKET_BYTES, MAX_BUCKETS = 100_000_000, 100_000
 #: Bytes of text in a chunk, about, and in a piece of a text at most.
 CHUNK_BYTES, PIECE_BYTES = 3_000_000, 1_000_000
 _U = np.uint64
@@ -67,67 +82,102 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
+def _anchors(data: bytes, sums: np.ndarray, stops: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first string, last string, place, gram) of each anchor of some texts laid end to end."""
+    size, width = len(data), length - gram + 1
+    n = size - length + 1
+    if n <= 0:
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, _U),)
+    grams = _mixed((sums[gram:] - sums[: size - gram + 1]) * _INV[: size - gram + 1])
+    keys = (grams & ~_LOW) | np.arange(len(grams), dtype=_U)
+    blocks = np.concatenate([keys, np.full(-len(keys) % width, ~_U(0))]).reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    at = (np.minimum(behind[:n], ahead[width - 1 : width - 1 + n]) & _LOW).astype(np.int64)
+    doc = np.repeat(np.arange(len(stops)), np.diff(stops, prepend=0))
+    whole = doc[:n] == doc[length - 1 :]
+    turn = (at[1:] != at[:-1]) | (doc[1:n] != doc[: n - 1])
+    lo = np.flatnonzero(whole & np.concatenate([[True], turn | ~whole[:-1]]))
+    hi = np.flatnonzero(whole & np.concatenate([turn | ~whole[1:], [True]]))
+    return lo, hi, at[lo], grams[at[lo]]
+
+
 class Piece:
     """Bytes of one document (or several end to end), with the anchors of its strings."""
 
-    def __init__(self, data: bytes, stops: np.ndarray, length: int, gram: int):
-        self.data, self.length = data, length
-        raw = np.frombuffer(data, np.uint8)
-        self.sums = np.zeros(len(raw) + 1, _U)
-        np.cumsum(_BYTE[raw] * _POW[: len(raw)], out=self.sums[1:])
-        n, width = len(raw) - length + 1, length - gram + 1
-        self.anchor = self.lo = self.hi = np.zeros(0, np.int64)
-        self.gram = np.zeros(0, _U)
-        if n <= 0:
-            return
-        grams = self.hashes(np.arange(len(raw) - gram + 1), gram)
-        keys = (grams & ~_LOW) | np.arange(len(grams), dtype=_U)
-        blocks = np.concatenate([keys, np.full(-len(keys) % width, ~_U(0))]).reshape(-1, width)
-        ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-        behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-        at = (np.minimum(behind[:n], ahead[width - 1 : width - 1 + n]) & _LOW).astype(np.int64)
-        doc = np.searchsorted(stops, np.arange(len(raw)), side="right")
-        whole = doc[:n] == doc[length - 1 :]
-        first = whole & np.concatenate([[True], (at[1:] != at[:-1]) | ~whole[:-1] | (doc[1:n] != doc[: n - 1])])
-        last = whole & np.concatenate([(at[1:] != at[:-1]) | ~whole[1:] | (doc[1:n] != doc[: n - 1]), [True]])
-        self.lo, self.hi = np.flatnonzero(first), np.flatnonzero(last)
-        self.anchor = at[self.lo]
-        self.gram = grams[self.anchor]
-
-    def hashes(self, starts: np.ndarray, length: int) -> np.ndarray:
+    def __init__(self, data: bytes, lo: np.ndarray, hi: np.ndarray, anchor: np.ndarray, gram: np.ndarray):
+        self.data, self.lo, self.hi, self.anchor, self.gram = data, lo, hi, anchor, gram
+
+    @cached_property
+    def sums(self) -> np.ndarray:
+        return _sums(self.data)
+
+    def hashes(self, starts: np.ndarray, length) -> np.ndarray:
         return _mixed((self.sums[starts + length] - self.sums[starts]) * _INV[starts])
 
 
+def _sums(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    sums = np.zeros(len(raw) + 1, _U)
+    np.cumsum(_BYTE[raw] * _POW[: len(raw)], out=sums[1:])
+    return sums
+
+
+def _layout(sizes: list[int], length: int) -> list[list[tuple[int, int, int]]]:
+    """The pieces of a chunk: each a list of (document, offset, bytes).  No string is in two of them."""
+    pieces, held, room = [], [], PIECE_BYTES
+    for i, n in enumerate(sizes):
+        for at in range(0, max(1, n - length + 1), PIECE_BYTES - length + 1):
+            part = min(n - at, PIECE_BYTES)
+            if part > room:
+                pieces.append(held)
+                held, room = [], PIECE_BYTES
+            held.append((i, at, part))
+            room -= part
+    return [*pieces, held]
+
+
+def pack_chunk(number: int, ids: list, texts: list[bytes], length: int, gram: int) -> pa.RecordBatch:
+    """The row of a chunk: its documents, and the anchors of their strings."""
+    found = []
+    for piece in _layout([len(t) for t in texts], length):
+        data = b"".join(texts[i][at : at + n] for i, at, n in piece)
+        found.append(_anchors(data, _sums(data), np.cumsum([n for _, _, n in piece]), length, gram))
+    lo, hi, anchor, grams = (np.concatenate(x) for x in zip(*found))
+    spots = np.concatenate([[len(x[0]) for x in found], lo, hi - lo, anchor - lo]).astype(np.int32)
+    pack = zstandard.ZstdCompressor(level=3).compress
+    row = [[number], [ids], [[len(t) for t in texts]], [pack(b"".join(texts))], [pack(spots.tobytes())], [grams.view(np.int64)]]
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _CHUNK)], schema=_CHUNK)
+
+
 class Chunk:
-    """The rows of a chunk in a fixed order, as pieces."""
-
-    def __init__(self, rows: pa.Table, length: int, gram: int):
-        got = zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist())
-        self.rows = sorted(got, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        self.length, self.pieces, self.parts = length, [], []
-        held, size = [], 0
-        for i, (_, text) in enumerate(self.rows):
-            for at in range(0, max(1, len(text) - length + 1), PIECE_BYTES - length):
-                part = text[at : at + PIECE_BYTES]
-                if size + len(part) > PIECE_BYTES:
-                    self._close(held, gram)
-                    held, size = [], 0
-                held.append((i, at, part))
-                size += len(part)
-        self._close(held, gram)
-
-    def _close(self, held: list, gram: int) -> None:
-        if held:
-            stops = np.cumsum([len(p) for _, _, p in held])
-            self.pieces.append(Piece(b"".join(p for _, _, p in held), stops, self.length, gram))
-            self.parts.append((np.array([i for i, _, _ in held]), np.array([a for _, a, _ in held]), stops))
+    """Documents of a chunk in a fixed order, as pieces."""
+
+    def __init__(self, table: pa.Table, length: int):
+        row = {c: table.column(c)[0] for c in table.column_names}
+        unpack = zstandard.ZstdDecompressor().decompress
+        self.length, self.ids, sizes = length, row["ids"].as_py(), row["sizes"].as_py()
+        body, ends = unpack(row["body"].as_py()), np.cumsum([0, *sizes]).tolist()
+        self.texts = [body[a:b] for a, b in zip(ends, ends[1:])]
+        self.layout = _layout(sizes, length)
+        spots = np.frombuffer(unpack(row["spots"].as_py()), np.int32).astype(np.int64)
+        counts = spots[: len(self.layout)]
+        lo, width, back = spots[len(counts) :].reshape(3, -1)
+        grams = np.asarray(row["grams"].values).view(_U)
+        self.pieces, at = [], 0
+        for piece, n in zip(self.layout, counts.tolist()):
+            cut_ = slice(at, at + n)
+            data = b"".join(self.texts[i][a : a + m] for i, a, m in piece)
+            self.pieces.append(Piece(data, lo[cut_], lo[cut_] + width[cut_], lo[cut_] + back[cut_], grams[cut_]))
+            at += n
 
     def suffixes(self, grams: np.ndarray) -> list[tuple[bytes, int, int]]:
         """(suffix, piece, anchor number) for the anchors with these grams, sorted."""
         out = []
         for k, p in enumerate(self.pieces):
-            for j in np.flatnonzero(np.isin(p.gram, grams)).tolist():
-                out.append((p.data[p.lo[j] : p.hi[j] + self.length], k, j))
+            own = np.flatnonzero(np.isin(p.gram, grams))
+            for j, a, b in zip(own.tolist(), p.lo[own].tolist(), (p.hi[own] + self.length).tolist()):
+                out.append((p.data[a:b], k, j))
         out.sort()
         return out
 
@@ -236,149 +286,224 @@ def _signed(x) -> int:
     return int(x) - (1 << 64) if int(x) >= 1 << 63 else int(x)
 
 
-_GRAMS = pa.schema([("chunk", pa.int32()), ("gram", pa.int64()), ("n", pa.int32())])
-_RUNS = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("run", pa.binary())])
-_ITEMS = pa.schema([("chunk", pa.int32()), ("number", pa.int32()), ("gram", pa.int64()), ("same", pa.int32()), ("speaks", pa.bool_()), ("open", pa.bool_())])
-_WINDOWS = pa.schema([("chunk", pa.int32()), ("gram", pa.int64()), ("hash", pa.int64()), ("times", pa.int32()), ("asks", pa.bool_())])
+def _of_gram(hashes: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """Hashes that differ for different grams, so that a chunk needs no gram to know them again."""
+    return _mixed(hashes ^ (gram * _U(0xD6E8FEB86659FD93)))
+
+
+def _spread(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the range, value) of all values of ranges that start at ``first`` with ``n`` values each."""
+    which = np.repeat(np.arange(len(n)), n)
+    return which, first[which] + np.arange(len(which)) - (np.cumsum(n) - n)[which]
+
+
+_CHUNK = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("body", pa.binary()), ("spots", pa.binary()), ("grams", pa.list_(pa.int64()))])
+_RUNS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("run", pa.binary())])
+_ITEMS = pa.schema([("chunk", pa.int64()), ("number", pa.int32()), ("gram", pa.int64()), ("same", pa.int32()), ("speaks", pa.bool_()), ("open", pa.bool_())])
+#: Of counted things: flag is how often (1 or 2 for more), and 4 more if the chunk asks for the answer; wide is the surroundings of a core.
+_COUNTED = pa.schema([("chunk", pa.int64()), ("gram", pa.list_(pa.int64())), ("hash", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64())), ("flag", pa.list_(pa.int8()))])
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+#: What a chunk is told: its repeated grams; what the merge says of a suffix, its gram in doubt or not; cores whose strings are all repeated, or open; repeated strings.
+_GRAM, _DOUBT, _SETTLED, _WHOLE, _MIXED, _STRING = range(6)
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary", pa.bool_(): "boolean", pa.string(): "string"}
-    return ", ".join(f"`{f.name}` {names[f.type]}" for f in schema)
+    names = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary", pa.bool_(): "boolean", pa.string(): "string", pa.int8(): "byte"}
+    return ", ".join(f"`{f.name}` " + (f"array<{names[f.type.value_type]}>" if pa.types.is_list(f.type) else names[f.type]) for f in schema)
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, with_text: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if asked for."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    n_chunks = max(8, math.ceil(total / chunk_bytes))
-    texts = rows.select("doc_id", F.col("text").cast("binary").alias("text"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).cast("int").alias("chunk"))
+def _table(rows: list, schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
 
-    def name_grams(key, table):
-        parts = [p.gram for p in Chunk(table, length, gram).pieces]
-        values, n = np.unique(np.concatenate([*parts, np.zeros(0, _U)]), return_counts=True)
-        return pa.Table.from_arrays([pa.array(np.full(len(values), key[0].as_py(), np.int32)), pa.array(values.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int32))], schema=_GRAMS)
 
-    named = cut(texts.groupBy("chunk").applyInArrow(name_grams, _ddl(_GRAMS)))
-    often = named.groupBy("gram").agg(F.sum("n").alias("all")).where(F.col("all") > 1).select(F.col("gram").alias("found"))
-    again = cut(named.join(often, F.col("gram") == F.col("found"), "left_semi").select("chunk", "gram"))
+class Findings:
+    """A chunk with what it was told: its distinct suffixes, how much of each is repeated, and which are in doubt."""
 
-    def sort_runs(key, table, grams):
-        chunk = Chunk(table, length, gram)
-        entries, _ = _distinct(chunk.suffixes(np.asarray(grams.column("gram")).view(_U)), chunk)
+    def __init__(self, table: pa.Table, messages: pa.Table, length: int, step: int):
+        self.chunk, self.length, self.step = Chunk(table, length), length, step
+        kind, x, y, z = (messages.column(c).to_numpy() for c in ("kind", "x", "y", "z"))
+        self.told = lambda k: x[kind == k].view(_U)
+        self.entries, self.where = _distinct(self.chunk.suffixes(self.told(_GRAM)), self.chunk)
+        texts = [e[4] for e in self.entries]
+        near = [0, *(common(a, b, 0) for a, b in zip(texts, texts[1:])), 0]
+        same = [len(t) if e[1] > 1 else max(near[k], near[k + 1]) for k, (t, e) in enumerate(zip(texts, self.entries))]
+        counted = [True] * len(texts)
+        says = kind <= _SETTLED
+        for code, number, m, speaks in zip(kind[says].tolist(), x[says].tolist(), y[says].tolist(), z[says].tolist()):
+            if code != _GRAM:
+                same[number] = max(same[number], m)
+                counted[number] = code == _DOUBT and (speaks or same[number] < len(texts[number]))
+        self.sure = [max(0, m - length + 1) for m in same]
+        by_piece: list[list] = [[] for _ in self.chunk.pieces]
+        for k, wanted in enumerate(counted):
+            if wanted:
+                piece, j = self.where[k][0]
+                by_piece[piece].append((j, self.sure[k], same[k] == len(texts[k])))
+        self.doubts = [(p, *np.array(d, np.int64).T) for p, d in zip(self.chunk.pieces, by_piece) if d]
+
+    def cores(self):
+        """For each piece: gram, core, surroundings, first and last string of a core, strings sure, found more than once."""
+        for p, j, sure, twice in self.doubts:
+            lo, hi, at = p.lo[j], p.hi[j], p.anchor[j]
+            first = (at - hi) // self.step
+            e, turn = _spread(first, (at - lo) // self.step - first + 1)
+            place = at[e] - self.step * turn
+            a, b = np.maximum(lo[e], place - self.step + 1), np.minimum(hi[e], place)
+            gram = p.gram[j][e]
+            core = _of_gram(p.hashes(place, self.length - self.step + 1), gram)
+            yield p, gram, core, p.hashes(a, b - a + self.length), a, b, (lo + sure)[e], twice[e]
+
+    def strings(self, answer: int):
+        """For each piece: gram, hash and start of the strings of cores that were answered so, strings sure, found more than once."""
+        known = self.told(answer)
+        for p, gram, core, _, a, b, sure, twice in self.cores():
+            hit = np.flatnonzero(np.isin(core, known))
+            e, start = _spread(a[hit], (b - a + 1)[hit])
+            e = hit[e]
+            yield p, gram[e], _of_gram(p.hashes(start, self.length), gram[e]), start, sure[e], twice[e]
+
+
+def _collapsed(chunk: int, parts: list[tuple]) -> pa.Table:
+    """One row for a chunk, from parts (gram, hash, wide, found more than once, asked for), each thing named once."""
+    if not parts:
+        return _table([], _COUNTED)
+    gram, key, wide, twice, asks = (np.concatenate(c) for c in zip(*parts))
+    _, at, which, n = np.unique(_mixed(key ^ _mixed(wide)), return_index=True, return_inverse=True, return_counts=True)
+    times, asked = np.where(n > 1, 2, 1), np.zeros(len(at), bool)
+    times[which[twice.astype(bool)]] = 2
+    asked[which[asks]] = True
+    return _table([(chunk, gram[at].view(np.int64), key[at].view(np.int64), wide[at].view(np.int64), (times + 4 * asked).astype(np.int8))], _COUNTED)
+
+
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, step: int = STEP, with_text: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if asked for."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    n_runs = max(8, math.ceil(total / chunk_bytes))
+    n_buckets = min(MAX_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_BYTES)))
+
+    def pack(batches):
+        number, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids.append(doc_id)
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size >= chunk_bytes:
+                    yield pack_chunk(number, ids, texts, length, gram)
+                    number, ids, texts, size = number + 1, [], [], 0
+        if ids:
+            yield pack_chunk(number, ids, texts, length, gram)
+
+    packed = rows.select("doc_id", F.col("text").cast("binary")).mapInArrow(pack, _ddl(_CHUNK))
+    name = f"suffix_chunks_{uuid.uuid4().hex}"
+    writer = packed.repartition(n_buckets, "chunk").write.bucketBy(n_buckets, "chunk").option("compression", "none")
+    writer.option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    chunks = spark.table(name)
+
+    def ask(told: DataFrame, answer, schema: pa.Schema) -> DataFrame:
+        return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(answer, _ddl(schema))
+
+    often = chunks.select(F.explode("grams").alias("found")).groupBy("found").count().where("count > 1").select("found")
+    own = chunks.select("chunk", F.explode(F.array_distinct("grams")).alias("gram"))
+    again = cut(own.join(often, F.col("gram") == F.col("found"), "left_semi"))
+
+    def sort_runs(key, table, messages):
+        chunk = Chunk(table, length)
+        entries, _ = _distinct(chunk.suffixes(messages.column("gram").to_numpy().view(_U)), chunk)
         buckets: dict[int, list] = {}
-        alike, last = 0, None
+        alike, last, bucket = 0, None, 0
         for e in entries:
-            alike = alike + 1 if e[4][:length] == last else 1
-            last = e[4][:length]
+            if e[4][:length] != last:
+                alike, last = 0, e[4][:length]
+                bucket = int.from_bytes(hashlib.blake2b(last, digest_size=4).digest()) % n_runs
+            alike += 1
             if alike <= 2:
-                bucket = int.from_bytes(hashlib.blake2b(last, digest_size=4).digest()) % n_chunks
                 buckets.setdefault(bucket, []).append(e)
             else:  # the last one kept with this start speaks for those left out: their gram is in doubt
                 own = buckets[bucket]
                 own[-1] = (own[-1][0], -abs(own[-1][1]), *own[-1][2:])
-        return pa.Table.from_pylist([{"chunk": key[0].as_py(), "bucket": b, "run": pack_run(es)} for b, es in buckets.items()], schema=_RUNS)
+        pack_ = zstandard.ZstdCompressor(level=3).compress
+        return _table([(key[0].as_py(), b, pack_(pack_run(es))) for b, es in buckets.items()], _RUNS)
 
     def merge_runs(key, table):
-        runs = table.column("run").to_pylist()
+        unpack = zstandard.ZstdDecompressor().decompress
+        runs = [unpack_run(unpack(r)) for r in table.column("run").to_pylist()]
         owners = table.column("chunk").to_pylist()
-        merged = [(n, owners[i], len(text), tag) for n, text, i, tag in LoserTree([unpack_run(r) for r in runs])]
+        merged = [(n, owners[i], len(text), tag) for n, text, i, tag in LoserTree(runs)]
         out = []
         for k, (n, owner, size, (number, copies, g, strings)) in enumerate(merged):
             after = merged[k + 1][0] if k + 1 < len(merged) else 0
             same = size if abs(copies) > 1 else max(n if k else 0, after)
             first = not (k and n == size == merged[k - 1][2])
             out.append((owner, number, _signed(g), same, first, copies < 0 or same - length + 1 < strings))
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _ITEMS)], schema=_ITEMS)
+        return _table(out, _ITEMS)
 
-    runs = texts.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(sort_runs, _ddl(_RUNS))
-    items = cut(runs.groupBy("bucket").applyInArrow(merge_runs, _ddl(_ITEMS)))
+    items = cut(ask(again, sort_runs, _RUNS).groupBy("bucket").applyInArrow(merge_runs, _ddl(_ITEMS)))
     in_doubt = items.where("open").select(F.col("gram").alias("doubt")).distinct()
-    # what a chunk is told: kind 0, its repeated grams; 1, what the merge says of its suffixes; 2, its repeated strings
-    told = again.select("chunk", F.lit(0).alias("kind"), F.col("gram").alias("x"), F.lit(0).alias("y"), F.lit(False).alias("z"))
     joined = items.join(in_doubt, F.col("gram") == F.col("doubt"), "left")
-    says = joined.select("chunk", F.when(F.col("doubt").isNull(), 3).otherwise(1).alias("kind"), F.col("number").cast("long").alias("x"), F.col("same").alias("y"), F.col("speaks").alias("z"))
-    told = told.unionByName(says)
+    says = joined.select("chunk", F.when(F.col("doubt").isNull(), _SETTLED).otherwise(_DOUBT).alias("kind"), F.col("number").cast("long").alias("x"), F.col("same").alias("y"), F.col("speaks").alias("z"))
 
-    def resolve(table, messages):
-        """The chunk, its distinct suffixes and their anchors, how much of each is repeated, and which must be counted."""
-        chunk = Chunk(table, length, gram)
-        kind, x, y, z = (messages.column(c).to_numpy() for c in ("kind", "x", "y", "z"))
-        entries, anchors = _distinct(chunk.suffixes(x[kind == 0].view(_U)), chunk)
-        same, counted = [0] * len(entries), [True] * len(entries)
-        for k in range(len(entries)):
-            near = [common(entries[k][4], entries[j][4], 0) for j in (k - 1, k + 1) if 0 <= j < len(entries)]
-            same[k] = len(entries[k][4]) if entries[k][1] > 1 else max(near, default=0)
-        for code, number, m, speaks in zip(kind.tolist(), x.tolist(), y.tolist(), z.tolist()):
-            if code in (1, 3):
-                same[number] = max(same[number], m)
-                done = same[number] - length + 1 >= entries[number][3]
-                counted[number] = code == 1 and (speaks or not done)
-        return chunk, entries, anchors, same, counted
-
-    def spell(key, table, messages):
-        chunk, entries, anchors, same, counted = resolve(table, messages)
-        columns = [[], [], [], []]
-        for (_, _, g, strings, _), where, m, wanted in zip(entries, anchors, same, counted):
-            if wanted:
-                k, j = where[0]
-                p = chunk.pieces[k]
-                hashes = p.hashes(np.arange(p.lo[j], p.hi[j] + 1), length)
-                sure = max(0, min(m - length + 1, strings))
-                columns[0].append(np.full(strings, g, _U).view(np.int64))
-                columns[1].append(hashes.view(np.int64))
-                columns[2].append(np.where(np.arange(strings) < sure, 2, 1).astype(np.int32))
-                columns[3].append(np.arange(strings) >= sure)
-        if not columns[0]:
-            return pa.Table.from_pylist([], schema=_WINDOWS)
-        values = [np.concatenate(c) for c in columns]
-        return pa.Table.from_arrays([pa.array(np.full(len(values[0]), key[0].as_py(), np.int32)), *map(pa.array, values)], schema=_WINDOWS)
-
-    windows = cut(texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(spell, _ddl(_WINDOWS)))
-    twice = windows.groupBy("gram", "hash").agg(F.sum("times").alias("n")).where("n > 1").select(F.col("gram").alias("g2"), F.col("hash").alias("h2"))
-    asks = windows.where("asks").select("chunk", "gram", "hash")
-    repeated = asks.join(twice, (F.col("gram") == F.col("g2")) & (F.col("hash") == F.col("h2")), "left_semi").select("chunk", "hash").distinct()
-    told = told.unionByName(repeated.select("chunk", F.lit(2).alias("kind"), F.col("hash").alias("x"), F.lit(0).alias("y"), F.lit(False).alias("z")))
+    def message(df: DataFrame, kind, x: str) -> DataFrame:
+        return df.select("chunk", kind.alias("kind"), F.col(x).alias("x"), F.lit(0).alias("y"), F.lit(False).alias("z"))
+
+    told = message(again, F.lit(_GRAM), "gram").unionByName(says)
+
+    def spell_cores(key, table, messages):
+        found = Findings(table, messages, length, step)
+        return _collapsed(key[0].as_py(), [(g, core, wide, twice, b >= sure) for _, g, core, wide, _, b, sure, twice in found.cores()])
+
+    def spell_strings(key, table, messages):
+        found = Findings(table, messages, length, step)
+        return _collapsed(key[0].as_py(), [(g, h, np.zeros(len(h), _U), twice, start >= sure) for _, g, h, start, sure, twice in found.strings(_MIXED)])
+
+    def answers(spelled: DataFrame) -> DataFrame:
+        """(chunk, hash, whole): the things found more than once, and whether always in the same surroundings; for those who asked, and where they weren't, for all who named them."""
+        one = spelled.select("chunk", F.inline(F.arrays_zip("gram", "hash", "wide", "flag")))
+        counts = one.groupBy(F.col("gram").alias("g"), F.col("hash").alias("h")).agg(F.sum(F.col("flag") % 4).alias("n"), (F.min("wide") == F.max("wide")).alias("whole"), F.max(F.col("flag") >= 4).alias("asked"))
+        got = one.join(counts.where("n > 1 AND asked"), (F.col("gram") == F.col("g")) & (F.col("hash") == F.col("h")))
+        return got.where("flag >= 4 OR NOT whole").select("chunk", "hash", "whole")
+
+    cores = cut(answers(cut(ask(told, spell_cores, _COUNTED))))
+    told = told.unionByName(message(cores, F.when(F.col("whole"), _WHOLE).otherwise(_MIXED), "hash"))
+    strings = answers(cut(ask(told, spell_strings, _COUNTED)))
+    told = told.unionByName(message(strings, F.lit(_STRING), "hash"))
 
     def remove(key, table, messages):
-        chunk, entries, anchors, same, counted = resolve(table, messages)
-        kind, x = messages.column("kind").to_numpy(), messages.column("x").to_numpy()
-        known = np.sort(x[kind == 2].view(_U))
-        marks = [np.zeros(len(p.data) + 1, bool) for p in chunk.pieces]
-        for (_, _, _, strings, _), where, m, wanted in zip(entries, anchors, same, counted):
-            sure = max(0, min(m - length + 1, strings))
-            rest = np.zeros(0, np.int64)
-            if wanted and sure < strings and len(known):
-                k, j = where[0]
+        found = Findings(table, messages, length, step)
+        chunk = found.chunk
+        marks = {id(p): np.zeros(len(p.data) + 1, bool) for p in chunk.pieces}
+        for where, sure in zip(found.where, found.sure):
+            for k, j in where if sure else ():
                 p = chunk.pieces[k]
-                open_ = np.arange(p.lo[j] + sure, p.hi[j] + 1)
-                h = p.hashes(open_, length)
-                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                rest = open_[known[at] == h] - p.lo[j]
-            for k, j in where:
-                lo = chunk.pieces[k].lo[j]
-                marks[k][lo : lo + sure] = True
-                marks[k][lo + rest] = True
-        starts: list[list] = [[] for _ in chunk.rows]
-        for mark, (doc, offset, stops) in zip(marks, chunk.parts):
-            hit = np.flatnonzero(mark)
-            part = np.searchsorted(stops, hit, side="right")
-            begins = np.concatenate([[0], stops[:-1]])
-            for q in np.unique(part):
-                starts[doc[q]].append(hit[part == q] - begins[q] + offset[q])
+                marks[id(p)][p.lo[j] : min(p.lo[j] + sure, p.hi[j] + 1)] = True
+        for p, _, _, start, *_ in found.strings(_WHOLE):
+            marks[id(p)][start] = True
+        known = found.told(_STRING)
+        for p, _, h, start, *_ in found.strings(_MIXED):
+            marks[id(p)][start[np.isin(h, known)]] = True
+        starts: list[list] = [[] for _ in chunk.ids]
+        for p, parts in zip(chunk.pieces, chunk.layout):
+            hit, begin = np.flatnonzero(marks[id(p)]), 0
+            for doc, offset, n in parts:
+                a, b = np.searchsorted(hit, (begin, begin + n))
+                if b > a:
+                    starts[doc].append(hit[a:b] - begin + offset)
+                begin += n
         out = []
-        for (doc_id, text), own in zip(chunk.rows, starts):
-            change = np.zeros(len(text) + 1, np.int32)
+        for doc_id, text, own in zip(chunk.ids, chunk.texts, starts):
+            kept, n_removed, spans = text, 0, 0
             if own:
-                s = np.unique(np.concatenate(own))
+                s = np.concatenate(own)
+                change = np.zeros(len(text) + 1, np.int32)
                 change[s] += 1
                 change[s + length] -= 1
-            gone = np.cumsum(change[:-1]) > 0
-            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(text) else 0
-            out.append((doc_id, len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _OUT)] if out else [pa.array([], f.type) for f in _OUT], schema=_OUT)
+                gone = np.cumsum(change[:-1]) > 0
+                kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                n_removed, spans = int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+            out.append((doc_id, len(text), n_removed, spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
+        return _table(out, _OUT)
 
-    done = texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(remove, _ddl(_OUT))
+    done = ask(told, remove, _OUT)
     return done if with_text else done.drop("kept")

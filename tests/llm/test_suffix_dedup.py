@@ -46,7 +46,7 @@ def test_crossed_passages(spark):
         parts = [rng.choice(passages)[rng.randint(0, 15) :] if rng.random() < 0.6 else "".join(rng.choices("abcdé ", k=rng.randint(1, 60))) for _ in range(6)]
         rows.append((i, "".join(parts)))
     rows += [(500, "a" * 300), (501, "a" * 41 + "b" + "a" * 39), (502, "ab" * 100)]
-    check(spark.createDataFrame(rows, "doc_id long, text string"), length=40, gram=8, chunk_bytes=1500)
+    check(spark.createDataFrame(rows, "doc_id long, text string"), length=40, gram=8, chunk_bytes=1500, step=4)
 
 
 def test_one_passage_in_very_many_texts(spark):
@@ -54,7 +54,14 @@ def test_one_passage_in_very_many_texts(spark):
     word = lambda k: "".join(rng.choices("abcdefgh", k=k))
     hot = word(70)
     rows = [(i, word(rng.randint(0, 30)) + hot[rng.randint(0, 9) :] + word(rng.randint(0, 30))) for i in range(300)]
-    check(spark.createDataFrame(rows, "doc_id long, text string"), length=40, gram=8, chunk_bytes=5000)
+    check(spark.createDataFrame(rows, "doc_id long, text string"), length=40, gram=8, chunk_bytes=5000, step=3)
+
+
+def test_text_of_several_pieces(spark):
+    rng = random.Random(5)
+    text = rng.randbytes(1_300_000).hex()
+    df = spark.createDataFrame([(1, text), (2, text[999_700:1_000_300]), (3, text[:399])], "doc_id long, text string")
+    assert {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup(df).collect()} == {1: (600, 1), 2: (600, 1), 3: (0, 0)}
 
 
 def test_loser_tree_and_front_coding():
