@@ -300,8 +300,8 @@ def _spread(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _CHUNK = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("body", pa.binary()), ("spots", pa.binary()), ("grams", pa.list_(pa.int64()))])
 _RUNS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("run", pa.binary())])
 _ITEMS = pa.schema([("chunk", pa.int64()), ("number", pa.int32()), ("gram", pa.int64()), ("same", pa.int32()), ("speaks", pa.bool_()), ("open", pa.bool_())])
-#: Of counted things: flag is how often (1 or 2 for more), and 4 more if the chunk asks for the answer; wide is the surroundings of a core.
-_COUNTED = pa.schema([("chunk", pa.int64()), ("gram", pa.list_(pa.int64())), ("hash", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64())), ("flag", pa.list_(pa.int8()))])
+#: Of counted things: flag is how often (1 or 2 for more), and 4 more if the chunk asks for the answer; least and most are the bounds of the hashes of a core's surroundings.
+_COUNTED = pa.schema([("chunk", pa.int64()), ("gram", pa.list_(pa.int64())), ("hash", pa.list_(pa.int64())), ("least", pa.list_(pa.int64())), ("most", pa.list_(pa.int64())), ("flag", pa.list_(pa.int8()))])
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 #: What a chunk is told: its repeated grams; what the merge says of a suffix, its gram in doubt or not; cores whose strings are all repeated, or open; repeated strings.
 _GRAM, _DOUBT, _SETTLED, _WHOLE, _MIXED, _STRING = range(6)
@@ -364,15 +364,20 @@ class Findings:
 
 
 def _collapsed(chunk: int, parts: list[tuple]) -> pa.Table:
-    """One row for a chunk, from parts (gram, hash, wide, found more than once, asked for), each thing named once."""
+    """One row for a chunk, from parts (gram, hash, surroundings, found more than once, asked for), each hash named once."""
     if not parts:
         return _table([], _COUNTED)
     gram, key, wide, twice, asks = (np.concatenate(c) for c in zip(*parts))
-    _, at, which, n = np.unique(_mixed(key ^ _mixed(wide)), return_index=True, return_inverse=True, return_counts=True)
-    times, asked = np.where(n > 1, 2, 1), np.zeros(len(at), bool)
-    times[which[twice.astype(bool)]] = 2
-    asked[which[asks]] = True
-    return _table([(chunk, gram[at].view(np.int64), key[at].view(np.int64), wide[at].view(np.int64), (times + 4 * asked).astype(np.int8))], _COUNTED)
+    order = np.argsort(key, kind="stable")
+    ranked, own = key[order], wide[order].view(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])[: len(key)])
+    if not len(first):
+        return _table([], _COUNTED)
+    n = np.diff(np.append(first, len(key)))
+    least, most = np.minimum.reduceat(own, first), np.maximum.reduceat(own, first)
+    times = 1 + ((n > 1) | np.logical_or.reduceat(twice[order].astype(bool), first))
+    flag = times + 4 * np.logical_or.reduceat(asks[order], first)
+    return _table([(chunk, gram[order[first]].view(np.int64), ranked[first].view(np.int64), least, most, flag.astype(np.int8))], _COUNTED)
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, step: int = STEP, with_text: bool = False) -> DataFrame:
@@ -441,7 +446,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_
         return _table(out, _ITEMS)
 
     items = cut(ask(again, sort_runs, _RUNS).groupBy("bucket").applyInArrow(merge_runs, _ddl(_ITEMS)))
-    in_doubt = items.where("open").select(F.col("gram").alias("doubt")).distinct()
+    in_doubt = cut(items.where("open").select(F.col("gram").alias("doubt")).distinct())  # else a hot gram could not be split in the join
     joined = items.join(in_doubt, F.col("gram") == F.col("doubt"), "left")
     says = joined.select("chunk", F.when(F.col("doubt").isNull(), _SETTLED).otherwise(_DOUBT).alias("kind"), F.col("number").cast("long").alias("x"), F.col("same").alias("y"), F.col("speaks").alias("z"))
 
@@ -460,8 +465,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_
 
     def answers(spelled: DataFrame) -> DataFrame:
         """(chunk, hash, whole): the things found more than once, and whether always in the same surroundings; for those who asked, and where they weren't, for all who named them."""
-        one = spelled.select("chunk", F.inline(F.arrays_zip("gram", "hash", "wide", "flag")))
-        counts = one.groupBy(F.col("gram").alias("g"), F.col("hash").alias("h")).agg(F.sum(F.col("flag") % 4).alias("n"), (F.min("wide") == F.max("wide")).alias("whole"), F.max(F.col("flag") >= 4).alias("asked"))
+        one = spelled.select("chunk", F.inline(F.arrays_zip("gram", "hash", "least", "most", "flag")))
+        counts = one.groupBy(F.col("gram").alias("g"), F.col("hash").alias("h")).agg(F.sum(F.col("flag") % 4).alias("n"), (F.min("least") == F.max("most")).alias("whole"), F.max(F.col("flag") >= 4).alias("asked"))
         got = one.join(counts.where("n > 1 AND asked"), (F.col("gram") == F.col("g")) & (F.col("hash") == F.col("h")))
         return got.where("flag >= 4 OR NOT whole").select("chunk", "hash", "whole")
 
