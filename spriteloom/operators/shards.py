@@ -1,26 +1,87 @@
-"""Size-bounded shards: assignment in order, bucket by bucket."""
+"""Size-bounded shards: assignment in order, bucket by bucket.
+
+A shard is left when it holds ``limit`` bytes or more, so where one starts
+depends on all rows before it.  Still no task sees a whole bucket.  A bucket is
+cut into slices of ids.  What a slice does to the bytes that it is entered with
+is a step function: with more bytes held, the first shard ends at an earlier
+row, and from that row on everything is settled.  Each slice works out this
+function once, a short fold over the slices then says what every slice is
+entered with, and each slice assigns its own rows.
+"""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from spriteloom.operators.ordering import PART_ROWS, slices
+
 
+def slice_steps(sizes: np.ndarray, limit: int) -> list[tuple[int, int, int]]:
+    """(needs, shards, held), by falling ``needs``: a slice entered with at least ``needs`` bytes, and less than the
+    step before needs, begins ``shards`` shards and leaves ``held`` bytes.  Entered with less than every step needs,
+    it begins none and adds its bytes."""
+    n, upto = len(sizes), np.concatenate([[0], np.cumsum(sizes)])
+    follow = np.searchsorted(upto[:n], upto[:n] + limit)  # the row that begins the next shard, if one began here
+    begun, held = [0] * n, [0] * n
+    for k in range(n - 1, -1, -1):
+        j = follow[k]
+        begun[k], held[k] = (begun[j] + 1, held[j]) if j < n else (0, int(upto[n] - upto[k]))
+    steps: list[tuple[int, int, int]] = []
+    for j in range(n):
+        needs = max(0, limit - int(upto[j]))
+        if steps and steps[-1][1:] == (begun[j] + 1, held[j]):
+            steps[-1] = (needs, *steps[-1][1:])
+        elif not steps or needs < steps[-1][0]:
+            steps.append((needs, begun[j] + 1, held[j]))
+        if not needs:
+            break
+    return steps
 
-def assign_shards(rows: DataFrame, limit: int) -> DataFrame:
-    """(bucket, id, size, shard): a shard is left when it holds ``limit`` bytes or more.
 
-    The rule is a fold over each bucket in order of id; only ids and sizes pass
-    through it, never the payload.
+def assign_shards(rows: DataFrame, limit: int, part_rows: int | None = None) -> DataFrame:
+    """(bucket, id, size, shard) for rows with a whole-number ``id``; only ids and sizes move, never the payload.
+
+    By default a slice has the rows of some eight shards, and ``PART_ROWS`` at
+    least; the fold over a bucket's slices sees at most one shard's rows of each.
+    A null bucket is a bucket of its own; a null size counts as 0.
     """
+    sizes = rows.select("bucket", F.col("id").cast("long").alias("id"), F.coalesce("size", F.lit(0)).cast("long").alias("size"))
+    if part_rows is None:
+        mean = sizes.agg(F.avg("size")).first()[0] or 1
+        part_rows = max(PART_ROWS, math.ceil(8 * limit / mean))
+    sliced = slices(sizes, "id", part_rows)
+
+    def steps(key, frame):
+        got = slice_steps(frame.sort_values(["id", "size"])["size"].to_numpy(), limit)
+        return pd.DataFrame([(key[0], key[1], *s, int(frame["size"].sum())) for s in got], columns=["bucket", "slice", "needs", "begun", "held", "total"])
+
+    def enter(key, frame):
+        shard, held, out = 0, 0, []
+        for part, own in frame.sort_values(["slice", "needs"], ascending=[True, False]).groupby("slice"):
+            out.append((key[0], part, held, shard))
+            taken = own[own["needs"] <= held].head(1)
+            if len(taken):
+                shard, held = shard + int(taken["begun"].iloc[0]), int(taken["held"].iloc[0])
+            else:
+                held += int(own["total"].iloc[0])
+        return pd.DataFrame(out, columns=["in_bucket", "in_slice", "entered", "first_shard"])
 
-    def fold(frame):
-        frame = frame.sort_values("id", ignore_index=True)
-        shard, held, out = 0, 0, np.empty(len(frame), np.int64)
+    def assign(frame):
+        frame = frame.sort_values(["id", "size"], ignore_index=True)
+        shard, held, out = int(frame["first_shard"].iloc[0]), int(frame["entered"].iloc[0]), np.empty(len(frame), np.int64)
         for k, size in enumerate(frame["size"].tolist()):
             if held >= limit:
                 shard, held = shard + 1, 0
             held += size
             out[k] = shard
-        return frame.assign(shard=out)
+        return frame.assign(shard=out)[["bucket", "id", "size", "shard"]]
 
-    return rows.select("bucket", "id", "size").groupBy("bucket").applyInPandas(fold, "bucket string, id long, size long, shard long")
+    stepped = sliced.groupBy("bucket", "slice").applyInPandas(steps, "bucket string, slice int, needs long, begun long, held long, total long")
+    entered = stepped.groupBy("bucket").applyInPandas(enter, "in_bucket string, in_slice int, entered long, first_shard long")
+    joined = sliced.join(entered, sliced["bucket"].eqNullSafe(entered["in_bucket"]) & (F.col("slice") == F.col("in_slice")))
+    return joined.drop("in_bucket", "in_slice").groupBy("bucket", "slice").applyInPandas(assign, "bucket string, id long, size long, shard long")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from spriteloom.operators.annotate import annotate
 from spriteloom.operators.clean import clean_images
+from spriteloom.operators.ordering import numbered
 from spriteloom.operators.shards import assign_shards
 from spriteloom.plans.fragments import CTES, SELECTS
 from spriteloom.sources.codec import encode_png, expand_zips
@@ -116,15 +117,19 @@ def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_zips(rows).select("archive", "entry", "name", F.length("content").alias("n"))
 
 
+def batches(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """(vec_id, batch) in the order of ``key``, the last batch included."""
+    return numbered(rows, key).select("vec_id", F.floor(F.col("position") / size).cast("long").alias("batch"))
+
+
+def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batches(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id"), "vec_id", 16)
+
+
 def batch_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches of 16 in an order that a hash of the id decides, the last one included."""
+    """Batches of 16 in an order that a hash of the id decides."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.xxhash64("vec_id", F.lit(7)).alias("mix"))
-    part = F.pmod("mix", F.lit(64))
-    from pyspark.sql import Window
-
-    ranked = vectors.withColumn("part", part).withColumn("k", F.row_number().over(Window.partitionBy("part").orderBy("mix", "vec_id")))
-    first = ranked.groupBy("part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ranked.join(F.broadcast(first), "part").select("vec_id", F.floor((F.col("before") + F.col("k") - 1) / 16).alias("batch"))
+    return batches(vectors, "mix", 16)
 
 
 def timestep_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +143,7 @@ QUERIES = {name: sql_query(name) for name in SELECTS} | {
     "annotate": annotated,
     "webdataset_write": webdataset_write,
     "zip_expand": zip_expand,
+    "batch_assign": batch_assign,
     "batch_shuffle": batch_shuffle,
     "timestep_sample": timestep_sample,
 }

@@ -7,7 +7,8 @@ from hypothesis import strategies as st
 import __spark_entry__ as entry
 from spriteloom.operators.annotate import parse_answer
 from spriteloom.operators.clean import clean_image, pixel_scale
-from spriteloom.operators.shards import assign_shards
+from spriteloom.operators.ordering import numbered
+from spriteloom.operators.shards import assign_shards, slice_steps
 from spriteloom.operators.vq import quantize
 from spriteloom.plans.queries import ORACLES, QUERIES
 from spriteloom.sources.codec import decode_png, encode_png
@@ -71,6 +72,36 @@ def test_shards(spark):
     assert [r["shard"] for r in assign_shards(rows, 10).orderBy("id").collect()] == [0, 0, 1, 1, 1]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 12), min_size=1, max_size=40), st.integers(1, 30), st.integers(0, 40))
+def test_slice_steps(sizes, limit, entered):
+    shard, held = 0, entered
+    for size in sizes:
+        if held >= limit:
+            shard, held = shard + 1, 0
+        held += size
+    taken = [s for s in slice_steps(np.array(sizes), limit) if s[0] <= entered][:1]
+    assert (shard, held) == ((taken[0][1], taken[0][2]) if taken else (0, entered + sum(sizes)))
+
+
+def test_shards_and_positions_over_many_slices(spark):
+    rng = np.random.default_rng(5)
+    data = [(b, i * 3 - 500, int(rng.integers(0, 9)) if i % 50 else None) for i in range(600) for b in ("a", None)]
+    got = assign_shards(spark.createDataFrame(data, "bucket string, id long, size long"), 25, part_rows=40).collect()
+    for bucket in ("a", None):
+        shard, held, want = 0, 0, []
+        for _, i, size in sorted((str(b), i, s or 0) for b, i, s in data if b == bucket):
+            if held >= 25:
+                shard, held = shard + 1, 0
+            held += size
+            want.append((i, shard))
+        assert sorted((r["id"], r["shard"]) for r in got if r["bucket"] == bucket) == want
+    keys = [int(k) for k in rng.permutation(700)] + [None]
+    rows = numbered(spark.createDataFrame([(k,) for k in keys], "k long"), "k", part_rows=30).collect()
+    assert [r["k"] for r in sorted(rows, key=lambda r: r["position"])] == [None, *range(700)]
+    assert sorted(r["position"] for r in rows) == list(range(701))
+
+
 def test_bulk_quantizer_agrees_with_sql(spark):
     vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
     book = np.array([r["embedding"] for r in vectors.where("vec_id < 32").orderBy("vec_id").collect()])
