@@ -33,13 +33,13 @@ def slices(rows: DataFrame, key: str, part_rows: int = PART_ROWS) -> DataFrame:
     return rows.withColumn("slice", F.when(F.col(key).isNull(), 0).otherwise(slice_of(F.coalesce(F.col(key), F.lit(0)))))
 
 
-def numbered(rows: DataFrame, key: str, into: str = "position", part_rows: int = PART_ROWS) -> DataFrame:
-    """Adds the row's position, from 0, in the order of the whole number ``key``; ties in any order.
+def numbered(rows: DataFrame, key: str, into: str = "position", part_rows: int = PART_ROWS, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Adds the row's position, from 0, in the order of the whole number ``key``; ties by the columns ``ties``, then in any order.
 
     Each slice is numbered by itself; the only thing ordered as a whole is one count a slice.
     """
     sliced = slices(rows, key, part_rows)
-    ranked = sliced.withColumn("__nth", F.row_number().over(Window.partitionBy("slice").orderBy(key)))
+    ranked = sliced.withColumn("__nth", F.row_number().over(Window.partitionBy("slice").orderBy(key, *ties)))
     sizes = sliced.groupBy("slice").agg(F.count("*").alias("n"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     firsts = sizes.select("slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
