@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from spriteloom.operators.annotate import annotate
 from spriteloom.operators.clean import clean_images
+from spriteloom.operators.crawl import absolute, links
 from spriteloom.operators.ordering import numbered
 from spriteloom.operators.shards import assign_shards
 from spriteloom.plans.fragments import CTES, SELECTS
@@ -132,6 +133,20 @@ def batch_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches(vectors, "mix", 16)
 
 
+def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``href_extract`` by an HTML parser, as the crawler does it."""
+    return links(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html"))
+
+
+def html_nav_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html"), tag="nav")
+
+
+def html_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = links(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    return found.where(F.col("href").startswith("/")).select("page_id", "pos", absolute("url", "href").alias("target"))
+
+
 def timestep_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.pmod(F.xxhash64("vec_id", F.lit(11)), F.lit(1000)).alias("t"))
 
@@ -143,6 +158,9 @@ QUERIES = {name: sql_query(name) for name in SELECTS} | {
     "annotate": annotated,
     "webdataset_write": webdataset_write,
     "zip_expand": zip_expand,
+    "html_links": html_links,
+    "html_nav_links": html_nav_links,
+    "html_targets": html_targets,
     "batch_assign": batch_assign,
     "batch_shuffle": batch_shuffle,
     "timestep_sample": timestep_sample,
@@ -160,6 +178,9 @@ f AS (
 """
 
 ORACLES = {name: compose(name, "duck") for name in SELECTS} | {
+    "html_links": compose("href_extract", "duck"),
+    "html_nav_links": compose("css_descendant", "duck"),
+    "html_targets": compose("urljoin_abs", "duck"),
     "shard_assign": _FOLD + "SELECT bucket, id, size, shard FROM f",
     "shard_manifest": _FOLD + "SELECT bucket, shard, CAST(sum(size) AS BIGINT) AS bytes, count(*) AS n FROM f GROUP BY bucket, shard",
 }
