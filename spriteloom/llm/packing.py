@@ -162,7 +162,7 @@ def pack(pieces: DataFrame, capacity: int, bucket_rows: int = 10_000) -> DataFra
     plan = places(bin_patterns(counts, capacity))
     order = plan[:, 0] << 44 | plan[:, 1] if len(plan) else np.zeros(0, np.int64)
 
-    rows = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_buckets)))
+    rows = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n_buckets)))
     per_bucket = rows.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     firsts = per_bucket.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_rank"))
