@@ -2,7 +2,8 @@
 
 Each stage works on all that the one before kept, and is written and read again
 in between.  All but the last return the columns of ``documents``.  Documents
-are known by ``doc_id``; rows that repeat an id and text are one document.
+are known by ``doc_id`` and text, so that rows without an id, and rows that share
+an id, are documents of their own; rows that repeat both are one document.
 """
 
 from __future__ import annotations
@@ -10,40 +11,50 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spriteloom.llm.common import cut
-from spriteloom.llm.exact_dedup import exact_dedup
+from spriteloom.llm.common import cut, text_or_empty
+from spriteloom.llm.exact_dedup import exact_dedup, plain_sha256
 from spriteloom.llm.packing import pack_documents
 from spriteloom.llm.pii import redact
 from spriteloom.llm.quality import quality_rules
 from spriteloom.llm.simhash import simhash_dedup
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is in ``ids`` (doc_id), null ids included."""
-    wanted = ids.select(F.col("doc_id").alias("wanted_id")).distinct()
-    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["wanted_id"]), "left_semi")
+def _text_key() -> Column:
+    """SHA-256 of the text; a null text counts as empty."""
+    return F.unhex(F.sha2(text_or_empty().cast("binary"), 256))
+
+
+def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose id and key (``__key``) are in ``wanted`` (doc_id, key), null ids included; the key stays."""
+    wanted = wanted.select(F.col("doc_id").alias("wanted_id"), F.col("key").alias("wanted_key")).distinct()
+    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["wanted_id"]) & (docs["__key"] == wanted["wanted_key"]), "left_semi")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go; the others stay as they are."""
-    return _only(docs, quality_rules(docs).where("kept"))
+    host = F.coalesce(F.concat(F.lit("s"), F.length("source").cast("string"), F.lit(":"), "source"), F.lit("n"))  # verdicts differ by host
+    keyed = docs.withColumn("__key", F.unhex(F.sha2(F.concat(host, text_or_empty()).cast("binary"), 256)))
+    return _only(keyed, quality_rules(keyed, key_col="__key").where("kept")).drop("__key")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts one stays; so does one of rows that repeat."""
-    judged = exact_dedup(docs)
-    kept = judged.where("kept").select("doc_id", "text_sha256")
-    once = cut(_only(docs, kept).withColumn("__row", F.monotonically_increasing_id()))
-    first = once.groupBy("doc_id").agg(F.min("__row").alias("first_row")).select("first_row")
-    return once.join(first, F.col("__row") == F.col("first_row"), "left_semi").drop("__row")
+    """Of documents with equal texts one stays, the one that exact_dedup keeps; so does one of rows that repeat."""
+    kept = exact_dedup(docs).where("kept").select("doc_id", F.col("text_sha256").alias("key"))
+    same = cut(_only(docs.withColumn("__key", plain_sha256("text")), kept).withColumn("__row", F.monotonically_increasing_id()))
+    best = same.groupBy("__key").agg(F.min(F.struct(-F.length(text_or_empty()), "__row")).alias("best"))
+    first = best.select(F.col("best.__row").alias("first_row"))
+    return same.join(first, F.col("__row") == F.col("first_row"), "left_semi").drop("__key", "__row")
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the smallest id stays."""
-    return _only(docs, simhash_dedup(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """Of each component of near copies the document with the smallest id stays, of several with that id (or of none with any) one."""
+    keyed = docs.withColumn("__key", _text_key())
+    smallest = simhash_dedup(keyed, key_col="__key").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    one = smallest.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("one")).select("one.doc_id", "one.key")
+    return _only(keyed, one).drop("__key")
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

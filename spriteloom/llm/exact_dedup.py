@@ -21,7 +21,7 @@ import math
 import struct
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, text_or_empty
@@ -38,15 +38,23 @@ _ENTRY = struct.Struct("<qqqq")
 _KEY = 40
 
 
+def plain_text(text_col: str) -> Column:
+    return F.regexp_replace(text_or_empty(text_col), BLANKS, "")
+
+
+def plain_sha256(text_col: str) -> Column:
+    """The digest by which texts are compared, as in ``text_sha256``."""
+    return F.sha2(plain_text(text_col).cast("binary"), 256)
+
+
 def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One narrow row per document: id, row number, code points and verified digest."""
-    plain = F.regexp_replace(text_or_empty(text_col), BLANKS, "")
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.monotonically_increasing_id().alias("row_no"),
         F.length(text_or_empty(text_col)).cast("long").alias("n_points"),
-        F.unhex(F.sha2(plain.cast("binary"), 256)).alias("digest"),
-        F.octet_length(plain).cast("long").alias("n_plain"),
+        F.unhex(plain_sha256(text_col)).alias("digest"),
+        F.octet_length(plain_text(text_col)).cast("long").alias("n_plain"),
     )
 
 

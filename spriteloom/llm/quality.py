@@ -64,16 +64,16 @@ def line_hash(line: bytes) -> tuple[int, int]:
 
 def _scan(max_line_words: int):
     lines_type = pa.list_(pa.struct([("h", pa.int64()), ("w", pa.int32()), ("n", pa.int32())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("host", pa.string()), ("text_hash", pa.int64()), *((n, pa.int64()) for n in _STATS), ("lines", lines_type)])
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("host", pa.string()), ("text_hash", pa.int64()), *((n, pa.int64()) for n in _STATS), ("lines", lines_type)])
 
     def scan(batches):
         for batch in batches:
             out = []
-            for doc_id, host, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, key, host, text in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode()
                 found = Counter(line_hash(line) for line in data.split(b"\n"))
                 lines = [{"h": h, "w": w, "n": n} for (h, w), n in found.items() if 0 < w <= max_line_words]
-                out.append((doc_id, host, xxhash.xxh64_intdigest(data) - (1 << 63), *text_stats(text), lines))
+                out.append((doc_id, key, host, xxhash.xxh64_intdigest(data) - (1 << 63), *text_stats(text), lines))
             columns = zip(*out) if out else [[]] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -96,14 +96,16 @@ def quality_rules(
     min_docs: int = MIN_DOCS,
     min_share: float = MIN_SHARE,
     min_left: float = MIN_LEFT,
+    key_col: str | None = None,
 ) -> DataFrame:
-    """One row per document: its statistics, base_failed, n_boilerplate_words and kept.
+    """One row per document: its statistics, base_failed, n_boilerplate_words and kept; with ``key_col`` also key (that binary column).
 
     The scan's result (some numbers a document and a hash a short line) is cut
     into the shared folder; texts are read once and never shuffled.
     """
-    schema = "doc_id long, host string, text_hash long, " + ", ".join(f"{n} long" for n in _STATS) + ", lines array<struct<h:long,w:int,n:int>>"
-    wanted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("host"), text_or_empty().alias("text"))
+    schema = "doc_id long, key binary, host string, text_hash long, " + ", ".join(f"{n} long" for n in _STATS) + ", lines array<struct<h:long,w:int,n:int>>"
+    key = (F.col(key_col) if key_col else F.lit(None)).cast("binary").alias("key")
+    wanted = docs.select(F.col(id_col).cast("long").alias("doc_id"), key, F.col(host_col).cast("string").alias("host"), text_or_empty().alias("text"))
     rows = cut(wanted.mapInArrow(_scan(max_line_words), schema).withColumn("row_no", F.monotonically_increasing_id()))
     lines = rows.select("row_no", "host", "text_hash", F.explode("lines").alias("line")).select("row_no", "host", "text_hash", "line.*")
     bad = boilerplate(lines, rows, min_docs, min_share).withColumnsRenamed({"host": "bad_host", "h": "bad_h"})
@@ -118,6 +120,7 @@ def quality_rules(
         failed.alias("base_failed"),
         (~failed & (F.col("n_words") - lost_words >= F.col("n_words") * min_left)).alias("kept"),
         lost_words.alias("n_boilerplate_words"),
+        *(["key"] if key_col else []),
     )
 
 

@@ -54,15 +54,16 @@ def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id and fp (the unsigned value as a signed long), one row per document."""
+def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED, key_col: str | None = None) -> DataFrame:
+    """doc_id, fp (the unsigned value as a signed long) and key (the binary column ``key_col``, or null), one row per document."""
 
     def rows(batches):
         for batch in batches:
-            values = np.array([fingerprint(t, width, seed) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["doc_id", "fp"])
+            values = np.array([fingerprint(t, width, seed) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values), batch.column(1)], names=["doc_id", "fp", "key"])
 
-    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(rows, "doc_id long, fp long")
+    key = F.col(key_col) if key_col else F.lit(None)
+    return docs.select(F.col("doc_id").cast("long"), key.cast("binary").alias("key"), text_or_empty().alias("text")).mapInArrow(rows, "doc_id long, fp long, key binary")
 
 
 def _tile(key, rows):
@@ -129,14 +130,19 @@ def near_links(values: DataFrame, radius: int = RADIUS, tile: int = TILE, block:
     return pairs.mapInArrow(compare, "a long, b long")
 
 
-def simhash_dedup(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, seed: int = SEED, tile: int = TILE) -> DataFrame:
-    """One row per document: doc_id, fingerprint, component_id."""
-    prints = cut(fingerprints(docs, width, seed))
+def simhash_dedup(
+    docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, seed: int = SEED, tile: int = TILE, key_col: str | None = None
+) -> DataFrame:
+    """One row per document: doc_id, fingerprint, component_id; with ``key_col`` also key (that column) and root.
+
+    ``root`` tells components apart whose ids are the same or all null.
+    """
+    prints = cut(fingerprints(docs, width, seed, key_col))
     values = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = components(near_links(values.select("fp"), radius, tile))
     grouped = values.join(roots, values["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = grouped.groupBy(F.col("root").alias("of_root")).agg(F.min("first_id").alias("component_id"))
-    named = grouped.join(smallest, F.col("root") == F.col("of_root")).select(F.col("fp").alias("of_fp"), "component_id")
+    named = grouped.join(smallest, F.col("root") == F.col("of_root")).select(F.col("fp").alias("of_fp"), "component_id", "root")
     return prints.join(named, prints["fp"] == named["of_fp"]).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *(["key", "root"] if key_col else [])
     )

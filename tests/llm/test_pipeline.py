@@ -51,3 +51,31 @@ def test_edge_cases(spark, edge):
 def test_repeated_rows_and_null_ids(spark, edge):
     kept = corpus_pipeline.exact_stage(spark, edge, DATA).collect()
     assert len(kept) == len({re.sub(r"[\x20\x09-\x0D]", "", r["text"] or "") for r in edge.collect()}) or len({r["doc_id"] for r in kept}) == len(kept)
+
+
+def test_documents_are_known_by_id_and_text(spark):
+    def words(name):
+        return " ".join(f"{name}{k}" for k in range(60))
+
+    same = [(1, words("a")), (2, words("a").replace(" ", "  ")), (None, words("a")), (None, words("lonely")), (None, words("other")), (2, words("of two")), (2, words("of two"))]
+    same += [(2, words("of two").replace(" ", "\t")), (2, words("of two ").replace(" ", "  ")), (3, words("z")), (None, None), (4, ""), (None, words("lonely"))]
+    rows = [(*r, "h") for r in same] + [(3, "too short", "h"), (None, "short", None), (5, words("a"), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    best = {}
+    for d, t, _ in rows:
+        key, t = re.sub(r"[\x20\x09-\x0D]", "", t or ""), t or ""
+        rank = (-len(t), d is None, d or 0)
+        best[key] = min(best.get(key, (rank, d)), (rank, d), key=lambda x: x[0])
+    kept = corpus_pipeline.exact_stage(spark, docs, DATA).collect()
+    assert sorted((re.sub(r"[\x20\x09-\x0D]", "", r["text"] or ""), str(r["doc_id"]), len(r["text"] or "")) for r in kept) == sorted(
+        (key, str(d), -rank[0]) for key, (rank, d) in best.items()
+    )
+    good = corpus_pipeline.quality_stage(spark, docs, DATA).collect()
+    assert sorted(map(str, good)) == sorted(str(r) for r in docs.collect() if len((r["text"] or "").split()) >= 50)
+    near = corpus_pipeline.near_stage(spark, corpus_pipeline.exact_stage(spark, docs, DATA).cache(), DATA).collect()
+    prints = {r["text"] or "": r["doc_id"] for r in kept}
+    groups = brute_prints_components({t: t for t in prints})
+    want = {}
+    for t, c in groups.items():
+        want[c] = min(want.get(c, (True, 0)), (prints[t] is None, prints[t] or 0))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in near) == sorted(want.values())
