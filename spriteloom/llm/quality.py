@@ -1,16 +1,17 @@
 """Quality rules: document statistics and cross-document line frequency.
 
 One pass over the texts yields each document's statistics and the hashes of its
-short lines, normalised (A-Z lower-cased, digits as 0, blanks collapsed).
+lines, normalised (A-Z lower-cased, digits as 0, blanks collapsed).
 Distinct texts are counted per host and line, with partial sums before the
 shuffle.  A line is boilerplate on its host when it stands in more than
 ``min_docs`` and more than ``min_share`` of the host's distinct texts.  A
 document that loses so many words with its boilerplate lines that less than
 ``min_left`` of them remain is depleted and rejected.
 
-Texts that are exact copies count as one, and only lines of up to
-``max_line_words`` words can be boilerplate: paragraphs that recur are copied
-prose, which the deduplication operators deal with.
+Texts that are exact copies count as one.  By default, as in ``OP7_SQL``, only
+lines of up to ``max_line_words`` words can be boilerplate; None counts lines of
+every length, and a ``min_share`` of 0 keeps the document limit from rising with
+the host.  README says what each limit spares.
 
 Cases: a null text counts as empty and fails the base rules; a null host is a
 host of its own; repeated rows are judged alike; extra columns are ignored.
@@ -62,7 +63,7 @@ def line_hash(line: bytes) -> tuple[int, int]:
     return xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63), len(words)
 
 
-def _scan(max_line_words: int):
+def _scan(max_line_words: int | None):
     lines_type = pa.list_(pa.struct([("h", pa.int64()), ("w", pa.int32()), ("n", pa.int32())]))
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("host", pa.string()), ("text_hash", pa.int64()), *((n, pa.int64()) for n in _STATS), ("lines", lines_type)])
 
@@ -72,7 +73,7 @@ def _scan(max_line_words: int):
             for doc_id, key, host, text in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode()
                 found = Counter(line_hash(line) for line in data.split(b"\n"))
-                lines = [{"h": h, "w": w, "n": n} for (h, w), n in found.items() if 0 < w <= max_line_words]
+                lines = [{"h": h, "w": w, "n": n} for (h, w), n in found.items() if 0 < w and (max_line_words is None or w <= max_line_words)]
                 out.append((doc_id, key, host, xxhash.xxh64_intdigest(data) - (1 << 63), *text_stats(text), lines))
             columns = zip(*out) if out else [[]] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -92,7 +93,7 @@ def quality_rules(
     docs: DataFrame,
     id_col: str = "doc_id",
     host_col: str = "source",
-    max_line_words: int = MAX_LINE_WORDS,
+    max_line_words: int | None = MAX_LINE_WORDS,
     min_docs: int = MIN_DOCS,
     min_share: float = MIN_SHARE,
     min_left: float = MIN_LEFT,
@@ -100,7 +101,7 @@ def quality_rules(
 ) -> DataFrame:
     """One row per document: its statistics, base_failed, n_boilerplate_words and kept; with ``key_col`` also key (that binary column).
 
-    The scan's result (some numbers a document and a hash a short line) is cut
+    The scan's result (some numbers a document and a hash a line) is cut
     into the shared folder; texts are read once and never shuffled.
     """
     schema = "doc_id long, key binary, host string, text_hash long, " + ", ".join(f"{n} long" for n in _STATS) + ", lines array<struct<h:long,w:int,n:int>>"
@@ -134,7 +135,9 @@ def without_boilerplate(docs: DataFrame, host_col: str = "source", **limits) ->
     rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()))
     every = rows.select("__row", F.col(host_col).alias("host"), F.xxhash64(text_or_empty()).alias("text_hash"), F.posexplode(F.split(text_or_empty(), "\n", -1)).alias("at", "line"))
     every = every.withColumn("h", F.xxhash64(norm)).withColumn("w", F.when(norm == "", 0).otherwise(F.size(F.split(norm, " "))))
-    short = every.where((F.col("w") > 0) & (F.col("w") <= limits["max_line_words"]))
+    short = every.where("w > 0")
+    if limits["max_line_words"] is not None:
+        short = short.where(F.col("w") <= limits["max_line_words"])
     bad = boilerplate(short, every, limits["min_docs"], limits["min_share"]).withColumnsRenamed({"host": "bad_host", "h": "bad_h"})
     is_bad = (short["h"] == bad["bad_h"]) & short["host"].eqNullSafe(bad["bad_host"])
     gone = short.join(bad, is_bad).groupBy(F.col("__row").alias("gone_row")).agg(F.collect_set("at").alias("__gone"))

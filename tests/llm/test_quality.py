@@ -49,3 +49,14 @@ def test_depleted_documents_go_and_copies_stay(spark):
     assert clean[3] == "own text 3"
     assert clean[300] == dict((r[0], r[1]) for r in rows)[300]
     assert clean[100].startswith("w0x0 own")
+
+
+def test_long_lines_and_hot_hosts_count_without_the_limits(spark):
+    notice = " ".join(f"notice{k}" for k in range(60))
+    rows = [(i, f"{notice}\nown text {i}", "h") for i in range(11)] + [(100 + i, "text " + "".join("abcdefghij"[int(k)] for k in str(i)), "h") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    every = {"max_line_words": None, "min_share": 0}
+    lost = {r["doc_id"]: r["n_boilerplate_words"] for r in quality_rules(df, **every).collect()}
+    assert all(lost[i] == (60 if i < 11 else 0) for i in lost)
+    assert {r["doc_id"]: r["text"] for r in without_boilerplate(df, **every).collect()}[3] == "own text 3"
+    assert not any(r["n_boilerplate_words"] for r in quality_rules(df).collect() if r["doc_id"] < 100)
