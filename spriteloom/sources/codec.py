@@ -50,8 +50,34 @@ def _unfilter(data: bytes, height: int, stride: int, step: int) -> np.ndarray:
     return out
 
 
+#: First column, first row, column step and row step of each pass of an interlaced image.
+_ADAM7 = [(0, 0, 8, 8), (4, 0, 8, 8), (0, 4, 4, 8), (2, 0, 4, 4), (0, 2, 2, 4), (1, 0, 2, 2), (0, 1, 1, 2)]
+
+
+def _samples(data: bytes, w: int, h: int, depth: int, channels: int) -> np.ndarray:
+    """Samples (h, w, channels) of one pass, as they are stored: not scaled to 8 bits."""
+    stride = (w * channels * depth + 7) // 8
+    lines = _unfilter(data, h, stride, max(1, channels * depth // 8))
+    if depth == 16:
+        return lines.view(">u2").astype(np.uint16).reshape(h, w, channels)
+    if depth < 8:
+        bits = np.unpackbits(lines, axis=1)[:, : w * channels * depth].reshape(h, w * channels, depth)
+        lines = bits @ (1 << np.arange(depth - 1, -1, -1)).astype(np.uint8)
+    return lines.reshape(h, w, channels)
+
+
+def _interlaced(data: bytes, w: int, h: int, depth: int, channels: int) -> np.ndarray:
+    px, at = np.zeros((h, w, channels), np.uint16 if depth == 16 else np.uint8), 0
+    for x, y, dx, dy in _ADAM7:
+        own_w, own_h = (w - x + dx - 1) // dx, (h - y + dy - 1) // dy
+        if own_w > 0 and own_h > 0:  # an empty pass has no bytes
+            px[y::dy, x::dx] = _samples(data[at:], own_w, own_h, depth, channels)
+            at += own_h * ((own_w * channels * depth + 7) // 8 + 1)
+    return px
+
+
 def decode_png(data: bytes) -> np.ndarray | None:
-    """RGBA array of a PNG (8 or 16 bit, grey, RGB, palette, with or without alpha); None if it can't be read."""
+    """RGBA array of a PNG (any depth, colour type, transparent colour and interlacing of the format); None if it can't be read."""
     try:
         if data[:8] != _SIGNATURE:
             return None
@@ -68,19 +94,20 @@ def decode_png(data: bytes) -> np.ndarray | None:
             elif kind == b"IDAT":
                 body += part
             at += 12 + n
-        if depth not in (8, 16) or interlaced:
+        if depth not in (1, 2, 4, 8, 16) or interlaced > 1:
             return None
-        size = depth // 8
-        step = _CHANNELS[color] * size
-        px = _unfilter(zlib.decompress(body), h, w * step, step).reshape(h, w, _CHANNELS[color], size)[..., 0]
-        alpha = np.full((h, w, 1), 255, np.uint8)
+        px = (_interlaced if interlaced else _samples)(zlib.decompress(body), w, h, depth, _CHANNELS[color])
         if color == 3:
             table = np.concatenate([palette, np.full((len(palette), 1), 255, np.uint8)], axis=1)
-            table[: len(clear), 3] = np.frombuffer(clear, np.uint8)
+            table[: len(clear), 3] = np.frombuffer(clear, np.uint8)[: len(table)]
             return table[px[..., 0]]
+        alpha = np.full((h, w, 1), 255, np.uint8)
+        if color in (0, 2) and len(clear) >= 2 * px.shape[2]:  # compared at full depth
+            alpha[(px == np.frombuffer(clear, ">u2", px.shape[2])).all(axis=2)] = 0
+        px = (px >> 8).astype(np.uint8) if depth == 16 else px * (255 // ((1 << depth) - 1)) if color == 0 else px
         grey = color in (0, 4)
         rgb = np.repeat(px[..., :1], 3, axis=2) if grey else px[..., :3]
-        return np.concatenate([rgb, px[..., -1:] if color in (4, 6) else alpha], axis=2)
+        return np.concatenate([rgb, px[..., -1:] if color in (4, 6) else alpha], axis=2).astype(np.uint8)
     except (struct.error, zlib.error, ValueError, IndexError, KeyError, UnboundLocalError, TypeError):
         return None
 

@@ -1,3 +1,6 @@
+import struct
+import zlib
+
 import duckdb
 import numpy as np
 import pytest
@@ -131,3 +134,47 @@ def test_stream_sees_each_file_once(spark, tmp_path):
         (tmp_path / "in" / f"{name}.png").write_bytes(encode_png(np.random.default_rng(1).integers(0, 9, (6, 6, 4)).astype(np.uint8)))
         clean_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     assert sorted(r["name"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a.png", "b.png"]
+
+
+def stored_png(px, depth, color, interlaced, clear=b"", palette=None):
+    """A PNG of samples (h, w, channels); lines are filtered by none, left and above in turn."""
+    h, w, channels = px.shape
+    step, body = max(1, channels * depth // 8), b""
+    for x, y, dx, dy in [(0, 0, 8, 8), (4, 0, 8, 8), (0, 4, 4, 8), (2, 0, 4, 4), (0, 2, 2, 4), (1, 0, 2, 2), (0, 1, 1, 2)] if interlaced else [(0, 0, 1, 1)]:
+        above = None
+        for k, row in enumerate(px[y::dy, x::dx] if px[y::dy, x::dx].size else []):
+            bits = "".join(f"{v:0{depth}b}" for v in row.ravel().tolist())
+            line = bytes(int(bits[i : i + 8].ljust(8, "0"), 2) for i in range(0, len(bits), 8))
+            before = [bytes(len(line)), bytes(step) + line, above or bytes(len(line))][k % 3]
+            body += bytes([k % 3]) + bytes((a - b) & 255 for a, b in zip(line, before))
+            above = line
+
+    def chunk(kind, data):
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    parts = [(b"IHDR", struct.pack(">IIBBBBB", w, h, depth, color, 0, 0, interlaced)), (b"PLTE", palette), (b"tRNS", clear), (b"IDAT", zlib.compress(body)), (b"IEND", b"")]
+    return b"\x89PNG\r\n\x1a\n" + b"".join(chunk(k, d) for k, d in parts if d or k in (b"IDAT", b"IEND"))
+
+
+@pytest.mark.parametrize("interlaced", [0, 1])
+def test_decode_every_kind_of_png(interlaced):
+    rng = np.random.default_rng(7)
+    for color, channels, depths in [(0, 1, (1, 2, 4, 8, 16)), (2, 3, (8, 16)), (3, 1, (1, 2, 4, 8)), (4, 2, (8, 16)), (6, 4, (8, 16))]:
+        for depth in depths:
+            for h, w in [(1, 1), (3, 2), (5, 9), (10, 17)]:
+                px = rng.integers(0, 1 << depth, (h, w, channels))
+                want, clear, palette = np.full((h, w, 4), 255), b"", None
+                if color == 3:
+                    table = rng.integers(0, 256, (1 << depth, 4))
+                    palette, clear, want = table[:, :3].astype(np.uint8).tobytes(), table[:, 3].astype(np.uint8).tobytes(), table[px[..., 0]]
+                else:
+                    top = (1 << depth) - 1
+                    scaled = px // 256 if depth == 16 else px * 255 // top
+                    want[..., :3] = scaled[..., :3] if color in (2, 6) else scaled[..., :1]
+                    if color in (4, 6):
+                        want[..., 3] = scaled[..., -1]
+                    else:
+                        clear = px[0, 0].astype(">u2").tobytes()
+                        want[..., 3] = np.where((px == px[0, 0]).all(axis=2), 0, 255)
+                got = decode_png(stored_png(px, depth, color, interlaced, clear, palette))
+                assert got is not None and got.dtype == np.uint8 and (got == want).all(), (color, depth, h, w)
