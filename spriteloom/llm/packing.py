@@ -17,6 +17,7 @@ shorter; repeated rows are packed once each; an empty table gives no rows.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from array import array
 
@@ -36,14 +37,23 @@ class ChunkEncoder:
     """Ids by the tokenizers library, packed as little-endian 32-bit words.
 
     They are kept by chunk and by match of the tokenizer's pattern, so the
-    library's merges run once for a match that comes again.
+    library's merges run once for a match that comes again.  As in the library's
+    ``encode(text, add_special_tokens=False)``, an added token that stands in the
+    text is one id and splits the text.
     """
 
     def __init__(self, path: str, pattern: str):
         import regex
         from tokenizers import Tokenizer
 
-        self.merge = Tokenizer.from_file(path).model.tokenize
+        tokenizer = Tokenizer.from_file(path)
+        self.merge = tokenizer.model.tokenize
+        tokens = tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in tokens.values()):
+            raise ValueError("added tokens that depend on what stands around them are not supported")
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in tokens.items()}
+        longest_first = sorted(map(re.escape, self.added), key=len, reverse=True)
+        self.split_added = re.compile(f"({'|'.join(longest_first)})").split if self.added else None
         self.split = regex.compile(pattern).findall
         self.letters = _byte_letters()
         self.by_piece = chunks.Memory(self._piece, chunks.KEEP_CHUNKS)
@@ -59,6 +69,11 @@ class ChunkEncoder:
     def encode(self, text: str) -> bytes:
         self.by_chunk.turn()
         self.by_piece.turn()
+        if any(token in text for token in self.added):
+            return b"".join([self.added[part] if k % 2 else self._plain(part) for k, part in enumerate(self.split_added(text))])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         return b"".join(map(self.by_chunk.__getitem__, chunks.find_chunks(text)))
 
 

@@ -85,3 +85,9 @@ def test_patterns_use_every_piece_once(histogram):
 @given(st.text(st.sampled_from("ab tH\n\t\u00a0'sll1\u00e92\u00b2!-\u3000\u0085\x1c\U0001f600"), max_size=40))
 def test_chunks_keep_the_tokenizers_ids(text):
     assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_texts_are_one_id():
+    library = Tokenizer.from_file(PATH)
+    for text in ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>\n y", "<|endoftext| >", "<|endoftext|", " <|endoftext|>  ", ""]:
+        assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
