@@ -8,8 +8,8 @@ are alike, so a partial aggregation counts them by pattern: a few hundred rows
 at any size of input.  Over these counts expectation-maximisation estimates the
 labelers' reliabilities, and a logistic span classifier is trained on its
 posteriors; the weights go back into the plan as literals.  Verified email, ip,
-card and phone spans always stay; other candidates stay if the classifier says
-so.
+card and phone spans always stay, and candidates of these kinds that fail their
+test never do; secret and ssn candidates stay if the classifier says so.
 
 Cases: a null text counts as empty and has no spans; positions are code points;
 quantifiers never give back what they took and starts are anchored at the start
