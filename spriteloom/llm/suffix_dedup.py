@@ -5,16 +5,21 @@ gram of it, by a hash, is the string's anchor.  Equal strings have equal
 anchors at equal places, so only suffixes at anchors need to meet, one in some
 hundred and eighty.
 
+Words are treated likewise, each as one byte of its hash, so that passages of
+over 50 words (strings of WORDS words) are found by the same steps even where
+they take less than LENGTH bytes.
+
 1. Each partition packs its rows into chunks, with their anchors, once.  The
    chunks become a table bucketed by chunk in the shared checkpoint folder, so
    that later steps send the chunks messages and never move texts again.
    Grams that are found once are done with.
 2. For each other anchor a chunk takes the suffix that starts where the first
    of the anchor's strings starts and ends with the last of them.  It sorts
-   these into front-coded runs, one for each bucket of their first LENGTH
-   bytes, and the runs of a bucket are merged by a loser tree that keeps every
-   head's common prefix with the last output and so never compares a known
-   prefix again.  The common prefix of neighbours says how many of a suffix's
+   these and cuts them at splitters, quantiles of a sample of all suffixes, into
+   front-coded runs.  The runs of a range are merged by a loser tree that keeps
+   every head's common prefix with the last output and so never compares a known
+   prefix again; ranges one after the other are one sorted order of all
+   suffixes.  The common prefix of neighbours says how many of a suffix's
    strings are repeated.
 3. What this leaves open (after an edit inside a suffix) is counted by 128 bits
    of hashes, together with all distinct suffixes of the same gram: first the
@@ -26,14 +31,17 @@ hundred and eighty.
 4. Chunks mark the repeated strings and cut the bytes that these cover.
 
 Equal suffixes, and more than two suffixes of a chunk that start with the same
-LENGTH bytes, collapse before the exchange; what they leave open is settled in
+string, collapse before the exchange; what they leave open is settled in
 step 3.
 
 Cases: a null text counts as empty; texts shorter than LENGTH keep all bytes;
 rows that repeat id and text repeat each other's strings like any two rows; a
-text of any length is handled in pieces; extra columns are ignored.  The input
-must give a partition's rows in the same order when it is read again, as files
-do.
+text of any length is handled in pieces, and a long run of one byte or of a few
+costs one suffix for each turn of it, not one for each byte; extra columns are
+ignored.  The input must give a partition's rows in the same order when it is
+read again, as files do.  Two different passages of WORDS words are taken for
+equal by chance once in 256 if they differ in one word; bytes are only removed
+by LENGTH.  The table of chunks is dropped when the result is written.
 """
 
 from __future__ import annotations
@@ -54,8 +62,14 @@ from pyspark.sql import functions as F
 from .common import cut, shared_folder, text_or_empty
 
 LENGTH, GRAM = 400, 32
+#: The same for words: a passage has over 50.
+WORDS, WORD_GRAM = 51, 8
 #: Neighbouring strings of an anchor that are first counted together.
 STEP = 20
+#: Ranges of sorted suffixes at most (the driver sees their bounds); beyond it each is dealt out by a hash of a suffix's first string.
+MAX_RANGES = 4_096
+#: One gram in so many gives a suffix for the sample that bounds the ranges.
+SAMPLED = 16
 #: Bytes of text in a bucket of chunks, about, and the most buckets.
 BUCKET_BYTES, MAX_BUCKETS = 100_000_000, 100_000
 #: Bytes of text in a chunk, about, and in a piece of a text at most.
@@ -74,6 +88,12 @@ _BASE = 0x9E3779B97F4A7C15
 _SIZE = PIECE_BYTES + (1 << 16)
 _POW, _INV = _powers(_BASE, _SIZE), _powers(pow(_BASE, -1, 1 << 64), _SIZE)
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=_U)
+_INK = np.ones(256, bool)
+_INK[[9, 10, 11, 12, 13, 32]] = False
+_LETTER = np.where(_INK, np.random.default_rng(12).integers(1, 1 << 32, 256, dtype=np.uint32), np.uint32(0))
+_PLACE = np.random.default_rng(13).integers(0, 1 << 31, 1024, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+#: Stands before a suffix of words; no text holds this byte.
+_MARK = b"\xff"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -82,13 +102,28 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
+def symbols(texts: list[bytes]) -> list[bytes]:
+    """Each text with one byte of a hash for each of its words."""
+    raw = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
+    ink, at = _INK[raw], np.arange(len(raw), dtype=np.int32)
+    begins = np.zeros(len(raw), bool)
+    begins[1:] = ink[1:] & ~ink[:-1]
+    starts = np.flatnonzero(begins)
+    place = at - np.maximum.accumulate(np.where(begins, at, np.int32(0)))
+    words = np.add.reduceat(_LETTER[raw] * _PLACE[place & 1023], starts) if len(starts) else np.zeros(0, np.uint32)
+    words = (words ^ (words >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+    marks = ((words ^ (words >> np.uint32(13))) >> np.uint32(24)).astype(np.uint8).tobytes()
+    ends = np.searchsorted(starts, np.cumsum([1, *(len(t) + 1 for t in texts)])).tolist()
+    return [marks[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def _anchors(data: bytes, sums: np.ndarray, stops: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first string, last string, place, gram) of each anchor of some texts laid end to end."""
     size, width = len(data), length - gram + 1
     n = size - length + 1
     if n <= 0:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, _U),)
-    grams = _mixed((sums[gram:] - sums[: size - gram + 1]) * _INV[: size - gram + 1])
+    grams = _mixed(((sums[gram:] - sums[: size - gram + 1]) * _INV[: size - gram + 1]) ^ _U(length << 20 | gram))
     keys = (grams & ~_LOW) | np.arange(len(grams), dtype=_U)
     blocks = np.concatenate([keys, np.full(-len(keys) % width, ~_U(0))]).reshape(-1, width)
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
@@ -103,16 +138,17 @@ def _anchors(data: bytes, sums: np.ndarray, stops: np.ndarray, length: int, gram
 
 
 class Piece:
-    """Bytes of one document (or several end to end), with the anchors of its strings."""
+    """Bytes (or words, each as a byte) of one document or several end to end, with the anchors of its strings."""
 
-    def __init__(self, data: bytes, lo: np.ndarray, hi: np.ndarray, anchor: np.ndarray, gram: np.ndarray):
-        self.data, self.lo, self.hi, self.anchor, self.gram = data, lo, hi, anchor, gram
+    def __init__(self, data: bytes, length: int, mark: bytes, lo: np.ndarray, hi: np.ndarray, anchor: np.ndarray, gram: np.ndarray):
+        self.data, self.length, self.mark, self.lo, self.hi, self.anchor, self.gram = data, length, mark, lo, hi, anchor, gram
 
     @cached_property
     def sums(self) -> np.ndarray:
         return _sums(self.data)
 
     def hashes(self, starts: np.ndarray, length) -> np.ndarray:
+        """Hashes of the bytes from each start on."""
         return _mixed((self.sums[starts + length] - self.sums[starts]) * _INV[starts])
 
 
@@ -137,49 +173,82 @@ def _layout(sizes: list[int], length: int) -> list[list[tuple[int, int, int]]]:
     return [*pieces, held]
 
 
-def pack_chunk(number: int, ids: list, texts: list[bytes], length: int, gram: int) -> pa.RecordBatch:
-    """The row of a chunk: its documents, and the anchors of their strings."""
-    found = []
-    for piece in _layout([len(t) for t in texts], length):
-        data = b"".join(texts[i][at : at + n] for i, at, n in piece)
-        found.append(_anchors(data, _sums(data), np.cumsum([n for _, _, n in piece]), length, gram))
+def _head(text: bytes) -> int:
+    """The first eight bytes, as a number in the same order."""
+    return int.from_bytes(text[:8].ljust(8, b"\0"), "big") - (1 << 63)
+
+
+def _kinds(texts: list[bytes], units: list[tuple[int, int]]):
+    """(texts, their layout, length, gram, mark): the texts themselves, then their words."""
+    for own, (length, gram), mark in zip((texts, symbols(texts)), units, (b"", _MARK)):
+        yield own, _layout([len(t) for t in own], length), length, gram, mark
+
+
+def pack_chunk(number: int, ids: list, texts: list[bytes], units: list[tuple[int, int]]) -> pa.RecordBatch:
+    """The row of a chunk: its documents, the anchors of their strings, and a sample of its suffixes."""
+    found, sample = [], ([], [])
+    for own, layout, length, gram, mark in _kinds(texts, units):
+        for piece in layout:
+            data = b"".join(own[i][at : at + n] for i, at, n in piece)
+            spots = _anchors(data, _sums(data), np.cumsum([n for _, _, n in piece]), length, gram)
+            found.append(spots)
+            some = np.flatnonzero(spots[3] % _U(SAMPLED) == 0)
+            sample[0].extend(spots[3][some].view(np.int64).tolist())
+            sample[1].extend(_head(mark + data[a : a + 8]) for a in spots[0][some].tolist())
     lo, hi, anchor, grams = (np.concatenate(x) for x in zip(*found))
     spots = np.concatenate([[len(x[0]) for x in found], lo, hi - lo, anchor - lo]).astype(np.int32)
     pack = zstandard.ZstdCompressor(level=3).compress
-    row = [[number], [ids], [[len(t) for t in texts]], [pack(b"".join(texts))], [pack(spots.tobytes())], [grams.view(np.int64)]]
+    row = [[number], [ids], [[len(t) for t in texts]], [pack(b"".join(texts))], [pack(spots.tobytes())], [grams.view(np.int64)], [sample[0]], [sample[1]]]
     return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _CHUNK)], schema=_CHUNK)
 
 
 class Chunk:
-    """Documents of a chunk in a fixed order, as pieces."""
+    """Documents of a chunk in a fixed order, as pieces: those of their texts, then those of their words."""
 
-    def __init__(self, table: pa.Table, length: int):
+    def __init__(self, table: pa.Table, units: list[tuple[int, int]]):
         row = {c: table.column(c)[0] for c in table.column_names}
         unpack = zstandard.ZstdDecompressor().decompress
-        self.length, self.ids, sizes = length, row["ids"].as_py(), row["sizes"].as_py()
+        self.ids, sizes = row["ids"].as_py(), row["sizes"].as_py()
         body, ends = unpack(row["body"].as_py()), np.cumsum([0, *sizes]).tolist()
         self.texts = [body[a:b] for a, b in zip(ends, ends[1:])]
-        self.layout = _layout(sizes, length)
+        kinds = list(_kinds(self.texts, units))
         spots = np.frombuffer(unpack(row["spots"].as_py()), np.int32).astype(np.int64)
-        counts = spots[: len(self.layout)]
+        counts = spots[: sum(len(k[1]) for k in kinds)].tolist()
         lo, width, back = spots[len(counts) :].reshape(3, -1)
         grams = np.asarray(row["grams"].values).view(_U)
-        self.pieces, at = [], 0
-        for piece, n in zip(self.layout, counts.tolist()):
-            cut_ = slice(at, at + n)
-            data = b"".join(self.texts[i][a : a + m] for i, a, m in piece)
-            self.pieces.append(Piece(data, lo[cut_], lo[cut_] + width[cut_], lo[cut_] + back[cut_], grams[cut_]))
-            at += n
-
-    def suffixes(self, grams: np.ndarray) -> list[tuple[bytes, int, int]]:
-        """(suffix, piece, anchor number) for the anchors with these grams, sorted."""
-        out = []
+        self.pieces, self.layout, at = [], [], 0
+        for own, layout, length, _, mark in kinds:
+            for piece in layout:
+                cut_ = slice(at, at := at + counts[len(self.pieces)])
+                data = b"".join(own[i][a : a + m] for i, a, m in piece)
+                self.pieces.append(Piece(data, length, mark, lo[cut_], lo[cut_] + width[cut_], lo[cut_] + back[cut_], grams[cut_]))
+                self.layout.append(piece)
+
+    def suffixes(self, grams: np.ndarray) -> tuple[list[tuple[int, int, int, int, bytes]], list[np.ndarray], list[tuple[int, int]]]:
+        """Of the anchors with these grams: the distinct suffixes in order, as (number, copies, gram, strings, suffix);
+        for each piece its anchors and their suffixes' numbers; for each suffix the piece and number of one anchor."""
+        index: dict[bytes, int] = {}
+        own, firsts = [], []
         for k, p in enumerate(self.pieces):
-            own = np.flatnonzero(np.isin(p.gram, grams))
-            for j, a, b in zip(own.tolist(), p.lo[own].tolist(), (p.hi[own] + self.length).tolist()):
-                out.append((p.data[a:b], k, j))
-        out.sort()
-        return out
+            at = np.flatnonzero(np.isin(p.gram, grams))
+            which = []
+            for j, a, b in zip(at.tolist(), p.lo[at].tolist(), (p.hi[at] + p.length).tolist()):
+                which.append(i := index.setdefault(p.mark + p.data[a:b], len(index)))
+                if i == len(firsts):
+                    firsts.append((k, j))
+            own.append((at, np.array(which, np.int64)))
+        order = sorted(index)
+        old = np.array([index[t] for t in order], np.int64)
+        rank = np.empty(len(old), np.int64)
+        rank[old] = np.arange(len(old))
+        where = [(at, rank[which]) for at, which in own]
+        copies = np.bincount(np.concatenate([w for _, w in where]), minlength=len(old)).tolist() if len(old) else []
+        firsts = [firsts[i] for i in old.tolist()]
+        entries = []
+        for n, (text, (k, j)) in enumerate(zip(order, firsts)):
+            p = self.pieces[k]
+            entries.append((n, copies[n], int(p.gram[j]), int(p.hi[j] - p.lo[j]) + 1, text))
+        return entries, where, firsts
 
 
 def common(a: bytes, b: bytes, known: int) -> int:
@@ -269,19 +338,6 @@ def unpack_run(blob: bytes):
         yield n, last, (number, copies, gram, strings)
 
 
-def _distinct(found: list[tuple[bytes, int, int]], chunk: Chunk):
-    """Distinct suffixes of a chunk, as (number, copies, gram, strings, suffix) and, for the number, its anchors."""
-    entries, anchors = [], []
-    for text, k, j in found:
-        if entries and entries[-1][4] == text:
-            entries[-1] = (*entries[-1][:1], entries[-1][1] + 1, *entries[-1][2:])
-            anchors[-1].append((k, j))
-        else:
-            entries.append((len(entries), 1, int(chunk.pieces[k].gram[j]), len(text) - chunk.length + 1, text))
-            anchors.append([(k, j)])
-    return entries, anchors
-
-
 def _signed(x) -> int:
     return int(x) - (1 << 64) if int(x) >= 1 << 63 else int(x)
 
@@ -297,12 +353,12 @@ def _spread(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, first[which] + np.arange(len(which)) - (np.cumsum(n) - n)[which]
 
 
-_CHUNK = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("body", pa.binary()), ("spots", pa.binary()), ("grams", pa.list_(pa.int64()))])
+_CHUNK = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("body", pa.binary()), ("spots", pa.binary()), ("grams", pa.list_(pa.int64())), ("sample_grams", pa.list_(pa.int64())), ("sample_heads", pa.list_(pa.int64()))])
 _RUNS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("run", pa.binary())])
 _ITEMS = pa.schema([("chunk", pa.int64()), ("number", pa.int32()), ("gram", pa.int64()), ("same", pa.int32()), ("speaks", pa.bool_()), ("open", pa.bool_())])
 #: Of counted things: flag is how often (1 or 2 for more), and 4 more if the chunk asks for the answer; least and most are the bounds of the hashes of a core's surroundings.
 _COUNTED = pa.schema([("chunk", pa.int64()), ("gram", pa.list_(pa.int64())), ("hash", pa.list_(pa.int64())), ("least", pa.list_(pa.int64())), ("most", pa.list_(pa.int64())), ("flag", pa.list_(pa.int8()))])
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("n_passage_words", pa.int64()), ("kept", pa.binary())])
 #: What a chunk is told: its repeated grams; what the merge says of a suffix, its gram in doubt or not; cores whose strings are all repeated, or open; repeated strings.
 _GRAM, _DOUBT, _SETTLED, _WHOLE, _MIXED, _STRING = range(6)
 
@@ -319,25 +375,25 @@ def _table(rows: list, schema: pa.Schema) -> pa.Table:
 class Findings:
     """A chunk with what it was told: its distinct suffixes, how much of each is repeated, and which are in doubt."""
 
-    def __init__(self, table: pa.Table, messages: pa.Table, length: int, step: int):
-        self.chunk, self.length, self.step = Chunk(table, length), length, step
+    def __init__(self, table: pa.Table, messages: pa.Table, units: list[tuple[int, int]], step: int):
+        self.chunk, self.step = Chunk(table, units), step
         kind, x, y, z = (messages.column(c).to_numpy() for c in ("kind", "x", "y", "z"))
         self.told = lambda k: x[kind == k].view(_U)
-        self.entries, self.where = _distinct(self.chunk.suffixes(self.told(_GRAM)), self.chunk)
-        texts = [e[4] for e in self.entries]
+        entries, self.where, firsts = self.chunk.suffixes(self.told(_GRAM))
+        texts = [e[4] for e in entries]
         near = [0, *(common(a, b, 0) for a, b in zip(texts, texts[1:])), 0]
-        same = [len(t) if e[1] > 1 else max(near[k], near[k + 1]) for k, (t, e) in enumerate(zip(texts, self.entries))]
+        same = [len(t) if e[1] > 1 else max(near[k], near[k + 1]) for k, (t, e) in enumerate(zip(texts, entries))]
         counted = [True] * len(texts)
         says = kind <= _SETTLED
         for code, number, m, speaks in zip(kind[says].tolist(), x[says].tolist(), y[says].tolist(), z[says].tolist()):
             if code != _GRAM:
                 same[number] = max(same[number], m)
                 counted[number] = code == _DOUBT and (speaks or same[number] < len(texts[number]))
-        self.sure = [max(0, m - length + 1) for m in same]
+        self.sure = np.array([max(0, m - len(t) + e[3]) for m, t, e in zip(same, texts, entries)], np.int64)
         by_piece: list[list] = [[] for _ in self.chunk.pieces]
         for k, wanted in enumerate(counted):
             if wanted:
-                piece, j = self.where[k][0]
+                piece, j = firsts[k]
                 by_piece[piece].append((j, self.sure[k], same[k] == len(texts[k])))
         self.doubts = [(p, *np.array(d, np.int64).T) for p, d in zip(self.chunk.pieces, by_piece) if d]
 
@@ -350,8 +406,8 @@ class Findings:
             place = at[e] - self.step * turn
             a, b = np.maximum(lo[e], place - self.step + 1), np.minimum(hi[e], place)
             gram = p.gram[j][e]
-            core = _of_gram(p.hashes(place, self.length - self.step + 1), gram)
-            yield p, gram, core, p.hashes(a, b - a + self.length), a, b, (lo + sure)[e], twice[e]
+            core = _of_gram(p.hashes(place, p.length - self.step + 1), gram)
+            yield p, gram, core, p.hashes(a, b - a + p.length), a, b, (lo + sure)[e], twice[e]
 
     def strings(self, answer: int):
         """For each piece: gram, hash and start of the strings of cores that were answered so, strings sure, found more than once."""
@@ -360,7 +416,7 @@ class Findings:
             hit = np.flatnonzero(np.isin(core, known))
             e, start = _spread(a[hit], (b - a + 1)[hit])
             e = hit[e]
-            yield p, gram[e], _of_gram(p.hashes(start, self.length), gram[e]), start, sure[e], twice[e]
+            yield p, gram[e], _of_gram(p.hashes(start, p.length), gram[e]), start, sure[e], twice[e]
 
 
 def _collapsed(chunk: int, parts: list[tuple]) -> pa.Table:
@@ -380,12 +436,35 @@ def _collapsed(chunk: int, parts: list[tuple]) -> pa.Table:
     return _table([(chunk, gram[order[first]].view(np.int64), ranked[first].view(np.int64), least, most, flag.astype(np.int8))], _COUNTED)
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, step: int = STEP, with_text: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if asked for."""
+def _covered(starts: list[np.ndarray], length: int, size: int) -> np.ndarray:
+    """Which of ``size`` places lie in a string that starts at one of these."""
+    change = np.zeros(size + 1, np.int32)
+    for s in starts:
+        change[s] += 1
+        change[s + length] -= 1
+    return np.cumsum(change[:-1]) > 0
+
+
+def suffix_dedup(
+    docs: DataFrame,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    words: int = WORDS,
+    word_gram: int = WORD_GRAM,
+    chunk_bytes: int = CHUNK_BYTES,
+    step: int = STEP,
+    max_ranges: int = MAX_RANGES,
+    with_text: bool = False,
+) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words (words in passages of
+    ``words`` words that also start anywhere else), and the kept bytes if asked for."""
     spark = docs.sparkSession
+    units = [(length, gram), (words, word_gram)]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     n_runs = max(8, math.ceil(total / chunk_bytes))
+    n_ranges = min(n_runs, max_ranges)
+    n_shares = math.ceil(n_runs / n_ranges)
     n_buckets = min(MAX_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_BYTES)))
 
     def pack(batches):
@@ -396,33 +475,44 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_
                 texts.append(text.as_py())
                 size += len(texts[-1])
                 if size >= chunk_bytes:
-                    yield pack_chunk(number, ids, texts, length, gram)
+                    yield pack_chunk(number, ids, texts, units)
                     number, ids, texts, size = number + 1, [], [], 0
         if ids:
-            yield pack_chunk(number, ids, texts, length, gram)
+            yield pack_chunk(number, ids, texts, units)
 
     packed = rows.select("doc_id", F.col("text").cast("binary")).mapInArrow(pack, _ddl(_CHUNK))
-    name = f"suffix_chunks_{uuid.uuid4().hex}"
-    writer = packed.repartition(n_buckets, "chunk").write.bucketBy(n_buckets, "chunk").option("compression", "none")
-    writer.option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
-    chunks = spark.table(name)
+    own_space = f"suffix_{uuid.uuid4().hex}"  # its tables go with it
+    spark.sql(f"CREATE DATABASE {own_space} LOCATION '{shared_folder(spark)}/{own_space}'")
+    packed.repartition(n_buckets, "chunk").write.bucketBy(n_buckets, "chunk").option("compression", "none").saveAsTable(f"{own_space}.chunks")
+    chunks = spark.table(f"{own_space}.chunks")
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        """Cuts the lineage at a table, which takes less room than a checkpoint and goes at the end."""
+        df.write.option("compression", "zstd").saveAsTable(f"{own_space}.{name}")
+        return spark.table(f"{own_space}.{name}")
 
     def ask(told: DataFrame, answer, schema: pa.Schema) -> DataFrame:
         return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(answer, _ddl(schema))
 
-    often = chunks.select(F.explode("grams").alias("found")).groupBy("found").count().where("count > 1").select("found")
+    often = keep(chunks.select(F.explode("grams").alias("found")).groupBy("found").count().where("count > 1").select("found"), "often")
     own = chunks.select("chunk", F.explode(F.array_distinct("grams")).alias("gram"))
-    again = cut(own.join(often, F.col("gram") == F.col("found"), "left_semi"))
+    again = keep(own.join(often, F.col("gram") == F.col("found"), "left_semi"), "again")
+    some = chunks.select(F.inline(F.arrays_zip(F.col("sample_grams").alias("gram"), F.col("sample_heads").alias("head"))))
+    some = some.join(often, F.col("gram") == F.col("found"), "left_semi")
+    marks = [k / n_ranges for k in range(1, n_ranges)]
+    splitters = np.array(some.agg(F.percentile_approx("head", marks, 20 * n_ranges)).first()[0] or [0] * len(marks), np.int64)
 
     def sort_runs(key, table, messages):
-        chunk = Chunk(table, length)
-        entries, _ = _distinct(chunk.suffixes(messages.column("gram").to_numpy().view(_U)), chunk)
+        entries, _, _ = Chunk(table, units).suffixes(messages.column("gram").to_numpy().view(_U))
         buckets: dict[int, list] = {}
         alike, last, bucket = 0, None, 0
-        for e in entries:
-            if e[4][:length] != last:
-                alike, last = 0, e[4][:length]
-                bucket = int.from_bytes(hashlib.blake2b(last, digest_size=4).digest()) % n_runs
+        ranges = np.searchsorted(splitters, np.array([_head(e[4]) for e in entries], np.int64), side="right").tolist()
+        for e, k in zip(entries, ranges):
+            start = e[4][: len(e[4]) - e[3] + 1]
+            if start != last:
+                alike, last = 0, start
+                share = int.from_bytes(hashlib.blake2b(last, digest_size=4).digest()) % n_shares if n_shares > 1 else 0
+                bucket = k * n_shares + share
             alike += 1
             if alike <= 2:
                 buckets.setdefault(bucket, []).append(e)
@@ -438,15 +528,15 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_
         owners = table.column("chunk").to_pylist()
         merged = [(n, owners[i], len(text), tag) for n, text, i, tag in LoserTree(runs)]
         out = []
-        for k, (n, owner, size, (number, copies, g, strings)) in enumerate(merged):
+        for k, (n, owner, size, (number, copies, g, _)) in enumerate(merged):
             after = merged[k + 1][0] if k + 1 < len(merged) else 0
             same = size if abs(copies) > 1 else max(n if k else 0, after)
             first = not (k and n == size == merged[k - 1][2])
-            out.append((owner, number, _signed(g), same, first, copies < 0 or same - length + 1 < strings))
+            out.append((owner, number, _signed(g), same, first, copies < 0 or same < size))
         return _table(out, _ITEMS)
 
-    items = cut(ask(again, sort_runs, _RUNS).groupBy("bucket").applyInArrow(merge_runs, _ddl(_ITEMS)))
-    in_doubt = cut(items.where("open").select(F.col("gram").alias("doubt")).distinct())  # else a hot gram could not be split in the join
+    items = keep(ask(again, sort_runs, _RUNS).groupBy("bucket").applyInArrow(merge_runs, _ddl(_ITEMS)), "items")
+    in_doubt = keep(items.where("open").select(F.col("gram").alias("doubt")).distinct(), "in_doubt")  # else a hot gram could not be split in the join
     joined = items.join(in_doubt, F.col("gram") == F.col("doubt"), "left")
     says = joined.select("chunk", F.when(F.col("doubt").isNull(), _SETTLED).otherwise(_DOUBT).alias("kind"), F.col("number").cast("long").alias("x"), F.col("same").alias("y"), F.col("speaks").alias("z"))
 
@@ -456,11 +546,11 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_
     told = message(again, F.lit(_GRAM), "gram").unionByName(says)
 
     def spell_cores(key, table, messages):
-        found = Findings(table, messages, length, step)
+        found = Findings(table, messages, units, step)
         return _collapsed(key[0].as_py(), [(g, core, wide, twice, b >= sure) for _, g, core, wide, _, b, sure, twice in found.cores()])
 
     def spell_strings(key, table, messages):
-        found = Findings(table, messages, length, step)
+        found = Findings(table, messages, units, step)
         return _collapsed(key[0].as_py(), [(g, h, np.zeros(len(h), _U), twice, start >= sure) for _, g, h, start, sure, twice in found.strings(_MIXED)])
 
     def answers(spelled: DataFrame) -> DataFrame:
@@ -470,45 +560,44 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk_
         got = one.join(counts.where("n > 1 AND asked"), (F.col("gram") == F.col("g")) & (F.col("hash") == F.col("h")))
         return got.where("flag >= 4 OR NOT whole").select("chunk", "hash", "whole")
 
-    cores = cut(answers(cut(ask(told, spell_cores, _COUNTED))))
+    cores = keep(answers(keep(ask(told, spell_cores, _COUNTED), "spelled_cores")), "cores")
     told = told.unionByName(message(cores, F.when(F.col("whole"), _WHOLE).otherwise(_MIXED), "hash"))
-    strings = answers(cut(ask(told, spell_strings, _COUNTED)))
+    strings = answers(keep(ask(told, spell_strings, _COUNTED), "spelled_strings"))
     told = told.unionByName(message(strings, F.lit(_STRING), "hash"))
 
     def remove(key, table, messages):
-        found = Findings(table, messages, length, step)
+        found = Findings(table, messages, units, step)
         chunk = found.chunk
         marks = {id(p): np.zeros(len(p.data) + 1, bool) for p in chunk.pieces}
-        for where, sure in zip(found.where, found.sure):
-            for k, j in where if sure else ():
-                p = chunk.pieces[k]
-                marks[id(p)][p.lo[j] : min(p.lo[j] + sure, p.hi[j] + 1)] = True
+        for p, (at, number) in zip(chunk.pieces, found.where):
+            sure = np.minimum(found.sure[number], p.hi[at] - p.lo[at] + 1)
+            marks[id(p)][_spread(p.lo[at], sure)[1]] = True
         for p, _, _, start, *_ in found.strings(_WHOLE):
             marks[id(p)][start] = True
         known = found.told(_STRING)
         for p, _, h, start, *_ in found.strings(_MIXED):
             marks[id(p)][start[np.isin(h, known)]] = True
-        starts: list[list] = [[] for _ in chunk.ids]
+        starts: dict[bytes, list[list]] = {mark: [[] for _ in chunk.ids] for mark in (b"", _MARK)}
         for p, parts in zip(chunk.pieces, chunk.layout):
             hit, begin = np.flatnonzero(marks[id(p)]), 0
             for doc, offset, n in parts:
                 a, b = np.searchsorted(hit, (begin, begin + n))
                 if b > a:
-                    starts[doc].append(hit[a:b] - begin + offset)
+                    starts[p.mark][doc].append(hit[a:b] - begin + offset)
                 begin += n
         out = []
-        for doc_id, text, own in zip(chunk.ids, chunk.texts, starts):
-            kept, n_removed, spans = text, 0, 0
+        for doc_id, text, own, spoken in zip(chunk.ids, chunk.texts, starts[b""], starts[_MARK]):
+            kept, n_removed, spans, n_words = text, 0, 0, 0
             if own:
-                s = np.concatenate(own)
-                change = np.zeros(len(text) + 1, np.int32)
-                change[s] += 1
-                change[s + length] -= 1
-                gone = np.cumsum(change[:-1]) > 0
+                gone = _covered(own, length, len(text))
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 n_removed, spans = int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-            out.append((doc_id, len(text), n_removed, spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
+            if spoken:
+                n_words = int(_covered(spoken, words, max(int(s[-1]) for s in spoken) + words).sum())
+            out.append((doc_id, len(text), n_removed, spans, hashlib.sha256(kept).hexdigest(), n_words, kept if with_text else None))
         return _table(out, _OUT)
 
     done = ask(told, remove, _OUT)
-    return done if with_text else done.drop("kept")
+    done = cut(done if with_text else done.drop("kept"))
+    spark.sql(f"DROP DATABASE {own_space} CASCADE")
+    return done
