@@ -9,7 +9,13 @@ at any size of input.  Over these counts expectation-maximisation estimates the
 labelers' reliabilities, and a logistic span classifier is trained on its
 posteriors; the weights go back into the plan as literals.  Verified email, ip,
 card and phone spans always stay, and candidates of these kinds that fail their
-test never do; secret and ssn candidates stay if the classifier says so.
+test never do; candidates of the other kinds (secrets, ssns, local phone numbers
+after a word for them, names after a title) stay if the classifier says so.
+
+Texts are read once: spans and votes are written into the shared folder, and
+counts, weights and results come from there.  A candidate is found by setting
+marks around it and splitting at the marks; places are sums over blocks of about
+the root of the number of parts, so very many matches in one text are no trouble.
 
 Cases: a null text counts as empty and has no spans; positions are code points;
 quantifiers never give back what they took and starts are anchored at the start
@@ -24,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import cut, text_or_empty
 
 #: Kind: pattern of its candidates, and a cheaper one that any text with a candidate contains.  The first four
 #: are in the order in which spans that start together are listed.
@@ -35,6 +41,11 @@ KINDS = {
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
     "secret": (r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*+[0-9])[A-Za-z0-9_]{16,}+", "[A-Za-z0-9_]{16}"),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-[0-9]{2}-"),
+    "local": (r"(?i)(?<=(?:tel|phone|fax|mobile|call|anruf)[.:\x20]{1,3})\(?[0-9][0-9\x20()./-]{5,18}[0-9]", r"[.:\x20]\(?[0-9]"),
+    "name": (
+        r"(?<![A-Za-z])(?:M(?:rs?|s|adame|onsieur)|Dr|Prof|Herr|Frau|Señora?)\.?\x20[A-Z][a-z]+(?:\x20[A-Z][a-z]+)?",
+        r"(?:M(?:rs?|s|adame|onsieur)|Dr|Prof|Herr|Frau|Señora?)\.?\x20[A-Z]",
+    ),
 }
 BASE = ("email", "ip", "card", "phone")
 #: Words whose presence shortly before a span speaks for its kind.
@@ -45,39 +56,64 @@ GAZETTEER = {
     "phone": "tel|phone|call|fax|mobile|anruf",
     "secret": "token|secret|passw|passwd|pwd|api.?key|credential|bearer|akia",
     "ssn": "ssn|social|security",
+    "local": "tel|phone|call|fax|mobile|anruf",
+    "name": "name|author|dear|signed|from|contact|patient|customer|sincerely",
 }
 #: Characters before a span that count as its context.
 CONTEXT = 24
 VOTES = ("v_regex", "v_words", "v_before", "v_mix", "v_length")
-_SPAN = "struct<start:int,stop:int,txt:string,ctx:string>"
+#: A mark around candidates, and what stands for it in texts that hold it; no pattern knows either.
+_MARK, _OTHER = "\x1e", "\x1f"
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of the value, which is computed once however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
+
+
+def _each_match(parts: Column, of) -> Column:
+    """``of(start, match, text before)`` of each match; matches are every second of the parts."""
+    n = F.size(parts)
+    width = F.ceil(F.sqrt(n)).cast("int")
 
+    def placed(blocks, offsets):
+        def one(j):
+            k = F.floor(j / width).cast("int")
+            return of(offsets[k] + _sum(F.slice(blocks[k], 1, j % width)), parts[j], parts[j - 1])
 
-def _located(zipped: Column, m: str, g: str) -> Column:
-    """Spans of the matches ``m`` with the texts ``g`` between them, positions summed up."""
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+        return F.transform(F.sequence(F.lit(1), n - 2, F.lit(2)), one)
 
-    def step(acc, x):
-        at = acc["pos"] + F.length(x[g])
-        span = F.struct(at.cast("int").alias("start"), (at + F.length(x[m])).cast("int").alias("stop"), x[m].alias("txt"), F.right(x[g], F.lit(CONTEXT)).alias("ctx"))
-        more = F.when(x[m].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span)))
-        return F.struct((at + F.coalesce(F.length(x[m]), F.lit(0))).cast("int").alias("pos"), more.alias("out"))
+    def summed(blocks):
+        sums = F.transform(blocks, _sum)
+        return _let(sums, lambda t: _let(F.transform(F.sequence(F.lit(0), F.size(t) - 1), lambda k: _sum(F.slice(t, 1, k))), lambda o: placed(blocks, o)))
 
-    return F.aggregate(zipped, start, step, lambda acc: acc["out"])
+    def cut_up(lengths):
+        return _let(F.transform(F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int")), lambda k: F.slice(lengths, k * width + 1, width)), summed)
 
+    return F.when(n > 2, _let(F.transform(parts, F.length), cut_up))
 
-def candidates(docs: DataFrame, rest: Column | None = None, kinds: tuple[str, ...] = tuple(KINDS)) -> DataFrame:
-    """doc_id, text, rest, and for each kind an array of its candidate spans (empty where there are none)."""
-    carried = F.lit(0) if rest is None else rest
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), carried.alias("rest"))
-    gated = rows
-    for kind in kinds:
-        pattern, hint = KINDS[kind]
-        here = F.col("text").rlike(hint)
-        gated = gated.withColumns(
-            {f"m_{kind}": F.when(here, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))), f"g_{kind}": F.when(here, F.split("text", pattern, -1))}
-        )
-    located = {k: F.coalesce(_located(F.arrays_zip(f"m_{k}", f"g_{k}"), f"m_{k}", f"g_{k}"), F.array().cast(f"array<{_SPAN}>")).alias(k) for k in kinds}
-    return gated.select("doc_id", "text", "rest", *located.values())
+
+def _spans(kind: str) -> Column:
+    """(start, stop, votes) of the kind's candidates in ``text``; null where there are none."""
+    pattern, hint = KINDS[kind]
+    marked = F.regexp_replace(F.translate("text", _MARK, _OTHER), F.lit(pattern), F.lit(f"{_MARK}$0{_MARK}"))
+
+    def span(start, match, before):
+        cast = votes(kind, match, F.right(before, F.lit(CONTEXT)))
+        return F.struct(start.alias("start"), (start + F.length(match)).alias("stop"), *(v.cast("int").alias(n) for n, v in cast.items()))
+
+    return F.when(F.col("text").rlike(hint), _let(F.split(marked, _MARK, -1), lambda parts: _each_match(parts, span)))
+
+
+def candidates(docs: DataFrame, rest: Column | None = None, with_text: bool = False) -> DataFrame:
+    """doc_id, text if asked for, rest, and for each kind an array of its candidate spans with their votes, written once."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), (F.lit(0) if rest is None else rest).alias("rest"))
+    none = F.array().cast(f"array<struct<start:int,stop:int,{','.join(f'{v}:int' for v in VOTES)}>>")
+    return cut(rows.select("doc_id", *(["text"] if with_text else []), "rest", *(F.coalesce(_spans(k), none).alias(k) for k in KINDS)))
 
 
 def _digits(text: Column) -> Column:
@@ -104,15 +140,20 @@ def verified(kind: str, text: Column) -> Column:
         return F.length(_digits(text)).between(9, 15)
     if kind == "secret":
         return text.rlike("^(?:AKIA[0-9A-Z]{16}|[0-9a-f]{16,}|[A-Za-z]+_[A-Za-z0-9]{16,})$")
+    if kind == "local":
+        return F.length(_digits(text)).between(7, 12)
+    if kind == "name":
+        return text.rlike(r"\x20[A-Z][a-z]+\x20[A-Z][a-z]+$")
     return F.lit(True)
 
 
-def votes(kind: str, span: Column) -> dict[str, Column]:
-    text, before = span["txt"], F.lower(span["ctx"])
+def votes(kind: str, text: Column, before: Column) -> dict[str, Column]:
+    """The labelers' votes on a candidate and what stands before it."""
+    before = F.lower(before)
     n, n_digits = F.length(text), F.length(_digits(text))
-    low, high = {"email": (8, 60), "ip": (7, 15), "card": (12, 23), "phone": (10, 22), "secret": (18, 64), "ssn": (11, 11)}[kind]
+    low, high = {"email": (8, 60), "ip": (7, 15), "card": (12, 23), "phone": (10, 22), "secret": (18, 64), "ssn": (11, 11), "local": (8, 18), "name": (6, 40)}[kind]
     sign = lambda yes: F.when(yes, 1).otherwise(-1)
-    mixed = {"secret": (n_digits >= 4) & (n_digits < n), "email": text.rlike(r"\.[A-Za-z]{2,}$")}.get(kind, n_digits * 2 > n)
+    mixed = {"secret": (n_digits >= 4) & (n_digits < n), "email": text.rlike(r"\.[A-Za-z]{2,}$"), "name": n_digits == 0}.get(kind, n_digits * 2 > n)
     return {
         "v_regex": sign(verified(kind, text)),
         "v_words": F.when(F.concat(before, F.lower(text)).rlike(GAZETTEER[kind]), 1).otherwise(0),
@@ -126,7 +167,7 @@ def pattern_counts(found: DataFrame) -> list[tuple[str, tuple[int, ...], int]]:
     """(kind, votes, number of candidates): at most 243 rows a kind."""
 
     def voted(kind):
-        return lambda s: F.struct(F.lit(kind).alias("kind"), *(v.cast("int").alias(n) for n, v in votes(kind, s).items()))
+        return lambda s: F.struct(F.lit(kind).alias("kind"), *(s[v].alias(v) for v in VOTES))
 
     spans = [F.transform(F.col(k), voted(k)) for k in KINDS]
     counted = found.select(F.explode(F.concat(*spans)).alias("s")).groupBy("s.kind", *(f"s.{v}" for v in VOTES)).agg(F.count("*").alias("n"))
@@ -174,32 +215,28 @@ def train(patterns: list, posterior: list[float], steps: int = 400, rate: float
     return weights, bias
 
 
-def span_table(docs: DataFrame, rest: Column | None = None) -> DataFrame:
-    """doc_id, text, rest, base and spans: arrays of (start, kind_no, kind, stop), sorted."""
-    found = candidates(docs, rest)
+def span_table(docs: DataFrame, rest: Column | None = None, with_text: bool = False) -> DataFrame:
+    """doc_id, text if asked for, rest, base and spans: arrays of (start, kind_no, kind, stop), sorted."""
+    found = candidates(docs, rest, with_text)
     patterns = pattern_counts(found)
     weights, bias = train(patterns, estimate(patterns)[0])
     kinds = list(KINDS)
+    carried = [c for c in ("doc_id", "text", "rest") if c in found.columns]
 
-    def named(kind, spans):
+    def named(kind, keep):
+        spans = F.filter(F.col(kind), keep)
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(kinds.index(kind)).alias("kind_no"), F.lit(kind).alias("kind"), s["stop"].alias("stop")))
 
     def likely(kind):
-        return lambda s: sum((F.lit(w) * v for w, v in zip(weights, votes(kind, s).values())), F.lit(bias[kind])) > 0
-
-    def sure(kind):
-        return lambda s: verified(kind, s["txt"])
+        return lambda s: sum((F.lit(w) * s[v] for w, v in zip(weights, VOTES)), F.lit(bias[kind])) > 0
 
-    base = {k: F.filter(F.col(k), sure(k)) for k in BASE}
     rows = found.select(
-        "doc_id",
-        "text",
-        "rest",
-        F.array_sort(F.concat(*(named(k, base[k]) for k in BASE))).alias("base"),
-        F.concat(*(named(k, F.filter(F.col(k), likely(k))) for k in kinds if k not in BASE)).alias("more"),
+        *carried,
+        F.array_sort(F.concat(*(named(k, lambda s: s["v_regex"] > 0) for k in BASE))).alias("base"),
+        F.concat(*(named(k, likely(k)) for k in kinds if k not in BASE)).alias("more"),
     )
     apart = F.filter("more", lambda s: ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
-    return rows.select("doc_id", "text", "rest", "base", F.array_sort(F.concat("base", apart)).alias("spans"))
+    return rows.select(*carried, "base", F.array_sort(F.concat("base", apart)).alias("spans"))
 
 
 def _listed(spans: str) -> Column:
@@ -207,19 +244,19 @@ def _listed(spans: str) -> Column:
 
 
 def pii_spans(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans (all of them)."""
 
     def of(kind):
         return lambda s: s["kind"] == kind
 
     counts = [F.size(F.filter("base", of(k))).cast("long").alias(f"n_{k}") for k in BASE]
-    return span_table(docs).select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+    return span_table(docs).select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every span of ``text`` replaced by its kind in brackets; other columns stay."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    spans = span_table(docs, F.struct(*others) if others else None)
+    spans = span_table(docs, F.struct(*others) if others else None, with_text=True)
 
     def step(acc, s):
         clear = s["start"] >= acc["pos"]
