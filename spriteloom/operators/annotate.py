@@ -3,42 +3,75 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-Annotator = Callable[[Iterable[bytes]], Iterator[str]]
+from spriteloom.sources.codec import decode_png, encode_png
+
+#: Takes an instruction and RGB images as PNG files, gives one answer an image.
+Annotator = Callable[[str, Iterable[bytes]], Iterator[str]]
+ANSWERS = "name string, description string, is_animation boolean, frames int"
+PROMPT = "Answer with one JSON object: description (what the sprite shows), is_animation (true if it holds several frames), frames (how many)."
+
+
+#: What a model's answer follows, the fence that may stand around its JSON, and an escape that models add.
+_ANSWER, _FENCE, _ESCAPED = "ASSISTANT:", re.compile(r"```json(.*?)(?:```|\Z)", re.DOTALL), re.compile(r"\\_")
 
 
 def parse_answer(answer: str) -> dict:
     """description, is_animation and frames of a model's answer; text that is no JSON object becomes the description."""
-    tail = answer.split("ASSISTANT:")[-1].strip()
-    body = tail.split("```json")[1].split("```")[0] if "```json" in tail else tail
+    said = answer.rpartition(_ANSWER)[2].strip()
+    fenced = _FENCE.search(said)
     try:
-        got = json.loads(body.strip().replace("\\_", "_"))
+        fields = json.loads(_ESCAPED.sub("_", fenced[1] if fenced else said))
     except ValueError:
-        got = None
-    if not isinstance(got, dict):
-        return {"description": tail, "is_animation": None, "frames": None}
-    frames = str(got.get("frames", 1))
-    return {"description": str(got.get("description", "No description")), "is_animation": got.get("is_animation") is True, "frames": int(frames) if frames.isdigit() else 1}
+        fields = None
+    if not isinstance(fields, dict):
+        return {"description": said, "is_animation": None, "frames": None}
+    frames = str(fields.get("frames", 1))
+    return {"description": str(fields.get("description", "No description")), "is_animation": fields.get("is_animation") is True, "frames": int(frames) if frames.isdigit() else 1}
+
+
+@F.pandas_udf(StringType())
+def _indented(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: json.dumps(json.loads(t), indent=2, ensure_ascii=False))
+
 
+def metadata_json(metadata: Column | str) -> Column:
+    """A struct as indented JSON with all its fields, nulls too; letters outside ASCII stay as they are."""
+    return _indented(F.to_json(metadata, {"ignoreNullFields": "false"}))
 
-def stub(images: Iterable[bytes]) -> Iterator[str]:
+
+def rgb_png(png: bytes) -> bytes:
+    """The image without its alpha channel, transparent pixels as the black that the cleaner gave them."""
+    rgba = decode_png(png)
+    rgba[..., 3] = 255
+    return encode_png(rgba)
+
+
+def stub(prompt: str, images: Iterable[bytes]) -> Iterator[str]:
     """Answers that depend on the bytes only, for tests and dry runs."""
     for image in images:
-        yield f'ASSISTANT: {{"description": "sprite of {len(image or b"")} bytes", "is_animation": false, "frames": 1}}'
+        yield f'ASSISTANT: {{"description": "sprite of {len(image)} bytes", "is_animation": false, "frames": 1}}'
+
+
+def dry_run() -> Annotator:
+    return stub
 
 
-def annotate(images: DataFrame, make: Callable[[], Annotator] = lambda: stub) -> DataFrame:
-    """(name, description, is_animation, frames) for rows (name, png); ``make`` runs once a task, when rows arrive."""
+def annotate(images: DataFrame, make: Callable[[], Annotator], prompt: str = PROMPT) -> DataFrame:
+    """(name, description, is_animation, frames) for rows (name, png), a batch at a time; ``make`` runs once a task, when rows arrive."""
 
     def answers(frames):
         annotator = None
         for frame in frames:
             annotator = annotator or make()
-            parsed = [parse_answer(a) for a in annotator(frame["png"])]
+            parsed = [parse_answer(a) for a in annotator(prompt, map(rgb_png, frame["png"]))]
             yield pd.DataFrame([(n, p["description"], p["is_animation"], p["frames"]) for n, p in zip(frame["name"], parsed)], columns=["name", "description", "is_animation", "frames"])
 
-    return images.select("name", "png").mapInPandas(answers, "name string, description string, is_animation boolean, frames int")
+    return images.select("name", "png").mapInPandas(answers, ANSWERS)

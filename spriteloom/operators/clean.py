@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,41 +18,124 @@ METADATA = (
 )
 
 
+def colour_changes(rgba: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(line, place) of the last pixel before each change of colour, along rows and along columns, in order."""
+    return [np.nonzero((lines[:, 1:] != lines[:, :-1]).any(axis=2)) for lines in (rgba, rgba.transpose(1, 0, 2))]
+
+
+def pixel_runs(rgba: np.ndarray) -> list[np.ndarray]:
+    """Distances between colour changes that follow each other in a row, and in a column."""
+    return [np.diff(place)[np.diff(line) == 0] for line, place in colour_changes(rgba)]
+
+
 def pixel_scale(rgba: np.ndarray) -> int:
     """Greatest common divisor of the distances between colour changes along rows and columns; 1 if there are none."""
-    scale = 0
-    for lines in (rgba, rgba.transpose(1, 0, 2)):
-        where = np.nonzero((lines[:, 1:] != lines[:, :-1]).any(axis=2))
-        gaps = np.diff(where[1])[np.diff(where[0]) == 0]
-        if gaps.size:
-            scale = int(np.gcd(scale, np.gcd.reduce(gaps)))
-    return scale or 1
+    return int(np.gcd.reduce(np.concatenate(pixel_runs(rgba)))) or 1
+
+
+def resized(rgba: np.ndarray, height: int, width: int) -> np.ndarray:
+    """The nearest pixel for each of height x width places."""
+    h, w = rgba.shape[:2]
+    return rgba[((np.arange(height) + 0.5) * h / height).astype(int)][:, ((np.arange(width) + 0.5) * w / width).astype(int)]
+
+
+def reduced(rgba: np.ndarray) -> np.ndarray:
+    """The image at one pixel for each block of its scale."""
+    scale = pixel_scale(rgba)
+    return resized(rgba, max(1, rgba.shape[0] // scale), max(1, rgba.shape[1] // scale)) if scale > 1 else rgba
+
+
+def palette_size(rgba: np.ndarray) -> int:
+    return len(np.unique(rgba.reshape(-1, 4), axis=0))
+
+
+def has_plain_corners(rgba: np.ndarray) -> bool:
+    """Whether the four corners have one colour that isn't transparent: the background."""
+    corners = rgba[[0, 0, -1, -1], [0, -1, 0, -1]]
+    return bool((corners == corners[0]).all() and corners[0, 3] > 0)
+
+
+def without_background(rgba: np.ndarray) -> np.ndarray:
+    """Transparent black wherever the corners' colour stands, if they have one."""
+    return np.where((rgba == rgba[0, 0]).all(axis=2, keepdims=True), 0, rgba).astype(np.uint8) if has_plain_corners(rgba) else rgba
 
 
 def clean_image(rgba: np.ndarray | None, max_colors: int = MAX_COLORS) -> tuple[str, dict]:
     """A verdict, and what is known by then: scale, size, palette and the cleaned pixels."""
     if rgba is None:
         return "unreadable", {}
-    h, w = rgba.shape[:2]
-    if min(h, w) < SMALLEST:
-        return "too_small_native", {"width": w, "height": h}
-    scale = pixel_scale(rgba)
-    if scale > 1:
-        nh, nw = max(1, h // scale), max(1, w // scale)
-        rows = ((np.arange(nh) + 0.5) * h / nh).astype(int)
-        rgba = rgba[rows][:, ((np.arange(nw) + 0.5) * w / nw).astype(int)]
-        h, w = nh, nw
-    known = {"scale": scale, "width": w, "height": h}
-    if min(h, w) < SMALLEST:
+    if min(rgba.shape[:2]) < SMALLEST:
+        return "too_small_native", {"width": rgba.shape[1], "height": rgba.shape[0]}
+    scale, small = pixel_scale(rgba), reduced(rgba)
+    known = {"scale": scale, "width": small.shape[1], "height": small.shape[0]}
+    if min(small.shape[:2]) < SMALLEST:
         return "too_small_reduced", known
-    known["palette_size"] = len(np.unique(rgba.reshape(-1, 4), axis=0))
+    known["palette_size"] = palette_size(small)
     if known["palette_size"] > max_colors:
         return "too_many_colors", known
-    corners = rgba[[0, 0, -1, -1], [0, -1, 0, -1]]
-    known["bg_removed"] = bool((corners == corners[0]).all() and corners[0, 3] > 0)
-    if known["bg_removed"]:
-        rgba = np.where((rgba == corners[0]).all(axis=2, keepdims=True), 0, rgba).astype(np.uint8)
-    return "accepted", known | {"pixels": rgba}
+    return "accepted", known | {"bg_removed": has_plain_corners(small), "pixels": without_background(small)}
+
+
+def _each(images: DataFrame, measure: Callable[[str, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
+    """What ``measure`` says of each readable image of rows (name, content)."""
+
+    def run(frames):
+        for frame in frames:
+            for name, content in zip(frame["name"], frame["content"]):
+                if (rgba := decode_png(content)) is not None:
+                    yield measure(name, rgba)
+
+    return images.select("name", "content").mapInPandas(run, schema)
+
+
+def image_facts(images: DataFrame) -> DataFrame:
+    """(name, width, height, scale, native_width, native_height, palette_size, plain_corners) of every readable image."""
+
+    def measure(name, rgba):
+        small = reduced(rgba)
+        row = (name, rgba.shape[1], rgba.shape[0], pixel_scale(rgba), small.shape[1], small.shape[0], palette_size(small), has_plain_corners(small))
+        return pd.DataFrame([row], columns=["name", "width", "height", "scale", "native_width", "native_height", "palette_size", "plain_corners"])
+
+    return _each(images, measure, "name string, width int, height int, scale int, native_width int, native_height int, palette_size int, plain_corners boolean")
+
+
+def image_changes(images: DataFrame) -> DataFrame:
+    """(name, axis, line, spot): every colour change, along rows (h) and columns (v)."""
+
+    def measure(name, rgba):
+        parts = [pd.DataFrame({"name": name, "axis": axis, "line": line, "spot": spot}) for axis, (line, spot) in zip("hv", colour_changes(rgba))]
+        return pd.concat(parts, ignore_index=True)
+
+    return _each(images, measure, "name string, axis string, line int, spot int")
+
+
+def image_runs(images: DataFrame) -> DataFrame:
+    """(name, axis, run): distances between colour changes that follow each other."""
+
+    def measure(name, rgba):
+        return pd.concat([pd.DataFrame({"name": name, "axis": axis, "run": runs}) for axis, runs in zip("hv", pixel_runs(rgba))], ignore_index=True)
+
+    return _each(images, measure, "name string, axis string, run int")
+
+
+def image_pixels(images: DataFrame, change: Callable[[np.ndarray], np.ndarray] = lambda rgba: rgba) -> DataFrame:
+    """(name, x, y, r, g, b, a): one row for each pixel of the changed image."""
+
+    def measure(name, rgba):
+        rgba = change(rgba)
+        y, x = np.divmod(np.arange(rgba.shape[0] * rgba.shape[1]), rgba.shape[1])
+        return pd.DataFrame({"name": name, "x": x, "y": y} | dict(zip("rgba", rgba.reshape(-1, 4).astype(int).T)))
+
+    return _each(images, measure, "name string, x int, y int, r int, g int, b int, a int")
+
+
+def training_tensors(images: DataFrame, side: int = 64) -> DataFrame:
+    """(name, tensor): channels first, side x side, each value from -1 to 1."""
+
+    def measure(name, rgba):
+        return pd.DataFrame({"name": [name], "tensor": [(resized(rgba, side, side).transpose(2, 0, 1) / 255 * 2 - 1).astype(np.float32).ravel()]})
+
+    return _each(images, measure, "name string, tensor array<float>")
 
 
 def clean_images(images: DataFrame, max_colors: int = MAX_COLORS) -> DataFrame:

@@ -132,22 +132,41 @@ def follow(urls: DataFrame, fetch: Fetch, matches: Column | None = None, tag: st
     return (found if matches is None else found.where(matches)).withColumn("target", absolute("url", "href"))
 
 
-def gallery_files(frontier: DataFrame, fetch: Fetch) -> DataFrame:
-    """(url, name): files on the detail pages that listing pages lead to."""
-    details = follow(frontier, fetch, F.col("href").startswith("/content/")).select(F.col("target").alias("url"))
+def details_files(details: DataFrame, fetch: Fetch) -> DataFrame:
+    """(url, name): image files and archives on detail pages."""
     files = follow(details, fetch, tag="span", css_class="file").select(F.col("target").alias("url"), file_name(F.col("target")).alias("name"))
     return files.where(F.lower("name").rlike(r"\.(png|gif|zip)$"))
 
 
+def gallery_files(frontier: DataFrame, fetch: Fetch) -> DataFrame:
+    """(url, name): files on the detail pages that listing pages lead to."""
+    return details_files(follow(frontier, fetch, F.col("href").startswith("/content/")).select(F.col("target").alias("url")), fetch)
+
+
+def is_game(console: str) -> Column:
+    """Whether ``href`` is a game of the console: /console/name/ with a name of two letters at least."""
+    parts = F.split("href", "/", -1)
+    return F.col("href").startswith(f"/{console}/") & (F.size(parts) == 4) & F.col("href").endswith("/") & (F.length(parts[2]) > 1)
+
+
+def first_media(assets: DataFrame, fetch: Fetch) -> DataFrame:
+    """(url, href, target): the first file of each asset page."""
+    first = follow(assets, fetch, F.col("href").contains("/media/assets/")).groupBy("url").agg(F.min_by(F.struct("href", "target"), "pos").alias("first"))
+    return first.select("url", "first.*")
+
+
 def console_files(index: DataFrame, fetch: Fetch, console: str, start: int, end: int) -> DataFrame:
     """(url, name): from a console's index the games from ``start`` up to ``end``, their assets, and each one's first file."""
-    parts = F.split("href", "/", -1)
-    games = follow(index, fetch, F.col("href").startswith(f"/{console}/") & (F.size(parts) == 4) & F.col("href").endswith("/") & (F.length(parts[2]) > 1))
+    games = follow(index, fetch, is_game(console))
     first_seen = games.groupBy("target").agg(F.min("pos").alias("pos")).orderBy("pos", "target")
     chosen = first_seen.offset(start).limit(max(0, end - start)).select(F.col("target").alias("url"))
     assets = follow(chosen, fetch, F.col("href").contains("/asset/")).select(F.col("target").alias("url"))
-    media = follow(assets, fetch, F.col("href").contains("/media/assets/")).groupBy("url").agg(F.min_by("target", "pos").alias("target"))
-    return media.select(F.col("target").alias("url"), F.concat(F.lit("tsr_"), F.substring_index(file_name(F.col("target")), "?", 1)).alias("name"))
+    return first_media(assets, fetch).select(F.col("target").alias("url"), F.concat(F.lit("tsr_"), F.substring_index(file_name(F.col("target")), "?", 1)).alias("name"))
+
+
+def without_icons(files: DataFrame, skip: str = "avatar|icon") -> DataFrame:
+    """The files whose names do not match ``skip``, in any case of letters."""
+    return files.where(~F.lower("name").rlike(skip))
 
 
 def download(files: DataFrame, fetch: Fetch, have: DataFrame | None = None, skip: str = "avatar|icon") -> DataFrame:
@@ -156,7 +175,7 @@ def download(files: DataFrame, fetch: Fetch, have: DataFrame | None = None, skip
     Names that match ``skip`` are left out, but not inside archives.  Of files
     with equal names the one with the smallest url is taken.
     """
-    wanted = files.where(~F.lower("name").rlike(skip)).groupBy("name").agg(F.min("url").alias("url"))
+    wanted = without_icons(files, skip).groupBy("name").agg(F.min("url").alias("url"))
     if have is not None:
         wanted = wanted.join(have.select("name").distinct(), "name", "left_anti")
     got = fetch(wanted.select("url").distinct()).where("status = 200").join(wanted, "url").select("name", "content", F.col("url").alias("source_url"))

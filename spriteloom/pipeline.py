@@ -4,18 +4,15 @@ from __future__ import annotations
 
 import argparse
 import importlib
-import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from spriteloom.operators import crawl
-from spriteloom.operators.annotate import Annotator, annotate, stub
+from spriteloom.operators.annotate import ANSWERS, Annotator, annotate, metadata_json
 from spriteloom.operators.clean import MAX_COLORS, clean_images
 from spriteloom.operators.ordering import numbered
 from spriteloom.operators.shards import assign_shards
@@ -30,12 +27,7 @@ class Options:
 
     max_colors: int = MAX_COLORS
     shard_bytes: int = 1000 * 1024 * 1024
-    annotator: Callable[[], Annotator] = lambda: stub
-
-
-@F.pandas_udf(StringType())
-def _indented(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: json.dumps(json.loads(t), indent=2, ensure_ascii=False))
+    annotator: Callable[[], Annotator] | None = None
 
 
 def described(accepted: DataFrame, answers: DataFrame) -> DataFrame:
@@ -44,7 +36,7 @@ def described(accepted: DataFrame, answers: DataFrame) -> DataFrame:
     m = F.col("metadata")
     for field in ("description", "is_animation", "frames"):
         m = m.withField(field, F.coalesce(F.col(field), F.col(f"metadata.{field}")))
-    return got.select("name", F.col("metadata.dataset_bucket").alias("bucket"), _indented(F.to_json(m, {"ignoreNullFields": "false"})).alias("json"))
+    return got.select("name", F.col("metadata.dataset_bucket").alias("bucket"), metadata_json(m).alias("json"))
 
 
 def curate(images: DataFrame, out: str, options: Options = Options()) -> DataFrame:
@@ -52,7 +44,7 @@ def curate(images: DataFrame, out: str, options: Options = Options()) -> DataFra
     under ``out``; returns (verdict, n).
 
     Each step is written under ``out/_work`` and read again, so no model runs
-    twice.  Without accepted images no annotator is made and nothing is packed.
+    twice.  Without an annotator, descriptions stay empty; without accepted images none is made and nothing is packed.
     """
     spark, work = images.sparkSession, f"{out}/_work/{uuid.uuid4().hex}"
 
@@ -63,7 +55,8 @@ def curate(images: DataFrame, out: str, options: Options = Options()) -> DataFra
     cleaned = kept(clean_images(images.where(F.col("name").rlike(IMAGE_FILES)), options.max_colors), "cleaned")
     accepted = cleaned.where("verdict = 'accepted'")
     if not accepted.isEmpty():
-        texts = kept(described(accepted, kept(annotate(accepted, options.annotator), "answers")), "described")
+        answers = kept(annotate(accepted, options.annotator), "answers") if options.annotator else spark.createDataFrame([], ANSWERS)
+        texts = kept(described(accepted, answers), "described")
         sized = accepted.select("name", F.length("png").alias("bytes")).join(texts, "name")
         sized = sized.select("name", "bucket", (F.col("bytes") + F.octet_length("json")).cast("long").alias("size"), F.xxhash64("name").alias("mix"))
         order = kept(numbered(sized, "mix", "id", ties=("name",)), "order")
@@ -109,7 +102,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--samples", type=int, default=1000)
     p.add_argument("--console", default="snes")
     p.add_argument("--delay", type=float, default=0.5, help="seconds between two requests to a host")
-    p.add_argument("--annotator", help="module:function that makes an annotator")
+    p.add_argument("--annotator", help="module:function that makes an annotator; without one, descriptions stay empty")
     p.add_argument("--prefix", default="00", help="names this run's output folder")
     p.add_argument("--out", default="datasets_ready")
     return p

@@ -2,22 +2,27 @@
 
 LINK = '<a [^>]*href="([^"]*)"'
 
-#: Derived sprites (id, kind, k, w, h, x, y, r, g, b, a), one for each part, upscaled k times.
-SPRITES = """
-SELECT id, kind, k, w, h, x, y,
+#: Licence and origin of a derived sprite.
+SPRITE_LICENSE = "CASE id%3 WHEN 0 THEN 'public_domain' WHEN 1 THEN 'cc-by' ELSE 'private_train' END"
+SPRITE_URL = "concat('https://art.example/\u00e9/', CAST(id AS STRING))"
+
+#: Derived sprites (id, kind, k, w0, h0), one for each part: w0 x h0 pixels drawn k times as large.
+SPRITE_SIZES = """
+SELECT p_partkey AS id, p_partkey%10 AS kind,
+ CASE WHEN p_partkey%400=49 THEN 100 WHEN p_partkey%10 IN (0, 1) THEN 3 WHEN p_partkey%10=2 THEN 17 ELSE 4+p_partkey%7%5 END AS w0,
+ CASE WHEN p_partkey%400=49 THEN 70 WHEN p_partkey%10=2 THEN 17 ELSE 4+p_partkey%4 END AS h0,
+ CASE WHEN p_partkey%400=44 THEN 66 WHEN p_partkey%400=49 THEN 1 WHEN p_partkey%10 IN (0, 2) THEN 1 WHEN p_partkey%10 IN (1, 5) THEN 2 ELSE 1+p_partkey%3 END AS k
+FROM part"""
+
+#: Their pixels (id, kind, w, h, x, y, r, g, b, a).
+SPRITES = f"""
+SELECT id, kind, w, h, x, y,
  CASE kind WHEN 2 THEN x*15 WHEN 3 THEN 10 ELSE CASE WHEN hole THEN (CASE kind WHEN 4 THEN 0 ELSE 255 END) WHEN speck THEN 1 ELSE v*20 END END AS r,
  CASE kind WHEN 2 THEN y*15 WHEN 3 THEN 20 ELSE CASE WHEN hole THEN 0 WHEN speck THEN 2 ELSE 100 END END AS g,
  CASE kind WHEN 2 THEN id%256 WHEN 3 THEN 30 ELSE CASE WHEN hole THEN (CASE kind WHEN 4 THEN 0 ELSE 255 END) WHEN speck THEN 3 ELSE 255-v*20 END END AS b,
  CASE WHEN kind=4 AND hole THEN 0 ELSE 255 END AS a
-FROM (SELECT c.*, (kind IN (4,6,7)) AND (cx=0 OR cy=0 OR cx=w0-1 OR cy=h0-1) AS hole, (kind=5 AND x=3 AND y=3) AS speck, (id*7+cx*3+cy*5)%11 AS v
- FROM (SELECT s.*, s.w0*s.k AS w, s.h0*s.k AS h, tx.x, ty.y, CAST(FLOOR(tx.x/s.k) AS BIGINT) AS cx, CAST(FLOOR(ty.y/s.k) AS BIGINT) AS cy
-  FROM (SELECT p_partkey AS id, p_partkey%10 AS kind,
-     CASE p_partkey%10 WHEN 0 THEN 3 WHEN 1 THEN 3 WHEN 2 THEN 17 ELSE 4+p_partkey%7%5 END AS w0,
-     CASE p_partkey%10 WHEN 2 THEN 17 ELSE 4+p_partkey%4 END AS h0,
-     CASE p_partkey%10 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 5 THEN 2 ELSE 1+p_partkey%3 END AS k
-    FROM part) s
-  JOIN (SELECT p_partkey AS x FROM part WHERE p_partkey<32) tx ON tx.x < s.w0*s.k
-  JOIN (SELECT p_partkey AS y FROM part WHERE p_partkey<32) ty ON ty.y < s.h0*s.k) c) q
+FROM (SELECT *, (kind IN (4,6,7)) AND (x//k=0 OR y//k=0 OR x//k=w0-1 OR y//k=h0-1) AS hole, (kind=5 AND x=3 AND y=3) AS speck, (id*7+x//k*3+y//k*5)%11 AS v
+ FROM (SELECT *, w0*k AS w, h0*k AS h, unnest(range(w0*k)) AS x FROM (SELECT *, unnest(range(h0*k)) AS y FROM ({SPRITE_SIZES}) s) t) u) q
 """
 
 CTES = {
@@ -30,20 +35,21 @@ CTES = {
         "duck": f"SELECT page_id, CAST(unnest(range(len(l))) AS INTEGER) AS pos, unnest(l) AS href FROM (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '{LINK}', 1) AS l FROM pages)",
     },
     "files": "SELECT page_id, url, regexp_extract(url, '([^/]*)$', 1) AS name FROM pages",
-    "site": """SELECT * FROM (VALUES
-      ('/search?page=0', 200, '<a href="/content/a"></a><a href="/content/a"></a><a href="/content/b"></a><a href="/user/x"></a>'),
-      ('/search?page=1', 503, '<a href="/content/z"></a>'),
-      ('/content/a', 200, '<span class="file"><a href="/f/hero.PNG"></a></span><a href="/f/out.png"></a><span class="file"><a href="/f/my_avatar.png"></a></span><span class="file"><a href="/f/pack.zip"></a></span><span class="file"><a href="/f/s.png?x=1"></a></span><span class="file"><a href="/f/doc.pdf"></a></span>'),
-      ('/content/b', 200, '<span class="file"><a href=""></a></span>')) AS v(url, status, html)""",
-    "site_links": {
-        "spark": f"SELECT url, pos, href FROM site LATERAL VIEW posexplode(regexp_extract_all(html, '{LINK}', 1)) t AS pos, href WHERE status = 200",
-        "duck": f"SELECT url, unnest(range(len(l))) AS pos, unnest(l) AS href FROM (SELECT url, regexp_extract_all(html, '{LINK}', 1) AS l FROM site WHERE status = 200)",
-    },
-    "found": "SELECT DISTINCT href FROM site_links WHERE url LIKE '/search%' AND href LIKE '/content/%'",
-    "file_links": {
-        "spark": "SELECT url, pos, href FROM site LATERAL VIEW posexplode(regexp_extract_all(html, '<span class=\"file\"><a href=\"([^\"]*)\"', 1)) t AS pos, href",
-        "duck": "SELECT url, unnest(range(len(l))) AS pos, unnest(l) AS href FROM (SELECT url, regexp_extract_all(html, '<span class=\"file\"><a href=\"([^\"]*)\"', 1) AS l FROM site)",
-    },
+    "ids": "SELECT page_id, CAST(page_id AS STRING) AS n, CAST(page_id + 1 AS STRING) AS n1 FROM pages",
+    # a gallery (listings lead to details, details to files) and a console's index (games, assets, media), some of each for every page
+    "site": """SELECT concat('https://art.example/search?page=', n) AS url, CASE WHEN page_id % 10 = 3 THEN 503 ELSE 200 END AS status,
+        concat('<a href="/content/c', n, '">x</a><a href="/content/c', n, '">again</a><a href="/content/c', n1, '">y</a><a href="/user/u', n, '">u</a>') AS html FROM ids
+      UNION ALL SELECT concat('https://art.example/content/c', n), 200, concat('<span class="file"><a href="/f/hero', n, '.PNG">h</a></span><a href="/f/out', n,
+        '.png">o</a><span class="file"><a href="/f/my_Avatar', n, '.png">a</a></span><span class="file"><a href="/f/pack', n, '.zip"></a></span><span class="file"><a href="/f/s', n,
+        '.png?x=1"></a></span><span class="file"><a href="/f/doc', n, '.pdf"></a></span><span class="file"><a href=""></a></span>') FROM ids
+      UNION ALL SELECT concat('https://res.example/snes/?part=', n), 200, concat('<a href="/snes/game', n, '/">g</a><a href="/snes/game', n, '/">g</a><a href="/snes/a/"></a><a href="/snes/game', n,
+        '/extra/"></a><a href="/snes/game', n, '"></a><a href="/nes/game', n, '/"></a>') FROM ids
+      UNION ALL SELECT concat('https://res.example/snes/game', n, '/'), 200, concat('<a href="/other/', n, '"></a><a href="/asset/', n, '">a</a><a href="/asset/', n, '/b">a</a>') FROM ids
+      UNION ALL SELECT concat('https://res.example/asset/', n), 200, concat('<a href="/"></a><a href="/media/assets/', n, '/hero', n, '.png?updated=1">m</a><a href="/media/assets/', n, '/no.png">m</a>') FROM ids""",
+    "site_links": f"SELECT url, CAST(unnest(range(len(l))) AS INTEGER) AS pos, unnest(l) AS href FROM (SELECT url, regexp_extract_all(html, '{LINK}', 1) AS l FROM site WHERE status = 200) q",
+    "found": "SELECT DISTINCT concat('https://art.example', href) AS target FROM site_links WHERE url LIKE '%/search?page=%' AND regexp_matches(href, '^/content/')",
+    "file_links": """SELECT url, concat('https://art.example', unnest(regexp_extract_all(html, '<span class="file"><a href="(/[^"]*)"', 1))) AS target FROM site WHERE status = 200""",
+    "games": "SELECT url, pos, href FROM site_links WHERE url LIKE '%/snes/?part=%' AND regexp_matches(href, '^/snes/[^/][^/]+/$')",
     "sprites": SPRITES,
     "ahead": """SELECT s.*,
       lead(r) OVER (PARTITION BY id, y ORDER BY x) AS rx, lead(g) OVER (PARTITION BY id, y ORDER BY x) AS gx,
@@ -55,17 +61,15 @@ CTES = {
     "runs": "SELECT id, axis, line, run FROM (SELECT id, axis, line, spot - lag(spot) OVER (PARTITION BY id, axis, line ORDER BY spot) AS run FROM changes) q WHERE run IS NOT NULL",
     "sizes": "SELECT id, max(kind) AS kind, max(w) AS w, max(h) AS h FROM sprites GROUP BY id",
     "run_set": "SELECT DISTINCT id, run FROM runs",
-    "run_count": "SELECT id, count(*) AS n, min(run) AS least FROM run_set GROUP BY id",
-    "scales": """SELECT s.id, s.w, s.h, coalesce(d.scale, 1) AS scale FROM sizes s LEFT JOIN (
-        SELECT id, max(d) AS scale FROM (
-          SELECT r.id, q.d, c.n, count(*) AS k FROM run_set r JOIN run_count c ON r.id = c.id
-          JOIN (SELECT p_partkey AS d FROM part WHERE p_partkey BETWEEN 1 AND 64) q ON q.d <= c.least AND r.run % q.d = 0
-          GROUP BY r.id, q.d, c.n) e WHERE k = n GROUP BY id) d ON s.id = d.id""",
+    "scales": "SELECT s.id, s.w, s.h, coalesce(d.scale, 1) AS scale FROM sizes s LEFT JOIN (SELECT id, list_reduce(list(run), lambda p, q: gcd(p, q)) AS scale FROM run_set GROUP BY id) d ON s.id = d.id",
     "natives": "SELECT id, w, h, scale, greatest(1, CAST(FLOOR(w / scale) AS BIGINT)) AS nw, greatest(1, CAST(FLOOR(h / scale) AS BIGINT)) AS nh FROM scales",
-    "reduced": """SELECT n.id, n.nw, n.nh, gx.v AS x, gy.v AS y, s.r, s.g, s.b, s.a FROM natives n
-      JOIN (SELECT p_partkey AS v FROM part WHERE p_partkey < 64) gx ON gx.v < n.nw
-      JOIN (SELECT p_partkey AS v FROM part WHERE p_partkey < 64) gy ON gy.v < n.nh
-      JOIN sprites s ON s.id = n.id AND s.x = CAST(FLOOR((gx.v + 0.5) * n.w / n.nw) AS BIGINT) AND s.y = CAST(FLOOR((gy.v + 0.5) * n.h / n.nh) AS BIGINT)""",
+    "native_spots": "SELECT *, unnest(range(nw)) AS x FROM (SELECT *, unnest(range(nh)) AS y FROM natives) t",
+    "reduced": """SELECT n.id, n.nw, n.nh, n.x, n.y, s.r, s.g, s.b, s.a FROM native_spots n
+      JOIN sprites s ON s.id = n.id AND s.x = CAST(FLOOR((n.x + 0.5) * n.w / n.nw) AS BIGINT) AND s.y = CAST(FLOOR((n.y + 0.5) * n.h / n.nh) AS BIGINT)""",
+    "square_spots": "SELECT *, unnest(range(64)) AS x FROM (SELECT *, unnest(range(64)) AS y FROM sizes) t",
+    "squares": """SELECT n.id, n.x, n.y, s.r, s.g, s.b, s.a FROM square_spots n
+      JOIN sprites s ON s.id = n.id AND s.x = CAST(FLOOR((n.x + 0.5) * n.w / 64) AS BIGINT) AND s.y = CAST(FLOOR((n.y + 0.5) * n.h / 64) AS BIGINT)""",
+    "channels": "SELECT id, x, y, 0 AS channel, r AS v FROM squares UNION ALL SELECT id, x, y, 1, g FROM squares UNION ALL SELECT id, x, y, 2, b FROM squares UNION ALL SELECT id, x, y, 3, a FROM squares",
     "palettes": "SELECT id, count(*) AS palette_size FROM (SELECT DISTINCT id, r, g, b, a FROM reduced) q GROUP BY id",
     "corners": """SELECT id, min(r) AS r, min(g) AS g, min(b) AS b, min(a) AS a,
       (min(r) = max(r) AND min(g) = max(g) AND min(b) = max(b) AND min(a) = max(a) AND min(a) > 0) AS removed
@@ -74,6 +78,9 @@ CTES = {
       CASE WHEN n.w < 4 OR n.h < 4 THEN 'too_small_native' WHEN n.nw < 4 OR n.nh < 4 THEN 'too_small_reduced'
            WHEN p.palette_size > 256 THEN 'too_many_colors' ELSE 'accepted' END AS verdict
       FROM natives n JOIN palettes p ON n.id = p.id JOIN corners c ON n.id = c.id""",
+    "metadata": f"""SELECT id, license_type, CASE WHEN license_type IN ('public_domain', 'cc-by') THEN 'safe_hf' ELSE 'private_train' END AS dataset_bucket, '' AS description,
+      nw AS width, nh AS height, NOT removed AS has_background, palette_size, false AS is_animation, 1 AS frames, CAST(NULL AS DOUBLE) AS fps, source_url
+      FROM (SELECT *, {SPRITE_LICENSE} AS license_type, {SPRITE_URL} AS source_url FROM verdicts) q WHERE verdict = 'accepted'""",
     "dists": {
         "spark": """SELECT /*+ BROADCAST(c) */ v.vec_id, c.code, aggregate(zip_with(v.embedding, c.e, (p, q) -> (CAST(p AS DOUBLE) - CAST(q AS DOUBLE)) * (CAST(p AS DOUBLE) - CAST(q AS DOUBLE))), 0D, (s, t) -> s + t) AS d
           FROM embeddings v CROSS JOIN (SELECT vec_id AS code, embedding AS e FROM embeddings WHERE vec_id < 32) c""",
@@ -109,53 +116,23 @@ SELECTS = {
     "url_strip_query": "SELECT page_id, concat('tsr_', regexp_extract(name, '^([^?]*)', 1)) AS name FROM files",
     "name_stem": "SELECT page_id, regexp_extract(name, '^([^.]*)', 1) AS stem FROM files",
     "name_template": "SELECT doc_id, concat('hf_', replace(concat(lang, '/', source), '/', '_'), '_', CASE WHEN doc_id < 1000000 THEN lpad(CAST(doc_id AS STRING), 6, '0') ELSE CAST(doc_id AS STRING) END, '.png') AS name FROM documents",
-    "frontier": "SELECT p_partkey AS page, concat('https://art.example/search?page=', CAST(p_partkey AS STRING)) AS url FROM part WHERE p_partkey >= 0 AND p_partkey < 5",
     "coalesce_cols": "SELECT d.doc_id, coalesce(l.quality, l.toxic, -1) AS val FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
     "license_bucket": "SELECT doc_id, license_type, CASE WHEN license_type IN ('public_domain', 'cc-by') THEN 'safe_hf' ELSE 'private_train' END AS bucket FROM (SELECT doc_id, CASE source WHEN 'src0' THEN 'public_domain' WHEN 'src1' THEN 'cc-by' ELSE 'copyrighted_scrap' END AS license_type FROM documents) q",
-    "clean_native_size": "SELECT id, nw, nh FROM natives",
     "vlm_tail": "SELECT conv_id, turn, trim(regexp_replace(answer, '(?s)^.*ASSISTANT:', '')) AS tail FROM answers",
     "vlm_fence": "SELECT conv_id, turn, regexp_extract(concat('text ```json', role, '``` more ```json no```'), '(?s)```json(.*?)```', 1) AS body FROM conversations",
     "vlm_parse": {
         "spark": "SELECT event_id, coalesce(CAST(get_json_object(props, '$.k') AS BIGINT), -1) AS k, coalesce(get_json_object(props, '$.description'), 'No description') AS description FROM events",
         "duck": "SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS BIGINT), -1) AS k, coalesce(json_extract_string(props, '$.description'), 'No description') AS description FROM events",
     },
-    "metadata_json": {
-        "spark": "SELECT id, to_json(named_struct('license_type', 'private_train', 'width', nw, 'height', nh, 'has_background', NOT removed, 'fps', CAST(NULL AS DOUBLE)), map('ignoreNullFields', 'false')) AS json FROM verdicts WHERE verdict = 'accepted'",
-        "duck": "SELECT id, CAST(to_json({'license_type': 'private_train', 'width': nw, 'height': nh, 'has_background': NOT removed, 'fps': CAST(NULL AS DOUBLE)}) AS VARCHAR) AS json FROM verdicts WHERE verdict = 'accepted'",
-    },
     "byte_size": "SELECT id, size FROM doc_sizes",
-    "norm_pm1": "SELECT id, x, y, round(r / 255.0D * 2 - 1, 6) AS r, round(a / 255.0D * 2 - 1, 6) AS a FROM sprites",
-    "resize_nearest": """SELECT s.id, gx.v AS x, gy.v AS y, s.r, s.g, s.b, s.a FROM sizes n
-      CROSS JOIN (SELECT p_partkey AS v FROM part WHERE p_partkey < 16) gx CROSS JOIN (SELECT p_partkey AS v FROM part WHERE p_partkey < 16) gy
-      JOIN sprites s ON s.id = n.id AND s.x = CAST(FLOOR((gx.v + 0.5) * n.w / 16) AS BIGINT) AND s.y = CAST(FLOOR((gy.v + 0.5) * n.h / 16) AS BIGINT)""",
-    "rgb_project": "SELECT id, x, y, r, g, b FROM sprites",
     "latent_flatten": "SELECT vec_id, pos, CAST(FLOOR(pos / 16) AS BIGINT) AS channel, CAST(FLOOR(pos % 16 / 4) AS BIGINT) AS y, pos % 4 AS x, val FROM values_of",
-    "href_prefix": "SELECT page_id, pos, href FROM hrefs WHERE href LIKE '/th%'",
-    "href_structural": "SELECT page_id, pos, href FROM hrefs WHERE href LIKE '/%en' AND length(href) - length(replace(href, '/', '')) = 1 AND length(href) > 4",
-    "href_contains": "SELECT DISTINCT page_id, href FROM hrefs WHERE href LIKE '%en%'",
-    "href_first_match": "SELECT page_id, href FROM (SELECT page_id, href, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS k FROM hrefs WHERE href LIKE '%en%') q WHERE k = 1",
     "ext_filter": "SELECT page_id, name FROM files WHERE name LIKE '%.html' OR name LIKE '%.png' OR name LIKE '%.gif' OR name LIKE '%.jpg' OR name LIKE '%.jpeg' OR name LIKE '%.webp'",
     "ext_filter_ci": "SELECT page_id, name FROM files WHERE lower(name) LIKE '%.html' OR lower(name) LIKE '%.png' OR lower(name) LIKE '%.gif' OR lower(name) LIKE '%.zip'",
-    "icon_reject": "SELECT page_id, url FROM pages WHERE lower(url) NOT LIKE '%spam%' AND lower(url) NOT LIKE '%pills%'",
     "anti_existing": "SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
-    "http_ok": "SELECT url, length(html) AS n FROM site WHERE status = 200",
-    "size_gate": "SELECT id, w, h, (w < 4 OR h < 4) AS rejected FROM sizes",
-    "palette_gate": "SELECT id, palette_size FROM palettes WHERE palette_size <= 256",
     "link_dedup": "SELECT DISTINCT page_id, href FROM hrefs",
     "link_dedup_ordered": "SELECT page_id, href, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS k FROM (SELECT page_id, href, min(pos) AS pos FROM hrefs GROUP BY page_id, href) q",
     "link_slice": "SELECT page_id, href, k FROM (SELECT page_id, href, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS k FROM (SELECT page_id, href, min(pos) AS pos FROM hrefs GROUP BY page_id, href) q) s WHERE k > 1 AND k <= 3",
     "source_limit": "SELECT d.doc_id AS idx, d.source FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NOT NULL ORDER BY d.doc_id LIMIT 50",
-    "palette_size": "SELECT id, palette_size FROM palettes",
-    "pixel_scale": "SELECT id, scale FROM scales",
-    "pixel_changes": "SELECT id, axis, line, spot FROM changes",
-    "pixel_runs": "SELECT id, axis, run, count(*) AS n FROM runs GROUP BY id, axis, run",
-    "bg_detect": "SELECT id, removed FROM corners",
-    "bg_mask": "SELECT p.id, p.x, p.y, CASE WHEN hit THEN 0 ELSE p.r END AS r, CASE WHEN hit THEN 0 ELSE p.g END AS g, CASE WHEN hit THEN 0 ELSE p.b END AS b, CASE WHEN hit THEN 0 ELSE p.a END AS a FROM (SELECT d.*, (c.removed AND d.r = c.r AND d.g = c.g AND d.b = c.b AND d.a = c.a) AS hit FROM reduced d JOIN corners c ON d.id = c.id) p",
-    "downscale_nearest": "SELECT id, x, y, r, g, b, a FROM reduced",
-    "clean_verdict": "SELECT id, scale, verdict FROM verdicts",
-    "clean_accepted": "SELECT id, nw, nh FROM verdicts WHERE verdict = 'accepted'",
-    "clean_metadata": "SELECT id, 'private_train' AS license_type, 'private_train' AS dataset_bucket, '' AS description, nw AS width, nh AS height, NOT removed AS has_background, palette_size, false AS is_animation, 1 AS frames, CAST(NULL AS DOUBLE) AS fps, '' AS source_url FROM verdicts WHERE verdict = 'accepted'",
-    "verdict_counts": "SELECT verdict, count(*) AS n FROM verdicts GROUP BY verdict",
     "dataset_count": "SELECT (SELECT count(*) FROM documents) AS n_documents, (SELECT count(*) FROM pages) AS n_pages, (SELECT count(*) FROM embeddings) AS n_vectors",
     "batch_assign": "SELECT vec_id, CAST(FLOOR((row_number() OVER (ORDER BY vec_id) - 1) / 16) AS BIGINT) AS batch FROM embeddings",
     "mse": "SELECT round(avg((a.val - b.val) * (a.val - b.val)), 6) AS mse FROM values_of a JOIN codes c ON a.vec_id = c.vec_id JOIN values_of b ON b.vec_id = c.code AND b.pos = a.pos",
@@ -164,7 +141,67 @@ SELECTS = {
     "vq_distances": "SELECT vec_id, code, round(d, 6) AS d FROM dists",
     "vq_quantize": "SELECT c.vec_id, c.code, v.pos, v.val FROM codes c JOIN values_of v ON v.vec_id = c.code",
     "vq_loss": "SELECT round(1.25 * sum(d) / (64 * count(*)), 6) AS loss FROM codes",
-    "ddpm_add_noise": "SELECT v.vec_id, v.pos, s.t, round(sqrt(s.ab) * v.val + sqrt(1 - s.ab) * e.val, 6) AS noisy FROM values_of v JOIN schedule s ON s.t = v.vec_id * 37 % 1000 JOIN (SELECT pos, val FROM values_of WHERE vec_id = 1) e ON e.pos = v.pos",
-    "crawl_level1": "SELECT href FROM found",
-    "crawl_level2": "SELECT DISTINCT l.url, l.href, regexp_extract(l.href, '([^/]*)$', 1) AS name FROM found f JOIN file_links l ON l.url = f.href WHERE l.href <> '' AND (lower(l.href) LIKE '%.png' OR lower(l.href) LIKE '%.gif' OR lower(l.href) LIKE '%.zip') AND lower(l.href) NOT LIKE '%avatar%' AND lower(l.href) NOT LIKE '%icon%'",
+}
+
+#: A whole number from 0 to 16^12 - 1 that looks random, of a row's key and a salt: {0}.
+MIXED = {"spark": "CAST(conv(substr(md5({0}), 1, 12), 16, 10) AS BIGINT)", "duck": "CAST(concat('0x', substr(md5({0}), 1, 12)) AS BIGINT)"}
+NORMAL = "sqrt(-2 * ln(({0} + 1) / 281474976710657.0D)) * cos(2 * pi() * {1} / 281474976710656.0D)"
+
+
+def _noised(engine: str) -> str:
+    mixed = MIXED[engine].format
+    key = "concat(vec_id, ':', pos, ':{0}')".format
+    noise = NORMAL.format(mixed(key("u")), mixed(key("v")))
+    step = mixed("concat(vec_id, ':t')")
+    return f"SELECT vec_id, pos, CAST({step} % 1000 AS INT) AS t, val, {noise} AS eps FROM values_of"
+
+
+CTES["noised"] = {engine: _noised(engine) for engine in MIXED}
+SELECTS |= {
+    "timestep_sample": {engine: f"SELECT vec_id, CAST({m.format("concat(vec_id, ':t')")} % 1000 AS INT) AS t FROM embeddings" for engine, m in MIXED.items()},
+    "gaussian_noise": "SELECT vec_id, pos, round(eps, 6) AS eps FROM noised",
+    "ddpm_add_noise": "SELECT n.vec_id, n.pos, n.t, round(sqrt(s.ab) * n.val + sqrt(1 - s.ab) * n.eps, 6) AS noisy FROM noised n JOIN schedule s ON s.t = n.t",
+}
+
+#: Oracles of the crawl, which Spark answers by its own operators over stored pages.
+CRAWL_ORACLES = {
+    "frontier": "SELECT concat('https://art.example/search?page=', page) AS url FROM range(5) t(page)",
+    "http_ok": "SELECT url, CAST(length(html) AS INT) AS n FROM site WHERE status = 200 AND url LIKE '%/search?page=%'",
+    "href_prefix": "SELECT url, pos, href FROM site_links WHERE url LIKE '%/search?page=%' AND regexp_matches(href, '^/content/')",
+    "href_structural": "SELECT url, pos, href FROM games",
+    "href_contains": "SELECT DISTINCT url, concat('https://res.example', href) AS target FROM site_links WHERE url LIKE '%/snes/game%' AND regexp_matches(href, '/asset/')",
+    "href_first_match": "SELECT url, arg_min(href, pos) AS href FROM site_links WHERE url LIKE '%/asset/%' AND regexp_matches(href, '/media/assets/') GROUP BY url",
+    "icon_reject": "SELECT target AS url, regexp_extract(target, '[^/]*$') AS name FROM file_links WHERE regexp_matches(target, '(?i)[.](png|gif|zip)$') AND NOT regexp_matches(target, '(?i)(avatar|icon)[^/]*$')",
+    "crawl_level1": "SELECT target FROM found",
+    "crawl_level2": "SELECT l.target AS url, regexp_extract(l.target, '[^/]*$') AS name FROM found f JOIN file_links l ON l.url = f.target WHERE regexp_matches(l.target, '(?i)[.](png|gif|zip)$')",
+    "crawl_console": """SELECT regexp_replace(concat('tsr_', regexp_extract(m.href, '[^/]*$')), '[?].*', '') AS name, concat('https://res.example', m.href) AS url
+      FROM (SELECT href FROM (SELECT href, min(pos) AS pos FROM games GROUP BY href) q ORDER BY pos, href OFFSET 2 LIMIT 20) g
+      JOIN (SELECT DISTINCT url, href FROM site_links WHERE regexp_matches(href, '/asset/')) a ON a.url = concat('https://res.example', g.href)
+      JOIN (SELECT url, arg_min(href, pos) AS href FROM site_links WHERE regexp_matches(href, '/media/assets/') GROUP BY url) m ON m.url = concat('https://res.example', a.href)""",
+}
+
+#: Oracles of the queries over sprites, which Spark answers by its own operators over encoded images.
+SPRITE_ORACLES = {
+    "pixel_scale": "SELECT id, scale FROM scales",
+    "clean_native_size": "SELECT id, nw, nh FROM natives",
+    "size_gate": "SELECT id, w, h, (w < 4 OR h < 4) AS rejected FROM sizes",
+    "palette_size": "SELECT id, palette_size FROM palettes",
+    "palette_gate": "SELECT id, palette_size FROM palettes WHERE palette_size <= 256",
+    "bg_detect": "SELECT id, removed FROM corners",
+    "pixel_changes": "SELECT id, axis, line, spot FROM changes",
+    "pixel_runs": "SELECT id, axis, run, count(*) AS n FROM runs GROUP BY id, axis, run",
+    "rgb_project": "SELECT id, x, y, r, g, b FROM sprites",
+    "norm_pm1": "SELECT id, x, y, round(r / 255.0D * 2 - 1, 6) AS r, round(g / 255.0D * 2 - 1, 6) AS g, round(b / 255.0D * 2 - 1, 6) AS b, round(a / 255.0D * 2 - 1, 6) AS a FROM sprites",
+    "downscale_nearest": "SELECT id, x, y, r, g, b, a FROM reduced",
+    "bg_mask": "SELECT d.id, d.x, d.y, CASE WHEN hit THEN 0 ELSE d.r END AS r, CASE WHEN hit THEN 0 ELSE d.g END AS g, CASE WHEN hit THEN 0 ELSE d.b END AS b, CASE WHEN hit THEN 0 ELSE d.a END AS a FROM (SELECT d.*, (c.removed AND d.r = c.r AND d.g = c.g AND d.b = c.b AND d.a = c.a) AS hit FROM reduced d JOIN corners c ON d.id = c.id) d",
+    "resize_nearest": "SELECT id, y, md5(string_agg(concat_ws(',', r, g, b, a), ';' ORDER BY x)) AS pixels FROM squares GROUP BY id, y",
+    "training_tensor": "SELECT id, channel, round(min(v) / 255.0D * 2 - 1, 5) AS least, round(max(v) / 255.0D * 2 - 1, 5) AS most, md5(string_agg(CAST(v AS STRING), ',' ORDER BY y, x)) AS pixels FROM channels GROUP BY id, channel",
+    "clean_verdict": "SELECT id, scale, verdict FROM verdicts",
+    "clean_accepted": "SELECT id, nw, nh FROM verdicts WHERE verdict = 'accepted'",
+    "verdict_counts": "SELECT verdict, count(*) AS n FROM verdicts GROUP BY verdict",
+    "clean_metadata": "SELECT * REPLACE (CAST(frames AS BIGINT) AS frames) FROM metadata",
+    "image_decode": "SELECT v.id, v.verdict, v.removed AND v.verdict = 'accepted' AS bg_removed, coalesce(m.width, -1) AS width, coalesce(m.height, -1) AS height, coalesce(m.palette_size, -1) AS palette_size FROM verdicts v LEFT JOIN metadata m ON v.id = m.id",
+    "metadata_json": """SELECT id, concat('{', chr(10), '  "license_type": "', license_type, '",', chr(10), '  "dataset_bucket": "', dataset_bucket, '",', chr(10), '  "description": "",', chr(10),
+      '  "width": ', width, ',', chr(10), '  "height": ', height, ',', chr(10), '  "has_background": ', has_background, ',', chr(10), '  "palette_size": ', palette_size, ',', chr(10),
+      '  "is_animation": false,', chr(10), '  "frames": 1,', chr(10), '  "fps": null,', chr(10), '  "source_url": "', source_url, '"', chr(10), '}') AS json FROM metadata""",
 }

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import io
 import re
-import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spriteloom.operators.annotate import annotate
-from spriteloom.operators.clean import clean_images
+from spriteloom.operators.annotate import annotate, dry_run, metadata_json
+from spriteloom.operators import clean, crawl
 from spriteloom.operators.crawl import absolute, links
 from spriteloom.operators.ordering import numbered
 from spriteloom.operators.shards import assign_shards
-from spriteloom.plans.fragments import CTES, SELECTS
+from spriteloom.plans.fragments import CRAWL_ORACLES, CTES, MIXED, SELECTS, SPRITE_LICENSE, SPRITE_ORACLES, SPRITE_SIZES, SPRITE_URL
 from spriteloom.sources.codec import encode_png, expand_zips
 from spriteloom.sources.webdataset import WebDataset
 
@@ -25,7 +25,7 @@ SHARD_BYTES = 100_000
 
 def compose(name: str, engine: str) -> str:
     """The query's SQL for an engine: its SELECT, after those pieces that it needs."""
-    last = SELECTS[name]
+    last = (SELECTS | SPRITE_ORACLES | CRAWL_ORACLES)[name]
     last = last if isinstance(last, str) else last[engine]
     order: list[str] = []
 
@@ -68,42 +68,129 @@ def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(spark, sf_dir).groupBy("bucket", "shard").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
 
 
+def draw_sprite(i: int, kind: int, w0: int, h0: int, k: int):
+    """RGBA pixels of a derived sprite; the oracle's SQL has the same rules."""
+    import numpy as np
+
+    y, x = np.mgrid[: h0 * k, : w0 * k]
+    cy, cx = y // k, x // k
+    v = (i * 7 + cx * 3 + cy * 5) % 11
+    rgba = np.stack([v * 20, np.full_like(v, 100), 255 - v * 20, np.full_like(v, 255)], axis=2)
+    if kind == 2:
+        rgba = np.stack([x * 15, y * 15, np.full_like(x, i % 256), np.full_like(x, 255)], axis=2)
+    elif kind == 3:
+        rgba[:] = (10, 20, 30, 255)
+    elif kind in (4, 6, 7):
+        rgba[(cx == 0) | (cy == 0) | (cx == w0 - 1) | (cy == h0 - 1)] = (0, 0, 0, 0) if kind == 4 else (255, 0, 255, 255)
+    elif kind == 5:
+        rgba[(x == 3) & (y == 3)] = (1, 2, 3, 255)
+    return rgba.astype(np.uint8)
+
+
 def sprite_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived sprites as PNG files (name, content, license_type, source_url)."""
-    sql = f"SELECT * FROM ({CTES['sprites']}) p"
-    views(spark, sf_dir, sql)
+    spark.read.parquet(f"{sf_dir}/part.parquet").createOrReplaceTempView("part")
+    rows = spark.sql(f"SELECT *, {SPRITE_LICENSE} AS license_type, {SPRITE_URL} AS source_url FROM ({SPRITE_SIZES}) s")
 
-    def draw(key, frame):
-        import numpy as np
+    def draw(frames):
         import pandas as pd
 
-        rgba = np.zeros((int(frame["h"].iloc[0]), int(frame["w"].iloc[0]), 4), np.uint8)
-        rgba[frame["y"], frame["x"]] = frame[["r", "g", "b", "a"]]
-        return pd.DataFrame([(f"{key[0]}.png", encode_png(rgba))], columns=["name", "content"])
+        for frame in frames:
+            files = [encode_png(draw_sprite(*r)) for r in zip(*(frame[c].tolist() for c in ("id", "kind", "w0", "h0", "k")))]
+            yield pd.DataFrame({"name": frame["id"].map("{}.png".format), "content": files, "license_type": frame["license_type"], "source_url": frame["source_url"]})
+
+    return rows.repartition(spark.sparkContext.defaultParallelism).mapInPandas(draw, "name string, content binary, license_type string, source_url string")
+
+
+def of_sprites(answer):
+    """A query that asks the sprites' files; ``answer`` gives rows with ``name``, which becomes the id."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        got = answer(sprite_files(spark, sf_dir))
+        own = [F.substring_index("name", ".", 1).cast("long").alias("id")] if "name" in got.columns else []
+        rest = [F.col(c).cast("long").alias(c) if t == "int" else F.col(c) for c, t in got.dtypes if c != "name"]
+        return got.select(*own, *rest)
+
+    return run
+
+
+def _facts(*columns: str):
+    return of_sprites(lambda files: clean.image_facts(files).selectExpr("name", *columns))
+
+
+def _decoded(files: DataFrame) -> DataFrame:
+    """What the cleaner says of each file; -1 where it has no numbers."""
+    numbers = [F.coalesce(f"metadata.{c}", F.lit(-1)).alias(c) for c in ("width", "height", "palette_size")]
+    return clean.clean_images(files).select("name", "verdict", F.coalesce("bg_removed", F.lit(False)).alias("bg_removed"), *numbers)
+
+
+def _accepted(files: DataFrame) -> DataFrame:
+    return clean.clean_images(files).where("verdict = 'accepted'").select("name", "metadata")
+
 
-    return spark.sql(sql).groupBy("id").applyInPandas(draw, "name string, content binary").select("name", "content", F.lit(None).cast("string").alias("license_type"), F.lit("").alias("source_url"))
+def _of_rows(pixels: DataFrame) -> DataFrame:
+    """A digest of each row of pixels."""
+    row = F.array_sort(F.collect_list(F.struct("x", F.concat_ws(",", "r", "g", "b", "a").alias("c"))))
+    return pixels.groupBy("name", "y").agg(F.md5(F.array_join(F.transform(row, lambda p: p["c"]), ";").cast("binary")).alias("pixels"))
 
 
-def image_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaner over encoded images; agrees with ``clean_verdict``."""
-    done = clean_images(sprite_files(spark, sf_dir))
-    return done.select(F.substring_index("name", ".", 1).cast("long").alias("id"), "verdict", "bg_removed", "metadata.width", "metadata.height", "metadata.palette_size")
+def _tensor(files: DataFrame) -> DataFrame:
+    """Of each channel the extremes, and a digest of its values as they were before scaling."""
+    one = clean.training_tensors(files).select("name", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda c: F.slice("tensor", c * 4096 + 1, 4096))).alias("channel", "v"))
+    values = F.transform("v", lambda v: F.round((v + 1) / 2 * 255).cast("int").cast("string"))
+    return one.select("name", "channel", F.round(F.array_min("v").cast("double"), 5).alias("least"), F.round(F.array_max("v").cast("double"), 5).alias("most"), F.md5(F.array_join(values, ",").cast("binary")).alias("pixels"))
+
+
+def _scaled(channel: str) -> Column:
+    return F.round(F.col(channel) / 255.0 * 2 - 1, 6).alias(channel)
+
+
+def _verdicts(files: DataFrame) -> DataFrame:
+    """Verdicts with the scale, which the cleaner does not keep."""
+    scales = clean.image_facts(files).select("name", "scale")
+    return clean.clean_images(files).select("name", "verdict").join(scales, "name").select("name", "scale", "verdict")
+
+
+SPRITE_QUERIES = {
+    "pixel_scale": _facts("scale"),
+    "clean_native_size": _facts("native_width AS nw", "native_height AS nh"),
+    "size_gate": _facts("width AS w", "height AS h", f"least(width, height) < {clean.SMALLEST} AS rejected"),
+    "palette_size": _facts("palette_size"),
+    "palette_gate": of_sprites(lambda files: clean.image_facts(files).where(F.col("palette_size") <= clean.MAX_COLORS).select("name", "palette_size")),
+    "bg_detect": _facts("plain_corners AS removed"),
+    "pixel_changes": of_sprites(clean.image_changes),
+    "pixel_runs": of_sprites(lambda files: clean.image_runs(files).groupBy("name", "axis", "run").agg(F.count("*").alias("n"))),
+    "rgb_project": of_sprites(lambda files: clean.image_pixels(files).drop("a")),
+    "norm_pm1": of_sprites(lambda files: clean.image_pixels(files).select("name", "x", "y", *map(_scaled, "rgba"))),
+    "downscale_nearest": of_sprites(lambda files: clean.image_pixels(files, clean.reduced)),
+    "bg_mask": of_sprites(lambda files: clean.image_pixels(files, lambda rgba: clean.without_background(clean.reduced(rgba)))),
+    "resize_nearest": of_sprites(lambda files: _of_rows(clean.image_pixels(files, lambda rgba: clean.resized(rgba, 64, 64)))),
+    "training_tensor": of_sprites(_tensor),
+    "clean_verdict": of_sprites(_verdicts),
+    "clean_accepted": of_sprites(lambda files: _accepted(files).select("name", F.col("metadata.width").alias("nw"), F.col("metadata.height").alias("nh"))),
+    "verdict_counts": of_sprites(lambda files: clean.clean_images(files).groupBy("verdict").agg(F.count("*").alias("n"))),
+    "clean_metadata": of_sprites(lambda files: _accepted(files).select("name", "metadata.*")),
+    "image_decode": of_sprites(lambda files: _decoded(files)),
+    "metadata_json": of_sprites(lambda files: _accepted(files).select("name", metadata_json("metadata").alias("json"))),
+}
 
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate(clean_images(sprite_files(spark, sf_dir)).where("verdict = 'accepted'"))
+    return annotate(clean.clean_images(sprite_files(spark, sf_dir)).where("verdict = 'accepted'"), dry_run)
 
 
 def webdataset_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleans, shards, writes tar files and reads them back."""
     spark.dataSource.register(WebDataset)
-    done = clean_images(sprite_files(spark, sf_dir)).where("verdict = 'accepted'").select(
+    done = clean.clean_images(sprite_files(spark, sf_dir)).where("verdict = 'accepted'").select(
         F.col("metadata.dataset_bucket").alias("bucket"), F.substring_index("name", ".", 1).cast("long").alias("id"), "png", F.to_json("metadata").alias("json")
     )
     sizes = done.select("bucket", "id", (F.length("png") + F.octet_length("json")).cast("long").alias("size"))
     placed = done.join(assign_shards(sizes, 20_000).select("id", "shard"), "id")
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    path = f"{folder.removeprefix('file://')}/webdataset-{abs(hash(sf_dir))}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors mount: the tar files go there")
+    path = f"{folder.removeprefix('file://')}/webdataset-{uuid.uuid4().hex}"
     rows = placed.select("bucket", "shard", F.col("id").cast("string").alias("name"), "png", "json").repartition("bucket", "shard")
     rows.write.format("webdataset").mode("append").save(path)
     return spark.read.format("webdataset").load(path).select("bucket", "shard", "name", F.length("png").alias("png_bytes"), "json")
@@ -129,10 +216,17 @@ def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of 16 in an order that a hash of the id decides."""
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.xxhash64("vec_id", F.lit(7)).alias("mix"))
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.expr(MIXED["spark"].format("concat(vec_id, ':order')")).alias("mix"))
     return batches(vectors, "mix", 16)
 
 
+def row_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that stand at given positions."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source")
+    wanted = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("position"))
+    return numbered(docs, "doc_id").join(wanted, "position").select("position", "doc_id", "lang", "source")
+
+
 def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``href_extract`` by an HTML parser, as the crawler does it."""
     return links(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html"))
@@ -147,14 +241,37 @@ def html_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where(F.col("href").startswith("/")).select("page_id", "pos", absolute("url", "href").alias("target"))
 
 
-def timestep_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.pmod(F.xxhash64("vec_id", F.lit(11)), F.lit(1000)).alias("t"))
+def over_site(answer):
+    """A query over stored pages of a gallery and a console; ``answer`` takes them as urls and a fetch."""
 
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.read.parquet(f"{sf_dir}/pages.parquet").createOrReplaceTempView("pages")
+        site = spark.sql(f"WITH ids AS ({CTES['ids']}) {CTES['site']}")
+        return answer(site.select("url"), crawl.from_table(site.select("url", "status", F.col("html").alias("content"))))
+
+    return run
+
+
+def _of(urls: DataFrame, part: str) -> DataFrame:
+    return urls.where(F.col("url").contains(part))
+
+
+CRAWL_QUERIES = {
+    "frontier": lambda spark, sf_dir: crawl.numbered_pages(spark, "https://art.example/search?page={page}", 0, 5),
+    "http_ok": over_site(lambda urls, fetch: fetch(_of(urls, "/search?page=")).where("status = 200").select("url", F.length(F.decode("content", "UTF-8")).alias("n"))),
+    "href_prefix": over_site(lambda urls, fetch: crawl.follow(_of(urls, "/search?page="), fetch, F.col("href").startswith("/content/")).select("url", "pos", "href")),
+    "href_structural": over_site(lambda urls, fetch: crawl.follow(_of(urls, "/snes/?part="), fetch, crawl.is_game("snes")).select("url", "pos", "href")),
+    "href_contains": over_site(lambda urls, fetch: crawl.follow(_of(urls, "/snes/game"), fetch, F.col("href").contains("/asset/")).select("url", "target").distinct()),
+    "href_first_match": over_site(lambda urls, fetch: crawl.first_media(_of(urls, "/asset/"), fetch).select("url", "href")),
+    "icon_reject": over_site(lambda urls, fetch: crawl.without_icons(crawl.details_files(_of(urls, "/content/"), fetch))),
+    "crawl_level1": over_site(lambda urls, fetch: crawl.follow(_of(urls, "/search?page="), fetch, F.col("href").startswith("/content/")).select("target").distinct()),
+    "crawl_level2": over_site(lambda urls, fetch: crawl.gallery_files(_of(urls, "/search?page="), fetch)),
+    "crawl_console": over_site(lambda urls, fetch: crawl.console_files(_of(urls, "/snes/?part="), fetch, "snes", 2, 22)),
+}
 
-QUERIES = {name: sql_query(name) for name in SELECTS} | {
+QUERIES = {name: sql_query(name) for name in SELECTS} | SPRITE_QUERIES | CRAWL_QUERIES | {
     "shard_assign": shards,
     "shard_manifest": shard_manifest,
-    "image_decode": image_clean,
     "annotate": annotated,
     "webdataset_write": webdataset_write,
     "zip_expand": zip_expand,
@@ -163,7 +280,7 @@ QUERIES = {name: sql_query(name) for name in SELECTS} | {
     "html_targets": html_targets,
     "batch_assign": batch_assign,
     "batch_shuffle": batch_shuffle,
-    "timestep_sample": timestep_sample,
+    "row_access": row_access,
 }
 
 _FOLD = f"""
@@ -177,10 +294,14 @@ f AS (
   FROM f JOIN s ON s.bucket = f.bucket AND s.k = f.k + 1)
 """
 
-ORACLES = {name: compose(name, "duck") for name in SELECTS} | {
+ORACLES = {name: compose(name, "duck") for name in SELECTS | SPRITE_ORACLES | CRAWL_ORACLES} | {
     "html_links": compose("href_extract", "duck"),
     "html_nav_links": compose("css_descendant", "duck"),
     "html_targets": compose("urljoin_abs", "duck"),
     "shard_assign": _FOLD + "SELECT bucket, id, size, shard FROM f",
     "shard_manifest": _FOLD + "SELECT bucket, shard, CAST(sum(size) AS BIGINT) AS bytes, count(*) AS n FROM f GROUP BY bucket, shard",
+    "batch_shuffle": f"SELECT vec_id, CAST((row_number() OVER (ORDER BY {MIXED['duck'].format("concat(vec_id, ':order')")}) - 1) // 16 AS BIGINT) AS batch FROM embeddings",
+    "row_access": "SELECT position, doc_id, lang, source FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents) d JOIN benchmark ON item_id = position",
+    "zip_expand": """SELECT 'pack.zip' AS archive, entry, name, CAST(length(entry) AS INTEGER) AS n FROM (VALUES ('art/a.png', 'pack_a.png'), ('b/a.png', 'pack_a-2.png'),
+      ('C.GIF', 'pack_C.GIF'), ('x__MACOSX/y.png', 'pack_y.png')) t(entry, name)""",
 }

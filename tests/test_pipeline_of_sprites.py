@@ -51,6 +51,7 @@ def test_links_and_targets(spark):
 def test_gallery_to_shards(spark, gallery, tmp_path):
     gallery.write.parquet(str(tmp_path / "pages"))
     command = ["--input", str(tmp_path / "pages"), "--url", "https://art.example/list?page={page}", "--end", "2", "--out", str(tmp_path / "out"), "--prefix", "07"]
+    command += ["--annotator", "spriteloom.operators.annotate:dry_run"]
     assert {r["verdict"]: r["n"] for r in main(command, spark).collect()} == {"accepted": 2}
     (tar,) = (tmp_path / "out" / "07" / "private_train").iterdir()
     assert tar.name == "private_train_shard_000000.tar"

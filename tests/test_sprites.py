@@ -1,3 +1,4 @@
+import json
 import struct
 import zlib
 
@@ -8,8 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import __spark_entry__ as entry
-from spriteloom.operators.annotate import parse_answer
-from spriteloom.operators.clean import clean_image, pixel_scale
+from spriteloom.operators.annotate import annotate, parse_answer
+from spriteloom.operators.clean import clean_image, pixel_scale, training_tensors
 from spriteloom.operators.ordering import numbered
 from spriteloom.operators.shards import assign_shards, slice_steps
 from spriteloom.operators.vq import quantize
@@ -23,7 +24,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in "documents pages part embeddings events labels conversations".split():
+    for t in "documents pages part embeddings events labels conversations benchmark".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return con
 
@@ -46,7 +47,7 @@ def test_arrow_cleaner_agrees_with_sql(spark):
     assert ours == {r["id"]: r["verdict"] for r in QUERIES["clean_verdict"](spark, SF).collect()}
 
 
-@pytest.mark.parametrize("name", ["annotate", "webdataset_write", "zip_expand", "batch_shuffle", "timestep_sample"])
+@pytest.mark.parametrize("name", ["annotate", "webdataset_write"])
 def test_other_queries_give_rows(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
 
@@ -120,6 +121,8 @@ def test_bulk_quantizer_agrees_with_sql(spark):
         ('{"description":"d","is\\_animation":true}', ("d", True, 1)),
         ("{}", ("No description", False, 1)),
         ("a nice sprite", ("a nice sprite", None, None)),
+        ('```json {"frames": 2}', ("No description", False, 2)),
+        ('x ASSISTANT: one ASSISTANT: ``` {"frames":4} ```', ('``` {"frames":4} ```', None, None)),
         ("[1]", ("[1]", None, None)),
         ('{"frames":4} extra', ('{"frames":4} extra', None, None)),
     ],
@@ -128,6 +131,30 @@ def test_answers(answer, want):
     assert tuple(parse_answer(answer).values()) == want
 
 
+def test_annotator_gets_the_instruction_and_rgb(spark):
+    art = np.random.default_rng(3).integers(0, 256, (5, 4, 4)).astype(np.uint8)
+    art[0, 0] = 0
+    rows = spark.createDataFrame([("a.png", encode_png(art))], "name string, png binary")
+
+    def make():
+        def answer(prompt, images):
+            for image in images:
+                rgba = decode_png(image)
+                yield json.dumps({"description": f"{prompt[:6]} {rgba[..., 3].min()} {rgba[0, 0, :3].sum()} {int(rgba[..., :3].sum())}", "frames": 3})
+
+        return answer
+
+    (got,) = annotate(rows, make).collect()
+    assert got["description"] == f"Answer 255 0 {int(art[..., :3].sum())}" and got["frames"] == 3
+
+
+def test_training_tensor(spark):
+    art = np.random.default_rng(4).integers(0, 256, (100, 7, 4)).astype(np.uint8)
+    (got,) = training_tensors(spark.createDataFrame([("a.png", encode_png(art)), ("b.png", b"junk")], "name string, content binary")).collect()
+    rows, columns = ((np.arange(64) + 0.5) * 100 / 64).astype(int), ((np.arange(64) + 0.5) * 7 / 64).astype(int)
+    np.testing.assert_allclose(np.array(got["tensor"]).reshape(4, 64, 64), art[rows][:, columns].transpose(2, 0, 1) / 127.5 - 1, atol=1e-6)
+
+
 def test_stream_sees_each_file_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for name in ("a", "b"):
