@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from spriteloom.sources.codec import decode_png, encode_png
+from spriteloom.sources.codec import decode_image, encode_png
 
 SMALLEST, MAX_COLORS = 4, 256
 OPEN_LICENSES = ("public_domain", "cc-by")
@@ -82,7 +82,7 @@ def _each(images: DataFrame, measure: Callable[[str, np.ndarray], pd.DataFrame],
     def run(frames):
         for frame in frames:
             for name, content in zip(frame["name"], frame["content"]):
-                if (rgba := decode_png(content)) is not None:
+                if (rgba := decode_image(content)) is not None:
                     yield measure(name, rgba)
 
     return images.select("name", "content").mapInPandas(run, schema)
@@ -146,7 +146,7 @@ def clean_images(images: DataFrame, max_colors: int = MAX_COLORS) -> DataFrame:
         for frame in frames:
             rows = []
             for name, content, license_type, url in zip(frame["name"], frame["content"], frame["license_type"], frame["source_url"]):
-                verdict, got = clean_image(decode_png(content), max_colors)
+                verdict, got = clean_image(decode_image(content), max_colors)
                 meta = None
                 if verdict == "accepted":
                     license_type = license_type or "private_train"

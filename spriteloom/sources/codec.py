@@ -1,4 +1,4 @@
-"""PNG to RGBA arrays and back with the standard library, and zip archives as rows."""
+"""PNG and GIF to RGBA arrays and PNG back with the standard library, and zip archives as rows."""
 
 from __future__ import annotations
 
@@ -112,6 +112,84 @@ def decode_png(data: bytes) -> np.ndarray | None:
         return None
 
 
+def _unpack_codes(data: bytes, least: int, size: int) -> np.ndarray:
+    """The first ``size`` colour numbers of a GIF's variable-width codes."""
+    clear, out = 1 << least, bytearray()
+    words: list[bytes] = []
+    last, held, bits, width = b"", 0, 0, least + 1
+    for byte in data:
+        held |= byte << bits
+        bits += 8
+        while bits >= width:
+            code = held & ((1 << width) - 1)
+            held >>= width
+            bits -= width
+            if code == clear:
+                words, last, width = [bytes([i]) for i in range(clear)] + [b"", b""], b"", least + 1
+                continue
+            if code == clear + 1 or not words:  # the end, or no table yet
+                return np.frombuffer(bytes(out[:size]), np.uint8)
+            word = words[code] if code < len(words) else last + last[:1]
+            out += word
+            if last and len(words) < 4096:
+                words.append(last + word[:1])
+            if len(words) == 1 << width and width < 12:
+                width += 1
+            last = word
+            if len(out) >= size:
+                return np.frombuffer(bytes(out[:size]), np.uint8)
+    return np.frombuffer(bytes(out[:size]), np.uint8)
+
+
+def decode_gif(data: bytes) -> np.ndarray | None:
+    """RGBA array of a GIF's first frame on its canvas, transparent where the frame is not; None if it can't be read."""
+    try:
+        if data[:6] not in (b"GIF87a", b"GIF89a"):
+            return None
+
+        def table(at: int, flags: int) -> tuple[np.ndarray | None, int]:
+            n = 3 << ((flags & 7) + 1) if flags & 0x80 else 0
+            return (np.frombuffer(data, np.uint8, n, at).reshape(-1, 3) if n else None), at + n
+
+        def blocks(at: int) -> tuple[bytes, int]:
+            body = b""
+            while data[at]:
+                body += data[at + 1 : at + 1 + data[at]]
+                at += data[at] + 1
+            return body, at + 1
+
+        width, height, flags = struct.unpack_from("<HHB", data, 6)
+        colours, at = table(13, flags)
+        clear = None
+        while data[at] == 0x21:  # extensions; one may name a transparent colour
+            body, end = blocks(at + 2)
+            if data[at + 1] == 0xF9 and body[0] & 1:
+                clear = body[3]
+            at = end
+        if data[at] != 0x2C:
+            return None
+        x, y, w, h, flags = struct.unpack_from("<HHHHB", data, at + 1)
+        own, at = table(at + 10, flags)
+        colours = colours if own is None else own
+        numbers = _unpack_codes(blocks(at + 1)[0], data[at], w * h).reshape(h, w)
+        if flags & 0x40:  # rows come in four passes
+            order = np.concatenate([np.arange(a, h, b) for a, b in ((0, 8), (4, 8), (2, 4), (1, 2))])
+            numbers = numbers[np.argsort(order)]
+        rgba = np.concatenate([colours[numbers], np.full((h, w, 1), 255, np.uint8)], axis=2)
+        if clear is not None:
+            rgba[numbers == clear] = 0
+        canvas = np.zeros((max(height, y + h), max(width, x + w), 4), np.uint8)
+        canvas[y : y + h, x : x + w] = rgba
+        return canvas
+    except (struct.error, ValueError, IndexError, TypeError):
+        return None
+
+
+def decode_image(data: bytes | None) -> np.ndarray | None:
+    """RGBA array of a PNG or GIF file; None for other files and those that can't be read."""
+    return decode_gif(data) if data and data[:3] == b"GIF" else decode_png(data)
+
+
 def wanted_entry(name: str) -> bool:
     return name.lower().endswith((".png", ".gif")) and not name.startswith("__MACOSX")
 

@@ -15,7 +15,7 @@ from spriteloom.operators.ordering import numbered
 from spriteloom.operators.shards import assign_shards, slice_steps
 from spriteloom.operators.vq import quantize
 from spriteloom.plans.queries import ORACLES, QUERIES
-from spriteloom.sources.codec import decode_png, encode_png
+from spriteloom.sources.codec import decode_image, decode_png, encode_png
 from spriteloom.streaming.incremental import clean_stream
 
 SF = "/root/testdata/sf0.001"
@@ -183,6 +183,64 @@ def stored_png(px, depth, color, interlaced, clear=b"", palette=None):
     return b"\x89PNG\r\n\x1a\n" + b"".join(chunk(k, d) for k, d in parts if d or k in (b"IDAT", b"IEND"))
 
 
+def packed_codes(numbers, least):
+    """Colour numbers as a GIF's codes: the table grows, is full for a while and then starts anew."""
+    clear, bits, n_bits, out = 1 << least, 0, 0, bytearray()
+    table, width = {bytes([i]): i for i in range(clear)}, least + 1
+
+    def put(code):
+        nonlocal bits, n_bits
+        bits |= code << n_bits
+        n_bits += width
+        while n_bits >= 8:
+            out.append(bits & 255)
+            bits >>= 8
+            n_bits -= 8
+
+    put(clear)
+    word, free, full = b"", clear + 2, 0
+    for v in numbers:
+        longer = word + bytes([v])
+        if longer in table:
+            word = longer
+            continue
+        put(table[word])
+        if free < 4096:
+            table[longer] = free
+            free += 1
+            if free > 1 << width and width < 12:
+                width += 1
+        else:
+            full += 1
+            if full > 50:
+                put(clear)
+                table, width, free, full = {bytes([i]): i for i in range(clear)}, least + 1, clear + 2, 0
+        word = bytes([v])
+    put(table[word])
+    put(clear + 1)
+    out.append(bits & 255)
+    return bytes(out)
+
+
+@pytest.mark.parametrize(("h", "w", "depth"), [(1, 1, 2), (5, 7, 2), (13, 6, 4), (90, 120, 8)])
+@pytest.mark.parametrize("interlaced", [False, True])
+def test_decode_gif(h, w, depth, interlaced):
+    rng = np.random.default_rng(9)
+    palette, px = rng.integers(0, 256, (1 << depth, 3)).astype(np.uint8), rng.integers(0, 1 << depth, (h, w)).astype(np.uint8)
+    rows = [r for a, b in ((0, 8), (4, 8), (2, 4), (1, 2)) for r in range(a, h, b)] if interlaced else list(range(h))
+    codes = packed_codes(px[rows].ravel().tolist(), depth)
+    body = b"".join(bytes([len(codes[i : i + 255])]) + codes[i : i + 255] for i in range(0, len(codes), 255)) + b"\0"
+    head = b"GIF89a" + struct.pack("<HHBBB", w + 2, h + 1, 0x80 | depth - 1, 0, 0) + palette.tobytes() + b"\x21\xf9\x04\x01\0\0\x01\0"
+    data = head + b"\x2c" + struct.pack("<HHHHB", 2, 1, w, h, 0x40 if interlaced else 0) + bytes([depth]) + body + b";"
+    got = decode_image(data)
+    want = np.zeros((h + 1, w + 2, 4), np.uint8)
+    want[1:, 2:, :3], want[1:, 2:, 3] = palette[px], 255
+    want[1:, 2:][px == 1] = 0
+    assert (got == want).all()
+    assert decode_image(data[:-20] if h > 1 else data[:30]) is None or h == 1
+    assert decode_image(None) is None and decode_image(b"GIF89a") is None
+
+
 @pytest.mark.parametrize("interlaced", [0, 1])
 def test_decode_every_kind_of_png(interlaced):
     rng = np.random.default_rng(7)
