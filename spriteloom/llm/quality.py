@@ -3,15 +3,17 @@
 One pass over the texts yields each document's statistics and the hashes of its
 lines, normalised (A-Z lower-cased, digits as 0, blanks collapsed).
 Distinct texts are counted per host and line, with partial sums before the
-shuffle.  A line is boilerplate on its host when it stands in more than
-``min_docs`` and more than ``min_share`` of the host's distinct texts.  A
-document that loses so many words with its boilerplate lines that less than
-``min_left`` of them remain is depleted and rejected.
-
-Texts that are exact copies count as one.  By default, as in ``OP7_SQL``, only
-lines of up to ``max_line_words`` words can be boilerplate; None counts lines of
-every length, and a ``min_share`` of 0 keeps the document limit from rising with
-the host.  README says what each limit spares.
+shuffle.  A line of any length is boilerplate on its host when it stands in more
+than ``min_docs`` of the host's distinct texts, however many the host has; a
+caller may also ask for more than ``min_share`` of them, or set aside lines of
+over ``max_line_words`` words.  A document that loses so many words with its
+boilerplate lines that less than ``min_left`` of them remain is depleted and
+rejected.  Texts that are exact copies count as one.
+
+``without_boilerplate`` takes the lines out.  Asked for ``everywhere``, it takes a
+line that is boilerplate on one host out of the texts of all hosts, so that what
+stays of a text depends on the text alone and copies on different hosts stay
+copies; a text of which less than ``min_left`` would stay is then left as it is.
 
 Cases: a null text counts as empty and fails the base rules; a null host is a
 host of its own; repeated rows are judged alike; extra columns are ignored.
@@ -22,14 +24,16 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from .common import cut, lower_ascii, same, text_or_empty
+from .common import cut, same, text_or_empty
 
-MAX_LINE_WORDS, MIN_DOCS, MIN_SHARE, MIN_LEFT = 20, 10, 0.01, 0.3
+MAX_LINE_WORDS, MIN_DOCS, MIN_SHARE, MIN_LEFT = None, 10, 0.0, 0.3
 _SYMBOLS = re.compile(r"[#*$%&|<>]").findall
 _BLANK = re.compile(r"[\x20\x09-\x0D]").findall
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
@@ -84,8 +88,10 @@ def _scan(max_line_words: int | None):
 def boilerplate(lines: DataFrame, texts: DataFrame, min_docs: int, min_share: float) -> DataFrame:
     """(host, h): lines in too many distinct texts of their host."""
     per_line = lines.select("host", "h", "text_hash").distinct().groupBy("host", "h").agg(F.count("*").alias("n"))
-    per_host = texts.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
     often = per_line.where(F.col("n") > min_docs)
+    if not min_share:
+        return often.select("host", "h")
+    per_host = texts.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
     return often.join(per_host, same(often, per_host, "host")).where(F.col("n") > F.col("n_texts") * min_share).select(often["host"], "h")
 
 
@@ -98,8 +104,11 @@ def quality_rules(
     min_share: float = MIN_SHARE,
     min_left: float = MIN_LEFT,
     key_col: str | None = None,
+    lines_of: str | None = None,
 ) -> DataFrame:
-    """One row per document: its statistics, base_failed, n_boilerplate_words and kept; with ``key_col`` also key (that binary column).
+    """One row per document: its statistics, base_failed, n_boilerplate_words and kept; with ``key_col`` also key (that
+    binary column), and with ``lines_of`` also boilerplate: hashes of its lines that are boilerplate on its "host", or
+    "everywhere": on any host, unless too little would be left.
 
     The scan's result (some numbers a document and a hash a line) is cut
     into the shared folder; texts are read once and never shuffled.
@@ -115,6 +124,14 @@ def quality_rules(
     judged = rows.join(lost, rows["row_no"] == lost["lost_row"], "left")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     lost_words = F.coalesce(F.col("lost"), F.lit(0)).cast("long")
+    gone = []
+    if lines_of:
+        anywhere = bad.select(F.col("bad_h").alias("any_h")).distinct()
+        own = lines.join(anywhere, F.col("h") == F.col("any_h")) if lines_of == "everywhere" else hit
+        own = own.groupBy(F.col("row_no").alias("own_row")).agg(F.collect_list("h").alias("hashes"), F.sum(F.col("w") * F.col("n")).alias("words"))
+        judged = judged.join(own, F.col("row_no") == F.col("own_row"), "left")
+        few_left = F.lit(lines_of == "everywhere") & (F.col("n_words") - F.col("words") < F.col("n_words") * min_left)
+        gone = [F.when(~few_left, F.col("hashes")).alias("boilerplate")]
     return judged.select(
         "doc_id",
         *_STATS,
@@ -122,29 +139,33 @@ def quality_rules(
         (~failed & (F.col("n_words") - lost_words >= F.col("n_words") * min_left)).alias("kept"),
         lost_words.alias("n_boilerplate_words"),
         *(["key"] if key_col else []),
+        *gone,
     )
 
 
-def without_boilerplate(docs: DataFrame, host_col: str = "source", **limits) -> DataFrame:
-    """The documents with their boilerplate lines taken out of ``text``; other columns stay.
+@F.pandas_udf(StringType())
+def _stripped(texts: pd.Series, hashes: pd.Series) -> pd.Series:
+    def strip(text, gone):
+        gone = set(gone)
+        return "\n".join(line for line in text.split("\n") if line_hash(line.encode())[0] not in gone)
 
-    Lines are compared in the JVM here, by the same normalisation.
-    """
-    limits = {"max_line_words": MAX_LINE_WORDS, "min_docs": MIN_DOCS, "min_share": MIN_SHARE} | limits
-    norm = F.trim(F.regexp_replace(F.regexp_replace(lower_ascii(F.col("line")), "[1-9]", "0"), r"[\x20\x09-\x0D]+", " "))
+    return pd.Series([strip(t, g) for t, g in zip(texts, hashes)], dtype=object)
+
+
+def strip_lines(docs: DataFrame, hashes: str) -> DataFrame:
+    """The documents without the lines whose hashes the column ``hashes`` has, and without that column."""
+    some = F.size(F.coalesce(F.col(hashes), F.array().cast("array<long>"))) > 0
+    text = F.when(some, _stripped(F.when(some, F.col("text")).otherwise(""), F.when(some, F.col(hashes)).otherwise(F.array().cast("array<long>")))).otherwise(F.col("text"))
+    return docs.withColumn("text", text).drop(hashes)
+
+
+def without_boilerplate(docs: DataFrame, host_col: str = "source", everywhere: bool = False, **limits) -> DataFrame:
+    """The documents with boilerplate lines taken out of ``text``; other columns stay."""
     rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()))
-    every = rows.select("__row", F.col(host_col).alias("host"), F.xxhash64(text_or_empty()).alias("text_hash"), F.posexplode(F.split(text_or_empty(), "\n", -1)).alias("at", "line"))
-    every = every.withColumn("h", F.xxhash64(norm)).withColumn("w", F.when(norm == "", 0).otherwise(F.size(F.split(norm, " "))))
-    short = every.where("w > 0")
-    if limits["max_line_words"] is not None:
-        short = short.where(F.col("w") <= limits["max_line_words"])
-    bad = boilerplate(short, every, limits["min_docs"], limits["min_share"]).withColumnsRenamed({"host": "bad_host", "h": "bad_h"})
-    is_bad = (short["h"] == bad["bad_h"]) & short["host"].eqNullSafe(bad["bad_host"])
-    gone = short.join(bad, is_bad).groupBy(F.col("__row").alias("gone_row")).agg(F.collect_set("at").alias("__gone"))
-    joined = rows.join(gone, rows["__row"] == gone["gone_row"], "left")
-    left = F.filter(F.split(F.col("text"), "\n", -1), lambda x, i: ~F.array_contains("__gone", i))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    key = F.expr("unhex(lpad(hex(__row), 16, '0'))")
+    found = quality_rules(rows.withColumn("__key", key), "__row", host_col, key_col="__key", lines_of="everywhere" if everywhere else "host", **limits)
+    found = found.where("boilerplate IS NOT NULL").select(F.col("doc_id").alias("__own"), F.col("boilerplate").alias("__gone"))
+    return strip_lines(rows.join(found, F.col("__row") == F.col("__own"), "left"), "__gone").select(*docs.columns)
 
 
 OP7_SQL = r"""
@@ -168,14 +189,12 @@ dup AS (
 norm AS (
   SELECT r, host, body, trim(regexp_replace(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
            '[1-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS x FROM l),
-short AS (
-  SELECT r, host, body, x, len(string_split(x, ' ')) AS k FROM norm WHERE x <> '' AND len(string_split(x, ' ')) <= 20),
+whole AS (
+  SELECT r, host, body, x, len(string_split(x, ' ')) AS k FROM norm WHERE x <> ''),
 bad AS (
-  SELECT s.host, s.x FROM (SELECT host, x, count(DISTINCT body) AS n FROM short GROUP BY host, x) s
-  JOIN (SELECT host, count(DISTINCT body) AS n FROM d GROUP BY host) t ON s.host IS NOT DISTINCT FROM t.host
-  WHERE s.n > 10 AND s.n > 0.01 * t.n),
+  SELECT host, x FROM whole GROUP BY host, x HAVING count(DISTINCT body) > 10),
 lost AS (
-  SELECT r, sum(k) AS n FROM short s JOIN bad b ON s.host IS NOT DISTINCT FROM b.host AND s.x = b.x GROUP BY r),
+  SELECT r, sum(k) AS n FROM whole s JOIN bad b ON s.host IS NOT DISTINCT FROM b.host AND s.x = b.x GROUP BY r),
 f AS (
   SELECT d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words,
          CAST(length(regexp_replace(body, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,

@@ -59,4 +59,16 @@ def test_long_lines_and_hot_hosts_count_without_the_limits(spark):
     lost = {r["doc_id"]: r["n_boilerplate_words"] for r in quality_rules(df, **every).collect()}
     assert all(lost[i] == (60 if i < 11 else 0) for i in lost)
     assert {r["doc_id"]: r["text"] for r in without_boilerplate(df, **every).collect()}[3] == "own text 3"
-    assert not any(r["n_boilerplate_words"] for r in quality_rules(df).collect() if r["doc_id"] < 100)
+    limits = {"max_line_words": 20, "min_share": 0.01}
+    assert not any(r["n_boilerplate_words"] for r in quality_rules(df, **limits).collect() if r["doc_id"] < 100)
+    assert all(r["n_boilerplate_words"] for r in quality_rules(df).collect() if r["doc_id"] < 11)
+
+
+def test_lines_go_everywhere_unless_too_little_stays(spark):
+    menu = "\n".join(f"Menu entry {i}: go" for i in "abcdefghijklmnop")
+    own = " ".join(f"own{k}" for k in range(80))
+    rows = [(i, f"{menu}\n{own} {i}", "h") for i in range(20)] + [(100, f"{menu}\n{own} 3", "other"), (101, f"{menu}\nfew", "other"), (102, None, None), (None, f"{menu}\n{own} x", None)]
+    df = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, source string, boilerplate int")
+    got = {r["doc_id"]: r for r in without_boilerplate(df, everywhere=True).collect()}
+    assert got[3]["text"] == got[100]["text"] == f"{own} 3" and got[None]["text"] == f"{own} x"
+    assert got[101]["text"] == f"{menu}\nfew" and got[102]["text"] is None and got[3].__fields__ == df.columns and got[3]["boilerplate"] == 7
