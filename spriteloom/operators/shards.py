@@ -5,8 +5,10 @@ depends on all rows before it.  Still no task sees a whole bucket.  A bucket is
 cut into slices of ids.  What a slice does to the bytes that it is entered with
 is a step function: with more bytes held, the first shard ends at an earlier
 row, and from that row on everything is settled.  Each slice works out this
-function once, a short fold over the slices then says what every slice is
-entered with, and each slice assigns its own rows.
+function once.  The functions of neighbours are composed in a tree, FAN at a
+time; a composition has no more steps than its first member where that fills a
+shard, so nothing grows with the bucket.  Down the tree every slice is told what
+it is entered with, and it assigns its own rows.
 """
 
 from __future__ import annotations
@@ -20,6 +22,11 @@ from pyspark.sql import functions as F
 
 from spriteloom.operators.ordering import PART_ROWS, slices
 
+#: Neighbours whose step functions are composed in one task.
+FAN = 8
+_STEPS = "bucket string, slice int, needs long, begun long, held long, total long"
+_ENTERED = "in_bucket string, in_slice int, entered long, first_shard long"
+
 
 def slice_steps(sizes: np.ndarray, limit: int) -> list[tuple[int, int, int]]:
     """(needs, shards, held), by falling ``needs``: a slice entered with at least ``needs`` bytes, and less than the
@@ -43,11 +50,35 @@ def slice_steps(sizes: np.ndarray, limit: int) -> list[tuple[int, int, int]]:
     return steps
 
 
+def entered_with(steps: pd.DataFrame, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(shards begun, bytes left) of a slice, by falling ``needs``, for each number of bytes that it may be entered with."""
+    needs, begun, left = (steps[c].to_numpy() for c in ("needs", "begun", "held"))
+    at = np.searchsorted(-needs, -held)  # the first step that these bytes reach
+    taken, at = at < len(needs), np.minimum(at, len(needs) - 1)
+    return np.where(taken, begun[at], 0), np.where(taken, left[at], held + int(steps["total"].iloc[0]))
+
+
+def composed(first: pd.DataFrame, second: pd.DataFrame) -> pd.DataFrame:
+    """The steps of two neighbours as those of one slice."""
+    begun, held = entered_with(second, first["held"].to_numpy())
+    upper = pd.DataFrame({"needs": first["needs"].to_numpy(), "begun": first["begun"].to_numpy() + begun, "held": held})
+    added = int(first["total"].iloc[0])  # entered with less than any step of the first needs
+    lower = pd.DataFrame({"needs": np.maximum(0, second["needs"].to_numpy() - added), "begun": second["begun"].to_numpy(), "held": second["held"].to_numpy()})
+    both = pd.concat([upper, lower[lower["needs"] < upper["needs"].iloc[-1]]], ignore_index=True).drop_duplicates("needs")
+    same = (both[["begun", "held"]].shift(-1) == both[["begun", "held"]]).all(axis=1)  # the lower need says it all
+    return both[~same].assign(total=added + int(second["total"].iloc[0]))
+
+
+def _children(frame: pd.DataFrame):
+    for part, own in frame.sort_values(["slice", "needs"], ascending=[True, False]).groupby("slice"):
+        yield part, own
+
+
 def assign_shards(rows: DataFrame, limit: int, part_rows: int | None = None) -> DataFrame:
     """(bucket, id, size, shard) for rows with a whole-number ``id``; only ids and sizes move, never the payload.
 
     By default a slice has the rows of some eight shards, and ``PART_ROWS`` at
-    least; the fold over a bucket's slices sees at most one shard's rows of each.
+    least; a task of the tree sees at most one shard's rows of each of FAN slices.
     A null bucket is a bucket of its own; a null size counts as 0.
     """
     sizes = rows.select("bucket", F.col("id").cast("long").alias("id"), F.coalesce("size", F.lit(0)).cast("long").alias("size"))
@@ -60,15 +91,18 @@ def assign_shards(rows: DataFrame, limit: int, part_rows: int | None = None) ->
         got = slice_steps(frame.sort_values(["id", "size"])["size"].to_numpy(), limit)
         return pd.DataFrame([(key[0], key[1], *s, int(frame["size"].sum())) for s in got], columns=["bucket", "slice", "needs", "begun", "held", "total"])
 
+    def compose(key, frame):
+        one, *others = (own for _, own in _children(frame))
+        for own in others:
+            one = composed(one, own)
+        return one.assign(bucket=key[0], slice=key[1])[["bucket", "slice", "needs", "begun", "held", "total"]]
+
     def enter(key, frame):
-        shard, held, out = 0, 0, []
-        for part, own in frame.sort_values(["slice", "needs"], ascending=[True, False]).groupby("slice"):
+        shard, held, out = int(frame["first_shard"].iloc[0]), int(frame["entered"].iloc[0]), []
+        for part, own in _children(frame):
             out.append((key[0], part, held, shard))
-            taken = own[own["needs"] <= held].head(1)
-            if len(taken):
-                shard, held = shard + int(taken["begun"].iloc[0]), int(taken["held"].iloc[0])
-            else:
-                held += int(own["total"].iloc[0])
+            begun, left = entered_with(own, np.array([held]))
+            shard, held = shard + int(begun[0]), int(left[0])
         return pd.DataFrame(out, columns=["in_bucket", "in_slice", "entered", "first_shard"])
 
     def assign(frame):
@@ -81,7 +115,15 @@ def assign_shards(rows: DataFrame, limit: int, part_rows: int | None = None) ->
             out[k] = shard
         return frame.assign(shard=out)[["bucket", "id", "size", "shard"]]
 
-    stepped = sliced.groupBy("bucket", "slice").applyInPandas(steps, "bucket string, slice int, needs long, begun long, held long, total long")
-    entered = stepped.groupBy("bucket").applyInPandas(enter, "in_bucket string, in_slice int, entered long, first_shard long")
+    top = sliced.agg(F.max("slice")).first()[0] or 0
+    levels = [sliced.groupBy("bucket", "slice").applyInPandas(steps, _STEPS).persist()]
+    parent = F.floor(F.col("slice") / FAN).cast("int")
+    while top:
+        levels.append(levels[-1].groupBy("bucket", parent.alias("parent")).applyInPandas(compose, _STEPS).persist())
+        top //= FAN
+    entered = levels[-1].select(F.col("bucket").alias("in_bucket"), F.col("slice").alias("in_slice"), F.lit(0).alias("entered"), F.lit(0).alias("first_shard")).distinct()
+    for level in reversed(levels[:-1]):
+        told = level.join(entered, level["bucket"].eqNullSafe(entered["in_bucket"]) & (parent == F.col("in_slice")))
+        entered = told.groupBy("bucket", "in_slice").applyInPandas(enter, _ENTERED)
     joined = sliced.join(entered, sliced["bucket"].eqNullSafe(entered["in_bucket"]) & (F.col("slice") == F.col("in_slice")))
     return joined.drop("in_bucket", "in_slice").groupBy("bucket", "slice").applyInPandas(assign, "bucket string, id long, size long, shard long")

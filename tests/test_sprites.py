@@ -4,6 +4,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,7 +13,7 @@ import __spark_entry__ as entry
 from spriteloom.operators.annotate import annotate, parse_answer
 from spriteloom.operators.clean import clean_image, pixel_scale, training_tensors
 from spriteloom.operators.ordering import numbered
-from spriteloom.operators.shards import assign_shards, slice_steps
+from spriteloom.operators.shards import assign_shards, composed, entered_with, slice_steps
 from spriteloom.operators.vq import quantize
 from spriteloom.plans.queries import ORACLES, QUERIES
 from spriteloom.sources.codec import decode_image, decode_png, encode_png
@@ -88,10 +89,28 @@ def test_slice_steps(sizes, limit, entered):
     assert (shard, held) == ((taken[0][1], taken[0][2]) if taken else (0, entered + sum(sizes)))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 12), min_size=1, max_size=12), min_size=2, max_size=6), st.integers(1, 30))
+def test_composed_steps(slices, limit):
+    def of(sizes):
+        return pd.DataFrame([(*s, sum(sizes)) for s in slice_steps(np.array(sizes), limit)], columns=["needs", "begun", "held", "total"])
+
+    one = of(slices[0])
+    for sizes in slices[1:]:
+        one = composed(one, of(sizes))
+    for entered in range(2 * limit):
+        shard, held = 0, entered
+        for size in (x for sizes in slices for x in sizes):
+            if held >= limit:
+                shard, held = shard + 1, 0
+            held += size
+        assert tuple(int(v[0]) for v in entered_with(one, np.array([entered]))) == (shard, held)
+
+
 def test_shards_and_positions_over_many_slices(spark):
     rng = np.random.default_rng(5)
     data = [(b, i * 3 - 500, int(rng.integers(0, 9)) if i % 50 else None) for i in range(600) for b in ("a", None)]
-    got = assign_shards(spark.createDataFrame(data, "bucket string, id long, size long"), 25, part_rows=40).collect()
+    got = assign_shards(spark.createDataFrame(data, "bucket string, id long, size long"), 25, part_rows=12).collect()
     for bucket in ("a", None):
         shard, held, want = 0, 0, []
         for _, i, size in sorted((str(b), i, s or 0) for b, i, s in data if b == bucket):
