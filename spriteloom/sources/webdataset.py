@@ -28,16 +28,22 @@ class TarWriter(DataSourceWriter):
         from pyspark import TaskContext
 
         tars, task = {}, TaskContext.get().taskAttemptId()
-        for row in rows:
-            key = (row["bucket"], row["shard"])
-            if key not in tars:
-                os.makedirs(folder := os.path.join(self.path, row["bucket"]), exist_ok=True)
-                final = os.path.join(folder, f"{row['bucket']}_shard_{row['shard']:06d}.tar")
-                tars[key] = (final, tarfile.open(f"{final}.{task}", "w"))
-            for kind, data in (("png", row["png"]), ("json", row["json"].encode())):
-                info = tarfile.TarInfo(f"{row['name']}.{kind}")
-                info.size = len(data)
-                tars[key][1].addfile(info, io.BytesIO(data))
+        try:
+            for row in rows:
+                key = (row["bucket"], row["shard"])
+                if key not in tars:
+                    os.makedirs(folder := os.path.join(self.path, row["bucket"]), exist_ok=True)
+                    final = os.path.join(folder, f"{row['bucket']}_shard_{row['shard']:06d}.tar")
+                    tars[key] = (final, tarfile.open(f"{final}.{task}", "w"))
+                for kind, data in (("png", row["png"]), ("json", row["json"].encode())):
+                    info = tarfile.TarInfo(f"{row['name']}.{kind}")
+                    info.size = len(data)
+                    tars[key][1].addfile(info, io.BytesIO(data))
+        except BaseException:
+            for final, tar in tars.values():
+                tar.close()
+                os.unlink(f"{final}.{task}")
+            raise
         for final, tar in tars.values():
             tar.close()
             os.replace(f"{final}.{task}", final)
