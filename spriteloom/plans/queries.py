@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import re
+import tempfile
 import uuid
 import zipfile
 
@@ -189,7 +190,9 @@ def webdataset_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = done.join(assign_shards(sizes, 20_000).select("id", "shard"), "id")
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors mount: the tar files go there")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors mount: the tar files go there")
+        folder = tempfile.mkdtemp()  # driver and executors are one process
     path = f"{folder.removeprefix('file://')}/webdataset-{uuid.uuid4().hex}"
     rows = placed.select("bucket", "shard", F.col("id").cast("string").alias("name"), "png", "json").repartition("bucket", "shard")
     rows.write.format("webdataset").mode("append").save(path)
