@@ -18,7 +18,7 @@ from spriteloom.llm.common import cut, text_or_empty
 from spriteloom.llm.exact_dedup import exact_dedup, plain_sha256
 from spriteloom.llm.packing import pack_documents
 from spriteloom.llm.pii import redact
-from spriteloom.llm.quality import quality_rules
+from spriteloom.llm.quality import quality_rules, strip_lines
 from spriteloom.llm.simhash import simhash_dedup
 
 
@@ -34,10 +34,18 @@ def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go; the others stay as they are."""
+    """Documents that the quality rules reject go; the others lose their boilerplate lines, and n_chars follows the text."""
     host = F.coalesce(F.concat(F.lit("s"), F.length("source").cast("string"), F.lit(":"), "source"), F.lit("n"))  # verdicts differ by host
     keyed = docs.withColumn("__key", F.unhex(F.sha2(F.concat(host, text_or_empty()).cast("binary"), 256)))
-    return _only(keyed, quality_rules(keyed, key_col="__key").where("kept")).drop("__key")
+    kept = quality_rules(keyed, key_col="__key", lines_of="everywhere").where("kept").groupBy(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key"))
+    kept = kept.agg(F.first("boilerplate").alias("__gone"))  # equal rows have equal lines
+    found = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("__key") == F.col("kept_key")))
+    return _with_n_chars(strip_lines(found, "__gone"), docs)
+
+
+def _with_n_chars(changed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, with ``n_chars``, if there is one, as the text now has it."""
+    return changed.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +67,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind; n_chars follows the text."""
-    clean = redact(docs)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns) if "n_chars" in docs.columns else clean
+    return _with_n_chars(redact(docs), docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
