@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,10 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; only a session without that setting (tests, a laptop) gets a local one."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; a session in one process (tests, a laptop) gets a local one, a cluster without that setting fails."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return sc.getCheckpointDir()
 
 
