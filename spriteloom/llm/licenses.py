@@ -1,13 +1,18 @@
 """Licence scans: phrases, and an exact set-similarity join of text blocks with licence templates.
 
-A block is a line of a text, as its set of tokens.  It meets a template when it
-holds at least ``threshold`` of the template's tokens.  Tokens are ordered by
+A block is a line of a text, or a paragraph of several lines (what stands between
+empty ones), as its set of tokens.  It meets a template when it holds at least
+``threshold`` of the template's tokens; licence names are looked for in lines,
+sentences of licence texts in lines and paragraphs, over which they are often
+wrapped.  Tokens are ordered by
 their frequency over all blocks, rarest first.  A block that meets the
 threshold must hold one of the template's first ``size - need + 1`` tokens
 (prefix filter), must have ``need`` template tokens (length filter), and its
 first common token must leave enough tokens behind it on both sides
 (positional filter); what passes is verified on the whole sets.  The join loses
-no block and has no caps.  All of it is DataFrame expressions.
+no block and has no caps.  Texts are split into blocks once; the template tokens
+of those that hold any are written into the shared folder, and counts and join
+read them there.  All of it is DataFrame expressions.
 
 Templates are a fixed parameter: their tokens, a few dozen, are the only thing
 that is sent to the driver (with their counts) or broadcast.
@@ -25,28 +30,43 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import cut, text_or_empty
 
 #: Phrase to label.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Label to template.
-TEMPLATES = {
-    "apache": "Apache License",
-    "mit": "MIT License",
-    "bsd": "Redistribution and use in source and binary forms with or without modification are permitted",
-    "isc": "ISC License",
-    "mpl": "Mozilla Public License",
-    "gpl": "GNU General Public License",
-    "lgpl": "Lesser General Public License",
-    "agpl": "Affero General Public License",
-    "cc-by-nc": "CC BY NC",
-    "cc-by-nd": "CC BY ND",
-    "cc-by-sa": "CC BY SA",
-    "cc0": "CC0 Public Domain Dedication",
-    "unlicense": "free and unencumbered software released into the public domain",
-    "proprietary": "proprietary and confidential unauthorized copying is prohibited",
-}
+#: (label, template) for lines: names of licences.
+TEMPLATES = (
+    ("apache", "Apache License"),
+    ("mit", "MIT License"),
+    ("isc", "ISC License"),
+    ("mpl", "Mozilla Public License"),
+    ("gpl", "GNU General Public License"),
+    ("lgpl", "Lesser General Public License"),
+    ("agpl", "Affero General Public License"),
+    ("cc-by-nc", "CC BY NC"),
+    ("cc-by-nd", "CC BY ND"),
+    ("cc-by-sa", "CC BY SA"),
+    ("cc0", "CC0 Public Domain Dedication"),
+    ("proprietary", "proprietary and confidential unauthorized copying is prohibited"),
+)
+#: (label, template) for lines and paragraphs: sentences of licence texts.
+BODIES = (
+    ("apache", "you may not use this file except in compliance with the License you may obtain a copy of the License at"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the License is distributed on an as is basis"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal in the software without restriction"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("mpl", "this source code form is subject to the terms of the Mozilla Public License"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the GNU General Public License"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages"),
+)
 THRESHOLD = 0.8
+Templates = tuple[tuple[str, str], ...]
+#: What stands between paragraphs.
+EMPTY_LINE = r"\n[\x20\x09\x0B-\x0D]*\n"
 #: What stands between words, before A-Z are lower-cased.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _PHRASE = "(?i)(?<![^ ])(?:" + "|".join(PHRASES) + ")(?![^ ])"
@@ -86,44 +106,51 @@ def phrase_rows(docs: DataFrame) -> DataFrame:
     ).withColumn("n_base", F.when(F.col("n_base") > 0, F.col("n_base")).otherwise(F.lit(0)).cast("long"))
 
 
-def block_tokens(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(doc_id, text_hash, tokens) per line: its tokens that stand in ``vocabulary``, in that order."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"), F.explode(F.split(text_or_empty(), "\n", -1)).alias("line"))
-    words = F.split(F.lower(F.regexp_replace("line", GAP, " ")), " ")
-    ordered = F.array_intersect(F.array(*map(F.lit, vocabulary)), words)
-    return lines.select("doc_id", "text_hash", ordered.alias("tokens")).where(F.size("tokens") > 0)
+def blocks_of(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(doc_id, text_hash, is_line, tokens) per line and per paragraph of several lines: its tokens that stand in ``vocabulary``, if there are any."""
+    text = text_or_empty()
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.struct(F.lit(True).alias("is_line"), x.alias("words")))
+    wrapped = F.filter(F.split(text, EMPTY_LINE, -1), lambda x: F.contains(x, F.lit("\n")))
+    paragraphs = F.transform(wrapped, lambda x: F.struct(F.lit(False).alias("is_line"), x.alias("words")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.explode(F.concat(lines, paragraphs)).alias("b"))
+    words = F.split(F.lower(F.regexp_replace("b.words", GAP, " ")), " ")
+    tokens = F.array_intersect(F.array(*map(F.lit, vocabulary)), words)
+    return rows.select("doc_id", "text_hash", "b.is_line", tokens.alias("tokens")).where(F.size("tokens") > 0)
 
 
-def similar_blocks(docs: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
+def similar_blocks(docs: DataFrame, names: Templates, bodies: Templates, threshold: float) -> DataFrame:
     """(doc_id, text_hash, label, share) for every block that meets a template's threshold."""
-    sets = {label: tokens_of(text) for label, text in templates.items()}
-    vocabulary = sorted({t for s in sets.values() for t in s})
-    counted = block_tokens(docs, vocabulary).select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    templates = [(label, tokens_of(text), True) for label, text in names] + [(label, tokens_of(text), False) for label, text in bodies]
+    vocabulary = sorted({t for _, tokens, _ in templates for t in tokens})
+    found = cut(blocks_of(docs, vocabulary))
+    counted = found.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     often = {r["token"]: r["n"] for r in counted.collect()}  # no more rows than the templates have tokens
     order = sorted(vocabulary, key=lambda t: (often.get(t, 0), t))
-    prefixes = []
-    for label, tokens in sets.items():
+    entry, first = [], set()
+    for label, tokens, line_only in templates:
         need = max(1, math.ceil(threshold * len(tokens) - 1e-9))
         ranked = sorted(tokens, key=order.index)
-        prefixes += [(t, label, k, len(tokens), need) for k, t in enumerate(ranked[: len(tokens) - need + 1])]
-    entry = [F.struct(F.lit(t).alias("token"), F.lit(lb).alias("label"), F.lit(k).alias("t_at"), F.lit(n).alias("t_size"), F.lit(need).alias("need"), F.array(*map(F.lit, sorted(sets[lb], key=order.index))).alias("t_tokens")) for t, lb, k, n, need in prefixes]
+        for k, t in enumerate(ranked[: len(tokens) - need + 1]):
+            first.add(t)
+            fixed = {"token": F.lit(t), "label": F.lit(label), "line_only": F.lit(line_only), "t_at": F.lit(k), "t_size": F.lit(len(tokens)), "need": F.lit(need)}
+            entry.append(F.struct(*(v.alias(n) for n, v in fixed.items()), F.array(*map(F.lit, ranked)).alias("t_tokens")))
     index = docs.sparkSession.range(1).select(F.explode(F.array(*entry)).alias("e")).select("e.*")
-    blocks = block_tokens(docs, order).where(F.arrays_overlap("tokens", F.array(*(F.lit(t) for t in sorted({p[0] for p in prefixes})))))
-    at = blocks.select("doc_id", "text_hash", "tokens", F.posexplode("tokens").alias("b_at", "token"))
+    blocks = found.withColumn("tokens", F.array_intersect(F.array(*map(F.lit, order)), F.col("tokens")))
+    at = blocks.select("doc_id", "text_hash", "is_line", "tokens", F.posexplode("tokens").alias("b_at", "token")).where(F.col("token").isin(*sorted(first)))
     b_left, t_left = F.size("tokens") - F.col("b_at") - 1, F.col("t_size") - F.col("t_at") - 1
     most = F.least("b_at", "t_at") + 1 + F.least(b_left, t_left)
-    pairs = at.join(F.broadcast(index), "token").where((F.size("tokens") >= F.col("need")) & (most >= F.col("need")))
+    pairs = at.join(F.broadcast(index), "token").where((F.col("is_line") | ~F.col("line_only")) & (F.size("tokens") >= F.col("need")) & (most >= F.col("need")))
     shared = F.size(F.array_intersect("tokens", "t_tokens"))
     return pairs.where(shared >= F.col("need")).select("doc_id", "text_hash", "label", (shared / F.col("t_size")).alias("share"))
 
 
-def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def license_scan(docs: DataFrame, names: Templates = TEMPLATES, bodies: Templates = BODIES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     ``score`` is the largest share of a template that one block of the text holds.
     """
     base = phrase_rows(docs)
-    blocks = similar_blocks(docs, templates or TEMPLATES, threshold)
+    blocks = similar_blocks(docs, names, bodies, threshold)
     best = blocks.groupBy("doc_id", "text_hash").agg(F.collect_set("label").alias("more"), F.max("share").alias("score"))
     best = best.withColumnsRenamed({"doc_id": "b_id", "text_hash": "b_hash"})
     joined = base.join(best, base["doc_id"].eqNullSafe(best["b_id"]) & (base["text_hash"] == best["b_hash"]), "left")
@@ -138,8 +165,8 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, thres
 
 OP2_SQL = (
     r"""
-WITH t(label, toks) AS (VALUES """
-    + ", ".join(f"('{label}', {tokens_of(text)})" for label, text in TEMPLATES.items())
+WITH t(label, line_only, toks) AS (VALUES """
+    + ", ".join(f"('{label}', {names is TEMPLATES}, {tokens_of(text)})" for names in (TEMPLATES, BODIES) for label, text in names)
     + r"""),
 d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
@@ -156,11 +183,12 @@ b AS (
   SELECT r, count(*) AS n, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels
   FROM p WHERE label IS NOT NULL GROUP BY r),
 k AS (
-  SELECT r, list_distinct(regexp_extract_all(lower(line), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS toks
-  FROM (SELECT r, unnest(string_split(body, chr(10))) AS line FROM d)),
+  SELECT r, is_line, list_distinct(regexp_extract_all(lower(block), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS toks
+  FROM (SELECT r, true AS is_line, unnest(string_split(body, chr(10))) AS block FROM d
+        UNION ALL SELECT r, false, unnest(regexp_split_to_array(body, '\n[\x20\x09\x0B-\x0D]*\n')) FROM d)),
 m AS (
   SELECT r, list(DISTINCT label) AS labels, max(share) AS score
-  FROM (SELECT r, label, len(list_intersect(k.toks, t.toks)) / len(t.toks) AS share FROM k, t)
+  FROM (SELECT r, label, len(list_intersect(k.toks, t.toks)) / len(t.toks) AS share FROM k, t WHERE is_line OR NOT line_only)
   WHERE share >= 0.8 - 1e-9 GROUP BY r)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base,
        CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,

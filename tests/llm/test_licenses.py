@@ -1,6 +1,6 @@
 import re
 
-from spriteloom.llm.licenses import PHRASES, TEMPLATES, license_scan, tokens_of
+from spriteloom.llm.licenses import BODIES, PHRASES, TEMPLATES, license_scan, tokens_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -13,13 +13,15 @@ def brute(text):
     words = WORD.findall(ascii_lower(text))
     places = [(i, label) for i in range(len(words)) for phrase, label in PHRASES.items() if words[i : i + len(phrase.split())] == phrase.split()]
     shares = {}
-    for line in text.split("\n"):
-        tokens = set(WORD.findall(line.lower()))
-        for label, template in TEMPLATES.items():
-            want = tokens_of(template)
-            share = len(tokens & set(want)) / len(want)
-            if share >= 0.8:
-                shares[label] = max(share, shares.get(label, 0))
+    lines, paragraphs = text.split("\n"), [p for p in re.split(r"\n[\x20\x09\x0B-\x0D]*\n", text) if "\n" in p]
+    for blocks, templates in ((lines, TEMPLATES + BODIES), (paragraphs, BODIES)):
+        for block in blocks:
+            tokens = set(WORD.findall(block.lower()))
+            for label, template in templates:
+                want = tokens_of(template)
+                share = len(tokens & set(want)) / len(want)
+                if share >= 0.8:
+                    shares[label] = max(share, shares.get(label, 0))
     base = {label for _, label in places}
     ends = (places[0][0], places[-1][0]) if places else (None, None)
     return len(words), len(places), *ends, ",".join(sorted(base)), ",".join(sorted(base | set(shares))), max(shares.values(), default=0.0)
@@ -43,7 +45,8 @@ def test_crafted_blocks(spark):
         "CC BY cc by Cc-By", "All rights reserved. all  rights\nreserved", "cc by", "acc by", "general public licenses", "GNU General Public License",
         "This is free and unencumbered software released into the domain", "free software\nreleased into the public domain",
         "license the of MIT", "Redistribution and use in source and binary forms are permitted with modification", "écc by", "ccé by", "K cc by",
-        "License Apache " * 500, "x\n" * 2000 + "isc license", " ".join(TEMPLATES.values()),
+        "License Apache " * 500, "x\n" * 2000 + "isc license", " ".join(t for _, t in TEMPLATES + BODIES),
+        *("Notice\n \n" + t.replace(" ", "\n", 9)[:k] + "\n\nEnd" for _, t in BODIES for k in (70, 90, 400)), "Apache\nLicense",
     ]
     check(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
 
