@@ -7,7 +7,8 @@ the fullest feasible combination of available lengths; that combination is
 removed as often as the histogram allows.  The result is a short list of bin
 patterns.  Pieces then look up their places in parallel: a piece is known by
 its length and its rank among the pieces of that length, and ranks come from
-counts per (length, bucket), so no length gathers in one task.
+counts per (length, bucket), summed up in two levels, so no length gathers in
+one task.
 
 Cases: a null text counts as empty and still yields its end token; documents
 longer than the capacity are cut into full pieces, the first of which may be
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from . import chunks
 from .common import cut, text_or_empty
 
+#: Buckets that one task sums up; sums of spans of so many are summed up after them.
+SPAN_BUCKETS = 1_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _tools: dict = {}
 
@@ -170,6 +173,12 @@ def places(patterns: list[tuple[dict[int, int], int]]) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
+def _before(counts: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Adds ``before``: the sum of ``n`` over what comes earlier in the group."""
+    earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+
 def pack(pieces: DataFrame, capacity: int, bucket_rows: int = 10_000) -> DataFrame:
     """Adds sequence_id and offset to rows with doc_id, piece and length (cut from lineage before)."""
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
@@ -179,8 +188,11 @@ def pack(pieces: DataFrame, capacity: int, bucket_rows: int = 10_000) -> DataFra
 
     rows = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n_buckets)))
     per_bucket = rows.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = per_bucket.select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_rank"))
+    per_bucket = per_bucket.withColumn("span", F.floor(F.col("bucket") / SPAN_BUCKETS))
+    per_span = per_bucket.groupBy("length", "span").agg(F.sum("n").alias("n"))
+    in_span = _before(per_bucket, ["length", "span"], "bucket").withColumnRenamed("before", "in_span")
+    firsts = in_span.join(_before(per_span, ["length"], "span").drop("n"), ["length", "span"])
+    firsts = firsts.select("length", "bucket", (F.col("in_span") + F.col("before")).alias("first_rank"))
     within = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")
     ranked = rows.withColumn("nth", F.row_number().over(within)).join(firsts, ["length", "bucket"])
     ranked = ranked.withColumn("rank", F.col("first_rank") + F.col("nth") - 1)

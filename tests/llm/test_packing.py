@@ -8,12 +8,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from spriteloom.llm import packing
 from spriteloom.llm.packing import ChunkEncoder, bin_patterns, cut_points, fullest, pack_documents
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 ENCODER, LIBRARY = ChunkEncoder(PATH, public_tokenizers.PATTERN), Tokenizer.from_file(PATH)
-LIBRARY.encode_special_tokens = True
 
 
 @pytest.fixture
@@ -50,6 +50,16 @@ def test_documents(small, tokenizer):
     check(small, tokenizer)
 
 
+def test_ranks_are_summed_up_in_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SPAN_BUCKETS", 2)
+    rows = [(i, 0, 0, 3 + i % 4, i * 7919 % 1000) for i in range(400)] * 2
+    got = packing.pack(spark.createDataFrame(rows, packing._PIECES), 16, bucket_rows=20).collect()
+    assert Counter((r["doc_id"], r["length"], r["ids_crc32"]) for r in got) == Counter((d, n, c) for d, _, _, n, c in rows)
+    places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in got)
+    assert all(o == (0 if s != prev[0] else prev[1] + prev[2]) for prev, (s, o, _) in zip([(None, 0, 0), *places], places))
+    assert len({s for s, _, _ in places}) <= sum(n for _, _, n in places) / 16 * 1.02 + 2
+
+
 def test_empty(empty):
     assert pack_documents(empty, PATH, public_tokenizers.PATTERN).collect() == []
 
@@ -82,7 +92,7 @@ def test_patterns_use_every_piece_once(histogram):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(st.sampled_from("ab tH\n\t\u00a0'sll1\u00e92\u00b2!-\u3000\u0085\x1c\U0001f600"), max_size=40))
+@given(st.lists(st.sampled_from([*"ab tH\n\t\u00a0'sll1\u00e92\u00b2!-\u3000\u0085\x1c\U0001f600", "<|endoftext|>"]), max_size=40).map("".join))
 def test_chunks_keep_the_tokenizers_ids(text):
     assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
