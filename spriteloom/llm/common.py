@@ -47,3 +47,13 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     for name in names:
         on = on & left[name].eqNullSafe(right[name])
     return on
+
+
+#: Bytes of a table that is sent to all executors; the rows of a larger one are joined by a shuffle.
+BROADCAST_BYTES = 8 << 20
+
+
+def broadcast_if_small(rows: DataFrame, text_col: str, row_bytes: int = 200, most: int | None = None) -> DataFrame:
+    """``rows`` marked for a broadcast if their bytes, those of ``text_col`` and ``row_bytes`` a row for the rest, are at most ``most``; they are counted, so cut ``rows`` before."""
+    n, text = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()
+    return F.broadcast(rows) if text + n * row_bytes <= (BROADCAST_BYTES if most is None else most) else rows

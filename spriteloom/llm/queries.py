@@ -10,6 +10,7 @@ from .common import table
 from .exact_dedup import OP1_SQL, exact_dedup
 from .licenses import OP2_SQL, license_scan
 from .lm_score import lm_score
+from .merkle import OP12_SQL, merkle_manifest
 from .mixing import OP11_SQL, mixing
 from .packing import pack_documents
 from .pii import pii_spans
@@ -63,6 +64,10 @@ def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_license_scan": op2_license_scan,
@@ -75,6 +80,14 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_source_mixing": op11_source_mixing,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
-ORACLES = {"op1_exact_dedup": OP1_SQL, "op2_license_scan": OP2_SQL, "op3_url_filter": OP3_SQL, "op7_quality_rules": OP7_SQL, "op11_source_mixing": OP11_SQL}
+ORACLES = {
+    "op1_exact_dedup": OP1_SQL,
+    "op2_license_scan": OP2_SQL,
+    "op3_url_filter": OP3_SQL,
+    "op7_quality_rules": OP7_SQL,
+    "op11_source_mixing": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+}
