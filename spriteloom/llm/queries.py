@@ -15,6 +15,7 @@ from .mixing import OP11_SQL, mixing
 from .packing import pack_documents
 from .pii import pii_spans
 from .quality import OP7_SQL, quality_rules
+from .search import OP13_SQL, ranked_search
 from .simhash import simhash_dedup
 from .suffix_dedup import suffix_dedup
 from .url_filter import OP3_SQL, url_filter
@@ -68,6 +69,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_license_scan": op2_license_scan,
@@ -81,6 +86,7 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_source_mixing": op11_source_mixing,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES = {
@@ -90,4 +96,5 @@ ORACLES = {
     "op7_quality_rules": OP7_SQL,
     "op11_source_mixing": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
