@@ -179,6 +179,11 @@ def _before(counts: DataFrame, group: list[str], order: str) -> DataFrame:
     return counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
 
 
+def in_buckets(pieces: DataFrame, n_buckets: int) -> DataFrame:
+    """Adds ``bucket`` by a hash of the piece and of its place among the rows, so that equal pieces spread too."""
+    return pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(n_buckets)))
+
+
 def pack(pieces: DataFrame, capacity: int, bucket_rows: int = 10_000) -> DataFrame:
     """Adds sequence_id and offset to rows with doc_id, piece and length (cut from lineage before)."""
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
@@ -186,7 +191,7 @@ def pack(pieces: DataFrame, capacity: int, bucket_rows: int = 10_000) -> DataFra
     plan = places(bin_patterns(counts, capacity))
     order = plan[:, 0] << 44 | plan[:, 1] if len(plan) else np.zeros(0, np.int64)
 
-    rows = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n_buckets)))
+    rows = in_buckets(pieces, n_buckets)
     per_bucket = rows.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     per_bucket = per_bucket.withColumn("span", F.floor(F.col("bucket") / SPAN_BUCKETS))
     per_span = per_bucket.groupBy("length", "span").agg(F.sum("n").alias("n"))

@@ -6,9 +6,11 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from spriteloom.llm import packing
+from spriteloom.llm.common import cut
 from spriteloom.llm.packing import ChunkEncoder, bin_patterns, cut_points, fullest, pack_documents
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -101,3 +103,11 @@ def test_added_tokens_in_texts_are_one_id():
     library = Tokenizer.from_file(PATH)
     for text in ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>\n y", "<|endoftext| >", "<|endoftext|", " <|endoftext|>  ", ""]:
         assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_equal_rows_without_an_id_spread_over_buckets(spark):
+    rows = spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(5).cast("long").alias("length"), F.lit(7).cast("long").alias("ids_crc32"))
+    got = packing.pack(cut(rows.repartition(4)), 16, bucket_rows=5_000)
+    sizes = got.groupBy(F.col("sequence_id")).agg(F.count("*").alias("n"), F.sum("length").alias("used")).agg(F.max("n"), F.max("used"), F.count("*")).first()
+    assert tuple(sizes) == (3, 15, 33_334)
+    assert max(r[0] for r in packing.in_buckets(rows, 20).groupBy("bucket").agg(F.count("*")).select("count(1)").collect()) < 6_000
