@@ -48,6 +48,28 @@ def test_edge_cases(spark, edge):
         docs.collect()
 
 
+def test_columns_of_any_name_stay(spark):
+    names = "kept_id kept_key wanted_id wanted_key __key __row __gone gone boilerplate key root row row_no rest text_hash host spans kept kind n component_id length".split() + ["with.dot"]
+    text = " ".join(f"word{k}" for k in range(80))
+    rows = [(i, f"{text} mail me{i}@example.com" + " tail" * i, "en", "h", 1, *names) for i in range(5)] + [(None, None, None, None, None, *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, DATA).cache()
+        assert docs.columns == columns
+        got = docs.collect()
+        assert got and all([r[n] for n in names] == names for r in got)
+    assert all("[EMAIL]" in r["text"] and r["n_chars"] == len(r["text"]) for r in got)
+    assert corpus_pipeline.packing_stage(spark, docs, DATA).count() == len(got)
+
+
+def test_empty(spark, empty):
+    docs = empty
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, DATA)
+        assert docs.collect() == []
+
+
 def test_boilerplate_lines_go(spark):
     notice = " ".join(f"notice{k}" for k in range(30))
     own = {i: " ".join(f"own{i}x{k}" for k in range(70)) for i in range(12)}
