@@ -37,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,12 +56,13 @@ _find_terms = re.compile(rb"[0-9a-z\x80-\xff]+").findall
 _find_end = re.compile(rb"[^0-9a-z\x80-\xff]").search
 _TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: Bytes of a text whose terms are listed at a time, and of texts in one batch.
-_PIECE, _BLOCK = 1 << 20, 8 << 20
+_PIECE, _BLOCK = 1 << 20, 1 << 20
 #: Scores held at a time: queries of a shard times its documents.
 _CELLS = 4_000_000
 
-_FORWARD = "leaf int, doc_id long, salt long, n long, terms array<binary>, tfs array<int>"
-_INDEX = "shard int, term binary, places array<int>, impacts array<int>, most long, ids array<long>"
+#: Numbers are packed (32 bits each, ids 64), terms joined by a blank: a row is few values, whatever its document.
+_FORWARD = "leaf int, doc_id long, salt long, n long, n_terms int, terms binary, tfs binary"
+_INDEX = "shard int, term binary, places binary, impacts binary, most long, ids binary"
 _FOUND = "item long, doc_id long, score long"
 
 
@@ -77,8 +79,10 @@ def term_counts(text: bytes) -> Counter:
     return counts
 
 
-def _lists(flat: list | np.ndarray, counts: list | np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(flat, kind))
+def _packed(numbers: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The numbers, so many a row, as rows of bytes."""
+    ends = np.concatenate([[0], np.cumsum(counts)]) * numbers.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(numbers))])
 
 
 def _forward(tree: Tree):
@@ -103,13 +107,13 @@ def _forward(tree: Tree):
             for ids, counted in blocks(batch):
                 if not ids:
                     continue
-                terms, tfs = [t for c in counted for t in c], [n for c in counted for n in c.values()]
                 counts = np.array([len(c) for c in counted])
-                leaf = tree.leaf(features(terms), counts).astype(np.int32)
+                tfs = np.fromiter((n for c in counted for n in c.values()), np.int32)
+                leaf = tree.leaf(features(t for c in counted for t in c), counts).astype(np.int32)
                 salts = np.arange(salt, salt + len(ids))
                 salt += len(ids)
-                columns = [pa.array(leaf), pa.array(ids, pa.int64()), pa.array(salts), pa.array([c.total() for c in counted]), _lists(terms, counts, pa.binary()), _lists(tfs, counts, pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, ["leaf", "doc_id", "salt", "n", "terms", "tfs"])
+                columns = [pa.array(leaf), pa.array(ids, pa.int64()), pa.array(salts), pa.array([c.total() for c in counted]), pa.array(counts.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([b" ".join(c) for c in counted]), _packed(tfs, counts)], ["leaf", "doc_id", "salt", "n", "n_terms", "terms", "tfs"])
 
     return run
 
@@ -143,15 +147,12 @@ def _norms(n: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
 
 def _invert(n_docs: int, n_terms: int):
     def run(key, shard):
-        shard = shard.combine_chunks()
-        ids = np.array([NO_ID if i is None else i for i in shard.column("doc_id").to_pylist()], np.int64)
-        lists = shard.column("terms").chunk(0)
-        counts = np.diff(lists.offsets.to_numpy())
+        ids, counts = pc.fill_null(shard.column("doc_id"), NO_ID).to_numpy(), shard.column("n_terms").to_numpy()
         place = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
-        tf = shard.column("tfs").chunk(0).flatten().to_numpy().astype(np.int64)
+        tf = np.frombuffer(b"".join(shard.column("tfs").to_pylist()), np.int32).astype(np.int64)
         m = np.repeat(_norms(shard.column("n").to_numpy(), n_docs, n_terms), counts)
         impact = ((1_000_000_000 * tf) // (1000 * tf + 8 * m)).astype(np.int32)
-        coded = lists.flatten().dictionary_encode()
+        coded = pa.array(b" ".join(shard.column("terms").to_pylist()).split(b" "), pa.binary()).dictionary_encode()
         code = coded.indices.to_numpy()
         order = np.argsort(code, kind="stable")
         df = np.bincount(code, minlength=len(coded.dictionary))
@@ -160,12 +161,12 @@ def _invert(n_docs: int, n_terms: int):
         n = len(df)
         words = pa.table(
             {
-                "shard": pa.array(np.full(n, key[0].as_py(), np.int32)), "term": coded.dictionary, "places": _lists(place[order], df, pa.int32()),
-                "impacts": _lists(impact, df, pa.int32()), "most": pa.array(most), "ids": pa.nulls(n, pa.list_(pa.int64())),
+                "shard": pa.array(np.full(n, key[0].as_py(), np.int32)), "term": coded.dictionary, "places": _packed(place[order], df),
+                "impacts": _packed(impact, df), "most": pa.array(most), "ids": pa.nulls(n, pa.binary()),
             }
         )
         # one row without a term has the ids of the shard's places
-        own = {"shard": pa.array([key[0].as_py()], pa.int32()), "ids": pa.array([ids], pa.list_(pa.int64()))}
+        own = {"shard": pa.array([key[0].as_py()], pa.int32()), "ids": pa.array([ids.tobytes()], pa.binary())}
         head = pa.table({f.name: own.get(f.name, pa.nulls(1, f.type)) for f in words.schema})
         return pa.concat_tables([head, words])
 
@@ -188,7 +189,7 @@ def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     tree = fit_tree(texts, docs.count(), shard_docs)
     texts.mapInArrow(_forward(tree), _FORWARD).write.parquet(f"{folder}/forward")
     forward = spark.read.parquet(f"{folder}/forward")
-    leaves = forward.groupBy("leaf").agg(F.count("*").alias("docs"), F.sum(F.size("terms")).alias("postings"), F.sum("n").alias("terms")).orderBy("leaf").collect()
+    leaves = forward.groupBy("leaf").agg(F.count("*").alias("docs"), F.sum("n_terms").alias("postings"), F.sum("n").alias("terms")).orderBy("leaf").collect()
     n_docs, n_terms = sum(r["docs"] for r in leaves), sum(r["terms"] for r in leaves)
     cuts, shards = [], 0
     for r in leaves:
@@ -196,7 +197,7 @@ def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
         cuts.append((r["leaf"], shards, blocks))
         shards += blocks
     cuts = spark.createDataFrame(cuts, "leaf int, first int, blocks int")
-    dealt = forward.join(F.broadcast(cuts), "leaf").select((F.col("first") + F.pmod("salt", "blocks")).cast("int").alias("shard"), "doc_id", "n", "terms", "tfs")
+    dealt = forward.join(F.broadcast(cuts), "leaf").select((F.col("first") + F.pmod("salt", "blocks")).cast("int").alias("shard"), "doc_id", "n", "n_terms", "terms", "tfs")
     dealt.groupBy("shard").applyInArrow(_invert(n_docs, max(1, n_terms)), _INDEX).write.parquet(f"{folder}/index")
     return Index(spark.read.parquet(f"{folder}/index"), n_docs, n_terms)
 
@@ -213,11 +214,9 @@ def _score(key, shard, asked):
     none = pa.table({"item": pa.array([], pa.int64()), "doc_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
     if not len(shard) or not len(asked):
         return none
-    shard = shard.combine_chunks()
     rows = {t: k for k, t in enumerate(shard.column("term").to_pylist())}
-    ids = np.asarray(shard.column("ids")[rows[None]].values)
-    places, impacts = shard.column("places").chunk(0), shard.column("impacts").chunk(0)
-    at, place, impact = places.offsets.to_numpy(), places.values.to_numpy(), impacts.values.to_numpy().astype(np.int64)
+    ids = np.frombuffer(shard.column("ids")[rows[None]].as_py(), np.int64)
+    places, impacts = shard.column("places"), shard.column("impacts")
     items, item = np.unique(asked.column("item").to_numpy(), return_inverse=True)
     least = np.ones(len(items), np.int64)
     least[item] = asked.column("least").to_numpy()
@@ -230,7 +229,8 @@ def _score(key, shard, asked):
         own = order[(item[order] >= low) & (item[order] < low + step)]
         for group in np.split(own, np.flatnonzero(np.diff(row[own])) + 1) if len(own) else []:
             r = row[group[0]]
-            scores[np.ix_(item[group] - low, place[at[r] : at[r + 1]])] += weight[group][:, None] * impact[at[r] : at[r + 1]]
+            place, impact = np.frombuffer(places[r].as_py(), np.int32), np.frombuffer(impacts[r].as_py(), np.int32).astype(np.int64)
+            scores[np.ix_(item[group] - low, place)] += weight[group][:, None] * impact
         for k, line in enumerate(scores):
             good = np.flatnonzero(line >= least[low + k])
             good = good[np.lexsort((ids[good], -line[good]))[:TOP]]
@@ -252,7 +252,7 @@ def search(index: Index, items: DataFrame, id_col: str = "item_id", text_col: st
     small = broadcast_if_small(vocabulary, "asked", 50)
     hits = index.rows.join(small, F.col("term") == F.col("asked"), "left_semi")
 
-    df = hits.groupBy("term").agg(F.sum(F.size("places")).alias("df"))
+    df = hits.groupBy("term").agg(F.sum((F.octet_length("places") / 4).cast("long")).alias("df"))
     weight = F.floor(1000 * F.log(F.lit(2.0 * index.n_docs + 2) / (2 * F.col("df") + 1))).cast("long")
     weights = cut(df.select(F.col("term").alias("of_term"), weight.alias("w")).where("w > 0"))
     weighed = terms.join(broadcast_if_small(weights, "of_term", 50), F.col("term") == F.col("of_term"))
