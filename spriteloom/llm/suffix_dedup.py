@@ -5,18 +5,14 @@ gram of it, by a hash, is the string's anchor.  Equal strings have equal
 anchors at equal places, so only suffixes at anchors need to meet, one in some
 hundred and eighty.
 
-Words are treated likewise, each as one byte of its hash, so that passages of
-over 50 words (strings of WORDS words) are found by the same steps even where
-they take less than LENGTH bytes.
-
 1. Each partition packs its rows into chunks, with their anchors, once.  The
    chunks become a table bucketed by chunk in the shared checkpoint folder, so
    that later steps send the chunks messages and never move texts again.
    Grams that are found once are done with.
 2. For each other anchor a chunk takes the suffix that starts where the first
    of the anchor's strings starts and ends with the last of them.  It sorts
-   these and cuts them at splitters, quantiles of a sample of all suffixes, into
-   front-coded runs.  The runs of a range are merged by a loser tree that keeps
+   these and cuts them at splitters, quantiles of a bounded sample of all suffixes
+   (by their first HEAD bytes), into front-coded runs.  The runs of a range are merged by a loser tree that keeps
    every head's common prefix with the last output and so never compares a known
    prefix again; ranges one after the other are one sorted order of all
    suffixes.  The common prefix of neighbours says how many of a suffix's
@@ -38,14 +34,14 @@ Cases: a null text counts as empty; texts shorter than LENGTH keep all bytes;
 rows that repeat id and text repeat each other's strings like any two rows; a
 text of any length is handled in pieces, and a long run of one byte or of a few
 costs one suffix for each turn of it, not one for each byte; extra columns are
-ignored.  The input must give a partition's rows in the same order when it is
-read again, as files do.  Two different passages of WORDS words are taken for
-equal by chance once in 256 if they differ in one word; bytes are only removed
-by LENGTH.  The table of chunks is dropped when the result is written.
+ignored; an empty table gives an empty result.  The input must give a
+partition's rows in the same order when it is read again, as files do.  The
+tables are dropped in the end, after a failure too.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import struct
@@ -62,14 +58,12 @@ from pyspark.sql import functions as F
 from .common import cut, shared_folder, text_or_empty
 
 LENGTH, GRAM = 400, 32
-#: The same for words: a passage has over 50.
-WORDS, WORD_GRAM = 51, 8
 #: Neighbouring strings of an anchor that are first counted together.
 STEP = 20
 #: Ranges of sorted suffixes at most (the driver sees their bounds); beyond it each is dealt out by a hash of a suffix's first string.
 MAX_RANGES = 4_096
-#: One gram in so many gives a suffix for the sample that bounds the ranges.
-SAMPLED = 16
+#: One gram in so many gives a suffix for the sample that bounds the ranges; of it the driver gets so many for each range, by their first bytes.
+SAMPLED, SAMPLES, HEAD = 16, 20, 64
 #: Bytes of text in a bucket of chunks, about, and the most buckets.
 BUCKET_BYTES, MAX_BUCKETS = 100_000_000, 100_000
 #: Bytes of text in a chunk, about, and in a piece of a text at most.
@@ -88,12 +82,6 @@ _BASE = 0x9E3779B97F4A7C15
 _SIZE = PIECE_BYTES + (1 << 16)
 _POW, _INV = _powers(_BASE, _SIZE), _powers(pow(_BASE, -1, 1 << 64), _SIZE)
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=_U)
-_INK = np.ones(256, bool)
-_INK[[9, 10, 11, 12, 13, 32]] = False
-_LETTER = np.where(_INK, np.random.default_rng(12).integers(1, 1 << 32, 256, dtype=np.uint32), np.uint32(0))
-_PLACE = np.random.default_rng(13).integers(0, 1 << 31, 1024, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-#: Stands before a suffix of words; no text holds this byte.
-_MARK = b"\xff"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -102,21 +90,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def symbols(texts: list[bytes]) -> list[bytes]:
-    """Each text with one byte of a hash for each of its words."""
-    raw = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
-    ink, at = _INK[raw], np.arange(len(raw), dtype=np.int32)
-    begins = np.zeros(len(raw), bool)
-    begins[1:] = ink[1:] & ~ink[:-1]
-    starts = np.flatnonzero(begins)
-    place = at - np.maximum.accumulate(np.where(begins, at, np.int32(0)))
-    words = np.add.reduceat(_LETTER[raw] * _PLACE[place & 1023], starts) if len(starts) else np.zeros(0, np.uint32)
-    words = (words ^ (words >> np.uint32(15))) * np.uint32(0x85EBCA6B)
-    marks = ((words ^ (words >> np.uint32(13))) >> np.uint32(24)).astype(np.uint8).tobytes()
-    ends = np.searchsorted(starts, np.cumsum([1, *(len(t) + 1 for t in texts)])).tolist()
-    return [marks[a:b] for a, b in zip(ends, ends[1:])]
-
-
 def _anchors(data: bytes, sums: np.ndarray, stops: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first string, last string, place, gram) of each anchor of some texts laid end to end."""
     size, width = len(data), length - gram + 1
@@ -138,10 +111,10 @@ def _anchors(data: bytes, sums: np.ndarray, stops: np.ndarray, length: int, gram
 
 
 class Piece:
-    """Bytes (or words, each as a byte) of one document or several end to end, with the anchors of its strings."""
+    """Bytes of one document or several end to end, with the anchors of its strings."""
 
-    def __init__(self, data: bytes, length: int, mark: bytes, lo: np.ndarray, hi: np.ndarray, anchor: np.ndarray, gram: np.ndarray):
-        self.data, self.length, self.mark, self.lo, self.hi, self.anchor, self.gram = data, length, mark, lo, hi, anchor, gram
+    def __init__(self, data: bytes, length: int, lo: np.ndarray, hi: np.ndarray, anchor: np.ndarray, gram: np.ndarray):
+        self.data, self.length, self.lo, self.hi, self.anchor, self.gram = data, length, lo, hi, anchor, gram
 
     @cached_property
     def sums(self) -> np.ndarray:
@@ -173,28 +146,16 @@ def _layout(sizes: list[int], length: int) -> list[list[tuple[int, int, int]]]:
     return [*pieces, held]
 
 
-def _head(text: bytes) -> int:
-    """The first eight bytes, as a number in the same order."""
-    return int.from_bytes(text[:8].ljust(8, b"\0"), "big") - (1 << 63)
-
-
-def _kinds(texts: list[bytes], units: list[tuple[int, int]]):
-    """(texts, their layout, length, gram, mark): the texts themselves, then their words."""
-    for own, (length, gram), mark in zip((texts, symbols(texts)), units, (b"", _MARK)):
-        yield own, _layout([len(t) for t in own], length), length, gram, mark
-
-
-def pack_chunk(number: int, ids: list, texts: list[bytes], units: list[tuple[int, int]]) -> pa.RecordBatch:
+def pack_chunk(number: int, ids: list, texts: list[bytes], length: int, gram: int) -> pa.RecordBatch:
     """The row of a chunk: its documents, the anchors of their strings, and a sample of its suffixes."""
     found, sample = [], ([], [])
-    for own, layout, length, gram, mark in _kinds(texts, units):
-        for piece in layout:
-            data = b"".join(own[i][at : at + n] for i, at, n in piece)
-            spots = _anchors(data, _sums(data), np.cumsum([n for _, _, n in piece]), length, gram)
-            found.append(spots)
-            some = np.flatnonzero(spots[3] % _U(SAMPLED) == 0)
-            sample[0].extend(spots[3][some].view(np.int64).tolist())
-            sample[1].extend(_head(mark + data[a : a + 8]) for a in spots[0][some].tolist())
+    for piece in _layout([len(t) for t in texts], length):
+        data = b"".join(texts[i][at : at + n] for i, at, n in piece)
+        spots = _anchors(data, _sums(data), np.cumsum([n for _, _, n in piece]), length, gram)
+        found.append(spots)
+        some = np.flatnonzero(spots[3] % _U(SAMPLED) == 0)
+        sample[0].extend(spots[3][some].view(np.int64).tolist())
+        sample[1].extend(data[a : a + HEAD] for a in spots[0][some].tolist())
     lo, hi, anchor, grams = (np.concatenate(x) for x in zip(*found))
     spots = np.concatenate([[len(x[0]) for x in found], lo, hi - lo, anchor - lo]).astype(np.int32)
     pack = zstandard.ZstdCompressor(level=3).compress
@@ -203,26 +164,24 @@ def pack_chunk(number: int, ids: list, texts: list[bytes], units: list[tuple[int
 
 
 class Chunk:
-    """Documents of a chunk in a fixed order, as pieces: those of their texts, then those of their words."""
+    """Documents of a chunk in a fixed order, as pieces."""
 
-    def __init__(self, table: pa.Table, units: list[tuple[int, int]]):
+    def __init__(self, table: pa.Table, length: int):
         row = {c: table.column(c)[0] for c in table.column_names}
         unpack = zstandard.ZstdDecompressor().decompress
         self.ids, sizes = row["ids"].as_py(), row["sizes"].as_py()
         body, ends = unpack(row["body"].as_py()), np.cumsum([0, *sizes]).tolist()
         self.texts = [body[a:b] for a, b in zip(ends, ends[1:])]
-        kinds = list(_kinds(self.texts, units))
+        self.layout = _layout(sizes, length)
         spots = np.frombuffer(unpack(row["spots"].as_py()), np.int32).astype(np.int64)
-        counts = spots[: sum(len(k[1]) for k in kinds)].tolist()
+        counts = spots[: len(self.layout)].tolist()
         lo, width, back = spots[len(counts) :].reshape(3, -1)
         grams = np.asarray(row["grams"].values).view(_U)
-        self.pieces, self.layout, at = [], [], 0
-        for own, layout, length, _, mark in kinds:
-            for piece in layout:
-                cut_ = slice(at, at := at + counts[len(self.pieces)])
-                data = b"".join(own[i][a : a + m] for i, a, m in piece)
-                self.pieces.append(Piece(data, length, mark, lo[cut_], lo[cut_] + width[cut_], lo[cut_] + back[cut_], grams[cut_]))
-                self.layout.append(piece)
+        self.pieces, at = [], 0
+        for piece, n in zip(self.layout, counts):
+            cut_ = slice(at, at := at + n)
+            data = b"".join(self.texts[i][a : a + m] for i, a, m in piece)
+            self.pieces.append(Piece(data, length, lo[cut_], lo[cut_] + width[cut_], lo[cut_] + back[cut_], grams[cut_]))
 
     def suffixes(self, grams: np.ndarray) -> tuple[list[tuple[int, int, int, int, bytes]], list[np.ndarray], list[tuple[int, int]]]:
         """Of the anchors with these grams: the distinct suffixes in order, as (number, copies, gram, strings, suffix);
@@ -233,7 +192,7 @@ class Chunk:
             at = np.flatnonzero(np.isin(p.gram, grams))
             which = []
             for j, a, b in zip(at.tolist(), p.lo[at].tolist(), (p.hi[at] + p.length).tolist()):
-                which.append(i := index.setdefault(p.mark + p.data[a:b], len(index)))
+                which.append(i := index.setdefault(p.data[a:b], len(index)))
                 if i == len(firsts):
                     firsts.append((k, j))
             own.append((at, np.array(which, np.int64)))
@@ -353,12 +312,12 @@ def _spread(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, first[which] + np.arange(len(which)) - (np.cumsum(n) - n)[which]
 
 
-_CHUNK = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("body", pa.binary()), ("spots", pa.binary()), ("grams", pa.list_(pa.int64())), ("sample_grams", pa.list_(pa.int64())), ("sample_heads", pa.list_(pa.int64()))])
+_CHUNK = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("body", pa.binary()), ("spots", pa.binary()), ("grams", pa.list_(pa.int64())), ("sample_grams", pa.list_(pa.int64())), ("sample_heads", pa.list_(pa.binary()))])
 _RUNS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("run", pa.binary())])
 _ITEMS = pa.schema([("chunk", pa.int64()), ("number", pa.int32()), ("gram", pa.int64()), ("same", pa.int32()), ("speaks", pa.bool_()), ("open", pa.bool_())])
 #: Of counted things: flag is how often (1 or 2 for more), and 4 more if the chunk asks for the answer; least and most are the bounds of the hashes of a core's surroundings.
 _COUNTED = pa.schema([("chunk", pa.int64()), ("gram", pa.list_(pa.int64())), ("hash", pa.list_(pa.int64())), ("least", pa.list_(pa.int64())), ("most", pa.list_(pa.int64())), ("flag", pa.list_(pa.int8()))])
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("n_passage_words", pa.int64()), ("kept", pa.binary())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 #: What a chunk is told: its repeated grams; what the merge says of a suffix, its gram in doubt or not; cores whose strings are all repeated, or open; repeated strings.
 _GRAM, _DOUBT, _SETTLED, _WHOLE, _MIXED, _STRING = range(6)
 
@@ -375,8 +334,8 @@ def _table(rows: list, schema: pa.Schema) -> pa.Table:
 class Findings:
     """A chunk with what it was told: its distinct suffixes, how much of each is repeated, and which are in doubt."""
 
-    def __init__(self, table: pa.Table, messages: pa.Table, units: list[tuple[int, int]], step: int):
-        self.chunk, self.step = Chunk(table, units), step
+    def __init__(self, table: pa.Table, messages: pa.Table, length: int, step: int):
+        self.chunk, self.step = Chunk(table, length), step
         kind, x, y, z = (messages.column(c).to_numpy() for c in ("kind", "x", "y", "z"))
         self.told = lambda k: x[kind == k].view(_U)
         entries, self.where, firsts = self.chunk.suffixes(self.told(_GRAM))
@@ -449,17 +408,26 @@ def suffix_dedup(
     docs: DataFrame,
     length: int = LENGTH,
     gram: int = GRAM,
-    words: int = WORDS,
-    word_gram: int = WORD_GRAM,
     chunk_bytes: int = CHUNK_BYTES,
     step: int = STEP,
     max_ranges: int = MAX_RANGES,
     with_text: bool = False,
 ) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words (words in passages of
-    ``words`` words that also start anywhere else), and the kept bytes if asked for."""
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if asked for.
+
+    Its tables stand in a database of their own in the shared folder, so the session's catalog must take new ones.
+    """
+    spark = docs.sparkSession
+    own_space = f"suffix_{uuid.uuid4().hex}"  # its tables go with it
+    spark.sql(f"CREATE DATABASE {own_space} LOCATION '{shared_folder(spark)}/{own_space}'")
+    try:
+        return cut(_dedup(docs, own_space, length, gram, chunk_bytes, step, max_ranges, with_text))
+    finally:
+        spark.sql(f"DROP DATABASE {own_space} CASCADE")
+
+
+def _dedup(docs: DataFrame, own_space: str, length: int, gram: int, chunk_bytes: int, step: int, max_ranges: int, with_text: bool) -> DataFrame:
     spark = docs.sparkSession
-    units = [(length, gram), (words, word_gram)]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     n_runs = max(8, math.ceil(total / chunk_bytes))
@@ -475,14 +443,12 @@ def suffix_dedup(
                 texts.append(text.as_py())
                 size += len(texts[-1])
                 if size >= chunk_bytes:
-                    yield pack_chunk(number, ids, texts, units)
+                    yield pack_chunk(number, ids, texts, length, gram)
                     number, ids, texts, size = number + 1, [], [], 0
         if ids:
-            yield pack_chunk(number, ids, texts, units)
+            yield pack_chunk(number, ids, texts, length, gram)
 
     packed = rows.select("doc_id", F.col("text").cast("binary")).mapInArrow(pack, _ddl(_CHUNK))
-    own_space = f"suffix_{uuid.uuid4().hex}"  # its tables go with it
-    spark.sql(f"CREATE DATABASE {own_space} LOCATION '{shared_folder(spark)}/{own_space}'")
     packed.repartition(n_buckets, "chunk").write.bucketBy(n_buckets, "chunk").option("compression", "none").saveAsTable(f"{own_space}.chunks")
     chunks = spark.table(f"{own_space}.chunks")
 
@@ -499,15 +465,16 @@ def suffix_dedup(
     again = keep(own.join(often, F.col("gram") == F.col("found"), "left_semi"), "again")
     some = chunks.select(F.inline(F.arrays_zip(F.col("sample_grams").alias("gram"), F.col("sample_heads").alias("head"))))
     some = some.join(often, F.col("gram") == F.col("found"), "left_semi")
-    marks = [k / n_ranges for k in range(1, n_ranges)]
-    splitters = np.array(some.agg(F.percentile_approx("head", marks, 20 * n_ranges)).first()[0] or [0] * len(marks), np.int64)
+    n_heads = some.count()
+    heads = sorted(bytes(r["head"]) for r in some.select("head").sample(min(1.0, SAMPLES * n_ranges / max(1, n_heads)), 5).limit(2 * SAMPLES * n_ranges).collect())
+    splitters = sorted({heads[k * len(heads) // n_ranges] for k in range(1, n_ranges)}) if heads else []
 
     def sort_runs(key, table, messages):
-        entries, _, _ = Chunk(table, units).suffixes(messages.column("gram").to_numpy().view(_U))
+        entries, _, _ = Chunk(table, length).suffixes(messages.column("gram").to_numpy().view(_U))
         buckets: dict[int, list] = {}
         alike, last, bucket = 0, None, 0
-        ranges = np.searchsorted(splitters, np.array([_head(e[4]) for e in entries], np.int64), side="right").tolist()
-        for e, k in zip(entries, ranges):
+        for e in entries:
+            k = bisect.bisect_right(splitters, e[4][:HEAD])
             start = e[4][: len(e[4]) - e[3] + 1]
             if start != last:
                 alike, last = 0, start
@@ -546,11 +513,11 @@ def suffix_dedup(
     told = message(again, F.lit(_GRAM), "gram").unionByName(says)
 
     def spell_cores(key, table, messages):
-        found = Findings(table, messages, units, step)
+        found = Findings(table, messages, length, step)
         return _collapsed(key[0].as_py(), [(g, core, wide, twice, b >= sure) for _, g, core, wide, _, b, sure, twice in found.cores()])
 
     def spell_strings(key, table, messages):
-        found = Findings(table, messages, units, step)
+        found = Findings(table, messages, length, step)
         return _collapsed(key[0].as_py(), [(g, h, np.zeros(len(h), _U), twice, start >= sure) for _, g, h, start, sure, twice in found.strings(_MIXED)])
 
     def answers(spelled: DataFrame) -> DataFrame:
@@ -566,7 +533,7 @@ def suffix_dedup(
     told = told.unionByName(message(strings, F.lit(_STRING), "hash"))
 
     def remove(key, table, messages):
-        found = Findings(table, messages, units, step)
+        found = Findings(table, messages, length, step)
         chunk = found.chunk
         marks = {id(p): np.zeros(len(p.data) + 1, bool) for p in chunk.pieces}
         for p, (at, number) in zip(chunk.pieces, found.where):
@@ -577,27 +544,23 @@ def suffix_dedup(
         known = found.told(_STRING)
         for p, _, h, start, *_ in found.strings(_MIXED):
             marks[id(p)][start[np.isin(h, known)]] = True
-        starts: dict[bytes, list[list]] = {mark: [[] for _ in chunk.ids] for mark in (b"", _MARK)}
+        starts: list[list] = [[] for _ in chunk.ids]
         for p, parts in zip(chunk.pieces, chunk.layout):
             hit, begin = np.flatnonzero(marks[id(p)]), 0
             for doc, offset, n in parts:
                 a, b = np.searchsorted(hit, (begin, begin + n))
                 if b > a:
-                    starts[p.mark][doc].append(hit[a:b] - begin + offset)
+                    starts[doc].append(hit[a:b] - begin + offset)
                 begin += n
         out = []
-        for doc_id, text, own, spoken in zip(chunk.ids, chunk.texts, starts[b""], starts[_MARK]):
-            kept, n_removed, spans, n_words = text, 0, 0, 0
+        for doc_id, text, own in zip(chunk.ids, chunk.texts, starts):
+            kept, n_removed, spans = text, 0, 0
             if own:
                 gone = _covered(own, length, len(text))
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 n_removed, spans = int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-            if spoken:
-                n_words = int(_covered(spoken, words, max(int(s[-1]) for s in spoken) + words).sum())
-            out.append((doc_id, len(text), n_removed, spans, hashlib.sha256(kept).hexdigest(), n_words, kept if with_text else None))
+            out.append((doc_id, len(text), n_removed, spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
         return _table(out, _OUT)
 
     done = ask(told, remove, _OUT)
-    done = cut(done if with_text else done.drop("kept"))
-    spark.sql(f"DROP DATABASE {own_space} CASCADE")
-    return done
+    return done if with_text else done.drop("kept")

@@ -3,8 +3,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from spriteloom.llm.suffix_dedup import LoserTree, common, pack_run, suffix_dedup, symbols, unpack_run
+from spriteloom.llm.suffix_dedup import LoserTree, common, pack_run, suffix_dedup, unpack_run
 
 
 def brute(rows, length):
@@ -21,26 +23,10 @@ def brute(rows, length):
     return sorted(out, key=str)
 
 
-def brute_words(rows, words):
-    texts = [(d, list(symbols([(t or "").encode()])[0])) for d, t in rows]
-    seen = Counter(tuple(t[i : i + words]) for _, t in texts for i in range(len(t) - words + 1))
-    return sorted(((d, len({i + k for i in range(len(t) - words + 1) if seen[tuple(t[i : i + words])] > 1 for k in range(words)})) for d, t in texts), key=str)
-
-
-def check(df, length=400, words=51, **options):
-    got = suffix_dedup(df, length=length, words=words, **options).collect()
+def check(df, length=400, **options):
+    got = suffix_dedup(df, length=length, **options).collect()
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
     assert sorted((tuple(r)[:5] for r in got), key=str) == brute(rows, length)
-    assert sorted(((r["doc_id"], r["n_passage_words"]) for r in got), key=str) == brute_words(rows, words)
-
-
-def test_symbols():
-    texts = ["", " ", "one two\tone", "\u00e9t\u00e9 one\n", "x" * 5000 + " one"]
-    got = symbols([t.encode() for t in texts])
-    assert [len(g) for g in got] == [len(t.encode().split()) for t in texts]
-    assert len({got[2][0], got[2][2], got[3][1], got[4][1]}) == 1
-    words = [f"w{i}".encode() for i in range(20_000)]
-    assert all(50 < n < 110 for n in Counter(symbols(words)).values()) and len(set(symbols(words))) == 256
 
 
 def test_documents(small):
@@ -63,7 +49,7 @@ def test_crossed_passages(spark):
         parts = [rng.choice(passages)[rng.randint(0, 15) :] if rng.random() < 0.6 else "".join(rng.choices("abcdé ", k=rng.randint(1, 60))) for _ in range(6)]
         rows.append((i, "".join(parts)))
     rows += [(500, "a" * 300), (501, "a" * 41 + "b" + "a" * 39), (502, "ab" * 100)]
-    check(spark.createDataFrame(rows, "doc_id long, text string"), length=40, gram=8, words=6, word_gram=2, chunk_bytes=1500, step=4)
+    check(spark.createDataFrame(rows, "doc_id long, text string"), length=40, gram=8, chunk_bytes=1500, step=4)
 
 
 def test_one_passage_in_very_many_texts(spark):
@@ -78,21 +64,21 @@ def test_ranges_dealt_out_again(spark):
     rng = random.Random(6)
     lines = ["".join(rng.choices("abcdefg ", k=70)) for _ in range(40)]
     rows = [(i, "".join(rng.choices(lines, k=3))) for i in range(200)]
-    check(spark.createDataFrame(rows, "doc_id long, text string"), length=40, gram=8, words=5, word_gram=2, chunk_bytes=800, step=4, max_ranges=3)
+    check(spark.createDataFrame(rows, "doc_id long, text string"), length=40, gram=8, chunk_bytes=800, step=4, max_ranges=3)
 
 
-def test_word_passages_in_texts_with_other_bytes_around(spark):
+def test_ranges_of_suffixes_that_begin_alike(spark):
+    """The first bytes of all lines are the same: splitters look further."""
     rng = random.Random(7)
-    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(1, 3)))
-    passage = [word() for _ in range(60)]
-    rows = [(i, "\n".join([word() for _ in range(30)] + passage[rng.randint(0, 12) :] + [word() for _ in range(30)])) for i in range(30)]
-    check(spark.createDataFrame(rows, "doc_id long, text string"))
+    lines = ["\n" * 12 + "".join(rng.choices("abcdefg ", k=70)) for _ in range(40)]
+    rows = [(i, "".join(rng.choices(lines, k=3))) for i in range(200)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), length=40, gram=8, chunk_bytes=800, step=4)
 
 
 def test_long_runs_of_one_byte_or_a_few(spark):
     rows = [(1, "a" * 1_000_000), (2, "ab " * 300_000), (3, "b" * 399)]
-    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], r["n_passage_words"]) for r in suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: (1_000_000, 1, 0), 2: (900_000, 1, 300_000), 3: (0, 0, 0)}
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1_000_000, 1), 2: (900_000, 1), 3: (0, 0)}
 
 
 def test_no_table_stays(spark, small):
@@ -101,6 +87,13 @@ def test_no_table_stays(spark, small):
     assert {d.name for d in spark.catalog.listDatabases()} == before
 
 
+def test_no_table_stays_after_a_failure(spark, small):
+    before = {d.name for d in spark.catalog.listDatabases()}
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        suffix_dedup(small.withColumn("text", F.udf(lambda t: 1 // 0)("text")))
+    assert {d.name for d in spark.catalog.listDatabases()} == before
+
+
 def test_text_of_several_pieces(spark):
     rng = random.Random(5)
     text = rng.randbytes(1_300_000).hex()
