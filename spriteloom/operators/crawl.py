@@ -99,6 +99,12 @@ def numbered_pages(spark: SparkSession, template: str, start: int, end: int) ->
     return spark.range(start, end).select(F.replace(F.lit(template), F.lit("{page}"), F.col("id").cast("string")).alias("url"))
 
 
+def frontier(sites: DataFrame) -> DataFrame:
+    """(url) of the numbered pages of every site (template, first, last), ``last`` not included."""
+    numbers = F.explode(F.sequence(F.col("first"), F.col("last") - 1)).alias("page")
+    return sites.where("first < last").select("template", numbers).select(F.replace(F.col("template"), F.lit("{page}"), F.col("page").cast("string")).alias("url"))
+
+
 def from_table(pages: DataFrame) -> Fetch:
     """A fetch from stored pages (url, status, content); urls that aren't stored get status 404."""
     stored = pages.select(F.col("url").alias("stored_url"), F.col("status").cast("int").alias("status"), F.col("content").cast("binary").alias("content"))
@@ -185,15 +191,16 @@ def download(files: DataFrame, fetch: Fetch, have: DataFrame | None = None, skip
     return got.where(~zipped).unionByName(inside.join(origin, "archive").select("name", "content", "source_url"))
 
 
-def hosted_images(table: DataFrame, dataset: str, index: str, columns: tuple[str, ...] = ("image", "img"), limit: int = 1000) -> DataFrame:
-    """(name, content, source_url): the first ``limit`` rows by ``index`` whose image isn't null, named by their index.
-
-    The image is in the first of ``columns`` that has one, else in the table's first binary column.
-    """
+def image_column(table: DataFrame, columns: tuple[str, ...] = ("image", "img")) -> Column:
+    """The first image of a row in ``columns`` that the table has (bytes, or a struct with ``bytes``), else the table's first binary column."""
     here = [c for c in columns if c in table.columns] or [f.name for f in table.schema if f.dataType.typeName() == "binary"][:1]
     if not here:
         raise ValueError("the table has no image column")
-    image = F.coalesce(*(F.col(f"{c}.bytes") if table.schema[c].dataType.typeName() == "struct" else F.col(c) for c in here))
-    first = table.select(F.col(index).cast("long").alias("i"), image.alias("content")).where("content IS NOT NULL").orderBy("i").limit(limit)
+    return F.coalesce(*(F.col(f"{c}.bytes") if table.schema[c].dataType.typeName() == "struct" else F.col(c) for c in here))
+
+
+def hosted_images(table: DataFrame, dataset: str, index: str, columns: tuple[str, ...] = ("image", "img"), limit: int = 1000) -> DataFrame:
+    """(name, content, source_url): the first ``limit`` rows by ``index`` whose image isn't null, named by their index."""
+    first = table.select(F.col(index).cast("long").alias("i"), image_column(table, columns).alias("content")).where("content IS NOT NULL").orderBy("i").limit(limit)
     flat = dataset.replace("/", "_").replace("%", "%%")
     return first.select(F.format_string(f"hf_{flat}_%06d.png", "i").alias("name"), "content", F.lit(dataset).alias("source_url"))

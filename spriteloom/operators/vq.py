@@ -25,3 +25,15 @@ def quantize(vectors: DataFrame, codebook: np.ndarray, column: str = "embedding"
         return pd.DataFrame({"code": code.astype(np.int32), "distance": d[np.arange(len(x)), code]})
 
     return vectors.withColumn("nearest", nearest(column)).select("*", "nearest.*").drop("nearest")
+
+
+def reconstructed(vectors: DataFrame, codebook: np.ndarray, column: str = "embedding") -> DataFrame:
+    """Adds code, distance and quantized: the codeword itself, by a join with the codebook's rows."""
+    rows = vectors.sparkSession.createDataFrame([(k, c) for k, c in enumerate(codebook.tolist())], "of_code int, quantized array<double>")
+    found = quantize(vectors, codebook, column)
+    return found.join(F.broadcast(rows), F.col("code") == F.col("of_code")).drop("of_code")  # as large as the codebook, which is bounded
+
+
+def vq_loss(vectors: DataFrame, codebook: np.ndarray, beta: float = 0.25, column: str = "embedding") -> DataFrame:
+    """(loss): mean squared error, once for the codebook and ``beta`` times for what is quantized."""
+    return quantize(vectors, codebook, column).agg(((1 + beta) * F.sum("distance") / F.sum(F.size(column))).alias("loss"))

@@ -8,14 +8,15 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spriteloom.operators import crawl
 from spriteloom.operators.annotate import ANSWERS, Annotator, annotate, metadata_json
-from spriteloom.operators.clean import MAX_COLORS, clean_images
+from spriteloom.operators.clean import MAX_COLORS, VERDICTS, clean_images
 from spriteloom.operators.ordering import numbered
 from spriteloom.operators.shards import assign_shards
+from spriteloom.sources.jpeg import jpegs_as_png
 from spriteloom.sources.webdataset import WebDataset
 
 IMAGE_FILES = r"\.(png|gif|jpg|jpeg|webp)$"
@@ -43,8 +44,11 @@ def curate(images: DataFrame, out: str, options: Options = Options()) -> DataFra
     """Cleans, annotates and packs rows (name, content, license_type, source_url) with unique names into tar files
     under ``out``; returns (verdict, n).
 
-    Each step is written under ``out/_work`` and read again, so no model runs
-    twice.  Without an annotator, descriptions stay empty; without accepted images none is made and nothing is packed.
+    Each step is written under ``out/_work`` and read again, so no page is
+    fetched and no model asked twice; answers stay in ``out/_answers`` for later
+    runs.  Verdicts are counted by the pass that writes them.  Without an
+    annotator, descriptions stay empty; without accepted images none is made and
+    nothing is packed.
     """
     spark, work = images.sparkSession, f"{out}/_work/{uuid.uuid4().hex}"
 
@@ -52,25 +56,29 @@ def curate(images: DataFrame, out: str, options: Options = Options()) -> DataFra
         df.write.parquet(f"{work}/{step}")
         return spark.read.parquet(f"{work}/{step}")
 
-    cleaned = kept(clean_images(images.where(F.col("name").rlike(IMAGE_FILES)), options.max_colors), "cleaned")
+    files = kept(images.where(F.col("name").rlike(IMAGE_FILES)), "files")
+    seen = Observation()
+    cleaned = clean_images(jpegs_as_png(files, work), options.max_colors)
+    cleaned = kept(cleaned.observe(seen, *[F.count_if(F.col("verdict") == v).alias(v) for v in VERDICTS]), "cleaned")
     accepted = cleaned.where("verdict = 'accepted'")
-    if not accepted.isEmpty():
-        answers = kept(annotate(accepted, options.annotator), "answers") if options.annotator else spark.createDataFrame([], ANSWERS)
+    if seen.get["accepted"]:
+        answers = annotate(accepted, options.annotator, f"{out}/_answers") if options.annotator else spark.createDataFrame([], ANSWERS)
         texts = kept(described(accepted, answers), "described")
         sized = accepted.select("name", F.length("png").alias("bytes")).join(texts, "name")
         sized = sized.select("name", "bucket", (F.col("bytes") + F.octet_length("json")).cast("long").alias("size"), F.xxhash64("name").alias("mix"))
         order = kept(numbered(sized, "mix", "id", ties=("name",)), "order")
         placed = order.join(assign_shards(order, options.shard_bytes).select("id", "shard"), "id").select("name", "shard")
         rows = accepted.select("name", "png").join(texts.join(placed, "name"), "name")
+        rows = rows.select("bucket", "shard", F.substring_index("name", ".", 1).alias("name"), F.col("name").alias("file"), "png", "json")
         spark.dataSource.register(WebDataset)
-        stem = F.substring_index("name", ".", 1)
-        rows.select("bucket", "shard", stem.alias("name"), "png", "json").repartition("bucket", "shard").write.format("webdataset").mode("append").save(out.removeprefix("file://"))
-    return cleaned.groupBy("verdict").agg(F.count("*").alias("n"))
+        rows = rows.repartition("bucket", "shard").sortWithinPartitions("bucket", "shard", "file").drop("file")
+        rows.write.format("webdataset").mode("append").save(out)
+    return spark.createDataFrame([(v, seen.get[v]) for v in VERDICTS if seen.get[v]], "verdict string, n long")
 
 
 def image_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The files of a folder, by their names; other kinds than images are left out before they are read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where(F.col("path").rlike(IMAGE_FILES))
+    """The files of a folder, by their names; the listing leaves out other kinds than images, so those aren't read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{png,gif,jpg,jpeg,webp}").option("recursiveFileLookup", "true").load(folder)
     return files.select(crawl.file_name(F.col("path")).alias("name"), "content", F.col("path").alias("source_url"))
 
 

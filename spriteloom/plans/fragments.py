@@ -25,6 +25,27 @@ FROM (SELECT *, (kind IN (4,6,7)) AND (x//k=0 OR y//k=0 OR x//k=w0-1 OR y//k=h0-
  FROM (SELECT *, w0*k AS w, h0*k AS h, unnest(range(w0*k)) AS x FROM (SELECT *, unnest(range(h0*k)) AS y FROM ({SPRITE_SIZES}) s) t) u) q
 """
 
+#: Which of eight files a derived sprite becomes; one with more than 256 colours can't have a palette.
+SPRITE_FORMAT = "CAST(CASE WHEN kind = 2 AND CAST(FLOOR(id/10) AS INT)%8 IN (5, 6) THEN 4 ELSE CAST(FLOOR(id/10) AS INT)%8 END AS INT)"
+
+#: Cells (w x h) of derived JPEG files, one for each part.
+JPEG_SIZES = "SELECT p_partkey AS id, 1 + p_partkey % 5 AS w, 1 + p_partkey % 7 AS h FROM part"
+
+def _answers(engine: str) -> str:
+    """(conv_id, turn, answer): what models say, by conversation: an object, one in a fence, one with escapes, a broken one, a list, and one without the fields asked for."""
+    quoted = "to_json(named_struct('description', text, 'is_animation', true, 'frames', turn))" if engine == "spark" else "CAST(json_object('description', text, 'is_animation', true, 'frames', turn) AS VARCHAR)"
+    parts = (
+        quoted,
+        f"concat('Look: ```json ', {quoted}, ' ``` so ```json ', role, '```')",
+        """concat('{"description": "the', chr(92), '_', role, '", "frames": "12"}')""",
+        """concat('{"description": ', text)""",
+        "concat('[1, \"', role, '\"]')",
+        """'{"is_animation": "yes", "frames": 2.5}'""",
+    )
+    cases = " ".join(f"WHEN {k} THEN {part}" for k, part in enumerate(parts))
+    return f"SELECT conv_id, turn, role, text, concat('USER: ', role, ' ASSISTANT: old ASSISTANT:  ', CASE conv_id % 6 {cases} END, ' ') AS answer FROM conversations"
+
+
 CTES = {
     "hrefs": {
         "spark": f"SELECT page_id, pos, href FROM pages LATERAL VIEW posexplode(regexp_extract_all(html, '{LINK}', 1)) t AS pos, href",
@@ -100,7 +121,7 @@ CTES = {
         "duck": "SELECT CAST(i AS INTEGER) AS t, least(1 - pow(cos(((i + 1) / 1000.0::DOUBLE + 0.008::DOUBLE) / 1.008::DOUBLE * pi() / 2), 2) / pow(cos((i / 1000.0::DOUBLE + 0.008::DOUBLE) / 1.008::DOUBLE * pi() / 2), 2), 0.999::DOUBLE) AS beta FROM range(1000) x(i)",
     },
     "schedule": "SELECT t, exp(sum(ln(1 - beta)) OVER (ORDER BY t)) AS ab FROM betas",
-    "answers": "SELECT conv_id, turn, concat('USER: ', role, ' ASSISTANT: old ASSISTANT:  ', text, ' ') AS answer FROM conversations",
+    "answers": {engine: _answers(engine) for engine in ("spark", "duck")},
     "doc_sizes": {
         "spark": "SELECT doc_id AS id, lang AS bucket, CAST(octet_length(text) AS BIGINT) AS size FROM documents",
         "duck": "SELECT doc_id AS id, lang AS bucket, CAST(strlen(text) AS BIGINT) AS size FROM documents",
@@ -116,31 +137,19 @@ SELECTS = {
     "url_strip_query": "SELECT page_id, concat('tsr_', regexp_extract(name, '^([^?]*)', 1)) AS name FROM files",
     "name_stem": "SELECT page_id, regexp_extract(name, '^([^.]*)', 1) AS stem FROM files",
     "name_template": "SELECT doc_id, concat('hf_', replace(concat(lang, '/', source), '/', '_'), '_', CASE WHEN doc_id < 1000000 THEN lpad(CAST(doc_id AS STRING), 6, '0') ELSE CAST(doc_id AS STRING) END, '.png') AS name FROM documents",
-    "coalesce_cols": "SELECT d.doc_id, coalesce(l.quality, l.toxic, -1) AS val FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
     "license_bucket": "SELECT doc_id, license_type, CASE WHEN license_type IN ('public_domain', 'cc-by') THEN 'safe_hf' ELSE 'private_train' END AS bucket FROM (SELECT doc_id, CASE source WHEN 'src0' THEN 'public_domain' WHEN 'src1' THEN 'cc-by' ELSE 'copyrighted_scrap' END AS license_type FROM documents) q",
-    "vlm_tail": "SELECT conv_id, turn, trim(regexp_replace(answer, '(?s)^.*ASSISTANT:', '')) AS tail FROM answers",
-    "vlm_fence": "SELECT conv_id, turn, regexp_extract(concat('text ```json', role, '``` more ```json no```'), '(?s)```json(.*?)```', 1) AS body FROM conversations",
-    "vlm_parse": {
-        "spark": "SELECT event_id, coalesce(CAST(get_json_object(props, '$.k') AS BIGINT), -1) AS k, coalesce(get_json_object(props, '$.description'), 'No description') AS description FROM events",
-        "duck": "SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS BIGINT), -1) AS k, coalesce(json_extract_string(props, '$.description'), 'No description') AS description FROM events",
-    },
     "byte_size": "SELECT id, size FROM doc_sizes",
     "latent_flatten": "SELECT vec_id, pos, CAST(FLOOR(pos / 16) AS BIGINT) AS channel, CAST(FLOOR(pos % 16 / 4) AS BIGINT) AS y, pos % 4 AS x, val FROM values_of",
     "ext_filter": "SELECT page_id, name FROM files WHERE name LIKE '%.html' OR name LIKE '%.png' OR name LIKE '%.gif' OR name LIKE '%.jpg' OR name LIKE '%.jpeg' OR name LIKE '%.webp'",
     "ext_filter_ci": "SELECT page_id, name FROM files WHERE lower(name) LIKE '%.html' OR lower(name) LIKE '%.png' OR lower(name) LIKE '%.gif' OR lower(name) LIKE '%.zip'",
-    "anti_existing": "SELECT d.doc_id, d.source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "link_dedup": "SELECT DISTINCT page_id, href FROM hrefs",
     "link_dedup_ordered": "SELECT page_id, href, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS k FROM (SELECT page_id, href, min(pos) AS pos FROM hrefs GROUP BY page_id, href) q",
     "link_slice": "SELECT page_id, href, k FROM (SELECT page_id, href, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS k FROM (SELECT page_id, href, min(pos) AS pos FROM hrefs GROUP BY page_id, href) q) s WHERE k > 1 AND k <= 3",
-    "source_limit": "SELECT d.doc_id AS idx, d.source FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NOT NULL ORDER BY d.doc_id LIMIT 50",
     "dataset_count": "SELECT (SELECT count(*) FROM documents) AS n_documents, (SELECT count(*) FROM pages) AS n_pages, (SELECT count(*) FROM embeddings) AS n_vectors",
     "batch_assign": "SELECT vec_id, CAST(FLOOR((row_number() OVER (ORDER BY vec_id) - 1) / 16) AS BIGINT) AS batch FROM embeddings",
     "mse": "SELECT round(avg((a.val - b.val) * (a.val - b.val)), 6) AS mse FROM values_of a JOIN codes c ON a.vec_id = c.vec_id JOIN values_of b ON b.vec_id = c.code AND b.pos = a.pos",
     "tensor_minmax": "SELECT min(val) AS least, max(val) AS most FROM values_of",
-    "vq_assign": "SELECT vec_id, code FROM codes",
     "vq_distances": "SELECT vec_id, code, round(d, 6) AS d FROM dists",
-    "vq_quantize": "SELECT c.vec_id, c.code, v.pos, v.val FROM codes c JOIN values_of v ON v.vec_id = c.code",
-    "vq_loss": "SELECT round(1.25 * sum(d) / (64 * count(*)), 6) AS loss FROM codes",
 }
 
 #: A whole number from 0 to 16^12 - 1 that looks random, of a row's key and a salt: {0}.
@@ -165,7 +174,11 @@ SELECTS |= {
 
 #: Oracles of the crawl, which Spark answers by its own operators over stored pages.
 CRAWL_ORACLES = {
-    "frontier": "SELECT concat('https://art.example/search?page=', page) AS url FROM range(5) t(page)",
+    "frontier": "SELECT concat(host, '/search?page=', unnest(range(n))) AS url FROM (SELECT regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS host, count(*) AS n FROM pages GROUP BY 1)",
+    "anti_existing": "SELECT concat('art', doc_id, '.png') AS name, md5(text) AS digest FROM documents WHERE doc_id % 11 > 0 AND doc_id % 13 > 0 AND doc_id NOT IN (SELECT doc_id FROM labels)",
+    "source_limit": "SELECT concat('hf_own_docs_', lpad(CAST(d.doc_id AS VARCHAR), 6, '0'), '.png') AS name, md5(text) AS digest, 'own/docs' AS source_url FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS NOT NULL ORDER BY d.doc_id LIMIT 50",
+    "coalesce_cols": "SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN md5(text) WHEN doc_id % 5 > 0 THEN md5(source) END AS digest FROM documents",
+    "first_image_column": "SELECT doc_id, md5(concat(lang, ':', source)) AS digest FROM documents",
     "http_ok": "SELECT url, CAST(length(html) AS INT) AS n FROM site WHERE status = 200 AND url LIKE '%/search?page=%'",
     "href_prefix": "SELECT url, pos, href FROM site_links WHERE url LIKE '%/search?page=%' AND regexp_matches(href, '^/content/')",
     "href_structural": "SELECT url, pos, href FROM games",
@@ -205,3 +218,26 @@ SPRITE_ORACLES = {
       '  "width": ', width, ',', chr(10), '  "height": ', height, ',', chr(10), '  "has_background": ', has_background, ',', chr(10), '  "palette_size": ', palette_size, ',', chr(10),
       '  "is_animation": false,', chr(10), '  "frames": 1,', chr(10), '  "fps": null,', chr(10), '  "source_url": "', source_url, '"', chr(10), '}') AS json FROM metadata""",
 }
+
+#: Oracles of queries over answers, vectors, formats and shards, which Spark answers by the library.
+LIBRARY_ORACLES = {
+    "vlm_tail": "SELECT conv_id, turn, regexp_replace(regexp_replace(answer, '(?s)^.*ASSISTANT:', ''), '^[[:space:]]+|[[:space:]]+$', '', 'g') AS tail FROM answers",
+    "vlm_fence": """SELECT conv_id, turn, CASE conv_id % 6 WHEN 0 THEN object WHEN 1 THEN concat(' ', object, ' ') WHEN 2 THEN concat('{"description": "the_', role, '", "frames": "12"}')
+        WHEN 3 THEN regexp_replace(concat('{"description": ', text), '[[:space:]]+$', '') WHEN 4 THEN concat('[1, "', role, '"]') ELSE '{"is_animation": "yes", "frames": 2.5}' END AS body
+      FROM (SELECT *, CAST(json_object('description', text, 'is_animation', true, 'frames', turn) AS VARCHAR) AS object FROM conversations)""",
+    "vlm_parse": """SELECT conv_id, turn, CASE conv_id % 6 WHEN 0 THEN text WHEN 1 THEN text WHEN 2 THEN concat('the_', role) WHEN 3 THEN regexp_replace(concat('{"description": ', text), '[[:space:]]+$', '')
+        WHEN 4 THEN concat('[1, "', role, '"]') ELSE 'No description' END AS description,
+        CASE conv_id % 6 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 5 THEN false END AS is_animation,
+        CAST(CASE conv_id % 6 WHEN 0 THEN turn WHEN 1 THEN turn WHEN 2 THEN 12 WHEN 5 THEN 1 END AS INTEGER) AS frames FROM conversations""",
+    "vq_assign": "SELECT vec_id, code FROM codes",
+    "vq_quantize": "SELECT c.vec_id, c.code, v.pos, v.val FROM codes c JOIN values_of v ON v.vec_id = c.code",
+    "vq_loss": "SELECT round(1.25 * sum(d) / (64 * count(*)), 6) AS loss FROM codes",
+    "image_formats": f"""SELECT v.id, CASE WHEN broken THEN 'unreadable' ELSE v.verdict END AS verdict, v.removed AND v.verdict = 'accepted' AND NOT broken AS bg_removed,
+        CASE WHEN broken THEN -1 ELSE coalesce(m.width, -1) END AS width, CASE WHEN broken THEN -1 ELSE coalesce(m.height, -1) END AS height, CASE WHEN broken THEN -1 ELSE coalesce(m.palette_size, -1) END AS palette_size
+      FROM verdicts v LEFT JOIN metadata m ON v.id = m.id JOIN (SELECT id, {SPRITE_FORMAT} = 7 AS broken FROM ({SPRITE_SIZES})) f ON f.id = v.id""",
+    "jpeg_decode": f"""SELECT id, 8 * w AS width, 8 * h AS height, CASE WHEN w > 2 OR h > 2 THEN 8 ELSE 1 END AS scale, n AS palette_size, CAST(greys AS BIGINT) AS greys
+      FROM (SELECT id, any_value(w) AS w, any_value(h) AS h, count(DISTINCT grey) AS n, sum((x + 1) * (y + 1) * grey) AS greys
+            FROM (SELECT *, (id * 31 + x * 17 + y * 29) % 256 AS grey FROM (SELECT *, unnest(range(w)) AS x FROM (SELECT *, unnest(range(h)) AS y FROM ({JPEG_SIZES})))) GROUP BY id)""",
+    "annotate": "SELECT id, concat('sprite of ', width, ' x ', height, ' pixels') AS description, false AS is_animation, CAST(1 AS BIGINT) AS frames FROM metadata",
+    "webdataset_write": f"SELECT bucket, CAST(j.id AS VARCHAR) AS name, j.json, true AS has_image FROM ({SPRITE_ORACLES['metadata_json']}) j JOIN (SELECT id, dataset_bucket AS bucket FROM metadata) m ON m.id = j.id",
+}

@@ -8,16 +8,23 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spriteloom.operators.annotate import annotate, dry_run, metadata_json
+from spriteloom.operators.annotate import annotate, answer_fields, dry_run, json_in, metadata_json, said_in
 from spriteloom.operators import clean, crawl
 from spriteloom.operators.crawl import absolute, links
 from spriteloom.operators.ordering import numbered
 from spriteloom.operators.shards import assign_shards
-from spriteloom.plans.fragments import CRAWL_ORACLES, CTES, MIXED, SELECTS, SPRITE_LICENSE, SPRITE_ORACLES, SPRITE_SIZES, SPRITE_URL
-from spriteloom.sources.codec import encode_png, expand_zips
+from spriteloom.operators.vq import quantize, reconstructed, vq_loss
+from spriteloom.plans import drawing
+from spriteloom.plans.fragments import CRAWL_ORACLES, CTES, JPEG_SIZES, LIBRARY_ORACLES, MIXED, SELECTS, SPRITE_FORMAT, SPRITE_LICENSE, SPRITE_ORACLES, SPRITE_SIZES, SPRITE_URL
+from spriteloom.sources import storage
+from spriteloom.sources.archives import archive_entries, expand_archives
+from spriteloom.sources.codec import encode_png
+from spriteloom.sources.jpeg import jpegs_as_png
 from spriteloom.sources.webdataset import WebDataset
 
 TABLES = ("customer documents embeddings events labels pages part conversations benchmark orders lineitem supplier nation region").split()
@@ -26,7 +33,7 @@ SHARD_BYTES = 100_000
 
 def compose(name: str, engine: str) -> str:
     """The query's SQL for an engine: its SELECT, after those pieces that it needs."""
-    last = (SELECTS | SPRITE_ORACLES | CRAWL_ORACLES)[name]
+    last = (SELECTS | SPRITE_ORACLES | CRAWL_ORACLES | LIBRARY_ORACLES)[name]
     last = last if isinstance(last, str) else last[engine]
     order: list[str] = []
 
@@ -71,8 +78,6 @@ def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def draw_sprite(i: int, kind: int, w0: int, h0: int, k: int):
     """RGBA pixels of a derived sprite; the oracle's SQL has the same rules."""
-    import numpy as np
-
     y, x = np.mgrid[: h0 * k, : w0 * k]
     cy, cx = y // k, x // k
     v = (i * 7 + cx * 3 + cy * 5) % 11
@@ -94,8 +99,6 @@ def sprite_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.sql(f"SELECT *, {SPRITE_LICENSE} AS license_type, {SPRITE_URL} AS source_url FROM ({SPRITE_SIZES}) s")
 
     def draw(frames):
-        import pandas as pd
-
         for frame in frames:
             files = [encode_png(draw_sprite(*r)) for r in zip(*(frame[c].tolist() for c in ("id", "kind", "w0", "h0", "k")))]
             yield pd.DataFrame({"name": frame["id"].map("{}.png".format), "content": files, "license_type": frame["license_type"], "source_url": frame["source_url"]})
@@ -103,11 +106,11 @@ def sprite_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.repartition(spark.sparkContext.defaultParallelism).mapInPandas(draw, "name string, content binary, license_type string, source_url string")
 
 
-def of_sprites(answer):
-    """A query that asks the sprites' files; ``answer`` gives rows with ``name``, which becomes the id."""
+def of_files(answer):
+    """``answer`` gives rows with ``name``, which becomes the id."""
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        got = answer(sprite_files(spark, sf_dir))
+    def run(files: DataFrame) -> DataFrame:
+        got = answer(files)
         own = [F.substring_index("name", ".", 1).cast("long").alias("id")] if "name" in got.columns else []
         rest = [F.col(c).cast("long").alias(c) if t == "int" else F.col(c) for c, t in got.dtypes if c != "name"]
         return got.select(*own, *rest)
@@ -115,6 +118,11 @@ def of_sprites(answer):
     return run
 
 
+def of_sprites(answer):
+    """A query that asks the sprites' files."""
+    return lambda spark, sf_dir: of_files(answer)(sprite_files(spark, sf_dir))
+
+
 def _facts(*columns: str):
     return of_sprites(lambda files: clean.image_facts(files).selectExpr("name", *columns))
 
@@ -176,36 +184,155 @@ SPRITE_QUERIES = {
 }
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: where the cluster says, and in one process anywhere."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        folder = tempfile.mkdtemp()
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate(clean.clean_images(sprite_files(spark, sf_dir)).where("verdict = 'accepted'"), dry_run)
+    accepted = clean.clean_images(sprite_files(spark, sf_dir)).where("verdict = 'accepted'")
+    got = annotate(accepted, dry_run, work_folder(spark, "answers"))
+    return got.select(F.substring_index("name", ".", 1).cast("long").alias("id"), "description", "is_animation", F.col("frames").cast("long").alias("frames"))
 
 
 def webdataset_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleans, shards, writes tar files and reads them back."""
     spark.dataSource.register(WebDataset)
     done = clean.clean_images(sprite_files(spark, sf_dir)).where("verdict = 'accepted'").select(
-        F.col("metadata.dataset_bucket").alias("bucket"), F.substring_index("name", ".", 1).cast("long").alias("id"), "png", F.to_json("metadata").alias("json")
+        F.col("metadata.dataset_bucket").alias("bucket"), F.substring_index("name", ".", 1).cast("long").alias("id"), "png", metadata_json("metadata").alias("json")
     )
+    path = work_folder(spark, "webdataset")
+    done.write.parquet(f"{path}/cleaned")
+    done = spark.read.parquet(f"{path}/cleaned")
     sizes = done.select("bucket", "id", (F.length("png") + F.octet_length("json")).cast("long").alias("size"))
     placed = done.join(assign_shards(sizes, 20_000).select("id", "shard"), "id")
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors mount: the tar files go there")
-        folder = tempfile.mkdtemp()  # driver and executors are one process
-    path = f"{folder.removeprefix('file://')}/webdataset-{uuid.uuid4().hex}"
     rows = placed.select("bucket", "shard", F.col("id").cast("string").alias("name"), "png", "json").repartition("bucket", "shard")
-    rows.write.format("webdataset").mode("append").save(path)
-    return spark.read.format("webdataset").load(path).select("bucket", "shard", "name", F.length("png").alias("png_bytes"), "json")
+    rows.write.format("webdataset").mode("append").save(f"{path}/tars")
+    read = spark.read.format("webdataset").load(f"{path}/tars")
+    return read.select("bucket", "name", "json", (F.hex(F.substring("png", 1, 4)) == "89504E47").alias("has_image"))
+
+
+def drawn(spark: SparkSession, sf_dir: str, sql: str, draw, columns: tuple[str, ...]) -> DataFrame:
+    """Files (name, content) that ``draw`` makes of the named columns of rows with ``id``, which come from ``part``."""
+    spark.read.parquet(f"{sf_dir}/part.parquet").createOrReplaceTempView("part")
+
+    def run(frames):
+        for frame in frames:
+            yield pd.DataFrame({"name": frame["id"].map("{}.img".format), "content": [draw(*r) for r in zip(*(frame[c].tolist() for c in columns))]})
+
+    files = spark.sql(sql).repartition(spark.sparkContext.defaultParallelism).mapInPandas(run, "name string, content binary")
+    return files.withColumns({"license_type": F.lit(None).cast("string"), "source_url": F.lit(None).cast("string")})
+
+
+def image_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sprites as PNG with every filter, by palette, as GIF, and cut short."""
+    files = drawn(spark, sf_dir, f"SELECT *, {SPRITE_FORMAT} AS form FROM ({SPRITE_SIZES}) s", lambda *r: drawing.in_format(draw_sprite(*r[:-1]), r[-1]), ("id", "kind", "w0", "h0", "k", "form"))
+    return of_files(_decoded)(files)
+
+
+def draw_greys(i: int, w: int, h: int):
+    y, x = np.mgrid[:h, :w]
+    return (i * 31 + x * 17 + y * 29) % 256
+
+
+def jpeg_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of JPEG files, which the image source decodes, and the grey of each cell that they are made of."""
+    files = drawn(spark, sf_dir, JPEG_SIZES, lambda *r: drawing.grey_jpeg(draw_greys(*r)), ("id", "w", "h"))
+    files = jpegs_as_png(files, work_folder(spark, "jpeg"))
+    facts = clean.image_facts(files).select("name", "width", "height", "scale", "palette_size")
+    cells = clean.image_pixels(files, lambda rgba: rgba[::8, ::8]).groupBy("name").agg(F.sum((F.col("x") + 1) * (F.col("y") + 1) * F.col("g")).alias("greys"))
+    return of_files(lambda _: facts.join(cells, "name"))(files)
 
 
 def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w") as z:
-        for name in ("art/a.png", "b/a.png", "C.GIF", "__MACOSX/a.png", "x__MACOSX/y.png", "readme.txt"):
-            z.writestr(name, name)
-    rows = spark.createDataFrame([("pack.zip", data.getvalue()), ("broken.zip", b"no zip")], "name string, content binary")
-    return expand_zips(rows).select("archive", "entry", "name", F.length("content").alias("n"))
+    """Fifty documents go into each archive, and the archives are spread over tasks by their entries."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.floor(F.col("doc_id") / 50).alias("pack"), "doc_id", "source", "text")
+    path = work_folder(spark, "archives")
+
+    def write(key, rows):
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+            for doc_id, source, text in rows.sort_values("doc_id")[["doc_id", "source", "text"]].itertuples(index=False):
+                folder, kind = ("__MACOSX" if doc_id % 7 == 0 else "art"), (".png", ".GIF", ".txt")[doc_id % 3]
+                z.writestr(f"{folder}/{doc_id}/{source}{kind}", text)
+        storage.put(f"{path}/pack{key[0]}.zip", data.getvalue() if key[0] % 5 != 3 else data.getvalue()[:-9])
+        return pd.DataFrame({"pack": [key[0]]})
+
+    docs.groupBy("pack").applyInPandas(write, "pack long").count()
+    entries = expand_archives(archive_entries(spark, path), 1 << 18)
+    return entries.select("archive", "entry", "name", F.length("content").alias("n"), F.md5("content").alias("digest"))
+
+
+def hosted(columns: str, index: str = "doc_id"):
+    """A query over documents as a hosted table of images; ``answer`` gets the table."""
+
+    def over(answer):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            docs = spark.read.parquet(f"{sf_dir}/documents.parquet").join(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"), "doc_id", "left")
+            return answer(docs.selectExpr(index, *columns.split("; ")))
+
+        return run
+
+    return over
+
+
+_IF_LABELLED = "CASE WHEN quality IS NOT NULL THEN encode(text, 'UTF-8') END AS image"
+_TWO_COLUMNS = "struct(CASE WHEN doc_id % 3 > 0 THEN encode(text, 'UTF-8') END AS bytes) AS image; CASE WHEN doc_id % 5 > 0 THEN encode(source, 'UTF-8') END AS img"
+_OTHER_COLUMN = "lang; encode(concat(lang, ':', source), 'UTF-8') AS picture"
+
+
+def _image_digests(table: DataFrame) -> DataFrame:
+    return table.select("doc_id", F.md5(crawl.image_column(table)).alias("digest"))
+
+
+def anti_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the files on a host, those that were not downloaded before."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    name = F.concat(F.when(F.col("doc_id") % 11 == 0, "Icon").otherwise("art"), F.col("doc_id").cast("string"), F.lit(".png"))
+    files = docs.select(F.concat(F.lit("https://files.example/"), name).alias("url"), name.alias("name"), "text", F.when(F.col("doc_id") % 13 == 0, 404).otherwise(200).alias("status"))
+    have = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.concat(F.lit("art"), F.col("doc_id").cast("string"), F.lit(".png")).alias("name"))
+    got = crawl.download(files.select("url", "name"), crawl.from_table(files.select("url", "status", F.col("text").alias("content"))), have)
+    return got.select("name", F.md5("content").alias("digest"))
+
+
+def site_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many listing pages of each host as it has pages."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.regexp_extract("url", "^([a-z]+://[^/?#]*)", 1).alias("host"))
+    sites = pages.groupBy("host").agg(F.count("*").alias("last")).select(F.concat("host", F.lit("/search?page={page}")).alias("template"), F.lit(0).alias("first"), F.col("last").cast("int"))
+    return crawl.frontier(sites)
+
+
+def of_answers(answer):
+    """A query over models' answers (conv_id, turn, answer) made of conversations."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.read.parquet(f"{sf_dir}/conversations.parquet").createOrReplaceTempView("conversations")
+        return answer(spark.sql(CTES["answers"]["spark"]))
+
+    return run
+
+
+def of_vectors(answer):
+    """A query over embeddings and a codebook of their first 32."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+        first = vectors.where("vec_id < 32").orderBy("vec_id").collect()
+        return answer(vectors, np.array([r["embedding"] for r in first], np.float64))
+
+    return run
+
+
+VECTOR_QUERIES = {
+    "vq_assign": of_vectors(lambda vectors, codebook: quantize(vectors, codebook).select("vec_id", F.col("code").cast("long").alias("code"))),
+    "vq_quantize": of_vectors(lambda vectors, codebook: reconstructed(vectors, codebook).select("vec_id", F.col("code").cast("long").alias("code"), F.posexplode("quantized").alias("pos", "val"))),
+    "vq_loss": of_vectors(lambda vectors, codebook: vq_loss(vectors, codebook).select(F.round("loss", 6).alias("loss"))),
+}
 
 
 def batches(rows: DataFrame, key: str, size: int) -> DataFrame:
@@ -260,7 +387,11 @@ def _of(urls: DataFrame, part: str) -> DataFrame:
 
 
 CRAWL_QUERIES = {
-    "frontier": lambda spark, sf_dir: crawl.numbered_pages(spark, "https://art.example/search?page={page}", 0, 5),
+    "frontier": site_frontier,
+    "anti_existing": anti_existing,
+    "source_limit": hosted(_IF_LABELLED)(lambda table: crawl.hosted_images(table, "own/docs", "doc_id", limit=50).select("name", F.md5("content").alias("digest"), "source_url")),
+    "coalesce_cols": hosted(_TWO_COLUMNS)(_image_digests),
+    "first_image_column": hosted(_OTHER_COLUMN)(_image_digests),
     "http_ok": over_site(lambda urls, fetch: fetch(_of(urls, "/search?page=")).where("status = 200").select("url", F.length(F.decode("content", "UTF-8")).alias("n"))),
     "href_prefix": over_site(lambda urls, fetch: crawl.follow(_of(urls, "/search?page="), fetch, F.col("href").startswith("/content/")).select("url", "pos", "href")),
     "href_structural": over_site(lambda urls, fetch: crawl.follow(_of(urls, "/snes/?part="), fetch, crawl.is_game("snes")).select("url", "pos", "href")),
@@ -272,7 +403,12 @@ CRAWL_QUERIES = {
     "crawl_console": over_site(lambda urls, fetch: crawl.console_files(_of(urls, "/snes/?part="), fetch, "snes", 2, 22)),
 }
 
-QUERIES = {name: sql_query(name) for name in SELECTS} | SPRITE_QUERIES | CRAWL_QUERIES | {
+QUERIES = {name: sql_query(name) for name in SELECTS} | SPRITE_QUERIES | CRAWL_QUERIES | VECTOR_QUERIES | {
+    "image_formats": image_formats,
+    "jpeg_decode": jpeg_decode,
+    "vlm_tail": of_answers(lambda answers: answers.select("conv_id", "turn", said_in(F.col("answer")).alias("tail"))),
+    "vlm_fence": of_answers(lambda answers: answers.select("conv_id", "turn", json_in(said_in(F.col("answer"))).alias("body"))),
+    "vlm_parse": of_answers(lambda answers: answers.select("conv_id", "turn", answer_fields(F.col("answer")).alias("said")).select("conv_id", "turn", "said.*")),
     "shard_assign": shards,
     "shard_manifest": shard_manifest,
     "annotate": annotated,
@@ -297,7 +433,7 @@ f AS (
   FROM f JOIN s ON s.bucket = f.bucket AND s.k = f.k + 1)
 """
 
-ORACLES = {name: compose(name, "duck") for name in SELECTS | SPRITE_ORACLES | CRAWL_ORACLES} | {
+ORACLES = {name: compose(name, "duck") for name in SELECTS | SPRITE_ORACLES | CRAWL_ORACLES | LIBRARY_ORACLES} | {
     "html_links": compose("href_extract", "duck"),
     "html_nav_links": compose("css_descendant", "duck"),
     "html_targets": compose("urljoin_abs", "duck"),
@@ -305,6 +441,9 @@ ORACLES = {name: compose(name, "duck") for name in SELECTS | SPRITE_ORACLES | CR
     "shard_manifest": _FOLD + "SELECT bucket, shard, CAST(sum(size) AS BIGINT) AS bytes, count(*) AS n FROM f GROUP BY bucket, shard",
     "batch_shuffle": f"SELECT vec_id, CAST((row_number() OVER (ORDER BY {MIXED['duck'].format("concat(vec_id, ':order')")}) - 1) // 16 AS BIGINT) AS batch FROM embeddings",
     "row_access": "SELECT position, doc_id, lang, source FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents) d JOIN benchmark ON item_id = position",
-    "zip_expand": """SELECT 'pack.zip' AS archive, entry, name, CAST(length(entry) AS INTEGER) AS n FROM (VALUES ('art/a.png', 'pack_a.png'), ('b/a.png', 'pack_a-2.png'),
-      ('C.GIF', 'pack_C.GIF'), ('x__MACOSX/y.png', 'pack_y.png')) t(entry, name)""",
+    "zip_expand": """SELECT archive, entry, CASE WHEN k = 1 THEN stem || kind ELSE stem || '-' || k || kind END AS name, n, digest
+      FROM (SELECT *, row_number() OVER (PARTITION BY archive, stem, kind ORDER BY doc_id) AS k
+            FROM (SELECT 'pack' || doc_id // 50 || '.zip' AS archive, 'art/' || doc_id || '/' || source || kind AS entry, 'pack' || doc_id // 50 || '_' || source AS stem, kind, doc_id,
+                         CAST(strlen(text) AS INTEGER) AS n, md5(text) AS digest
+                  FROM (SELECT *, CASE doc_id % 3 WHEN 0 THEN '.png' ELSE '.GIF' END AS kind FROM documents WHERE doc_id % 3 < 2 AND doc_id % 7 > 0 AND doc_id // 50 % 5 <> 3)))""",
 }

@@ -11,6 +11,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from spriteloom.sources.archives import flat_names, wanted_entry
+
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
 _CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
 
@@ -27,29 +29,50 @@ def encode_png(rgba: np.ndarray) -> bytes:
 
 
 def _unfilter(data: bytes, height: int, stride: int, step: int) -> np.ndarray:
-    out = np.zeros((height, stride), np.uint8)
-    above = np.zeros(stride, np.int32)
-    for y in range(height):
-        at = y * (stride + 1)
-        kind, line = data[at], np.frombuffer(data, np.uint8, stride, at + 1).astype(np.int32)
-        if kind == 1:
-            line = np.cumsum(line.reshape(-1, step), axis=0).ravel() if stride % step == 0 else line
-        elif kind == 2:
-            line = line + above
-        elif kind in (3, 4):
-            for x in range(stride):
-                left, corner = (line[x - step], above[x - step]) if x >= step else (0, 0)
-                if kind == 3:
-                    guess = (left + above[x]) // 2
-                else:
-                    p = left + above[x] - corner
-                    guess = min((left, above[x], corner), key=lambda v: abs(p - v))
-                line[x] = (line[x] + guess) & 255
-        above = line & 255
-        out[y] = above
+    lines = np.frombuffer(data, np.uint8, height * (stride + 1)).reshape(height, stride + 1)
+    kinds, lines = lines[:, 0], lines[:, 1:]
+    if kinds.size and kinds.max() > 4:
+        raise ValueError("unknown filter")
+    if (kinds > 2).any():
+        return _unfilter_diagonals(lines, kinds, step)
+    out = lines.copy()
+    for y in np.flatnonzero(kinds):
+        if kinds[y] == 1:
+            whole = out[y, : stride // step * step]
+            whole[:] = np.cumsum(whole.reshape(-1, step), axis=0, dtype=np.uint8).ravel()
+        elif y:
+            out[y] += out[y - 1]
     return out
 
 
+def _unfilter_diagonals(lines: np.ndarray, kinds: np.ndarray, step: int) -> np.ndarray:
+    """All filters at once, a diagonal at a time: a pixel needs those to its left, above, and above to the left, which lie on the two diagonals before."""
+    (h, stride), width = lines.shape, -(-lines.shape[1] // step)
+    padded = np.zeros((h, width * step), np.int16)
+    padded[:, :stride] = lines
+    # pixel x of row y is slanted[x + y, y + 1]; row 0 and what lies left of the image stay zero
+    slanted = np.zeros((h + width, h + 1, step), np.int16)
+    rows = np.arange(h)
+    for y in rows:
+        slanted[y : y + width, y + 1] = padded[y].reshape(width, step)
+    sub, up, average, paeth = (np.where(kinds == k, 1, 0).astype(np.int16)[:, None] for k in (1, 2, 3, 4))
+    nothing = np.zeros((h + 1, step), np.int16)
+    for d in range(h + width - 1):
+        low, high = max(0, d - width + 1), min(h, d + 1)
+        before, earlier = slanted[d - 1] if d else nothing, slanted[d - 2] if d > 1 else nothing
+        here = slice(low, high)
+        left, above, corner = before[low + 1 : high + 1], before[here], earlier[here]
+        to_left, to_above = np.abs(above - corner), np.abs(left - corner)
+        to_corner = np.abs(left + above - 2 * corner)
+        nearest = np.where((to_left <= to_above) & (to_left <= to_corner), left, np.where(to_above <= to_corner, above, corner))
+        guess = sub[here] * left + up[here] * above + average[here] * ((left + above) >> 1) + paeth[here] * nearest
+        slanted[d, low + 1 : high + 1] = (slanted[d, low + 1 : high + 1] + guess) & 255
+    out = np.empty((h, width, step), np.uint8)
+    for y in rows:
+        out[y] = slanted[y : y + width, y + 1]
+    return out.reshape(h, -1)[:, :stride]
+
+
 #: First column, first row, column step and row step of each pass of an interlaced image.
 _ADAM7 = [(0, 0, 8, 8), (4, 0, 8, 8), (0, 4, 4, 8), (2, 0, 4, 4), (0, 2, 2, 4), (1, 0, 2, 2), (0, 1, 1, 2)]
 
@@ -108,7 +131,7 @@ def decode_png(data: bytes) -> np.ndarray | None:
         grey = color in (0, 4)
         rgb = np.repeat(px[..., :1], 3, axis=2) if grey else px[..., :3]
         return np.concatenate([rgb, px[..., -1:] if color in (4, 6) else alpha], axis=2).astype(np.uint8)
-    except (struct.error, zlib.error, ValueError, IndexError, KeyError, UnboundLocalError, TypeError):
+    except (struct.error, zlib.error, ValueError, IndexError, KeyError, UnboundLocalError, TypeError, OverflowError):
         return None
 
 
@@ -190,12 +213,8 @@ def decode_image(data: bytes | None) -> np.ndarray | None:
     return decode_gif(data) if data and data[:3] == b"GIF" else decode_png(data)
 
 
-def wanted_entry(name: str) -> bool:
-    return name.lower().endswith((".png", ".gif")) and not name.startswith("__MACOSX")
-
-
 def expand_zips(archives: DataFrame) -> DataFrame:
-    """(archive, entry, name, content) for the images in zip files given as rows (name, content).
+    """(archive, entry, name, content) for the images in small zip files given as rows (name, content); ``archives`` reads those that lie in a folder.
 
     ``name`` is the archive's stem and the entry's last path segment; entries
     whose names meet get a number.  Archives that can't be read give no rows.
@@ -205,14 +224,10 @@ def expand_zips(archives: DataFrame) -> DataFrame:
         for frame in frames:
             rows = []
             for archive, content in zip(frame["name"], frame["content"]):
-                seen: dict[str, int] = {}
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for entry in filter(wanted_entry, z.namelist()):
-                            name = f"{archive.split('.')[0]}_{entry.split('/')[-1]}"
-                            k = seen[name] = seen.get(name, 0) + 1
-                            stem, dot, kind = name.rpartition(".")
-                            rows.append((archive, entry, name if k == 1 else f"{stem}-{k}{dot}{kind}", z.read(entry)))
+                        entries = [i for i in z.infolist() if wanted_entry(i.filename)]
+                        rows += [(archive, i.filename, name, z.read(i)) for i, name in zip(entries, flat_names(archive, [i.filename for i in entries]))]
                 except (zipfile.BadZipFile, TypeError):
                     continue
             yield pd.DataFrame(rows, columns=["archive", "entry", "name", "content"])

@@ -1,5 +1,9 @@
+import io
 import json
 import struct
+import time
+import uuid
+import zipfile
 import zlib
 
 import duckdb
@@ -9,13 +13,17 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
-from spriteloom.operators.annotate import annotate, parse_answer
+from spriteloom.operators.annotate import annotate, answer_fields
 from spriteloom.operators.clean import clean_image, pixel_scale, training_tensors
 from spriteloom.operators.ordering import numbered
 from spriteloom.operators.shards import assign_shards, composed, entered_with, slice_steps
 from spriteloom.operators.vq import quantize
 from spriteloom.plans.queries import ORACLES, QUERIES
+from spriteloom.plans import drawing
+from spriteloom.sources import archives, codec, jpeg, storage, webdataset
 from spriteloom.sources.codec import decode_image, decode_png, encode_png
 from spriteloom.streaming.incremental import clean_stream
 
@@ -48,15 +56,6 @@ def test_arrow_cleaner_agrees_with_sql(spark):
     assert ours == {r["id"]: r["verdict"] for r in QUERIES["clean_verdict"](spark, SF).collect()}
 
 
-@pytest.mark.parametrize("name", ["annotate", "webdataset_write"])
-def test_other_queries_give_rows(spark, name):
-    assert entry.queries()[name](spark, SF).count() > 0
-
-
-def test_zip_entries(spark):
-    assert {r["name"] for r in QUERIES["zip_expand"](spark, SF).collect()} == {"pack_a.png", "pack_a-2.png", "pack_C.GIF", "pack_y.png"}
-
-
 @settings(max_examples=50, deadline=None)
 @given(st.integers(1, 4), st.integers(4, 8), st.integers(4, 8), st.integers(0, 99))
 def test_scale_of_upscaled_art(k, w, h, seed):
@@ -144,27 +143,59 @@ def test_bulk_quantizer_agrees_with_sql(spark):
         ('x ASSISTANT: one ASSISTANT: ``` {"frames":4} ```', ('``` {"frames":4} ```', None, None)),
         ("[1]", ("[1]", None, None)),
         ('{"frames":4} extra', ('{"frames":4} extra', None, None)),
+        ('{"frames":4}],[2', ('{"frames":4}],[2', None, None)),
+        ('{"frames":4}, "more": 2', ('{"frames":4}, "more": 2', None, None)),
+        ('{"description": null, "is_animation": "true", "frames": 2.0}', ("No description", False, 1)),
+        ('{"description": {"a": [1, 2]}, "frames": "007"}', ('{"a":[1,2]}', False, 7)),
+        ('{"description": 5, "frames": 99999999999}', ("5", False, 1)),
+        ('{"frames": 1, "frames": 2}', ('{"frames": 1, "frames": 2}', None, None)),
+        ("\u00a0\u3000wide blanks\u2003", ("wide blanks", None, None)),
+        ("", ("", None, None)),
+        (None, (None, None, None)),
     ],
 )
-def test_answers(answer, want):
-    assert tuple(parse_answer(answer).values()) == want
+def test_answers(spark, answer, want):
+    (got,) = spark.createDataFrame([(answer,)], "answer string").select(answer_fields(F.col("answer")).alias("said")).select("said.*").collect()
+    assert tuple(got) == want
+
 
+def counting(folder):
+    """Makes an annotator that notes in files how often it was made and what it was asked."""
 
-def test_annotator_gets_the_instruction_and_rgb(spark):
-    art = np.random.default_rng(3).integers(0, 256, (5, 4, 4)).astype(np.uint8)
-    art[0, 0] = 0
-    rows = spark.createDataFrame([("a.png", encode_png(art))], "name string, png binary")
+    def note(what):
+        (folder / what / uuid.uuid4().hex).touch()
 
     def make():
+        note("made")
+
         def answer(prompt, images):
             for image in images:
+                note("asked")
                 rgba = decode_png(image)
                 yield json.dumps({"description": f"{prompt[:6]} {rgba[..., 3].min()} {rgba[0, 0, :3].sum()} {int(rgba[..., :3].sum())}", "frames": 3})
 
         return answer
 
-    (got,) = annotate(rows, make).collect()
-    assert got["description"] == f"Answer 255 0 {int(art[..., :3].sum())}" and got["frames"] == 3
+    return make, lambda what: len([*(folder / what).iterdir()])
+
+
+def test_annotator_is_asked_once_for_an_image(spark, tmp_path):
+    for what in ("made", "asked"):
+        (tmp_path / what).mkdir()
+    (make, count), store = counting(tmp_path), str(tmp_path / "store")
+    rng = np.random.default_rng(3)
+    art = [rng.integers(0, 256, (5, 4, 4)).astype(np.uint8) for _ in range(40)]
+    for a in art:
+        a[0, 0] = 0
+    rows = [(f"{i}.png", encode_png(art[i % 30])) for i in range(60)]
+    first = spark.createDataFrame(rows[:50], "name string, png binary").repartition(9)
+    got = {r["name"]: r for r in annotate(first, make, store).collect()}
+    assert {n: r["description"] for n, r in got.items()} == {f"{i}.png": f"Answer 255 0 {int(art[i % 30][..., :3].sum())}" for i in range(50)}
+    assert all(r["frames"] == 3 for r in got.values())
+    assert count("asked") == 30 and count("made") <= 4  # once a Python worker, of which there are four
+    more = spark.createDataFrame([*rows, ("new.png", encode_png(art[35]))], "name string, png binary")
+    assert annotate(more, make, store).count() == 61 and count("asked") == 31
+    assert annotate(more.limit(3), make, store, prompt="Another question").count() == 3 and count("asked") == 34
 
 
 def test_training_tensor(spark):
@@ -178,6 +209,7 @@ def test_stream_sees_each_file_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for name in ("a", "b"):
         (tmp_path / "in" / f"{name}.png").write_bytes(encode_png(np.random.default_rng(1).integers(0, 9, (6, 6, 4)).astype(np.uint8)))
+        (tmp_path / "in" / f"{name}.txt").write_bytes(b"no image")
         clean_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     assert sorted(r["name"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a.png", "b.png"]
 
@@ -282,3 +314,138 @@ def test_decode_every_kind_of_png(interlaced):
                         want[..., 3] = np.where((px == px[0, 0]).all(axis=2), 0, 255)
                 got = decode_png(stored_png(px, depth, color, interlaced, clear, palette))
                 assert got is not None and got.dtype == np.uint8 and (got == want).all(), (color, depth, h, w)
+
+
+def filtered_png(rgba, kinds):
+    """An RGBA PNG whose rows have these filters, by the format's definition, a byte at a time."""
+    h, w = rgba.shape[:2]
+    px, body = rgba.reshape(h, w * 4).astype(int), bytearray()
+    for y in range(h):
+        body.append(kinds[y])
+        for x in range(w * 4):
+            left, above = px[y, x - 4] if x >= 4 else 0, px[y - 1, x] if y else 0
+            corner = px[y - 1, x - 4] if y and x >= 4 else 0
+            p = left + above - corner
+            guess = [0, left, above, (left + above) // 2, min((left, above, corner), key=lambda v: abs(p - v))][kinds[y]]
+            body.append((px[y, x] - guess) & 255)
+    part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 6, 0, 0, 0)) + part(b"IDAT", zlib.compress(bytes(body))) + part(b"IEND", b"")
+
+
+@pytest.mark.parametrize("h, w", [(1, 1), (1, 9), (9, 1), (7, 13), (40, 23)])
+def test_all_filters(h, w):
+    rng = np.random.default_rng(h * w)
+    rgba = rng.integers(0, 256, (h, w, 4)).astype(np.uint8)
+    for kinds in ([4] * h, [3] * h, rng.integers(0, 5, h).tolist(), rng.integers(0, 3, h).tolist()):
+        assert (codec.decode_png(filtered_png(rgba, kinds)) == rgba).all()
+    assert codec.decode_png(filtered_png(rgba, [0] * h).replace(b"IDAT", b"IDAX")) is None
+
+
+def test_a_large_image_with_paeth_rows_is_read_fast():
+    began = time.process_time()
+    lines = np.random.default_rng(1).integers(0, 256, (1000, 8001)).astype(np.uint8)
+    lines[:, 0] = 4
+    codec._unfilter(lines.tobytes(), 1000, 8000, 4)
+    assert time.process_time() - began < 3  # a loop over bytes takes 20
+
+
+@pytest.mark.parametrize("form", range(8))
+def test_formats(form):
+    rgba = np.random.default_rng(form).integers(0, 5, (11, 13, 4)).astype(np.uint8) * 60
+    rgba[..., 3] = np.where(rgba[..., 3] > 100, 255, 0)
+    rgba[rgba[..., 3] == 0] = 0
+    got = decode_image(drawing.in_format(rgba, form))
+    assert got is None if form == 7 else (got == rgba).all()
+
+
+def test_jpegs_become_pngs(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    cells = [rng.integers(0, 256, (h, w)) for h, w in ((1, 1), (3, 5), (40, 2))]
+    rows = [(f"{i}.jpg", drawing.grey_jpeg(c)) for i, c in enumerate(cells)] + [("again.jpg", drawing.grey_jpeg(cells[0])), ("broken.jpg", b"\xff\xd8\xff junk"), ("p.png", encode_png(np.zeros((4, 4, 4), np.uint8))), ("none", None)]
+    images = spark.createDataFrame([(*r, "x") for r in rows], "name string, content binary, `path` string")
+    got = {r["name"]: r["content"] for r in jpeg.jpegs_as_png(images, str(tmp_path)).collect()}
+    assert len(got) == 7 and got["broken.jpg"] == b"\xff\xd8\xff junk" and got["none"] is None and bytes(got["p.png"]) == rows[5][1]
+    for i, c in enumerate([*cells, cells[0]]):
+        px = decode_png(bytes(got["again.jpg" if i == 3 else f"{i}.jpg"]))
+        want = np.repeat(np.repeat(c, 8, axis=0), 8, axis=1)
+        assert (px[..., 3] == 255).all() and all((px[..., k] == want).all() for k in range(3))
+
+
+@pytest.mark.parametrize("channels", [1, 3, 4])
+def test_pixels_of_the_image_source(channels):
+    px = np.arange(2 * 3 * channels, dtype=np.uint8).reshape(2, 3, channels)
+    rgba = jpeg.rgba_of(px.tobytes(), 2, 3, channels)
+    assert rgba[1, 2].tolist() == {1: [5, 5, 5, 255], 3: [17, 16, 15, 255], 4: [22, 21, 20, 23]}[channels]
+
+
+def test_archives_are_spread_over_tasks(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    files = {f"d{k % 3}/{k // 2}.PNG": rng.bytes(40_000) for k in range(60)} | {"__MACOSX/0.png": b"x", "readme.txt": b"x"}
+    for n, method in enumerate((zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_LZMA)):
+        with zipfile.ZipFile(tmp_path / f"a.{n}.zip", "w", method) as z:
+            for name, data in files.items():
+                z.writestr(name, data)
+    damaged = bytearray((tmp_path / "a.0.zip").read_bytes())
+    damaged[20_000] ^= 1
+    (tmp_path / "b.zip").write_bytes(bytes(damaged))
+    (tmp_path / "c.zip").write_bytes(b"no archive")
+    entries = archives.archive_entries(spark, str(tmp_path))
+    assert entries.groupBy("archive").count().count() == 4 and "content" not in entries.columns
+    opened = archives.expand_archives(entries, 500_000)
+    assert opened.rdd.getNumPartitions() > 10 or opened.select(F.spark_partition_id()).distinct().count() > 10
+    got = opened.collect()
+    images = [n for n in files if n.endswith(".PNG") and not n.startswith("__MACOSX")]
+    for archive, lost in (("a.0.zip", 0), ("a.1.zip", 0), ("a.2.zip", 60), ("b.zip", 1)):
+        own = {r["entry"]: r for r in got if r["archive"] == archive}
+        assert len(own) == 60 - lost and all(bytes(r["content"]) == files[e] for e, r in own.items())
+        assert len({r["name"] for r in own.values()}) == len(own)
+    assert archives.flat_names("a.0.zip", ["x/1.png", "y/1.png", "1.gif"]) == ["a_1.png", "a_1-2.png", "a_1.gif"] and len(images) == 60
+
+
+TAR_ROW = "bucket string, shard long, name string, png binary, json string"
+
+
+def tar_rows(spark, rows, path, mode="append"):
+    spark.dataSource.register(webdataset.WebDataset)
+    spark.createDataFrame(rows, TAR_ROW).repartition("bucket", "shard").write.format("webdataset").mode(mode).save(path)
+
+
+def read_tars(spark, path):
+    return sorted(tuple(r) for r in spark.read.format("webdataset").load(path).collect())
+
+
+def test_tar_jobs_are_committed_or_leave_nothing(spark, tmp_path):
+    path = f"file://{tmp_path}/out"
+    tar_rows(spark, [("a", 0, "x", b"1", "{}"), ("a", 0, "x", b"2", "{}"), ("a", 1, "y", b"3", "{}"), (None, 0, "z", b"4", "{}")], path)
+    first = [("a", 0, "x", b"1", "{}"), ("a", 0, "x-2", b"2", "{}"), ("a", 1, "y", b"3", "{}"), ("none", 0, "z", b"4", "{}")]
+    assert sorted(r[:3] for r in read_tars(spark, path)) == sorted(r[:3] for r in first)
+    files = set(tmp_path.rglob("*.tar"))
+    assert {f.name for f in files} == {"a_shard_000000.tar", "a_shard_000001.tar", "none_shard_000000.tar"} and not [*(tmp_path / "out" / "_jobs").iterdir()]
+    # a job that fails in a task, and one that would write over a shard
+    with pytest.raises(Exception, match="PythonException|TypeError|unsupported"):
+        spark.dataSource.register(webdataset.WebDataset)
+        bad = spark.createDataFrame([("b", k, "n", b"1", "{}") for k in range(20)], TAR_ROW).withColumn("shard", F.when(F.col("shard") < 15, F.col("shard")))
+        bad.repartition(4, "bucket", "shard").write.format("webdataset").mode("append").save(path)
+    with pytest.raises(Exception, match="is there already"):
+        tar_rows(spark, [("a", 1, "y", b"other", "{}"), ("c", 0, "y", b"other", "{}")], path)
+    assert set(tmp_path.rglob("*.tar")) == files and not [*(tmp_path / "out" / "_jobs").iterdir()]
+    assert len(read_tars(spark, path)) == 4
+    tar_rows(spark, [("c", 0, "n", b"5", '{"k": 1}')], path)
+    assert len(read_tars(spark, path)) == 5
+    tar_rows(spark, [("d", 0, "n", b"6", "{}"), ("a", 1, "new", b"7", "{}")], path, "overwrite")
+    assert [(r[0], r[2], bytes(r[3])) for r in read_tars(spark, path)] == [("a", "new", b"7"), ("d", "n", b"6")]
+    assert {f.name for f in tmp_path.rglob("*.tar")} == {"a_shard_000001.tar", "d_shard_000000.tar"}
+
+
+def test_tars_are_read_as_streams(tmp_path):
+    """Members of a sample may stand apart; only open samples are held."""
+    path = str(tmp_path / "out")
+    system, _ = storage.place(path)
+    tar = webdataset._Tar(system, f"{path}/a/a_shard_000003.tar")
+    tar.add("p", png=b"1")
+    tar.add("q", png=b"2", json=b"{}")
+    tar.names.clear()
+    tar.add("p", json=b"[]")
+    tar.close()
+    got = webdataset.TarReader(path).read(webdataset.TarPartition(f"{path}/a/a_shard_000003.tar"))
+    assert [*got] == [("a", 3, "q", b"2", "{}"), ("a", 3, "p", b"1", "[]")]
