@@ -187,6 +187,9 @@ CRAWL_ORACLES = {
     "icon_reject": "SELECT target AS url, regexp_extract(target, '[^/]*$') AS name FROM file_links WHERE regexp_matches(target, '(?i)[.](png|gif|zip)$') AND NOT regexp_matches(target, '(?i)(avatar|icon)[^/]*$')",
     "crawl_level1": "SELECT target FROM found",
     "crawl_level2": "SELECT l.target AS url, regexp_extract(l.target, '[^/]*$') AS name FROM found f JOIN file_links l ON l.url = f.target WHERE regexp_matches(l.target, '(?i)[.](png|gif|zip)$')",
+    "crawl_stream": """SELECT u.url, kind, CAST(coalesce(status, 404) AS INTEGER) AS status
+      FROM (SELECT url, 'listing' AS kind FROM site WHERE url LIKE '%/search?page=%' UNION SELECT target, 'detail' FROM found
+            UNION SELECT l.target, 'file' FROM found f JOIN file_links l ON l.url = f.target WHERE regexp_matches(l.target, '(?i)[.](png|gif|zip)$')) u LEFT JOIN site s ON s.url = u.url""",
     "crawl_console": """SELECT regexp_replace(concat('tsr_', regexp_extract(m.href, '[^/]*$')), '[?].*', '') AS name, concat('https://res.example', m.href) AS url
       FROM (SELECT href FROM (SELECT href, min(pos) AS pos FROM games GROUP BY href) q ORDER BY pos, href OFFSET 2 LIMIT 20) g
       JOIN (SELECT DISTINCT url, href FROM site_links WHERE regexp_matches(href, '/asset/')) a ON a.url = concat('https://res.example', g.href)

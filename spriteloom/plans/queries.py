@@ -26,6 +26,7 @@ from spriteloom.sources.archives import archive_entries, expand_archives
 from spriteloom.sources.codec import encode_png
 from spriteloom.sources.jpeg import jpegs_as_png
 from spriteloom.sources.webdataset import WebDataset
+from spriteloom.streaming import crawl as stateful
 
 TABLES = ("customer documents embeddings events labels pages part conversations benchmark orders lineitem supplier nation region").split()
 SHARD_BYTES = 100_000
@@ -382,11 +383,19 @@ def over_site(answer):
     return run
 
 
+def crawl_stream(urls: DataFrame, fetch: crawl.Fetch) -> DataFrame:
+    """The gallery from its listing pages on, as a stream with state."""
+    spark = urls.sparkSession
+    seeds = _of(urls, "/search?page=").select("url", F.lit("listing").alias("kind"))
+    return stateful.crawl(seeds, fetch, stateful.gallery_step, work_folder(spark, "crawl"), delay=0, burst=10_000).select("url", "kind", "status")
+
+
 def _of(urls: DataFrame, part: str) -> DataFrame:
     return urls.where(F.col("url").contains(part))
 
 
 CRAWL_QUERIES = {
+    "crawl_stream": over_site(crawl_stream),
     "frontier": site_frontier,
     "anti_existing": anti_existing,
     "source_limit": hosted(_IF_LABELLED)(lambda table: crawl.hosted_images(table, "own/docs", "doc_id", limit=50).select("name", F.md5("content").alias("digest"), "source_url")),
