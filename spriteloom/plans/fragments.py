@@ -222,6 +222,20 @@ SPRITE_ORACLES = {
       '  "is_animation": false,', chr(10), '  "frames": 1,', chr(10), '  "fps": null,', chr(10), '  "source_url": "', source_url, '"', chr(10), '}') AS json FROM metadata""",
 }
 
+
+def _learning(rounds: int) -> str:
+    """The loss before each round, in which a codeword goes half of the way to the mean of its vectors."""
+    sql = """WITH x AS (SELECT vec_id, unnest(range(len(embedding))) AS pos, CAST(unnest(embedding) AS DOUBLE) AS val FROM embeddings),
+b0 AS (SELECT vec_id AS code, pos, val FROM x WHERE vec_id < 32)"""
+    for k in range(rounds):
+        sql += f""",
+d{k} AS (SELECT x.vec_id, b.code, sum((x.val - b.val) * (x.val - b.val)) AS d FROM x JOIN b{k} b USING (pos) GROUP BY x.vec_id, b.code),
+n{k} AS (SELECT vec_id, arg_min(code, {{'d': round(d, 9), 'c': code}}) AS code, min(d) AS d FROM d{k} GROUP BY vec_id),
+m{k} AS (SELECT n.code, x.pos, avg(x.val) AS val FROM n{k} n JOIN x USING (vec_id) GROUP BY n.code, x.pos),
+b{k + 1} AS (SELECT b.code, b.pos, CASE WHEN m.val IS NULL THEN b.val ELSE 0.5 * b.val + 0.5 * m.val END AS val FROM b{k} b LEFT JOIN m{k} m ON m.code = b.code AND m.pos = b.pos)"""
+    return sql + "\n" + " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS round, round(sum(d) / (count(*) * (SELECT count(DISTINCT pos) FROM x)), 6) AS loss FROM n{k}" for k in range(rounds))
+
+
 #: Oracles of queries over answers, vectors, formats and shards, which Spark answers by the library.
 LIBRARY_ORACLES = {
     "vlm_tail": "SELECT conv_id, turn, regexp_replace(regexp_replace(answer, '(?s)^.*ASSISTANT:', ''), '^[[:space:]]+|[[:space:]]+$', '', 'g') AS tail FROM answers",
@@ -234,11 +248,12 @@ LIBRARY_ORACLES = {
         CAST(CASE conv_id % 6 WHEN 0 THEN turn WHEN 1 THEN turn WHEN 2 THEN 12 WHEN 5 THEN 1 END AS INTEGER) AS frames FROM conversations""",
     "vq_assign": "SELECT vec_id, code FROM codes",
     "vq_quantize": "SELECT c.vec_id, c.code, v.pos, v.val FROM codes c JOIN values_of v ON v.vec_id = c.code",
+    "vq_learn": _learning(4),
     "vq_loss": "SELECT round(1.25 * sum(d) / (64 * count(*)), 6) AS loss FROM codes",
     "image_formats": f"""SELECT v.id, CASE WHEN broken THEN 'unreadable' ELSE v.verdict END AS verdict, v.removed AND v.verdict = 'accepted' AND NOT broken AS bg_removed,
         CASE WHEN broken THEN -1 ELSE coalesce(m.width, -1) END AS width, CASE WHEN broken THEN -1 ELSE coalesce(m.height, -1) END AS height, CASE WHEN broken THEN -1 ELSE coalesce(m.palette_size, -1) END AS palette_size
       FROM verdicts v LEFT JOIN metadata m ON v.id = m.id JOIN (SELECT id, {SPRITE_FORMAT} = 7 AS broken FROM ({SPRITE_SIZES})) f ON f.id = v.id""",
-    "jpeg_decode": f"""SELECT id, 8 * w AS width, 8 * h AS height, CASE WHEN w > 2 OR h > 2 THEN 8 ELSE 1 END AS scale, n AS palette_size, CAST(greys AS BIGINT) AS greys
+    "jpeg_decode": f"""SELECT id, 8 * w AS width, 8 * h AS height, CAST(CASE WHEN w > 2 OR h > 2 THEN 8 ELSE 1 END AS BIGINT) AS scale, n AS palette_size, CAST(greys AS BIGINT) AS greys
       FROM (SELECT id, any_value(w) AS w, any_value(h) AS h, count(DISTINCT grey) AS n, sum((x + 1) * (y + 1) * grey) AS greys
             FROM (SELECT *, (id * 31 + x * 17 + y * 29) % 256 AS grey FROM (SELECT *, unnest(range(w)) AS x FROM (SELECT *, unnest(range(h)) AS y FROM ({JPEG_SIZES})))) GROUP BY id)""",
     "annotate": "SELECT id, concat('sprite of ', width, ' x ', height, ' pixels') AS description, false AS is_animation, CAST(1 AS BIGINT) AS frames FROM metadata",

@@ -10,13 +10,15 @@ import zipfile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spriteloom.operators.annotate import annotate, answer_fields, dry_run, json_in, metadata_json, said_in
 from spriteloom.operators import clean, crawl
+from spriteloom.operators.codebook import learn_codebook
 from spriteloom.operators.crawl import absolute, links
 from spriteloom.operators.ordering import numbered
+from spriteloom.operators.positions import build_positions, rows_at
 from spriteloom.operators.shards import assign_shards
 from spriteloom.operators.vq import quantize, reconstructed, vq_loss
 from spriteloom.plans import drawing
@@ -27,6 +29,8 @@ from spriteloom.sources.codec import encode_png
 from spriteloom.sources.jpeg import jpegs_as_png
 from spriteloom.sources.webdataset import WebDataset
 from spriteloom.streaming import crawl as stateful
+from spriteloom.streaming.crawl import rocks_state
+from spriteloom.streaming.shards import PLACED, shard_stream
 
 TABLES = ("customer documents embeddings events labels pages part conversations benchmark orders lineitem supplier nation region").split()
 SHARD_BYTES = 100_000
@@ -329,11 +333,36 @@ def of_vectors(answer):
     return run
 
 
-VECTOR_QUERIES = {
-    "vq_assign": of_vectors(lambda vectors, codebook: quantize(vectors, codebook).select("vec_id", F.col("code").cast("long").alias("code"))),
-    "vq_quantize": of_vectors(lambda vectors, codebook: reconstructed(vectors, codebook).select("vec_id", F.col("code").cast("long").alias("code"), F.posexplode("quantized").alias("pos", "val"))),
-    "vq_loss": of_vectors(lambda vectors, codebook: vq_loss(vectors, codebook).select(F.round("loss", 6).alias("loss"))),
-}
+def streamed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``shard_assign`` over a stream: the documents come in four micro-batches."""
+    path = work_folder(spark, "shards")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sizes = docs.select(F.col("doc_id").alias("id"), F.col("lang").alias("bucket"), F.octet_length("text").cast("long").alias("size"))
+    n = numbered(sizes, "id").withColumn("part", F.ntile(4).over(Window.orderBy("position")))
+    for part in range(1, 5):  # files are taken in the order of their times
+        n.where(F.col("part") == part).select("bucket", "id", "size").coalesce(1).write.mode("append").parquet(f"{path}/in")
+    with rocks_state(spark):
+        stream = spark.readStream.schema("bucket string, id long, size long").option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        query = shard_stream(stream, SHARD_BYTES).writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(PLACED).parquet(f"{path}/out")
+
+
+def point_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents at given positions, from a stored index over many small row groups."""
+    path = work_folder(spark, "points")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.repartitionByRange(6, "doc_id").sortWithinPartitions("doc_id").write.option("parquet.block.size", 1 << 16).parquet(f"{path}/table")
+    build_positions(spark, f"{path}/table", f"{path}/index")
+    wanted = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select(F.col("item_id").alias("position"))
+    return rows_at(wanted, f"{path}/index", spark.read.parquet(f"{path}/table").select("doc_id", "lang", "source"))
+
+
+def codebook_rounds(vectors: DataFrame, codebook: np.ndarray) -> DataFrame:
+    """The loss before each of four rounds of learning."""
+    spark = vectors.sparkSession
+    _, losses = learn_codebook(vectors, codebook, 4, reseed=False, folder=work_folder(spark, "codebook"))
+    return spark.createDataFrame([(k, round(float(x), 6)) for k, x in enumerate(losses)], "round int, loss double")
 
 
 def batches(rows: DataFrame, key: str, size: int) -> DataFrame:
@@ -412,6 +441,13 @@ CRAWL_QUERIES = {
     "crawl_console": over_site(lambda urls, fetch: crawl.console_files(_of(urls, "/snes/?part="), fetch, "snes", 2, 22)),
 }
 
+VECTOR_QUERIES = {
+    "vq_assign": of_vectors(lambda vectors, codebook: quantize(vectors, codebook).select("vec_id", F.col("code").cast("long").alias("code"))),
+    "vq_quantize": of_vectors(lambda vectors, codebook: reconstructed(vectors, codebook).select("vec_id", F.col("code").cast("long").alias("code"), F.posexplode("quantized").alias("pos", "val"))),
+    "vq_learn": of_vectors(codebook_rounds),
+    "vq_loss": of_vectors(lambda vectors, codebook: vq_loss(vectors, codebook).select(F.round("loss", 6).alias("loss"))),
+}
+
 QUERIES = {name: sql_query(name) for name in SELECTS} | SPRITE_QUERIES | CRAWL_QUERIES | VECTOR_QUERIES | {
     "image_formats": image_formats,
     "jpeg_decode": jpeg_decode,
@@ -429,6 +465,8 @@ QUERIES = {name: sql_query(name) for name in SELECTS} | SPRITE_QUERIES | CRAWL_Q
     "batch_assign": batch_assign,
     "batch_shuffle": batch_shuffle,
     "row_access": row_access,
+    "point_reads": point_reads,
+    "shard_stream": streamed_shards,
 }
 
 _FOLD = f"""
@@ -447,8 +485,10 @@ ORACLES = {name: compose(name, "duck") for name in SELECTS | SPRITE_ORACLES | CR
     "html_nav_links": compose("css_descendant", "duck"),
     "html_targets": compose("urljoin_abs", "duck"),
     "shard_assign": _FOLD + "SELECT bucket, id, size, shard FROM f",
+    "shard_stream": _FOLD + "SELECT bucket, id, size, shard FROM f",
     "shard_manifest": _FOLD + "SELECT bucket, shard, CAST(sum(size) AS BIGINT) AS bytes, count(*) AS n FROM f GROUP BY bucket, shard",
     "batch_shuffle": f"SELECT vec_id, CAST((row_number() OVER (ORDER BY {MIXED['duck'].format("concat(vec_id, ':order')")}) - 1) // 16 AS BIGINT) AS batch FROM embeddings",
+    "point_reads": "SELECT position, doc_id, lang, source FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents) d JOIN benchmark ON item_id = position",
     "row_access": "SELECT position, doc_id, lang, source FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents) d JOIN benchmark ON item_id = position",
     "zip_expand": """SELECT archive, entry, CASE WHEN k = 1 THEN stem || kind ELSE stem || '-' || k || kind END AS name, n, digest
       FROM (SELECT *, row_number() OVER (PARTITION BY archive, stem, kind ORDER BY doc_id) AS k

@@ -17,6 +17,7 @@ from __future__ import annotations
 import threading
 import time
 from collections.abc import Callable
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,17 @@ _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def rocks_state(spark: SparkSession):
+    """Queries that are started inside keep their state in RocksDB, which states of several kinds need."""
+    before = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_STORE, before)
+
+
 class Host(StatefulProcessor):
     """Gives out every url of a host once: as ``new`` when it is seen, and as ``due`` when its turn comes."""
 
@@ -138,14 +150,10 @@ def crawl(seeds: DataFrame, fetch: Fetch, step: Step, folder: str, delay: float
 
     progress = _Progress(spark, folder)
     hosted(seeds).write.mode("append").parquet(f"{folder}/frontier/seeds")
-    before = spark.conf.get(_STORE)
-    spark.conf.set(_STORE, _ROCKS)
-    try:
+    with rocks_state(spark):
         frontier = spark.readStream.schema(_FRONTIER).parquet(f"{folder}/frontier/*")
         events = frontier.groupBy("host").transformWithStateInPandas(Host(delay, burst), _EVENTS, "Append", "processingTime")
         query = events.writeStream.foreachBatch(batch).outputMode("append").option("checkpointLocation", f"{folder}/checkpoint").trigger(processingTime="0 seconds").start()
-    finally:
-        spark.conf.set(_STORE, before)
     ends = None if timeout is None else time.monotonic() + timeout
     while query.isActive and (ends is None or time.monotonic() < ends):
         last = query.lastProgress
