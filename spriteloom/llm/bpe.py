@@ -14,7 +14,8 @@ UTF-8 state machine, which holds back an unfinished character until its
 remaining bytes arrive.
 
 Cases: a null text counts as empty and has no ids; texts of any length are
-handled in chunks; extra columns are ignored; repeated rows give repeated rows.
+handled in chunks; extra columns are ignored; repeated rows give repeated rows;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ The ranges split the digest space evenly, which bounds every run.
 
 Cases: a null text counts as empty, and all empty texts are equal; a null
 ``doc_id`` ranks after every other id; of rows that repeat id and text exactly
-one is kept; extra columns are ignored; an empty table gives an empty result.
+one is kept; a text of any length is compared as a whole, by digest and length;
+extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ that is sent to the driver (with their counts) or broadcast.
 
 Cases: a null text counts as empty: no words, no places, empty labels, score
 0; repeated rows are judged alike; a null ``doc_id`` is kept; extra columns are
-ignored.
+ignored; an empty table gives an empty result; a text of any length is split as
+a whole, in one row's arrays.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ the root of the number of parts, so very many matches in one text are no trouble
 Cases: a null text counts as empty and has no spans; positions are code points;
 quantifiers never give back what they took and starts are anchored at the start
 of a run, so long runs take linear time; repeated rows are judged alike; extra
-columns are ignored.
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

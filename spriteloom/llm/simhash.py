@@ -12,7 +12,8 @@ components come from distributed star contraction.
 Cases: a null text counts as empty; texts without words have fingerprint zero
 and link like any other; a null ``doc_id`` takes part but is no smallest id
 unless all ids of the component are null; repeated rows give repeated rows;
-extra columns are ignored.
+extra columns are ignored; an empty table gives an empty result; a text of any
+length is read as a whole.
 """
 
 from __future__ import annotations

@@ -11,7 +11,9 @@ an equi-join instead: every url asks for its host suffixes, and only rules of
 these hosts are compared.
 
 Cases: a null url, or one without ``://``, has an empty host and path; it fits
-no rule and gets the default verdict.  Extra columns are ignored.
+no rule and gets the default verdict; so does an empty one.  Repeated rows are
+judged alike; urls of any length are read as a whole; extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
