@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spriteloom.operators.ordering import PART_ROWS, slices
+from spriteloom.operators.steps import cut
 
 #: Neighbours whose step functions are composed in one task.
 FAN = 8
@@ -116,10 +117,10 @@ def assign_shards(rows: DataFrame, limit: int, part_rows: int | None = None) ->
         return frame.assign(shard=out)[["bucket", "id", "size", "shard"]]
 
     top = sliced.agg(F.max("slice")).first()[0] or 0
-    levels = [sliced.groupBy("bucket", "slice").applyInPandas(steps, _STEPS).persist()]
+    levels = [cut(sliced.groupBy("bucket", "slice").applyInPandas(steps, _STEPS))]
     parent = F.floor(F.col("slice") / FAN).cast("int")
     while top:
-        levels.append(levels[-1].groupBy("bucket", parent.alias("parent")).applyInPandas(compose, _STEPS).persist())
+        levels.append(cut(levels[-1].groupBy("bucket", parent.alias("parent")).applyInPandas(compose, _STEPS)))
         top //= FAN
     entered = levels[-1].select(F.col("bucket").alias("in_bucket"), F.col("slice").alias("in_slice"), F.lit(0).alias("entered"), F.lit(0).alias("first_shard")).distinct()
     for level in reversed(levels[:-1]):

@@ -209,9 +209,11 @@ def test_stream_sees_each_file_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for name in ("a", "b"):
         (tmp_path / "in" / f"{name}.png").write_bytes(encode_png(np.random.default_rng(1).integers(0, 9, (6, 6, 4)).astype(np.uint8)))
+        (tmp_path / "in" / f"{name}.jpg").write_bytes(drawing.grey_jpeg(np.arange(20).reshape(4, 5) * 10))
         (tmp_path / "in" / f"{name}.txt").write_bytes(b"no image")
         clean_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
-    assert sorted(r["name"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a.png", "b.png"]
+    got = spark.read.parquet(str(tmp_path / "out")).select("name", "metadata.width", "metadata.height").collect()
+    assert sorted(map(tuple, got)) == [("a.jpg", 5, 4), ("a.png", 6, 6), ("b.jpg", 5, 4), ("b.png", 6, 6)]
 
 
 def stored_png(px, depth, color, interlaced, clear=b"", palette=None):
