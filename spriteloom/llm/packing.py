@@ -12,7 +12,8 @@ one task.
 
 Cases: a null text counts as empty and still yields its end token; documents
 longer than the capacity are cut into full pieces, the first of which may be
-shorter; repeated rows are packed once each; an empty table gives no rows.
+shorter; repeated rows are packed once each; extra columns are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -67,7 +68,11 @@ class ChunkEncoder:
         return array("I", [t.id for t in tokens]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        return b"".join([self.by_piece[p] for p in chunks.pieces(chunk, self.split)])
+        """A chunk that is one piece is remembered as a chunk only; so are the words in others, which are chunks themselves."""
+        parts = chunks.pieces(chunk, self.split)
+        if len(parts) == 1:
+            return self._piece(chunk)
+        return b"".join([self.by_chunk[p] if p.removeprefix(" ").isalpha() else self.by_piece[p] for p in parts])
 
     def encode(self, text: str) -> bytes:
         self.by_chunk.turn()
