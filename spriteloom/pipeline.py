@@ -18,6 +18,7 @@ from spriteloom.operators.ordering import numbered
 from spriteloom.operators.shards import assign_shards
 from spriteloom.sources.jpeg import jpegs_as_png
 from spriteloom.sources.webdataset import WebDataset
+from spriteloom.streaming import crawl as stateful
 
 IMAGE_FILES = r"\.(png|gif|jpg|jpeg|webp)$"
 
@@ -90,6 +91,11 @@ def gather(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         table = spark.read.parquet(args.input)
         return crawl.hosted_images(table, args.dataset, args.index, limit=args.samples)
     fetch = crawl.from_table(spark.read.parquet(args.input)) if args.input else crawl.over_http(delay=args.delay)
+    if args.source == "gallery" and args.state:
+        seeds = crawl.numbered_pages(spark, args.url, args.start, args.end).withColumn("kind", F.lit("listing"))
+        pages = stateful.crawl(seeds, fetch, stateful.gallery_step, args.state, delay=args.delay, burst=50)
+        files = pages.where("kind = 'file'").select("url", crawl.file_name(F.col("url")).alias("name"))
+        return crawl.download(files, crawl.from_table(pages))
     if args.source == "gallery":
         files = crawl.gallery_files(crawl.numbered_pages(spark, args.url, args.start, args.end), fetch)
     else:
@@ -110,6 +116,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--samples", type=int, default=1000)
     p.add_argument("--console", default="snes")
     p.add_argument("--delay", type=float, default=0.5, help="seconds between two requests to a host")
+    p.add_argument("--state", help="folder that keeps the state of a gallery's crawl: a later run goes on there and fetches nothing twice")
     p.add_argument("--annotator", help="module:function that makes an annotator; without one, descriptions stay empty")
     p.add_argument("--prefix", default="00", help="names this run's output folder")
     p.add_argument("--out", default="datasets_ready")

@@ -1,9 +1,9 @@
 """A crawl as a stateful stream, which goes on where it was stopped.
 
 Each host is a group with state of its own: every url that was ever seen there,
-and a queue of those that wait.  A timer for each host lets ``burst`` urls go and
-sets the next one ``delay`` later, so hosts are treated politely and side by
-side, and no task sleeps.  What is due in a micro-batch is fetched, written
+and a queue of those that wait.  A timer for each host lets up to ``burst`` urls
+go and sets the next one ``delay`` later for each of them, so hosts are treated
+politely and side by side.  What is due in a micro-batch is fetched, written
 under the batch's number, and its links are written to the frontier's folder, from
 which the stream reads them.
 
@@ -84,7 +84,7 @@ class Host(StatefulProcessor):
         first += len(due)
         self.ends.update((first, last))
         if first < last:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay * len(due))
         yield pd.DataFrame(due, columns=["host", "url", "kind", "event"], dtype=object)
 
     def close(self) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spriteloom.operators import crawl
 from spriteloom.pipeline import main
+from spriteloom.plans import drawing
 from spriteloom.sources.codec import encode_png
 
 
@@ -64,6 +65,17 @@ def test_gallery_to_shards(spark, gallery, tmp_path):
     assert got["source_url"] == "https://art.example/f/hero.png"
 
 
+def test_gallery_with_a_state_fetches_nothing_twice(spark, gallery, tmp_path):
+    gallery.write.parquet(str(tmp_path / "pages"))
+    command = ["--input", str(tmp_path / "pages"), "--url", "https://art.example/list?page={page}", "--delay", "0", "--state", str(tmp_path / "state"), "--out", str(tmp_path / "out")]
+    assert {r["verdict"]: r["n"] for r in main([*command, "--end", "1", "--prefix", "a"], spark).collect()} == {"accepted": 2}
+    fetched = spark.read.parquet(str(tmp_path / "state" / "pages" / "*"))
+    before = {r["url"] for r in fetched.collect()}
+    assert {r["verdict"]: r["n"] for r in main([*command, "--end", "2", "--prefix", "b"], spark).collect()} == {"accepted": 2}
+    after = [r["url"] for r in spark.read.parquet(str(tmp_path / "state" / "pages" / "*")).collect()]
+    assert len(after) == len(set(after)) and set(after) - before == {"https://art.example/list?page=1"}
+
+
 def test_downloads_skip_what_is_there(spark, gallery):
     files = spark.createDataFrame([("https://art.example/f/hero.png", "hero.png"), ("https://art.example/f/out.png", "out.png")], "url string, name string")
     have = spark.createDataFrame([("hero.png",)], "name string")
@@ -94,3 +106,23 @@ def test_folder_without_images(spark, tmp_path):
     (tmp_path / "in" / "notes.txt").write_bytes(b"x")
     got = main(["--source", "folder", "--input", str(tmp_path / "in"), "--out", str(tmp_path / "out")], spark)
     assert [tuple(r) for r in got.select("verdict", F.col("n")).collect()] == [("unreadable", 1)]
+
+
+def test_folder_of_all_kinds(spark, tmp_path):
+    (tmp_path / "in" / "more").mkdir(parents=True)
+    grey = np.arange(30).reshape(5, 6) * 8
+    files = {"hero.png": art(1), "more/hero.gif": drawing.gif(np.full((6, 6, 4), 255, np.uint8)), "photo.jpg": drawing.grey_jpeg(grey), "more/same.jpeg": drawing.grey_jpeg(grey)}
+    files |= {"new.webp": b"RIFF\x10\0\0\0WEBPVP8 ", "cut.png": art(2)[:-40], "UPPER.PNG": art(3), "long.txt": b"x" * 3000}
+    for name, data in files.items():
+        (tmp_path / "in" / name).write_bytes(data)
+    before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "2000")  # the text is longer: reading it would fail
+    try:
+        got = main(["--source", "folder", "--input", str(tmp_path / "in"), "--out", str(tmp_path / "out")], spark)
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
+    assert {r["verdict"]: r["n"] for r in got.collect()} == {"accepted": 4, "unreadable": 1, "unsupported_webp": 1}
+    (tar,) = (tmp_path / "out" / "00").rglob("*.tar")
+    with tarfile.open(tar) as t:
+        assert sorted(n for n in t.getnames() if n.endswith(".png")) == ["hero-2.png", "hero.png", "photo.png", "same.png"]
+        assert {json.loads(t.extractfile(f"{n}.json").read())["width"] for n in ("photo", "same")} == {6}
