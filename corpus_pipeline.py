@@ -27,16 +27,20 @@ from spriteloom.llm.simhash import simhash_dedup
 
 
 def _boxed(docs: DataFrame, **more: Column) -> DataFrame:
-    """(row, doc_id, text, ...): each document in one struct, so that no column's name meets those that the stages use."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    return docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *[c.alias(name) for name, c in more.items()])
+    """(row, doc_id, text, ...): a document's other columns in one struct, so that no name meets those that the stages use."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    return docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[c.alias(name) for name, c in more.items()])
 
 
 def _unboxed(boxed: DataFrame, docs: DataFrame, changed: bool = False) -> DataFrame:
-    """The columns of ``docs``; of changed documents with the new text, and ``n_chars``, if there is one, as the text now has it."""
-    new = {"text": F.col("text"), "n_chars": F.length("text")} if changed else {}
-    same_text = F.col("row.text").isNull() & (F.col("text") == "")  # null stays null
-    return boxed.select(*[(F.when(same_text, F.col(f"row.`{c}`")).otherwise(new[c].cast(docs.schema[c].dataType)) if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    """The columns of ``docs``; of changed documents ``n_chars``, if there is one, is as the text now has it."""
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("text")
+        return F.length("text").cast(docs.schema[name].dataType) if changed and name == "n_chars" else F.col(f"row.`{name}`")
+
+    return boxed.select(*[column(c).alias(c) for c in docs.columns])
 
 
 def _text_key() -> Column:
@@ -67,7 +71,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts one stays, the one that exact_dedup keeps; so does one of rows that repeat."""
     kept = exact_dedup(docs.select("doc_id", "text")).where("kept").select("doc_id", F.col("text_sha256").alias("key"))
     same = cut(_only(_boxed(docs, key=plain_sha256("text")), kept).withColumn("row_no", F.monotonically_increasing_id()))
-    best = same.groupBy(F.col("key").alias("of_key")).agg(F.min(F.struct(-F.length("text"), "row_no")).alias("best"))
+    best = same.groupBy(F.col("key").alias("of_key")).agg(F.min(F.struct(-F.length(text_or_empty()), "row_no")).alias("best"))
     first = best.select(F.col("best.row_no").alias("first_row"))
     return _unboxed(same.join(first, F.col("row_no") == F.col("first_row"), "left_semi"), docs)
 
