@@ -129,6 +129,7 @@ def merge_runs(rows: DataFrame, fan_in: int = 8, range_rows: int = 20_000) -> Da
     while n_runs > 1:
         runs = runs.groupBy("rng", F.floor(F.col("run") / fan_in).alias("parent")).applyInArrow(_merge(fan_in), _RUN)
         n_runs = math.ceil(n_runs / fan_in)
+    runs = cut(runs)  # else the last merge and what follows would keep two Python workers a task
     return runs.mapInArrow(_entries, "digest binary, best_points long, keep_id long, keep_row long, group_size long")
 
 

@@ -16,7 +16,9 @@ stays of a text depends on the text alone and copies on different hosts stay
 copies; a text of which less than ``min_left`` would stay is then left as it is.
 
 Cases: a null text counts as empty and fails the base rules; a null host is a
-host of its own; repeated rows are judged alike; extra columns are ignored.
+host of its own; repeated rows are judged alike; extra columns are ignored; an
+empty table gives an empty result; a text of any length is read as a whole, and
+every line of it counts.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from pyspark.sql.types import StringType
 from .common import cut, same, text_or_empty
 
 MAX_LINE_WORDS, MIN_DOCS, MIN_SHARE, MIN_LEFT = None, 10, 0.0, 0.3
+#: Documents of which the scan holds the lines at a time.
+BLOCK_ROWS = 500
 _SYMBOLS = re.compile(r"[#*$%&|<>]").findall
 _BLANK = re.compile(r"[\x20\x09-\x0D]").findall
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
@@ -72,7 +76,7 @@ def _scan(max_line_words: int | None):
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("host", pa.string()), ("text_hash", pa.int64()), *((n, pa.int64()) for n in _STATS), ("lines", lines_type)])
 
     def scan(batches):
-        for batch in batches:
+        for batch in (b.slice(at, BLOCK_ROWS) for b in batches for at in range(0, max(1, len(b)), BLOCK_ROWS)):
             out = []
             for doc_id, key, host, text in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode()
