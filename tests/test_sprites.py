@@ -489,3 +489,12 @@ def test_scaled_pixels(spark):
     art = np.array([[[0, 51, 255, 7]]], np.uint8)
     (got,) = clean.scaled_pixels(spark.createDataFrame([("a.png", encode_png(art))], "name string, content binary")).collect()
     assert tuple(got) == ("a.png", 0, 0, -1.0, -0.6, 1.0, -0.945098)
+
+
+def test_scale_and_verdict_from_one_look(spark):
+    y, x = np.mgrid[:12, :12] // 2
+    art = np.repeat(((x * 7 + y * 5) % 11 * 20).astype(np.uint8)[..., None], 4, axis=2)
+    rows = [("a.png", encode_png(art)), ("b.png", encode_png(art[:2])), ("c.png", b"junk")]
+    got = clean.judged_images(spark.createDataFrame(rows, "name string, content binary"))
+    assert sorted(tuple(r) for r in got.collect()) == [("a.png", 2, "accepted"), ("b.png", 2, "too_small_native")]
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
