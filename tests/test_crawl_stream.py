@@ -78,3 +78,16 @@ def test_a_batch_that_fails_is_run_again(spark, tmp_path):
     got = [r["url"] for r in again.where(F.col("url").isNotNull()).collect()]
     assert set(got) == wanted(2) and len(got) == len(set(got))
     assert not any("search" in url for batch in asked for url in batch)  # these pages were there already
+
+
+def test_without_delay_batches_follow_the_depth(spark, tmp_path):
+    stored, folder, asked = site(spark, 40), str(tmp_path / "crawl"), []
+    fetch = pages.from_table(stored)
+
+    def ask(urls):
+        asked.append(urls.count())
+        return fetch(urls)
+
+    got = {r["url"] for r in crawl(seeds(spark, range(40)), ask, gallery_step, folder, delay=0, burst=5, timeout=200).collect()}
+    assert got == wanted(40) and sum(asked) == len(got)
+    assert sum(n > 0 for n in asked) <= 4  # listings, details, and the files of two hosts
