@@ -40,6 +40,13 @@ def names(path: str, ending: str) -> list[str]:
     return sorted(f.path for f in found if f.type == fs.FileType.File and f.path.endswith(ending))
 
 
+def sizes(path: str) -> dict[str, int]:
+    """Bytes of each file under a folder, by its path from there."""
+    system, folder = place(path)
+    found = system.get_file_info(fs.FileSelector(folder, recursive=True, allow_not_found=True))
+    return {f.path.removeprefix(folder).lstrip("/"): f.size for f in found if f.type == fs.FileType.File}
+
+
 def remove(path: str) -> None:
     """Deletes a folder with all that it holds, if it is there."""
     system, folder = place(path)

@@ -18,6 +18,7 @@ import os
 import tarfile
 import uuid
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
@@ -25,6 +26,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 from spriteloom.sources import storage
 
 
+#: Tars that a task keeps open, bytes of tars that it reads, about, and files that are moved side by side.
+OPEN, READ_BYTES, MOVES = 64, 16 << 20, 16
+
+
 @dataclass
 class Written(WriterCommitMessage):
     """The files (bucket, name) of a task's attempt."""
@@ -55,7 +60,10 @@ class _Tar:
 
 
 class TarWriter(DataSourceWriter):
-    """Rows (bucket, shard, name, png, json), clustered by bucket and shard; a shard is one tar file.  A null bucket is called ``none``."""
+    """Rows (bucket, shard, name, png, json), clustered by bucket and shard; a shard is one tar file.  A null bucket is called ``none``.
+
+    Some tars are open at a time: rows of more shards than ``OPEN`` must be sorted by bucket and shard within their partition.
+    """
 
     def __init__(self, path: str, overwrite: bool):
         self.path, self.overwrite, self.job = path, overwrite, uuid.uuid4().hex
@@ -66,17 +74,22 @@ class TarWriter(DataSourceWriter):
         attempt = f"{self.path}/_jobs/{self.job}/{TaskContext.get().taskAttemptId()}"
         system, folder = storage.place(attempt)
         tars: dict[tuple[str, str], _Tar] = {}
+        files: dict[tuple[str, str], None] = {}
         try:
             for row in rows:
                 bucket = row["bucket"] or "none"
                 key = (bucket, f"{bucket}_shard_{row['shard']:06d}.tar")
                 if key not in tars:
-                    tars[key] = _Tar(system, f"{folder}/{'/'.join(key)}")
+                    if key in files:
+                        raise ValueError("rows of one shard are far apart: sort them by bucket and shard within partitions")
+                    if len(tars) == OPEN:
+                        tars.pop(next(iter(tars))).close()
+                    tars[key], files[key] = _Tar(system, f"{folder}/{'/'.join(key)}"), None
                 tars[key].add(row["name"], png=row["png"] or b"", json=(row["json"] or "").encode())
         finally:
             for tar in tars.values():
                 tar.close()
-        return Written(attempt, list(tars))
+        return Written(attempt, list(files))
 
     def commit(self, messages):
         system, root = storage.place(self.path)
@@ -89,9 +102,15 @@ class TarWriter(DataSourceWriter):
         if not self.overwrite and (there := sorted(new & {f for files in earlier.values() for f in files})):
             self.abort(messages)
             raise FileExistsError(f"{there[0]} is there already, of an earlier job")
-        for attempt, bucket, name in wanted:
+        for bucket in {bucket for _, bucket, _ in wanted}:
             system.create_dir(f"{root}/{bucket}")
+
+        def move(file):
+            attempt, bucket, name = file
             system.move(f"{storage.place(attempt)[1]}/{bucket}/{name}", f"{root}/{bucket}/{name}")
+
+        with ThreadPoolExecutor(MOVES) as pool:
+            list(pool.map(move, wanted))
         storage.put(f"{self.path}/_committed/{self.job}.json", json.dumps(sorted(new)).encode())
         if self.overwrite:
             for job, files in earlier.items():
@@ -114,8 +133,8 @@ def committed(path: str) -> dict[str, list[str]]:
 
 
 class TarPartition(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, *paths: str):
+        self.paths = paths
 
 
 class TarReader(DataSourceReader):
@@ -123,15 +142,25 @@ class TarReader(DataSourceReader):
         self.path = path
 
     def partitions(self):
-        return [TarPartition(f"{self.path}/{file}") for files in committed(self.path).values() for file in files] or [TarPartition("")]
+        """Small tars share a task."""
+        sizes, parts, held = storage.sizes(self.path), [[]], 0
+        for file in (file for files in committed(self.path).values() for file in files):
+            if held >= READ_BYTES:
+                parts.append([])
+                held = 0
+            parts[-1].append(f"{self.path}/{file}")
+            held += sizes.get(file, READ_BYTES)
+        return [TarPartition(*paths) for paths in parts]
 
     def read(self, partition):
+        for path in partition.paths:
+            yield from self._samples(path)
+
+    def _samples(self, path: str):
         """A member at a time: a sample is given out when it is complete, and only samples that aren't are held."""
-        if not partition.path:
-            return
-        bucket, name = partition.path.split("/")[-2:]
+        bucket, name = path.split("/")[-2:]
         shard, held = int(name.rpartition("_")[2].removesuffix(".tar")), {}
-        system, path = storage.place(partition.path)
+        system, path = storage.place(path)
         with system.open_input_stream(path) as stream, tarfile.open(fileobj=stream, mode="r|") as tar:
             for info in tar:
                 key, _, kind = info.name.rpartition(".")

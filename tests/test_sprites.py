@@ -498,3 +498,16 @@ def test_scale_and_verdict_from_one_look(spark):
     got = clean.judged_images(spark.createDataFrame(rows, "name string, content binary"))
     assert sorted(tuple(r) for r in got.collect()) == [("a.png", 2, "accepted"), ("b.png", 2, "too_small_native")]
     assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_many_small_tars_are_few_open_files_and_few_tasks(spark, tmp_path):
+    path = str(tmp_path / "tars")
+    rows = [("a", k, f"{k}-{i}", b"png", "{}") for i in range(2) for k in range(3 * webdataset.OPEN)]
+    spark.dataSource.register(webdataset.WebDataset)
+    shards = spark.createDataFrame(rows, TAR_ROW).repartition(1, "bucket", "shard")
+    with pytest.raises(Exception, match="sort them by bucket and shard"):
+        shards.write.format("webdataset").mode("append").save(f"{path}-unsorted")
+    shards.sortWithinPartitions("bucket", "shard").write.format("webdataset").mode("append").save(path)
+    read = spark.read.format("webdataset").load(path)
+    assert sorted(tuple(r)[:3] for r in read.collect()) == sorted(r[:3] for r in rows)
+    assert len(webdataset.TarReader(path).partitions()) == 1
