@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from spriteloom.operators.steps import cut
 from spriteloom.sources.codec import decode_png, encode_png
 
 #: Takes an instruction and RGB images as PNG files, gives one answer an image.
@@ -137,7 +138,7 @@ def annotate(images: DataFrame, make: Callable[[], Annotator], store: str, promp
     have answers asks the others only.
     """
     spark = images.sparkSession
-    keyed = images.select("name", "png", F.sha2(F.concat(F.sha2(F.lit(prompt), 256).cast("binary"), "png"), 256).alias("digest"))
+    keyed = cut(images.select("name", "png", F.sha2(F.concat(F.sha2(F.lit(prompt), 256).cast("binary"), "png"), 256).alias("digest")))
     new = keyed.groupBy("digest").agg(F.first("png").alias("png")).join(stored_answers(spark, store), "digest", "left_anti")
     asked(new, make, prompt).write.mode("append").parquet(store)
     answers = stored_answers(spark, store).select("digest", answer_fields(F.col("answer")).alias("said"))

@@ -511,3 +511,16 @@ def test_many_small_tars_are_few_open_files_and_few_tasks(spark, tmp_path):
     read = spark.read.format("webdataset").load(path)
     assert sorted(tuple(r)[:3] for r in read.collect()) == sorted(r[:3] for r in rows)
     assert len(webdataset.TarReader(path).partitions()) == 1
+
+
+def test_images_to_annotate_are_made_once(spark, tmp_path):
+    noted = str(tmp_path / "noted")
+
+    def note(frames):
+        for frame in frames:
+            storage.put(f"{noted}/{uuid.uuid4().hex}", b"")
+            yield frame
+
+    files = spark.createDataFrame([(f"{i}.png", encode_png(np.full((4, 4, 4), i, np.uint8))) for i in range(4)], "name string, png binary").coalesce(1)
+    got = annotate(files.mapInPandas(note, "name string, png binary"), lambda: lambda prompt, images: ("ASSISTANT: x" for _ in images), str(tmp_path / "store"))
+    assert got.count() == 4 and len(storage.names(noted, "")) == 1
