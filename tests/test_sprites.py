@@ -524,3 +524,11 @@ def test_images_to_annotate_are_made_once(spark, tmp_path):
     files = spark.createDataFrame([(f"{i}.png", encode_png(np.full((4, 4, 4), i, np.uint8))) for i in range(4)], "name string, png binary").coalesce(1)
     got = annotate(files.mapInPandas(note, "name string, png binary"), lambda: lambda prompt, images: ("ASSISTANT: x" for _ in images), str(tmp_path / "store"))
     assert got.count() == 4 and len(storage.names(noted, "")) == 1
+
+
+def test_cleaned_images_come_in_small_batches():
+    file = encode_png(np.full((4, 4, 4), 9, np.uint8))
+    names = [f"{i}.png" for i in range(3 * clean.CLEANED_ROWS + 1)]
+    files = pa.RecordBatch.from_pydict({"name": names, "content": [file] * len(names), "license_type": ["cc-by"] * len(names), "source_url": [""] * len(names)})
+    got = list(clean.clean_images(Caught()).run([files]))
+    assert [n for b in got for n in b.column("name").to_pylist()] == names and max(map(len, got)) <= clean.CLEANED_ROWS
