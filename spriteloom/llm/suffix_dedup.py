@@ -26,6 +26,10 @@ hundred and eighty.
    shuffle, so a passage in a third of all documents is no hot spot.
 4. Chunks mark the repeated strings and cut the bytes that these cover.
 
+Passages of words, if asked for, are strings too, of 64-bit hashes of words.
+They take steps 1, 3 and 4: all their anchors whose gram is found again are
+counted by cores and strings, and nothing of them is sorted.
+
 Equal suffixes, and more than two suffixes of a chunk that start with the same
 string, collapse before the exchange; what they leave open is settled in
 step 3.
@@ -34,7 +38,8 @@ Cases: a null text counts as empty; texts shorter than LENGTH keep all bytes;
 rows that repeat id and text repeat each other's strings like any two rows; a
 text of any length is handled in pieces, and a long run of one byte or of a few
 costs one suffix for each turn of it, not one for each byte; extra columns are
-ignored; an empty table gives an empty result.  The input must give a
+ignored; an empty table gives an empty result; words are parted by ASCII blanks
+and compared as they are written, and passages never cross documents.  The input must give a
 partition's rows in the same order when it is read again, as files do.  The
 tables are dropped in the end, after a failure too.
 """
@@ -44,6 +49,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import math
+import re
 import struct
 import uuid
 from functools import cached_property
@@ -58,6 +64,8 @@ from pyspark.sql import functions as F
 from .common import cut, shared_folder, text_or_empty
 
 LENGTH, GRAM = 400, 32
+#: Words of a gram where passages of words are asked for.
+WORD_GRAM = 8
 #: Neighbouring strings of an anchor that are first counted together.
 STEP = 20
 #: Ranges of sorted suffixes at most (the driver sees their bounds); beyond it each is dealt out by a hash of a suffix's first string.
@@ -90,7 +98,35 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def _anchors(data: bytes, sums: np.ndarray, stops: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+_BLANKS = b" ", b"\t", b"\n", b"\v", b"\f", b"\r"
+_BLANK = re.compile(b"[" + b"".join(_BLANKS) + b"]")
+_INK = np.ones(256, bool)
+_INK[list(b"".join(_BLANKS))] = False
+
+
+def word_codes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word.  About PIECE_BYTES of a text are looked at together; a longer word goes by its digest."""
+    parts, at = [np.zeros(0, _U)], 0
+    while at < len(text):
+        stop = at + PIECE_BYTES
+        if stop < len(text):
+            last = max(text.rfind(b, at, stop + 1) for b in _BLANKS)
+            if last < 0:
+                end = found.start() if (found := _BLANK.search(text, stop)) else len(text)
+                parts.append(np.frombuffer(hashlib.blake2b(text[at:end], digest_size=8).digest(), _U))
+                at = end
+                continue
+            stop = last + 1
+        part = text[at:stop]
+        ink = np.concatenate([[False], _INK[np.frombuffer(part, np.uint8)], [False]])
+        starts, ends = np.flatnonzero(ink[1:] & ~ink[:-1]), np.flatnonzero(ink[:-1] & ~ink[1:])
+        sums = _sums(part)
+        parts.append(_mixed((sums[ends] - sums[starts]) * _INV[starts]))
+        at = stop
+    return np.concatenate(parts)
+
+
+def _anchors(data: bytes | np.ndarray, sums: np.ndarray, stops: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first string, last string, place, gram) of each anchor of some texts laid end to end."""
     size, width = len(data), length - gram + 1
     n = size - length + 1
@@ -111,9 +147,9 @@ def _anchors(data: bytes, sums: np.ndarray, stops: np.ndarray, length: int, gram
 
 
 class Piece:
-    """Bytes of one document or several end to end, with the anchors of its strings."""
+    """Bytes (or codes of words) of one document or several end to end, with the anchors of its strings."""
 
-    def __init__(self, data: bytes, length: int, lo: np.ndarray, hi: np.ndarray, anchor: np.ndarray, gram: np.ndarray):
+    def __init__(self, data: bytes | np.ndarray, length: int, lo: np.ndarray, hi: np.ndarray, anchor: np.ndarray, gram: np.ndarray):
         self.data, self.length, self.lo, self.hi, self.anchor, self.gram = data, length, lo, hi, anchor, gram
 
     @cached_property
@@ -125,10 +161,10 @@ class Piece:
         return _mixed((self.sums[starts + length] - self.sums[starts]) * _INV[starts])
 
 
-def _sums(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8)
-    sums = np.zeros(len(raw) + 1, _U)
-    np.cumsum(_BYTE[raw] * _POW[: len(raw)], out=sums[1:])
+def _sums(data: bytes | np.ndarray) -> np.ndarray:
+    values = _BYTE[np.frombuffer(data, np.uint8)] if isinstance(data, bytes) else data
+    sums = np.zeros(len(values) + 1, _U)
+    np.cumsum(values * _POW[: len(values)], out=sums[1:])
     return sums
 
 
@@ -146,20 +182,45 @@ def _layout(sizes: list[int], length: int) -> list[list[tuple[int, int, int]]]:
     return [*pieces, held]
 
 
-def pack_chunk(number: int, ids: list, texts: list[bytes], length: int, gram: int) -> pa.RecordBatch:
+def _packed(found: list[tuple]) -> bytes:
+    """The anchors of some pieces: how many each has, then their strings and places."""
+    lo, hi, anchor, _ = (np.concatenate(x) for x in zip(*found))
+    return np.concatenate([[len(x[0]) for x in found], lo, hi - lo, anchor - lo]).astype(np.int32).tobytes()
+
+
+def _pieces(units: list, layout: list, length: int, spots: bytes, grams: np.ndarray) -> list[Piece]:
+    spots = np.frombuffer(spots, np.int32).astype(np.int64)
+    counts = spots[: len(layout)].tolist()
+    lo, width, back = spots[len(counts) :].reshape(3, -1)
+    pieces, at = [], 0
+    for parts, n in zip(layout, counts):
+        cut_ = slice(at, at := at + n)
+        pieces.append(Piece(_joined(units, parts), length, lo[cut_], lo[cut_] + width[cut_], lo[cut_] + back[cut_], grams[cut_]))
+    return pieces
+
+
+def _joined(units: list, parts: list) -> bytes | np.ndarray:
+    parts = [units[i][at : at + n] for i, at, n in parts]
+    return b"".join(parts) if isinstance(parts[0], bytes) else np.concatenate(parts)
+
+
+def pack_chunk(number: int, ids: list, texts: list[bytes], length: int, gram: int, words: int = 0) -> pa.RecordBatch:
     """The row of a chunk: its documents, the anchors of their strings, and a sample of its suffixes."""
     found, sample = [], ([], [])
     for piece in _layout([len(t) for t in texts], length):
-        data = b"".join(texts[i][at : at + n] for i, at, n in piece)
+        data = _joined(texts, piece)
         spots = _anchors(data, _sums(data), np.cumsum([n for _, _, n in piece]), length, gram)
         found.append(spots)
         some = np.flatnonzero(spots[3] % _U(SAMPLED) == 0)
         sample[0].extend(spots[3][some].view(np.int64).tolist())
         sample[1].extend(data[a : a + HEAD] for a in spots[0][some].tolist())
-    lo, hi, anchor, grams = (np.concatenate(x) for x in zip(*found))
-    spots = np.concatenate([[len(x[0]) for x in found], lo, hi - lo, anchor - lo]).astype(np.int32)
+    codes, spoken = [word_codes(t) for t in texts] if words else [], []
+    for piece in _layout([len(c) for c in codes], words) if words else ():
+        data = _joined(codes, piece)
+        spoken.append(_anchors(data, _sums(data), np.cumsum([n for _, _, n in piece]), words, min(WORD_GRAM, words)))
+    grams = np.concatenate([x[3] for x in found + spoken])
     pack = zstandard.ZstdCompressor(level=3).compress
-    row = [[number], [ids], [[len(t) for t in texts]], [pack(b"".join(texts))], [pack(spots.tobytes())], [grams.view(np.int64)], [sample[0]], [sample[1]]]
+    row = [[number], [ids], [[len(t) for t in texts]], [pack(b"".join(texts))], [pack(_packed(found))], [[len(c) for c in codes]], [pack(_packed(spoken)) if words else None], [grams.view(np.int64)], [sample[0]], [sample[1]]]
     return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _CHUNK)], schema=_CHUNK)
 
 
@@ -173,15 +234,15 @@ class Chunk:
         body, ends = unpack(row["body"].as_py()), np.cumsum([0, *sizes]).tolist()
         self.texts = [body[a:b] for a, b in zip(ends, ends[1:])]
         self.layout = _layout(sizes, length)
-        spots = np.frombuffer(unpack(row["spots"].as_py()), np.int32).astype(np.int64)
-        counts = spots[: len(self.layout)].tolist()
-        lo, width, back = spots[len(counts) :].reshape(3, -1)
-        grams = np.asarray(row["grams"].values).view(_U)
-        self.pieces, at = [], 0
-        for piece, n in zip(self.layout, counts):
-            cut_ = slice(at, at := at + n)
-            data = b"".join(self.texts[i][a : a + m] for i, a, m in piece)
-            self.pieces.append(Piece(data, length, lo[cut_], lo[cut_] + width[cut_], lo[cut_] + back[cut_], grams[cut_]))
+        self.grams = np.asarray(row["grams"].values).view(_U)
+        self.pieces = _pieces(self.texts, self.layout, length, unpack(row["spots"].as_py()), self.grams)
+        self.n_words, self.word_spots = row["words"].as_py(), row["word_spots"].as_py()
+
+    def spoken(self, words: int) -> tuple[list[Piece], list]:
+        """The pieces of its words, and their layout."""
+        layout = _layout(self.n_words, words)
+        grams = self.grams[sum(len(p.gram) for p in self.pieces) :]
+        return _pieces([word_codes(t) for t in self.texts], layout, words, zstandard.ZstdDecompressor().decompress(self.word_spots), grams), layout
 
     def suffixes(self, grams: np.ndarray) -> tuple[list[tuple[int, int, int, int, bytes]], list[np.ndarray], list[tuple[int, int]]]:
         """Of the anchors with these grams: the distinct suffixes in order, as (number, copies, gram, strings, suffix);
@@ -312,12 +373,12 @@ def _spread(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, first[which] + np.arange(len(which)) - (np.cumsum(n) - n)[which]
 
 
-_CHUNK = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("body", pa.binary()), ("spots", pa.binary()), ("grams", pa.list_(pa.int64())), ("sample_grams", pa.list_(pa.int64())), ("sample_heads", pa.list_(pa.binary()))])
+_CHUNK = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("body", pa.binary()), ("spots", pa.binary()), ("words", pa.list_(pa.int32())), ("word_spots", pa.binary()), ("grams", pa.list_(pa.int64())), ("sample_grams", pa.list_(pa.int64())), ("sample_heads", pa.list_(pa.binary()))])
 _RUNS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("run", pa.binary())])
 _ITEMS = pa.schema([("chunk", pa.int64()), ("number", pa.int32()), ("gram", pa.int64()), ("same", pa.int32()), ("speaks", pa.bool_()), ("open", pa.bool_())])
 #: Of counted things: flag is how often (1 or 2 for more), and 4 more if the chunk asks for the answer; least and most are the bounds of the hashes of a core's surroundings.
 _COUNTED = pa.schema([("chunk", pa.int64()), ("gram", pa.list_(pa.int64())), ("hash", pa.list_(pa.int64())), ("least", pa.list_(pa.int64())), ("most", pa.list_(pa.int64())), ("flag", pa.list_(pa.int8()))])
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("n_passage_words", pa.int64()), ("kept", pa.binary())])
 #: What a chunk is told: its repeated grams; what the merge says of a suffix, its gram in doubt or not; cores whose strings are all repeated, or open; repeated strings.
 _GRAM, _DOUBT, _SETTLED, _WHOLE, _MIXED, _STRING = range(6)
 
@@ -334,7 +395,7 @@ def _table(rows: list, schema: pa.Schema) -> pa.Table:
 class Findings:
     """A chunk with what it was told: its distinct suffixes, how much of each is repeated, and which are in doubt."""
 
-    def __init__(self, table: pa.Table, messages: pa.Table, length: int, step: int):
+    def __init__(self, table: pa.Table, messages: pa.Table, length: int, step: int, words: int = 0):
         self.chunk, self.step = Chunk(table, length), step
         kind, x, y, z = (messages.column(c).to_numpy() for c in ("kind", "x", "y", "z"))
         self.told = lambda k: x[kind == k].view(_U)
@@ -355,17 +416,22 @@ class Findings:
                 piece, j = firsts[k]
                 by_piece[piece].append((j, self.sure[k], same[k] == len(texts[k])))
         self.doubts = [(p, *np.array(d, np.int64).T) for p, d in zip(self.chunk.pieces, by_piece) if d]
+        self.spoken, self.spoken_layout = self.chunk.spoken(words) if words else ([], [])
+        for p in self.spoken:  # nothing is known of passages of words yet
+            at = np.flatnonzero(np.isin(p.gram, self.told(_GRAM)))
+            if len(at):
+                self.doubts.append((p, at, np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)))
 
     def cores(self):
         """For each piece: gram, core, surroundings, first and last string of a core, strings sure, found more than once."""
         for p, j, sure, twice in self.doubts:
-            lo, hi, at = p.lo[j], p.hi[j], p.anchor[j]
-            first = (at - hi) // self.step
-            e, turn = _spread(first, (at - lo) // self.step - first + 1)
-            place = at[e] - self.step * turn
-            a, b = np.maximum(lo[e], place - self.step + 1), np.minimum(hi[e], place)
+            lo, hi, at, step = p.lo[j], p.hi[j], p.anchor[j], min(self.step, p.length)
+            first = (at - hi) // step
+            e, turn = _spread(first, (at - lo) // step - first + 1)
+            place = at[e] - step * turn
+            a, b = np.maximum(lo[e], place - step + 1), np.minimum(hi[e], place)
             gram = p.gram[j][e]
-            core = _of_gram(p.hashes(place, p.length - self.step + 1), gram)
+            core = _of_gram(p.hashes(place, p.length - step + 1), gram)
             yield p, gram, core, p.hashes(a, b - a + p.length), a, b, (lo + sure)[e], twice[e]
 
     def strings(self, answer: int):
@@ -412,21 +478,24 @@ def suffix_dedup(
     step: int = STEP,
     max_ranges: int = MAX_RANGES,
     with_text: bool = False,
+    words: int = 0,
 ) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if asked for.
 
+    With ``words``, n_passage_words too: how many of its words lie in passages of so many words that start anywhere
+    else as well, whatever bytes they have.  They are counted only; what is removed goes by bytes.
     Its tables stand in a database of their own in the shared folder, so the session's catalog must take new ones.
     """
     spark = docs.sparkSession
     own_space = f"suffix_{uuid.uuid4().hex}"  # its tables go with it
     spark.sql(f"CREATE DATABASE {own_space} LOCATION '{shared_folder(spark)}/{own_space}'")
     try:
-        return cut(_dedup(docs, own_space, length, gram, chunk_bytes, step, max_ranges, with_text))
+        return cut(_dedup(docs, own_space, length, gram, chunk_bytes, step, max_ranges, with_text, words))
     finally:
         spark.sql(f"DROP DATABASE {own_space} CASCADE")
 
 
-def _dedup(docs: DataFrame, own_space: str, length: int, gram: int, chunk_bytes: int, step: int, max_ranges: int, with_text: bool) -> DataFrame:
+def _dedup(docs: DataFrame, own_space: str, length: int, gram: int, chunk_bytes: int, step: int, max_ranges: int, with_text: bool, words: int) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
@@ -443,10 +512,10 @@ def _dedup(docs: DataFrame, own_space: str, length: int, gram: int, chunk_bytes:
                 texts.append(text.as_py())
                 size += len(texts[-1])
                 if size >= chunk_bytes:
-                    yield pack_chunk(number, ids, texts, length, gram)
+                    yield pack_chunk(number, ids, texts, length, gram, words)
                     number, ids, texts, size = number + 1, [], [], 0
         if ids:
-            yield pack_chunk(number, ids, texts, length, gram)
+            yield pack_chunk(number, ids, texts, length, gram, words)
 
     packed = rows.select("doc_id", F.col("text").cast("binary")).mapInArrow(pack, _ddl(_CHUNK))
     packed.repartition(n_buckets, "chunk").write.bucketBy(n_buckets, "chunk").option("compression", "none").saveAsTable(f"{own_space}.chunks")
@@ -513,11 +582,11 @@ def _dedup(docs: DataFrame, own_space: str, length: int, gram: int, chunk_bytes:
     told = message(again, F.lit(_GRAM), "gram").unionByName(says)
 
     def spell_cores(key, table, messages):
-        found = Findings(table, messages, length, step)
+        found = Findings(table, messages, length, step, words)
         return _collapsed(key[0].as_py(), [(g, core, wide, twice, b >= sure) for _, g, core, wide, _, b, sure, twice in found.cores()])
 
     def spell_strings(key, table, messages):
-        found = Findings(table, messages, length, step)
+        found = Findings(table, messages, length, step, words)
         return _collapsed(key[0].as_py(), [(g, h, np.zeros(len(h), _U), twice, start >= sure) for _, g, h, start, sure, twice in found.strings(_MIXED)])
 
     def answers(spelled: DataFrame) -> DataFrame:
@@ -533,9 +602,9 @@ def _dedup(docs: DataFrame, own_space: str, length: int, gram: int, chunk_bytes:
     told = told.unionByName(message(strings, F.lit(_STRING), "hash"))
 
     def remove(key, table, messages):
-        found = Findings(table, messages, length, step)
+        found = Findings(table, messages, length, step, words)
         chunk = found.chunk
-        marks = {id(p): np.zeros(len(p.data) + 1, bool) for p in chunk.pieces}
+        marks = {id(p): np.zeros(len(p.data) + 1, bool) for p in chunk.pieces + found.spoken}
         for p, (at, number) in zip(chunk.pieces, found.where):
             sure = np.minimum(found.sure[number], p.hi[at] - p.lo[at] + 1)
             marks[id(p)][_spread(p.lo[at], sure)[1]] = True
@@ -544,23 +613,28 @@ def _dedup(docs: DataFrame, own_space: str, length: int, gram: int, chunk_bytes:
         known = found.told(_STRING)
         for p, _, h, start, *_ in found.strings(_MIXED):
             marks[id(p)][start[np.isin(h, known)]] = True
-        starts: list[list] = [[] for _ in chunk.ids]
-        for p, parts in zip(chunk.pieces, chunk.layout):
-            hit, begin = np.flatnonzero(marks[id(p)]), 0
-            for doc, offset, n in parts:
-                a, b = np.searchsorted(hit, (begin, begin + n))
-                if b > a:
-                    starts[doc].append(hit[a:b] - begin + offset)
-                begin += n
-        out = []
-        for doc_id, text, own in zip(chunk.ids, chunk.texts, starts):
+
+        def by_document(pieces, layout):
+            starts: list[list] = [[] for _ in chunk.ids]
+            for p, parts in zip(pieces, layout):
+                hit, begin = np.flatnonzero(marks[id(p)]), 0
+                for doc, offset, n in parts:
+                    a, b = np.searchsorted(hit, (begin, begin + n))
+                    if b > a:
+                        starts[doc].append(hit[a:b] - begin + offset)
+                    begin += n
+            return starts
+
+        out, spoken = [], by_document(found.spoken, found.spoken_layout)
+        for k, (doc_id, text, own) in enumerate(zip(chunk.ids, chunk.texts, by_document(chunk.pieces, chunk.layout))):
             kept, n_removed, spans = text, 0, 0
+            n_words = int(_covered(spoken[k], words, chunk.n_words[k]).sum()) if spoken[k] else 0
             if own:
                 gone = _covered(own, length, len(text))
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 n_removed, spans = int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-            out.append((doc_id, len(text), n_removed, spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
+            out.append((doc_id, len(text), n_removed, spans, hashlib.sha256(kept).hexdigest(), n_words, kept if with_text else None))
         return _table(out, _OUT)
 
     done = ask(told, remove, _OUT)
-    return done if with_text else done.drop("kept")
+    return done.drop(*[c for c, asked in (("kept", with_text), ("n_passage_words", words)) if not asked])

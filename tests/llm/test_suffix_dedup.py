@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spriteloom.llm.suffix_dedup import LoserTree, common, pack_run, suffix_dedup, unpack_run
+from spriteloom.llm.suffix_dedup import PIECE_BYTES, LoserTree, common, pack_run, suffix_dedup, unpack_run, word_codes
 
 
 def brute(rows, length):
@@ -110,3 +110,45 @@ def test_loser_tree_and_front_coding():
     merged = list(LoserTree([unpack_run(pack_run(r)) for r in runs]))
     assert [m[1] for m in merged] == sorted(w for r in runs for *_, w in r)
     assert all(m[0] == common(a[1], m[1], 0) for a, m in zip(merged, merged[1:]))
+
+
+def brute_words(rows, words):
+    texts = [(d, (t or "").encode().split()) for d, t in rows]
+    seen = Counter(tuple(t[i : i + words]) for _, t in texts for i in range(len(t) - words + 1))
+    return sorted(((d, len({i + k for i in range(len(t) - words + 1) if seen[tuple(t[i : i + words])] > 1 for k in range(words)})) for d, t in texts), key=str)
+
+
+def check_words(df, words, **options):
+    got = suffix_dedup(df, words=words, **options).collect()
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    assert sorted(((r["doc_id"], r["n_passage_words"]) for r in got), key=str) == brute_words(rows, words)
+    assert sorted((tuple(r)[:5] for r in got), key=str) == brute(rows, options.get("length", 400))
+
+
+def test_passages_of_over_50_words_in_less_than_400_bytes(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(1, 6)))
+    passages = [" ".join(word() for _ in range(n)) for n in (51, 52, 60, 50)]
+    assert all(len(p) < 400 for p in passages)
+    rows = [(i, " \n".join([" ".join(word() for _ in range(rng.randint(0, 80))), passages[i % 4], word()])) for i in range(60)]
+    rows += [(100, passages[0].replace(" ", "\t\x0b")), (101, " ".join(passages[1].split()[:50])), (102, "a " * 300), (103, None), (None, passages[2].upper())]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_words(df, 51)
+    got = {r["doc_id"]: r["n_passage_words"] for r in suffix_dedup(df, words=51).collect()}
+    assert [got[i] for i in (0, 1, 2, 3, 100, 101, 102)] == [51, 52, 60, 0, 51, 0, 300]
+
+
+def test_crossed_passages_of_words(spark):
+    rng = random.Random(9)
+    words = ["x", "yy", "\u00e9", "zzz"]
+    passages = [rng.choices(words, k=rng.randint(5, 30)) for _ in range(8)]
+    rows = [(i, " ".join(w for _ in range(6) for w in (rng.choice(passages)[rng.randint(0, 4) :] if rng.random() < 0.6 else rng.choices(words, k=rng.randint(1, 15))))) for i in range(120)]
+    check_words(spark.createDataFrame(rows, "doc_id long, text string"), 12, length=40, gram=8, chunk_bytes=1500, step=4)
+
+
+def test_codes_of_words():
+    text = b" one two\tone " + b"x" * (PIECE_BYTES - 3) + b" y " + b"z" * (PIECE_BYTES + 1) + b"\x0bone " + b"two " * 300_000 + b"z" * (PIECE_BYTES + 1)
+    codes = word_codes(text)
+    names = text.split()
+    assert len(codes) == len(names) and len(set(codes.tolist())) == len(set(names)) == len(set(zip(codes.tolist(), names)))
+    assert len(word_codes(b"")) == len(word_codes(b" \n")) == 0
