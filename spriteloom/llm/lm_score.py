@@ -5,10 +5,12 @@ frequent ``known`` tokens (a fixed bound) are broadcast with their counts; the
 counts of all others meet the documents' remaining tokens in an equi-join, so
 every count is exact and nothing that grows with the corpus is broadcast.
 
-The network is a GRU over the ``words`` most frequent tokens, with one more
-input for all others.  Its output is factored: a softmax over classes of about
-equal probability, then a softmax within the class; the last class holds all
-other tokens, which share it by their smoothed counts.
+The network is a GRU over all tokens: each of the ``words`` most frequent is an
+input of its own, all others, never seen ones included, go by the class of their
+last two bytes.  Its output is factored: a softmax over classes of about equal
+probability and the ``tails`` classes of the other tokens, then a softmax within
+the class; tokens of a tail class share it by their smoothed counts.  The most
+frequent endings have a class each, all others one.
 
 Texts are read twice: for the counts, and to write each document's network ids
 (two bytes a token) into the shared folder, from which training and scoring
@@ -46,12 +48,14 @@ from pyspark.sql import functions as F
 
 from .common import cut, text_or_empty
 
-#: Tokens broadcast with their counts, network words, classes, hidden units.
-KNOWN, WORDS, CLASSES, HIDDEN = 100_000, 1_024, 24, 12
+#: Tokens broadcast with their counts, network words, their classes, classes of other tokens, hidden units.
+KNOWN, WORDS, CLASSES, TAILS, HIDDEN = 100_000, 1_024, 24, 32, 12
 #: Training tokens of a copy of the network, about, and the rounds: of each the eighths of documents that it sees.
 COPY_TOKENS, ROUNDS = 4_000_000, ((0, 1), (1, 4), (4, 8))
 #: Truncation of backpropagation, parallel streams, tokens laid out at a time, learning rate.
 WINDOW, STREAMS, LAYOUT_TOKENS, RATE = 16, 512, 1_500_000, 0.01
+#: Tokens whose classes are looked at together, so that they stay in a core's cache.
+COLUMNS = 1_024
 #: Tokens of each stream that are laid out at a time: a multiple of WINDOW.
 SEGMENT = 1_024
 #: Tokens of a document after which training starts afresh, so that one long document keeps all streams busy; scoring never does.
@@ -124,31 +128,44 @@ class Vocabulary:
     total: int
     distinct: int
     words: int
-    starts: np.ndarray  # first word of each class; the last class holds all other tokens
+    starts: np.ndarray  # first word of each class
+    endings: dict[bytes, int]  # tail classes of the other tokens; the last is that of any ending not named
+    masses: np.ndarray  # what smoothed counts of a tail class's tokens are divided by
 
     @classmethod
-    def of(cls, tokens: list[bytes], counts: list[int], total: int, distinct: int, words: int, classes: int) -> Vocabulary:
+    def of(cls, tokens: list[bytes], counts: list[int], total: int, distinct: int, words: int, classes: int, endings: dict[bytes, tuple[int, int]] | None = None, tails: int = 1) -> Vocabulary:
+        """``endings`` says how many training tokens have an ending, and how many distinct ones."""
         counts = np.array(counts, np.float64)
         words = min(words, len(tokens))
         share = np.cumsum(np.sqrt(counts[:words])) / max(1e-9, np.sqrt(counts[:words]).sum())
         starts = np.searchsorted(share, np.arange(classes) / classes) if words else np.zeros(0)
         starts = np.unique(np.clip(starts, 0, max(words - 1, 0))).astype(np.int64)
-        return cls({t: i for i, t in enumerate(tokens)}, counts, total, distinct, words, starts if words else np.zeros(0, np.int64))
-
-    def tail_mass(self) -> float:
-        """What smoothed counts of the last class's tokens are divided by."""
-        return self.total - self.counts[: self.words].sum() + 0.5 * (self.distinct - self.words + 1)
+        left = {e: list(n) for e, n in (endings or {}).items()}
+        for token, n in zip(tokens[:words], counts[:words].tolist()):
+            if left:
+                left[token[-2:]][0] -= n
+                left[token[-2:]][1] -= 1
+        named = sorted((e for e in left if left[e][1]), key=lambda e: (-left[e][0], e))[: tails - 1]
+        masses = np.array([left[e][0] + 0.5 * (left[e][1] + 1) for e in named])  # of each class one token may never have been seen
+        n, d = total - counts[:words].sum() - sum(left[e][0] for e in named), distinct - words - sum(left[e][1] for e in named)
+        masses = np.append(masses, n + 0.5 * (d + 1))
+        return cls({t: i for i, t in enumerate(tokens)}, counts, total, distinct, words, starts if words else np.zeros(0, np.int64), {e: k for k, e in enumerate(named)}, masses)
+
+    def tail_classes(self, tokens) -> np.ndarray:
+        get, other = self.endings.get, len(self.masses) - 1
+        return np.array([get(t[-2:], other) for t in tokens], np.int64)
 
 
 class Network:
-    """Parameters by name; inputs are words, then ``words`` for any other token and ``words + 1`` for the start."""
+    """Parameters by name; inputs are words, then the tail classes, and then the start."""
 
     def __init__(self, vocabulary: Vocabulary, hidden: int, flat: np.ndarray | None = None):
-        v, self.hidden, self.words = vocabulary, hidden, vocabulary.words
+        v, self.hidden, self.words, tails = vocabulary, hidden, vocabulary.words, len(vocabulary.masses)
+        self.last = v.words + tails - 1
         self.starts, self.ends = v.starts, np.append(v.starts[1:], v.words) if v.words else v.starts
-        self.n_classes = len(v.starts) + 1
-        self.class_of = np.append(np.repeat(np.arange(len(v.starts)), self.ends - self.starts), len(v.starts)).astype(_narrow(self.n_classes))
-        self.shapes = {"x": (3 * hidden, v.words + 2), "u": (3 * hidden, hidden), "wc": (self.n_classes, hidden), "bc": (self.n_classes,), "wm": (v.words, hidden), "bm": (v.words,)}
+        self.n_classes = len(v.starts) + tails
+        self.class_of = np.append(np.repeat(np.arange(len(v.starts)), self.ends - self.starts), np.arange(len(v.starts), self.n_classes)).astype(_narrow(self.n_classes))
+        self.shapes = {"x": (3 * hidden, self.last + 2), "u": (3 * hidden, hidden), "wc": (self.n_classes, hidden), "bc": (self.n_classes,), "wm": (v.words, hidden), "bm": (v.words,)}
         sizes = [math.prod(s) for s in self.shapes.values()]
         if flat is None:
             rng = np.random.default_rng(1)
@@ -163,7 +180,7 @@ class Network:
         """Output biases from the smoothed counts, so that training starts from the unigram model."""
         mass = np.log(v.counts[: v.words] + 0.5)
         self.bm[:] = mass
-        by_class = [np.exp(mass[a:b]).sum() for a, b in zip(self.starts, self.ends)] + [v.tail_mass()]
+        by_class = [np.exp(mass[a:b]).sum() for a, b in zip(self.starts, self.ends)] + v.masses.tolist()
         self.bc[:] = np.log(np.array(by_class) / sum(by_class))
         self.wm[:], self.wc[:] = 0.1 * self.wm, 0.1 * self.wc
         return self
@@ -196,13 +213,17 @@ class Network:
         cls = self.class_of[y]
         order = np.argsort(cls, kind="stable")
         states, cls, y, every = states[:, order], cls[order], y[order], np.arange(len(y))
-        logs, d = _log_softmax(self.wc @ states + self.bc[:, None], cls, every, grads is not None)
-        back = None
-        if grads is not None:
-            grads["wc"] += d @ states.T
-            grads["bc"] += d.sum(axis=1)
-            back = self.wc.T @ d
-        cuts = np.searchsorted(cls, np.arange(self.n_classes))
+        logs, back = np.empty(len(y), np.float32), None if grads is None else np.empty_like(states)
+        for at in range(0, len(y), COLUMNS):
+            part = slice(at, at + COLUMNS)
+            logit = self.wc @ states[:, part]
+            logit += self.bc[:, None]
+            logs[part], d = _log_softmax(logit, cls[part], every[: logit.shape[1]], grads is not None)
+            if grads is not None:
+                grads["wc"] += d @ states[:, part].T
+                grads["bc"] += d.sum(axis=1)
+                back[:, part] = self.wc.T @ d
+        cuts = np.searchsorted(cls, np.arange(len(self.starts) + 1))
         for c, (i, j) in enumerate(zip(cuts, cuts[1:])):
             if i == j:
                 continue
@@ -271,7 +292,7 @@ class Streams:
     nothing beyond a segment.
     """
 
-    def __init__(self, docs: list[np.ndarray], n_streams: int, words: int):
+    def __init__(self, docs: list[np.ndarray], n_streams: int, last: int):
         streams: list[list[int]] = [[] for _ in range(n_streams)]
         load = [(0, k) for k in range(n_streams)]
         for i in sorted(range(len(docs)), key=lambda i: -len(docs[i])):
@@ -284,11 +305,11 @@ class Streams:
         self.lengths = np.array([n for n, _ in load], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.y = np.concatenate([docs[i] for i in order])
-        self.x = np.empty(len(self.y), _narrow(words + 2))
+        self.x = np.empty(len(self.y), _narrow(last + 2))
         self.x[1:] = self.y[:-1]
         self.fresh = np.ones(len(self.y), np.float32)
         first = (np.cumsum(sizes) - sizes)[sizes > 0]
-        self.x[first], self.fresh[first] = words + 1, 0
+        self.x[first], self.fresh[first] = last + 1, 0
         self.doc = np.repeat(np.array(order, np.int32), sizes)
 
     def windows(self):
@@ -315,9 +336,9 @@ def train(net: Network, docs: list[np.ndarray], moments: list[np.ndarray]) -> in
     docs = [part for d in docs for part in np.split(d, range(STRETCH, len(d), STRETCH))]
     n = _streams(docs)
     h, seen = np.zeros((net.hidden, n), np.float32), 0
-    grad = np.zeros_like(net.flat)
+    grad, step = np.zeros_like(net.flat), np.empty_like(net.flat)
     grads = {k: grad[o : o + math.prod(net.shapes[k])].reshape(net.shapes[k]) for k, o in net.offsets.items()}
-    for x, y, fresh, _ in Streams(docs, n, net.words).windows():
+    for x, y, fresh, _ in Streams(docs, n, net.last).windows():
         real = y >= 0
         count = int(real.sum())
         states, h, kept = net.run(x, fresh, h[:, : x.shape[1]], keep=True)
@@ -328,10 +349,18 @@ def train(net: Network, docs: list[np.ndarray], moments: list[np.ndarray]) -> in
         net.back(x, fresh, kept, d_states, grads)
         grad /= count
         moments[2] += 1
-        moments[0] += 0.1 * (grad - moments[0])
-        moments[1] += 0.01 * (grad * grad - moments[1])
-        fix = np.sqrt(1 - 0.99 ** float(moments[2])) / (1 - 0.9 ** float(moments[2]))
-        net.flat += RATE * fix * moments[0] / (np.sqrt(moments[1]) + 1e-6)  # gradients point uphill
+        moments[0] *= 0.9
+        moments[0] += np.multiply(grad, 0.1, out=step)
+        grad *= grad
+        grad *= 0.01
+        moments[1] *= 0.99
+        moments[1] += grad
+        fix = np.sqrt(1 - 0.99 ** moments[2]) / (1 - 0.9 ** moments[2])
+        np.sqrt(moments[1], out=step)
+        step += 1e-6
+        np.divide(moments[0], step, out=step)
+        step *= np.float32(RATE * fix.item())
+        net.flat += step  # gradients point uphill
         seen += count
     return seen
 
@@ -340,7 +369,7 @@ def score(net: Network, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each document's tokens, by class and word of the network."""
     n = _streams(docs)
     h, out = np.zeros((net.hidden, n), np.float32), np.zeros(len(docs))
-    for x, y, fresh, doc in Streams(docs, n, net.words).windows():
+    for x, y, fresh, doc in Streams(docs, n, net.last).windows():
         real = y >= 0
         states, h, _ = net.run(x, fresh, h[:, : x.shape[1]], keep=False)
         logs, _ = net.output(states[:, real], y[real])
@@ -398,10 +427,10 @@ def train_copies(rows: DataFrame, n_copies: int, shared, state: np.ndarray, hidd
     return np.concatenate([np.frombuffer(v, np.float32) for _, v in blocks]) if blocks else state
 
 
-#: What is known of a document before the network: sums of log10(c + 0.5) over known tokens, and over those of them outside the network.
-_KNOWN = {"doc_id": pa.int64(), "held_out": pa.bool_(), "eighth": pa.int32(), "n_tokens": pa.int64(), "n_known": pa.int64(), "sum_known": pa.float64(), "sum_tail": pa.float64(), "n_tail": pa.int64()}
+#: What is known of a document before the network: sums of log10(c + 0.5) over known tokens, and over those of them in tail classes; of log10 of the classes' masses over all tokens in these.
+_KNOWN = {"doc_id": pa.int64(), "held_out": pa.bool_(), "eighth": pa.int32(), "n_tokens": pa.int64(), "n_known": pa.int64(), "sum_known": pa.float64(), "sum_tail": pa.float64(), "sum_mass": pa.float64()}
 _READ = _KNOWN | {"tokens": pa.list_(pa.binary()), "times": pa.list_(pa.int32()), "ids": pa.binary()}
-_KNOWN_DDL = "doc_id long, held_out boolean, eighth int, n_tokens long, n_known long, sum_known double, sum_tail double, n_tail long"
+_KNOWN_DDL = "doc_id long, held_out boolean, eighth int, n_tokens long, n_known long, sum_known double, sum_tail double, sum_mass double"
 
 
 def _read(shared):
@@ -409,17 +438,20 @@ def _read(shared):
 
     def rows(batches):
         v = shared.value
-        logs, get = np.log10(v.counts + 0.5), v.rank.get
+        logs, get, masses = np.log10(v.counts + 0.5), v.rank.get, np.log10(v.masses)
+        id_of = np.append(np.arange(v.words), v.words + v.tail_classes(list(v.rank)[v.words :]))
         for batch in batches:
             out = []
             for doc_id, held, eighth, text in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = tokens_of(text)
                 ranks = np.fromiter(map(get, tokens, repeat(-1)), np.int64, len(tokens))
-                known = ranks[ranks >= 0]
-                rest = Counter(tokens[i] for i in np.flatnonzero(ranks < 0))
-                in_tail = known[known >= v.words]
-                ids = np.where((ranks >= 0) & (ranks < v.words), ranks, v.words).astype(np.uint16).tobytes()
-                out.append((doc_id, held, eighth, len(tokens), len(known), logs[known].sum(), logs[in_tail].sum(), len(tokens) - len(known) + len(in_tail), list(rest), list(rest.values()), ids))
+                known, other = ranks[ranks >= 0], np.flatnonzero(ranks < 0)
+                rest = [tokens[i] for i in other.tolist()]
+                ids = id_of[ranks] if len(known) else ranks
+                ids[other] = v.words + v.tail_classes(rest)
+                in_tail, rest = known[known >= v.words], Counter(rest)
+                mass = masses[ids[ids >= v.words] - v.words].sum()
+                out.append((doc_id, held, eighth, len(tokens), len(known), logs[known].sum(), logs[in_tail].sum(), mass, list(rest), list(rest.values()), ids.astype(np.uint16).tobytes()))
             columns = zip(*out) if out else [[]] * len(_READ)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _READ.values())], names=list(_READ))
 
@@ -439,16 +471,18 @@ def _scored(shared, state, hidden: int):
     return rows, f"row_no long, {_KNOWN_DDL}, sum_net double"
 
 
-def lm_score(docs: DataFrame, known: int = KNOWN, words: int = WORDS, classes: int = CLASSES, hidden: int = HIDDEN, copy_tokens: int = COPY_TOKENS) -> DataFrame:
+def lm_score(docs: DataFrame, known: int = KNOWN, words: int = WORDS, classes: int = CLASSES, hidden: int = HIDDEN, copy_tokens: int = COPY_TOKENS, tails: int = TAILS) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    ``words`` is 65,535 at most: network ids take two bytes.
+    ``words`` and ``tails`` are 65,535 at most together: network ids take two bytes.
     """
     sc, folds = docs.sparkSession.sparkContext, with_fold(docs)
     counts = cut(token_counts(folds))
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = sorted(most_frequent(counts, known).collect(), key=lambda r: (-r["n"], r["token"]))  # ``known`` rows at most
-    v = Vocabulary.of([bytes(r["token"]) for r in top], [r["n"] for r in top], total, distinct, min(words, 65_535), classes)
+    by_ending = counts.groupBy(F.substring("token", -2, 2).alias("ending")).agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect()  # of two bytes at most
+    endings = {bytes(r["ending"]): (r["n"], r["k"]) for r in by_ending}
+    v = Vocabulary.of([bytes(r["token"]) for r in top], [r["n"] for r in top], total, distinct, min(words, 65_535 - tails), classes, endings, tails)
     shared = sc.broadcast(v)
     read, schema = _read(shared)
     texts = cut(folds.mapInArrow(read, schema).withColumn("row_no", F.monotonically_increasing_id()))
@@ -475,5 +509,5 @@ def lm_score(docs: DataFrame, known: int = KNOWN, words: int = WORDS, classes: i
         (F.col("n_known") + F.coalesce("known_rest", F.lit(0))).cast("long").alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("sum_known") + rest - F.col("n_tokens") * F.lit(math.log10(total + 0.5 * (distinct + 1)))).alias("base_score"),
-        (F.col("sum_net") + F.col("sum_tail") + rest - F.col("n_tail") * F.lit(math.log10(v.tail_mass()))).alias("score"),
+        (F.col("sum_net") + F.col("sum_tail") + rest - F.col("sum_mass")).alias("score"),
     )

@@ -134,3 +134,24 @@ def test_equal_rows_without_id_spread_over_copies(spark):
     docs = spark.createDataFrame([(None, "same text")] * 3000, "doc_id long, text string").repartition(4)
     got = lm_score(docs, known=10, words=3, classes=2, hidden=2, copy_tokens=500)
     assert len({round(r["score"], 4) for r in got.collect()}) == 1
+
+
+def test_tokens_outside_the_words_have_contexts_too(spark):
+    """None of the alternating words is among the network's; their endings say which one follows."""
+    docs = spark.createDataFrame([(d, " ".join(f"w{(d * 37 + k * 11) % 997}{'ax' if k % 2 else 'by'}" for k in range(200))) for d in range(400)], "doc_id long, text string")
+    sizes = {"known": 3000, "words": 1, "classes": 1, "hidden": 6, "copy_tokens": 10_000_000}
+    got = {tails: sum(r["score"] for r in check(docs, tails=tails, **sizes)) / (400 * 201) for tails in (1, 8)}
+    assert got[8] > got[1] + 0.2  # log10 of 2 is 0.30
+
+
+def test_probabilities_of_tail_classes_sum_to_one():
+    tokens, counts = [b"the", END, b"aing", b"bing", b"ed"], [50, 30, 9, 5, 4]
+    endings = {b"he": (50, 1), b"": (30, 1), b"ng": (14, 2), b"ed": (4, 1), b"x": (1, 1)}
+    v = Vocabulary.of(tokens, counts, 99, 6, 2, 2, endings, 3)
+    assert v.endings == {b"ng": 0, b"ed": 1} and v.masses.tolist() == [14 + 1.5, 4 + 1, 1 + 1]
+    assert v.tail_classes([b"zing", b"ed", b"x", b"", b"other"]).tolist() == [0, 1, 2, 2, 2]
+    shares = [sum(c + 0.5 for c in cs) / m for cs, m in zip(((9, 5, 0), (4, 0), (1, 0)), v.masses)]
+    np.testing.assert_allclose(shares, 1)
+    net = Network(v, 4).start_at_counts(v)
+    logs, _ = net.output(np.zeros((4, 5), np.float32), np.arange(5))
+    assert abs(np.exp(logs).sum() - 1) < 1e-5
